@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelgrain.functions.ratios import ratio
@@ -279,15 +279,19 @@ def period_gaps(f: Frames, p: dict) -> DataFrame:
     """Expected periods between a key's first and last delivery against what came, with a status:
     missing, new (one delivery) or redelivered (more).
 
-    The join is on the calendar's bounded rows: (key, first, last) x periods in range, via the
-    period class, after deliveries are reduced to one row per key and period.
+    Calendar periods get an ordinal within their class; a key's span is generated from its first to
+    its last ordinal, so every join is an equality on a period.
     """
     keys = list(p["keys"])
     came = f["deliveries"].groupBy(*keys, "class", "period_end").agg(F.countDistinct("run_id").alias("deliveries"))
     span = came.groupBy(*keys, "class").agg(F.min("period_end").alias("_from"), F.max("period_end").alias("_to"))
-    calendar = f["periods"].select("class", F.col("end_date").alias("period_end"))
-    expected = span.join(calendar, "class").where(F.col("period_end").between(F.col("_from"), F.col("_to")))
-    joined = expected.drop("_from", "_to").join(came, [*keys, "class", "period_end"], "left")
+    in_order = F.row_number().over(Window.partitionBy("class").orderBy("period_end"))
+    calendar = f["periods"].select("class", F.col("end_date").alias("period_end")).distinct().withColumn("_no", in_order)
+    first = calendar.select("class", F.col("period_end").alias("_from"), F.col("_no").alias("_first"))
+    last = calendar.select("class", F.col("period_end").alias("_to"), F.col("_no").alias("_last"))
+    ranges = span.join(first, ["class", "_from"]).join(last, ["class", "_to"])
+    expected = ranges.select(*keys, "class", F.explode(F.sequence("_first", "_last")).alias("_no")).join(calendar, ["class", "_no"])
+    joined = expected.join(came, [*keys, "class", "period_end"], "left")
     status = F.when(F.col("deliveries").isNull(), "missing").when(F.col("deliveries") == 1, "new").otherwise("redelivered")
     return joined.select(*keys, "class", "period_end", status.alias("status"))
 

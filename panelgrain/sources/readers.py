@@ -48,19 +48,22 @@ def read_delimited(spark: SparkSession, path: str, delimiter: str) -> DataFrame:
     return spark.read.csv(path, header=True, sep=delimiter)
 
 
+SETTINGS = ("file_pattern", "step_pattern", "delimiter")
+
+
+def contract_settings(contracts: DataFrame, delimiters: DataFrame) -> DataFrame:
+    """File pattern, step pattern and delimiter per contract, with a list of what is missing."""
+    absent = F.concat_ws(", ", *[F.when(F.coalesce(F.col(s), F.lit("")) == "", s) for s in SETTINGS])
+    return contracts.join(delimiters, "delimiter_id", "left").select("contract_id", *SETTINGS, absent.alias("missing"))
+
+
 def load_settings(contracts: DataFrame, delimiters: DataFrame, contract_id: int) -> dict[str, str]:
-    """File pattern, step pattern and delimiter of a contract; one error lists all that is missing."""
-    row = (
-        contracts.where(F.col("contract_id") == contract_id)
-        .join(delimiters, "delimiter_id", "left")
-        .select("file_pattern", "step_pattern", "delimiter")
-        .head()
-    )
-    found = row.asDict() if row else {}
-    missing = [k for k in ("file_pattern", "step_pattern", "delimiter") if not found.get(k)]
+    """Settings of one contract; one error lists all that is missing."""
+    row = contract_settings(contracts, delimiters).where(F.col("contract_id") == contract_id).head()
+    missing = row.missing if row else ", ".join(SETTINGS)
     if missing:
-        raise ValueError(f"contract {contract_id} has no {', '.join(missing)}")
-    return found
+        raise ValueError(f"contract {contract_id} has no {missing}")
+    return {s: row[s] for s in SETTINGS}
 
 
 def files_like(files: DataFrame, glob: str, name: str = "name") -> DataFrame:
