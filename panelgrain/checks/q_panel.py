@@ -208,7 +208,7 @@ def fct09(spark, d):
 @query(
     "fct01_measure_mapping",
     """SELECT n_name AS vendor_measure, CASE WHEN n_regionkey = 2 THEN 200 + n_nationkey WHEN n_regionkey = 3 THEN 300 ELSE 100 + n_nationkey END AS measure_id,
-       row_number() OVER (ORDER BY n_nationkey) AS ordinal, 'm' || n_nationkey AS physical_name, n_regionkey * 1.0 AS vendor_factor, CASE WHEN n_regionkey = 2 THEN 2.5 END AS contract_factor,
+       row_number() OVER (ORDER BY n_nationkey) AS ordinal, 'm' || n_nationkey AS physical_name, CAST(n_regionkey AS DOUBLE) AS vendor_factor, CAST(CASE WHEN n_regionkey = 2 THEN 2.5 END AS DOUBLE) AS contract_factor,
        'measure_' || row_number() OVER (ORDER BY n_nationkey) AS slot
        FROM nation WHERE n_regionkey <> 3""",
 )

@@ -290,3 +290,35 @@ def dim11(spark, d):
     last = part.agg(F.max("p_size").alias("run_id")).select("run_id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("contract_id"))
     ranks = spark.createDataFrame([("BRAND", 17), ("SIZE", 63)], "level_name string, rank int")
     return D.decode_levels(rows, ranks, last, contracts, skip_sources=(3, 100))
+
+
+DIMENSION = "code string, name string, category string, surrogate_key long, run_id long, contract_id long, part_source_id short"
+
+
+@query(
+    "dim10_dimension_load",
+    """WITH s AS (SELECT code, name || ' old' AS name, category, product_key + 1000001 AS surrogate_key FROM products WHERE category IN ('SMALL', 'LARGE', 'PROMO')),
+       n AS (SELECT code, (SELECT max(surrogate_key) FROM s) + row_number() OVER (ORDER BY substr(md5(code), 1, 3), code) AS k FROM products WHERE category IN ('ECONOMY', 'MEDIUM'))
+       SELECT p.code, CASE WHEN size < 10 THEN coalesce(s.name, NULL) ELSE p.name END AS name, p.category, coalesce(s.surrogate_key, n.k) AS surrogate_key, CAST(7 AS BIGINT) AS run_id
+       FROM products p LEFT JOIN s ON s.code = p.code LEFT JOIN n ON n.code = p.code WHERE p.category NOT IN ('PROMO', 'STANDARD')
+       UNION ALL SELECT code, name, category, surrogate_key, CAST(1 AS BIGINT) FROM s WHERE category = 'PROMO'""",
+    (P.PRODUCTS,),
+)
+def dim10(spark, d):
+    from panelgrain.plans.dimension import load_dimension
+    from panelgrain.spec import ContractSpec
+
+    base = P.products(spark, d)
+    stored = base.where("category IN ('SMALL', 'LARGE', 'PROMO')").select(
+        "code",
+        F.concat("name", F.lit(" old")).alias("name"),
+        "category",
+        (F.col("product_key") + 1_000_001).alias("surrogate_key"),
+        F.lit(1).cast("long").alias("run_id"),
+        F.lit(101).cast("long").alias("contract_id"),
+        F.lit(3).cast("short").alias("part_source_id"),
+    )
+    delivered = base.where("category NOT IN ('PROMO', 'STANDARD')").select("code", F.when(F.col("size") >= 10, F.col("name")).alias("name"), "category")
+    again = delivered.unionByName(delivered).unionByName(delivered.limit(0).withColumn("code", F.lit(None).cast("string")))
+    load = load_dimension(again, stored, stored.select("code", "surrogate_key"), ContractSpec(7, 101, 3), "code", "surrogate_key")
+    return load.dimension.select("code", "name", "category", "surrogate_key", "run_id")

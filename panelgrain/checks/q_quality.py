@@ -1 +1,638 @@
-""""""
+"""Quality framework and the rule catalogue over the driver tables (DQ-*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelgrain.checks import panel as P
+from panelgrain.checks import q_panel, q_product
+from panelgrain.checks.q_extract import fact_lines
+from panelgrain.checks.registry import query
+from panelgrain.operators import compare as C
+from panelgrain.operators import layouts as L
+from panelgrain.operators.extract import extract_fixed_width
+from panelgrain.operators.lookup import like_lookup
+from panelgrain.operators.product import classify_changes
+from panelgrain.quality import framework as Q
+from panelgrain.quality import rules  # noqa: F401
+from panelgrain.quality.framework import REGISTRY
+
+
+def offending(rule_id: str, **frames: DataFrame) -> DataFrame:
+    params = frames.pop("params", {})
+    return REGISTRY[rule_id].offending(frames, **params)
+
+
+def column(frame, *names, **renamed):
+    return frame.select(*names, *[F.col(old).alias(new) for new, old in renamed.items()])
+
+
+# ---------------------------------------------------------------- file structure
+
+
+@query(
+    "dq01_bad_fact_format",
+    """SELECT l_orderkey * 10 + l_linenumber AS line_num, 'measure_2' AS column_name, l_returnflag || l_tax AS value FROM lineitem WHERE l_returnflag = 'R'""",
+)
+def dq01(spark, d):
+    text = F.when(F.col("l_returnflag") == "R", F.concat("l_returnflag", "l_tax")).when(F.col("l_returnflag") == "A", "N/A").otherwise(F.col("l_tax").cast("string"))
+    facts = P.table(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_num"), F.col("l_quantity").cast("string").alias("measure_1"), text.alias("measure_2"))
+    return offending("DQ-01", facts=facts)
+
+
+def vendor_columns(spark, d):
+    """Column map rows and actual columns named after brands."""
+    brands = P.table(spark, d, "part").select(F.col("p_brand").alias("file_column"), F.substring("p_brand", 7, 2).cast("int").alias("n")).distinct()
+    column_map = brands.where("n > 5").select("file_column", (F.col("n") > 15).alias("mandatory"))
+    return column_map, brands.where("n < 20").select(F.col("file_column").alias("column_name"))
+
+
+BRANDS = "brands AS (SELECT DISTINCT p_brand AS column_name, CAST(substring(p_brand, 7, 2) AS INTEGER) AS n FROM part)"
+
+
+@query("dq02_missing_mandatory", "SELECT column_name FROM brands WHERE n > 15 AND n >= 20", (BRANDS,))
+def dq02(spark, d):
+    column_map, columns = vendor_columns(spark, d)
+    return offending("DQ-02", column_map=column_map, columns=columns)
+
+
+@query("dq03_optional_columns", "SELECT column_name, 'unmapped' AS status FROM brands WHERE n <= 5", (BRANDS,))
+def dq03(spark, d):
+    column_map, columns = vendor_columns(spark, d)
+    return offending("DQ-03", column_map=column_map, columns=columns)
+
+
+def tagged_facts(spark, d):
+    return P.sales(spark, d).select(
+        F.col("market_key").cast("string").alias("market_code"), F.col("product_key").cast("string").alias("product_code"), F.col("period_id").cast("string").alias("period_code"),
+        (F.col("order_key") * 10 + F.col("line_number")).alias("line_num"), "quantity",
+    )
+
+
+def references(spark, d):
+    markets = P.table(spark, d, "nation").where("n_regionkey <> 1").select(F.col("n_nationkey").cast("string").alias("code"))
+    products = P.products(spark, d).where("size <> 8").select("code")
+    periods = P.periods(spark, d).where("year(start_date) <> 1998").select(F.col("period_id").cast("string").alias("code"))
+    return {"markets": markets, "products": products, "periods": periods}
+
+
+TAG_SQL = {
+    "market": "SELECT DISTINCT 'market' AS axis, CAST(market_key AS VARCHAR) AS code FROM sales WHERE contract_id = 1",
+    "product": "SELECT DISTINCT 'product' AS axis, CAST(product_key AS VARCHAR) AS code FROM sales JOIN part ON product_key = p_partkey WHERE p_size = 8",
+    "period": "SELECT DISTINCT 'period' AS axis, CAST(period_id AS VARCHAR) AS code FROM sales WHERE year(period_end) = 1998",
+}
+
+
+@query("dq04_undefined_tags", " UNION ALL ".join(TAG_SQL.values()), (P.SALES,))
+def dq04(spark, d):
+    return offending("DQ-04", facts=tagged_facts(spark, d), **references(spark, d))
+
+
+def _tag_query(rule_id: str, axis: str):
+    def run(spark, d):
+        return offending(rule_id, facts=tagged_facts(spark, d), **references(spark, d))
+
+    query(f"{rule_id.lower().replace('-', '')}_undefined_{axis}", TAG_SQL[axis], (P.SALES,))(run)
+
+
+for _rule, _axis in (("DQ-05", "market"), ("DQ-06", "product"), ("DQ-07", "period")):
+    _tag_query(_rule, _axis)
+
+
+@query(
+    "dq08_duplicated_fact",
+    """SELECT * FROM (SELECT CAST(market_key AS VARCHAR) AS market_code, CAST(product_key AS VARCHAR) AS product_code, CAST(period_id AS VARCHAR) AS period_code, order_key * 10 + line_number AS line_num,
+       count(*) OVER (PARTITION BY market_key, product_key, period_id) AS copies FROM sales) WHERE copies > 1""",
+    (P.SALES,),
+)
+def dq08(spark, d):
+    return offending("DQ-08", facts=tagged_facts(spark, d))
+
+
+@query("dq09_duplicated_market", "SELECT CAST(s_nationkey AS VARCHAR) AS code, count(*) AS copies FROM supplier GROUP BY 1 HAVING count(*) > 1")
+def dq09(spark, d):
+    return offending("DQ-09", markets=P.table(spark, d, "supplier").select(F.col("s_nationkey").cast("string").alias("code")))
+
+
+@query("dq10_duplicated_product", "SELECT CAST(l_partkey AS VARCHAR) AS code, count(*) AS copies FROM lineitem GROUP BY 1 HAVING count(*) > 1")
+def dq10(spark, d):
+    return offending("DQ-10", products=P.table(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("code")))
+
+
+@query("dq11_duplicated_measure", "SELECT p_size AS code, count(*) AS copies FROM part GROUP BY 1 HAVING count(*) > 1")
+def dq11(spark, d):
+    return offending("DQ-11", measures=P.table(spark, d, "part").select(F.col("p_size").alias("code")))
+
+
+@query("dq12_duplicated_attributes", "SELECT p_type || ' ' || p_brand || ' ' || p_name AS attributes, count(*) AS copies FROM part GROUP BY 1 HAVING count(*) > 1")
+def dq12(spark, d):
+    return offending("DQ-12", products=P.table(spark, d, "part").select(F.concat_ws(" ", "p_type", "p_brand", "p_name").alias("attributes")))
+
+
+@query("dq13_duplicated_period", "SELECT strftime(o_orderdate, '%Y-%m-%d') AS code, count(*) AS copies FROM orders GROUP BY 1 HAVING count(*) > 1")
+def dq13(spark, d):
+    return offending("DQ-13", periods=P.table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("code")))
+
+
+@query("dq14_data_exists", "SELECT 'markets' AS file")
+def dq14(spark, d):
+    none = P.table(spark, d, "nation").where("n_regionkey < 0")
+    return offending("DQ-14", facts=P.table(spark, d, "lineitem"), markets=none, products=P.table(spark, d, "part"))
+
+
+@query(
+    "dq15_incorrect_format",
+    """SELECT o_orderkey FROM (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'pipe' WHEN o_orderstatus = 'O' THEN 'comma' ELSE 'fixed' END AS detected, ['pipe', 'comma'][1 + o_custkey % 2] AS declared FROM orders)
+       WHERE detected <> declared""",
+)
+def dq15(spark, d):
+    sep = F.when(F.col("o_orderstatus") == "F", "|").when(F.col("o_orderstatus") == "O", ",").otherwise(" ")
+    lines = P.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 2).alias("contract_id"), F.concat(F.lit("a"), sep, F.lit("b")).alias("value"))
+    contract = spark.createDataFrame([(0, "pipe"), (1, "comma")], "contract_id long, declared string")
+    return offending("DQ-15", lines=lines, contract=contract).select("o_orderkey")
+
+
+@query("dq16_incorrect_period_type", "SELECT o_orderkey, CASE WHEN day(o_orderdate) < 15 THEN 'WKMS' ELSE 'MH' END AS period_type FROM orders WHERE (day(o_orderdate) < 15) = (o_custkey % 2 = 0)")
+def dq16(spark, d):
+    kind = F.when(F.dayofmonth("o_orderdate") < 15, "WKMS").otherwise("MH")
+    periods = P.table(spark, d, "orders").select("o_orderkey", (F.col("o_custkey") % 2).alias("contract_id"), kind.alias("period_type"))
+    contract = spark.createDataFrame([(0, "MH"), (1, "WKMS")], "contract_id long, period_type string")
+    return offending("DQ-16", periods=periods, contract=contract).select("o_orderkey", "period_type")
+
+
+@query("dq17_line_count", "SELECT l_orderkey, count(*) AS lines, CAST(4 AS BIGINT) AS expected FROM lineitem GROUP BY 1 HAVING count(*) <> 4")
+def dq17(spark, d):
+    return offending("DQ-17", facts=P.table(spark, d, "lineitem"), params={"keys": ("l_orderkey",), "measures": 67})
+
+
+@query("dq18_too_many_measures", "SELECT l_orderkey * 10 + l_linenumber AS line_num, l_returnflag AS rest FROM lineitem")
+def dq18(spark, d):
+    lines = fact_lines(spark, d, L.FACT_A, 9).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_num"), "value")
+    return offending("DQ-18", facts=extract_fixed_width(lines, L.FACT_A))
+
+
+@query("dq19_foreign_category", "SELECT code, category FROM products WHERE category NOT IN ('SMALL', 'LARGE', 'PROMO')", (P.PRODUCTS,))
+def dq19(spark, d):
+    known = spark.createDataFrame([("SMALL",), ("LARGE",), ("PROMO",)], "category string")
+    return offending("DQ-19", products=P.products(spark, d).select("code", "category"), categories=known).select("code", "category")
+
+
+# ---------------------------------------------------------------- vendor reference
+
+
+def structures(spark, d):
+    return P.products(spark, d).where("size > 40").select("category", F.col("brand").alias("structure")).distinct()
+
+
+HIERARCHY_SQL = "SELECT code FROM products p WHERE NOT EXISTS (SELECT 1 FROM products q WHERE q.size > 40 AND q.category = p.category AND q.brand = p.brand)"
+
+
+@query("dq20_unknown_product_hierarchy", HIERARCHY_SQL, (P.PRODUCTS,))
+def dq20(spark, d):
+    rows = P.products(spark, d).withColumn("structure", F.col("brand"))
+    return offending("DQ-20", products=rows, structures=structures(spark, d)).select("code")
+
+
+DEPTH_SQL = """SELECT code, p.size AS level, m.deepest FROM products p JOIN (SELECT category, max(size) - 5 AS deepest FROM products GROUP BY 1) m ON m.category = p.category WHERE p.size > m.deepest"""
+
+
+def level_rows(spark, d):
+    rows = P.products(spark, d).withColumn("level", F.col("size"))
+    return rows, rows.groupBy("category").agg((F.max("size") - 5).alias("level"))
+
+
+@query("dq21_product_too_deep", DEPTH_SQL, (P.PRODUCTS,))
+def dq21(spark, d):
+    rows, levels = level_rows(spark, d)
+    return offending("DQ-21", products=rows, levels=levels).select("code", "level", "deepest")
+
+
+def gappy_tree(spark, d):
+    """Types, type-brand pairs of large parts, and all items: items of other pairs lack a parent."""
+    base = P.products(spark, d)
+    return (
+        base.select("path")
+        .unionByName(base.where("size > 45").select(F.concat_ws(" ", "category", "brand").alias("path")).distinct())
+        .unionByName(base.select(F.col("category").alias("path")).distinct())
+    )
+
+
+PARENT_SQL = """SELECT path, category || ' ' || brand AS parent_path FROM products p WHERE NOT EXISTS (SELECT 1 FROM products q WHERE q.size > 45 AND q.category = p.category AND q.brand = p.brand)"""
+
+
+@query("dq22_product_without_parent", PARENT_SQL, (P.PRODUCTS,))
+def dq22(spark, d):
+    return offending("DQ-22", products=gappy_tree(spark, d)).select("path", "parent_path")
+
+
+@query("dq23_two_codes_one_path", "SELECT category || ' ' || brand || ' ' || name AS path, min(code) AS first_code, max(code) AS last_code FROM products GROUP BY 1 HAVING count(DISTINCT code) > 1", (P.PRODUCTS,))
+def dq23(spark, d):
+    return offending("DQ-23", products=P.products(spark, d).select(F.concat_ws(" ", "category", "brand", "name").alias("path"), "code"))
+
+
+@query("dq24_code_change", "SELECT path, code, 'old ' || code AS stored_code FROM products WHERE size = 12", (P.PRODUCTS,))
+def dq24(spark, d):
+    rows = P.products(spark, d).select("path", "code", "size")
+    stored = rows.select("path", F.when(F.col("size") == 12, F.concat(F.lit("old "), "code")).otherwise(F.col("code")).alias("code"))
+    return offending("DQ-24", products=rows.drop("size"), stored_products=stored)
+
+
+# ---------------------------------------------------------------- information
+
+
+@query("dq25_measure_name", "SELECT n_nationkey AS code, n_name AS name, 'expected ' || n_name AS stored_name FROM nation WHERE n_regionkey = 2")
+def dq25(spark, d):
+    rows = P.table(spark, d, "nation").select(F.col("n_nationkey").alias("code"), F.col("n_name").alias("name"), "n_regionkey")
+    lookup = rows.select("code", F.when(F.col("n_regionkey") == 2, F.concat(F.lit("expected "), "name")).otherwise(F.col("name")).alias("name"))
+    return offending("DQ-25", measures=rows.drop("n_regionkey"), measure_lookup=lookup)
+
+
+@query("dq26_market_name", "SELECT c_custkey AS code, c_name AS name, upper(c_name) AS stored_name FROM customer WHERE c_mktsegment = 'BUILDING'")
+def dq26(spark, d):
+    rows = P.table(spark, d, "customer").select(F.col("c_custkey").alias("code"), F.col("c_name").alias("name"), "c_mktsegment")
+    stored = rows.select("code", F.when(F.col("c_mktsegment") == "BUILDING", F.upper("name")).otherwise(F.col("name")).alias("name"))
+    return offending("DQ-26", markets=rows.drop("c_mktsegment"), stored_markets=stored)
+
+
+def sold_in(spark, d, year, name="code"):
+    return P.table(spark, d, "lineitem").where(F.year("l_shipdate") == year).select(F.col("l_partkey").alias(name))
+
+
+@query("dq27_missing_product", "SELECT DISTINCT l_partkey AS code FROM lineitem WHERE year(l_shipdate) = 1997 AND l_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE year(l_shipdate) = 1998)")
+def dq27(spark, d):
+    return offending("DQ-27", products=sold_in(spark, d, 1998), last_products=sold_in(spark, d, 1997).distinct())
+
+
+@query("dq28_brand_of_two_companies", "SELECT p_brand AS brand, min(p_type) AS first_company, max(p_type) AS last_company FROM part GROUP BY 1 HAVING count(DISTINCT p_type) > 1")
+def dq28(spark, d):
+    return offending("DQ-28", products=column(P.table(spark, d, "part"), brand="p_brand", company="p_type"))
+
+
+@query("dq29_skipped_measures", "SELECT p_partkey, p_brand AS code FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 50 AND p_type = 'SMALL')")
+def dq29(spark, d):
+    part = P.table(spark, d, "part")
+    lookup = part.select(F.col("p_brand").alias("code"), ((F.col("p_size") == 50) & (F.col("p_type") == "SMALL")).alias("in_use"))
+    return offending("DQ-29", measures=column(part, "p_partkey", code="p_brand"), measure_lookup=lookup).select("p_partkey", "code")
+
+
+NOT_ASCII = "NOT regexp_full_match({c}, '[\\x00-\\x7F]*', 's')"
+
+
+def _bad_query(kind: str, table: str, key: str, texts: tuple[str, ...]):
+    sql = " UNION ALL ".join(f"SELECT {key} AS code, '{t}' AS column_name, {t} AS value FROM {table} WHERE {NOT_ASCII.format(c=t)}" for t in texts)
+
+    def run(spark, d):
+        rows = P.table(spark, d, table).select(F.col(key).alias("code"), *texts)
+        return offending(f"DQ-30-{kind}", **{f"{kind}s": rows})
+
+    query(f"dq30_bad_{kind}_characters", sql)(run)
+
+
+for _kind, _table, _key, _texts in (
+    ("product", "documents", "doc_id", ("text", "lang", "source")),
+    ("market", "pages", "page_id", ("url", "html")),
+    ("measure", "conversations", "conv_id", ("role", "text")),
+    ("period", "benchmark", "item_id", ("text",)),
+):
+    _bad_query(_kind, _table, _key, _texts)
+
+
+@query("dq31_invalid_combination", "SELECT code, category, brand FROM products p WHERE NOT EXISTS (SELECT 1 FROM products q WHERE q.size > 40 AND q.category = p.category AND q.brand = p.brand)", (P.PRODUCTS,))
+def dq31(spark, d):
+    allowed = P.products(spark, d).where("size > 40").select("category", "brand")
+    return offending("DQ-31", products=P.products(spark, d).select("code", "category", "brand"), allowed=allowed).select("code", "category", "brand")
+
+
+@query("dq32_new_products", "SELECT code AS product_code, 'NEW PRODUCT' AS change FROM products WHERE size = 3", (P.PRODUCTS,))
+def dq32(spark, d):
+    classified = classify_changes(q_product.delivered_products(spark, d), q_product.stored_products(spark, d))
+    return offending("DQ-32", classified_products=classified).select("product_code", "change")
+
+
+# ---------------------------------------------------------------- reference
+
+
+def mapped(spark, d, key, name):
+    """Parts mapped onto a coarser key that is unknown for one type."""
+    return P.table(spark, d, "part").select("p_partkey", F.when(F.col("p_type") != "PROMO", F.col(key)).alias(name))
+
+
+@query("dq33_unknown_measure", "SELECT p_partkey FROM part WHERE p_type = 'PROMO'")
+def dq33(spark, d):
+    return offending("DQ-33", mapped_measures=mapped(spark, d, "p_size", "measure_id")).select("p_partkey")
+
+
+REPEATED = "SELECT p_size AS {n}, count(*) AS copies FROM part WHERE p_type <> 'PROMO' GROUP BY 1 HAVING count(*) > 1"
+
+
+@query("dq34_repeated_measure", REPEATED.format(n="measure_id"))
+def dq34(spark, d):
+    return offending("DQ-34", mapped_measures=mapped(spark, d, "p_size", "measure_id"))
+
+
+def _zero_query(axis: str, key_sql: str, key):
+    sql = f"SELECT {key_sql} AS {axis} FROM lineitem GROUP BY 1 HAVING max(CASE WHEN l_returnflag = 'R' AND l_quantity > 49 THEN 1 ELSE 0 END) = 0"
+
+    def run(spark, d):
+        loud = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 49)
+        facts = P.table(spark, d, "lineitem").select(
+            key().alias(axis), F.when(loud, -F.col("l_quantity")).alias("volume"), F.when(loud, F.lit(None)).otherwise(F.lit(0.0)).alias("value")
+        )
+        return offending("DQ-35", facts=facts, params={"key": axis})
+
+    query(f"dq35_all_zero_{axis.split('_')[0]}", sql)(run)
+
+
+for _axis, _sql, _fn in (
+    ("product_code", "l_partkey", lambda: F.col("l_partkey")),
+    ("period_code", "CAST(l_shipdate AS DATE)", lambda: F.col("l_shipdate").cast("date")),
+    ("market_code", "l_orderkey", lambda: F.col("l_orderkey")),
+):
+    _zero_query(_axis, _sql, _fn)
+
+
+@query(
+    "dq36_unknown_value",
+    """SELECT p_partkey, p_brand AS code FROM part WHERE p_brand NOT LIKE 'Brand#1%'""",
+)
+def dq36(spark, d):
+    part = P.table(spark, d, "part").select("p_partkey", F.col("p_type").alias("category"), F.col("p_brand").alias("code"))
+    rules_ = part.select("category", F.lit("Brand#1%").alias("code_pattern"), F.lit("Teens").alias("value_name")).distinct()
+    cells = like_lookup(part, rules_, ["category"], "code", "code_pattern", ["value_name"])
+    return offending("DQ-36", attribute_cells=cells).select("p_partkey", "code")
+
+
+@query(
+    "dq37_period_gaps",
+    """WITH came AS (SELECT market_key, period_id, period_end, count(DISTINCT year(o_orderdate)) AS n FROM sales JOIN orders ON order_key = o_orderkey JOIN part ON product_key = p_partkey WHERE p_type = 'SMALL' AND p_size < 4 GROUP BY ALL),
+       span AS (SELECT market_key, min(period_end) AS lo, max(period_end) AS hi FROM came GROUP BY 1)
+       SELECT s.market_key, 'MTH' AS class, p.end_date AS period_end, CASE WHEN c.n IS NULL THEN 'missing' WHEN c.n = 1 THEN 'new' ELSE 'redelivered' END AS status
+       FROM span s JOIN periods p ON p.end_date BETWEEN lo AND hi LEFT JOIN came c ON c.market_key = s.market_key AND c.period_end = p.end_date""",
+    (P.SALES, P.PERIODS),
+)
+def dq37(spark, d):
+    small = P.table(spark, d, "part").where("p_type = 'SMALL' AND p_size < 4").select(F.col("p_partkey").alias("product_key"))
+    orders = P.table(spark, d, "orders").select(F.col("o_orderkey").alias("order_key"), F.year("o_orderdate").alias("run_id"))
+    came = P.sales(spark, d).join(small, "product_key", "left_semi").join(orders, "order_key").select("market_key", F.lit("MTH").alias("class"), "period_end", "run_id")
+    return offending("DQ-37", deliveries=came, periods=P.periods(spark, d), params={"keys": ("market_key",)})
+
+
+@query("dq38_repeated_period", REPEATED.format(n="period_id"))
+def dq38(spark, d):
+    return offending("DQ-38", mapped_periods=mapped(spark, d, "p_size", "period_id"))
+
+
+STATUS_SQL = """WITH a AS (SELECT DISTINCT {k} AS k FROM {t1}), b AS (SELECT DISTINCT {k} AS k FROM {t2})
+  SELECT coalesce(a.k, b.k) AS {n}, CASE WHEN b.k IS NULL THEN 'new' WHEN a.k IS NULL THEN 'missing' ELSE 'delivered' END AS status FROM a FULL JOIN b ON a.k = b.k"""
+
+
+@query("dq39_area_status", STATUS_SQL.format(k="l_partkey", t1="lineitem WHERE year(l_shipdate) = 1998", t2="lineitem WHERE year(l_shipdate) = 1997", n="code"))
+def dq39(spark, d):
+    return offending("DQ-39", markets=sold_in(spark, d, 1998), last_markets=sold_in(spark, d, 1997))
+
+
+@query("dq40_unknown_period", "SELECT p_partkey FROM part WHERE p_type = 'PROMO'")
+def dq40(spark, d):
+    return offending("DQ-40", mapped_periods=mapped(spark, d, "p_size", "period_id")).select("p_partkey")
+
+
+@query("dq41_unknown_market", "SELECT p_partkey FROM part WHERE p_type = 'PROMO'")
+def dq41(spark, d):
+    return offending("DQ-41", mapped_markets=mapped(spark, d, "p_size", "market_key")).select("p_partkey")
+
+
+@query("dq42_repeated_market", REPEATED.format(n="market_key"))
+def dq42(spark, d):
+    return offending("DQ-42", mapped_markets=mapped(spark, d, "p_size", "market_key"))
+
+
+@query("dq43_hierarchy_status", STATUS_SQL.format(k="p_brand || p_name", t1="part WHERE p_type = 'SMALL'", t2="part WHERE p_type = 'LARGE'", n="structure"))
+def dq43(spark, d):
+    part = P.table(spark, d, "part").select("p_type", F.concat("p_brand", "p_name").alias("structure"))
+    return offending("DQ-43", products=part.where("p_type = 'SMALL'"), last_products=part.where("p_type = 'LARGE'"))
+
+
+@query("dq44_measure_status", STATUS_SQL.format(k="p_name", t1="part WHERE p_brand = 'Brand#3'", t2="part WHERE p_brand = 'Brand#4'", n="code"))
+def dq44(spark, d):
+    part = P.table(spark, d, "part").select("p_brand", F.col("p_name").alias("code"))
+    return offending("DQ-44", measures=part.where("p_brand = 'Brand#3'"), last_measures=part.where("p_brand = 'Brand#4'"))
+
+
+@query("dq45_attributes_changed", "SELECT code, attributes, attributes || ' old' AS stored_attributes FROM products WHERE size = 11", (P.PRODUCTS,))
+def dq45(spark, d):
+    rows = P.products(spark, d).select("code", "attributes", "size")
+    stored = rows.select("code", F.when(F.col("size") == 11, F.concat("attributes", F.lit(" old"))).otherwise(F.col("attributes")).alias("attributes"))
+    return offending("DQ-45", products=rows.drop("size"), stored_products=stored)
+
+
+@query("dq46_market_without_parent", PARENT_SQL, (P.PRODUCTS,))
+def dq46(spark, d):
+    return offending("DQ-46", markets=gappy_tree(spark, d)).select("path", "parent_path")
+
+
+@query("dq47_unknown_market_hierarchy", HIERARCHY_SQL, (P.PRODUCTS,))
+def dq47(spark, d):
+    return offending("DQ-47", markets=P.products(spark, d).withColumn("structure", F.col("brand")), structures=structures(spark, d)).select("code")
+
+
+@query("dq48_market_too_deep", DEPTH_SQL, (P.PRODUCTS,))
+def dq48(spark, d):
+    rows, levels = level_rows(spark, d)
+    return offending("DQ-48", markets=rows, levels=levels).select("code", "level", "deepest")
+
+
+# ---------------------------------------------------------------- business
+
+
+def thresholds(spark, d):
+    """Limits per region."""
+    region = P.table(spark, d, "region")
+    k = F.col("r_regionkey")
+    return region.select(k.alias("level_id"), (k * 10 + 20.0).alias("absolute_limit"), (k * 20 + 50.0).alias("previous_limit"), (k * 25 + 60.0).alias("year_ago_limit"), (k * 5 + 40.0).alias("delivery_limit"))
+
+
+@query(
+    "dq49_unexpected_change",
+    """SELECT market_key, path, period_id, volume FROM (SELECT *, contract_id AS k, round((volume - volume_pp) / nullif(volume_pp, 0) * 100, 6) AS ipp, round((volume - volume_ya) / nullif(volume_ya, 0) * 100, 6) AS iya FROM sides)
+       WHERE (coalesce(abs(ipp) > k * 20 + 50, FALSE) OR coalesce(abs(iya) > k * 25 + 60, FALSE)) AND abs(volume) > k * 10 + 20""",
+    (P.SALES, P.BRAND_FACTS, q_panel.SIDES),
+)
+def dq49(spark, d):
+    compared = C.indexes(q_panel.sides(spark, d), ["volume"]).withColumn("level_id", F.col("contract_id"))
+    return offending("DQ-49", comparison=compared, thresholds=thresholds(spark, d)).select("market_key", "path", "period_id", "volume")
+
+
+@query(
+    "dq50_backdata_difference",
+    """SELECT contract_id, market_key, path, period_end, round((now_volume - old_volume) / nullif(old_volume, 0) * 100, 6) AS volume_ipd FROM runs
+       WHERE now_volume IS NOT NULL AND old_volume IS NOT NULL AND abs(round((now_volume - old_volume) / nullif(old_volume, 0) * 100, 6)) > contract_id * 5 + 40""",
+    (P.SALES, q_panel.RUN_FACTS),
+)
+def dq50(spark, d):
+    now, old, keys = q_panel.run_facts(spark, d)
+    pd = now.join(old.withColumnRenamed("volume", "volume_pd"), keys, "left")
+    compared = pd.withColumns({f"volume_{s}": F.lit(None).cast("double") for s in ("pp", "ya")})
+    compared = C.indexes(compared, ["volume"]).withColumn("level_id", F.col("contract_id"))
+    return offending("DQ-50", comparison=compared, thresholds=thresholds(spark, d)).select(*keys, "volume_ipd")
+
+
+@query("dq51_negative_values", "SELECT c_custkey, c_acctbal AS value FROM customer WHERE c_acctbal < -100")
+def dq51(spark, d):
+    return offending("DQ-51", facts=column(P.table(spark, d, "customer"), "c_custkey", value="c_acctbal"), params={"limit": 100})
+
+
+def damaged_tree(spark, d):
+    """The two-level hierarchy with the volume of one brand's rows left out of the children."""
+    tree = P.tree_facts(spark, d)
+    return tree.where("path NOT LIKE '% Brand#9'")
+
+
+@query(
+    "dq52_parent_mismatch",
+    """SELECT t.market_key, t.period_id, t.path, t.volume AS parent, k.children FROM tree t JOIN (SELECT market_key, period_id, parent_path, sum(volume) AS children FROM tree WHERE parent_path IS NOT NULL AND path NOT LIKE '% Brand#9' GROUP BY 1, 2, 3) k
+       ON k.market_key = t.market_key AND k.period_id = t.period_id AND k.parent_path = t.path WHERE abs((t.volume - k.children) / nullif(t.volume, 0)) * 100 > 1""",
+    (P.SALES, P.TREE),
+)
+def dq52(spark, d):
+    return offending("DQ-52", facts=damaged_tree(spark, d), params={"limit": 1.0})
+
+
+@query(
+    "dq53_top_mismatch",
+    "SELECT market_key, period_id, min(volume) AS lowest, max(volume) AS highest FROM tree WHERE is_top = 'Y' GROUP BY 1, 2 HAVING min(volume) <> max(volume)",
+    (P.SALES, P.TREE),
+)
+def dq53(spark, d):
+    return offending("DQ-53", facts=P.tree_facts(spark, d))
+
+
+@query(
+    "dq54_parent_without_fact",
+    "SELECT DISTINCT market_key, period_id, parent_path AS path FROM tree WHERE parent_path = 'SMALL'",
+    (P.SALES, P.TREE),
+)
+def dq54(spark, d):
+    return offending("DQ-54", facts=P.tree_facts(spark, d).where("path <> 'SMALL'"))
+
+
+@query("dq55_level_status", STATUS_SQL.format(k="p_size", t1="part WHERE p_size < 30", t2="part WHERE p_size > 20", n="level"))
+def dq55(spark, d):
+    part = P.table(spark, d, "part").select(F.col("p_size").alias("level"))
+    return offending("DQ-55", products=part.where("level < 30"), last_products=part.where("level > 20"))
+
+
+# ---------------------------------------------------------------- framework
+
+AT = "2024-01-01 00:00:00"
+
+
+def structure_results(spark, d):
+    frames = {
+        "facts": tagged_facts(spark, d).withColumn("measure_1", F.col("quantity").cast("string")).drop("quantity"),
+        **references(spark, d),
+    }
+    chosen = Q.rules_of(1, ["DQ-01", "DQ-04", "DQ-08", "DQ-09", "DQ-10"])
+    return Q.evaluate(chosen, frames, 7, 1, F.lit(AT).cast("timestamp"))
+
+
+@query(
+    "dqf1_rules_of_group",
+    """SELECT 'Duplicated market code' AS rule_name, (SELECT count(*) FROM (SELECT 1 FROM supplier GROUP BY s_nationkey HAVING count(*) > 1)) AS offending
+       UNION ALL SELECT 'Duplicated product code', (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING count(*) > 1))
+       UNION ALL SELECT 'Duplicated period', (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_orderdate HAVING count(*) > 1))""",
+)
+def dqf1(spark, d):
+    frames = {
+        "markets": column(P.table(spark, d, "supplier"), code="s_nationkey"),
+        "products": column(P.table(spark, d, "lineitem"), code="l_partkey"),
+        "periods": column(P.table(spark, d, "orders"), code="o_orderdate"),
+    }
+    found = Q.rules_of(5, ["DQ-09", "DQ-10", "DQ-13", "DQ-49"])
+    return Q.evaluate(found, frames, 7, 5, F.lit(AT).cast("timestamp")).select("rule_name", "offending")
+
+
+RESULT_SQL = f"""results AS (SELECT 'DQ-01' AS rule_id, 0 AS offending UNION ALL SELECT 'DQ-04', (SELECT count(*) FROM ({' UNION ALL '.join(TAG_SQL.values())}))
+  UNION ALL SELECT 'DQ-08', (SELECT count(*) FROM (SELECT count(*) OVER (PARTITION BY market_key, product_key, period_id) AS n FROM sales) WHERE n > 1)
+  UNION ALL SELECT 'DQ-09', 0 UNION ALL SELECT 'DQ-10', 0)"""
+
+
+@query(
+    "dqf2_evaluate",
+    "SELECT CAST(7 AS BIGINT) AS run_id, rule_id, offending::BIGINT AS offending, CASE WHEN offending = 0 THEN 'PASSED' ELSE 'FAILED' END AS result FROM results",
+    (P.SALES, RESULT_SQL),
+)
+def dqf2(spark, d):
+    return structure_results(spark, d).select("run_id", "rule_id", "offending", "result")
+
+
+def many_results(spark, d):
+    """One result per order as if a customer were a run and a priority a rule."""
+    rows = P.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("run_id"), F.col("o_orderpriority").alias("rule_id")).agg(F.max(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("f"), F.count("*").alias("offending"))
+    return rows.select("run_id", "rule_id", (F.col("run_id") % 4 + 1).cast("int").alias("group_id"), F.concat(F.lit("rule "), "rule_id").alias("rule_name"), F.when(F.col("f") == 1, "FAILED").otherwise("PASSED").alias("result"), "offending")
+
+
+MANY = """many AS (SELECT o_custkey AS run_id, o_orderpriority AS rule_id, CAST(o_custkey % 4 + 1 AS INTEGER) AS group_id, 'rule ' || o_orderpriority AS rule_name,
+  CASE WHEN bool_or(o_orderstatus = 'F') THEN 'FAILED' ELSE 'PASSED' END AS result, count(*) AS offending FROM orders GROUP BY 1, 2, 3, 4)"""
+
+
+@query("dqf3_merge_results", "SELECT run_id, rule_id, CASE WHEN rule_id = '5-LOW' THEN 'PASSED' ELSE result END AS result FROM many", (MANY,))
+def dqf3(spark, d):
+    stored = many_results(spark, d)
+    again = stored.where("rule_id = '5-LOW'").withColumn("result", F.lit("PASSED"))
+    return Q.merge_results(stored, again).select("run_id", "rule_id", "result")
+
+
+@query("dqf4_rule_switch", "SELECT run_id, rule_id, result FROM many WHERE rule_id IN ('1-URGENT', '2-HIGH') AND group_id = 2", (MANY,))
+def dqf4(spark, d):
+    active = P.table(spark, d, "orders").select(F.col("o_orderpriority").alias("rule_id")).where("rule_id IN ('1-URGENT', '2-HIGH')").distinct()
+    return many_results(spark, d).where("group_id = 2").join(active, "rule_id", "left_semi").select("run_id", "rule_id", "result")
+
+
+@query(
+    "dqf5_summary",
+    """SELECT CAST(g.p AS INTEGER) AS position, 0 AS line, g.heading AS text, CAST(NULL AS VARCHAR) AS result, CAST(NULL AS BIGINT) AS offending
+       FROM (VALUES (1, 0, 'tier 2 file structure'), (2, 1, 'tier 2 reference'), (3, 2, 'tier 2 information'), (4, 3, 'tier 2 business')) AS g(id, p, heading) WHERE g.id IN (SELECT group_id FROM many)
+       UNION ALL SELECT group_id - 1, 1, rule_name, result, offending FROM many""",
+    (MANY,),
+)
+def dqf5(spark, d):
+    return Q.summary(many_results(spark, d), [1, 2, 3, 4])
+
+
+@query(
+    "dqf6_delivery_header",
+    """WITH s AS (SELECT contract_id AS run_id, bool_or(n = 1) AS any_new, string_agg(CASE WHEN n = 1 THEN CAST(period_end AS VARCHAR) END, ', ' ORDER BY period_end) AS fresh, string_agg(CASE WHEN n > 1 THEN CAST(period_end AS VARCHAR) END, ', ' ORDER BY period_end) AS again
+         FROM (SELECT contract_id, period_end, count(*) AS n FROM deliveries GROUP BY 1, 2) GROUP BY 1),
+       o AS (SELECT n_regionkey AS run_id, bool_or(s_acctbal < 0) AS bad FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY 1)
+       SELECT o.run_id, CASE WHEN bad THEN 'FAILED' ELSE 'PASSED' END AS overall, coalesce(fresh, '') AS new_periods, coalesce(again, '') AS redelivered_periods, 'delivery.zip' AS file, 'DE' AS country FROM o LEFT JOIN s ON s.run_id = o.run_id""",
+    (P.SALES, P.DELIVERIES),
+)
+def dqf6(spark, d):
+    nation = P.table(spark, d, "nation")
+    results = P.table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("n_regionkey").alias("run_id"), F.when(F.col("s_acctbal") < 0, "FAILED").otherwise("PASSED").alias("result"))
+    status = C.period_status(C.delivery_counts(P.deliveries(spark, d), ["contract_id", "period_end"]))
+    periods = status.select(F.col("contract_id").alias("run_id"), "period_end", "is_new", "is_redelivered")
+    return Q.delivery_header(results, periods, {"file": "delivery.zip", "country": "DE"})
+
+
+@query(
+    "dqf7_gate",
+    """SELECT run_id, group_id, failed, CASE WHEN failed = 'N' AND run_id % 3 = 0 THEN 'PASS' WHEN run_id % 5 = 0 THEN 'APPROVED' ELSE 'BLOCKED' END AS gate
+       FROM (SELECT run_id, group_id, CASE WHEN bool_or(result = 'FAILED') THEN 'Y' ELSE 'N' END AS failed FROM many GROUP BY 1, 2)""",
+    (MANY,),
+)
+def dqf7(spark, d):
+    flags = Q.fail_flags(many_results(spark, d))
+    approvals = flags.select("run_id", "group_id", (F.col("run_id") % 5 == 0).alias("approved"), (F.col("run_id") % 3 == 0).alias("auto_approved"))
+    return Q.gate(flags, approvals, business=True, active_rules=2)
+
+
+@query("udx01_own_rule", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal < 0 AND c_mktsegment = 'MACHINERY'")
+def udx01(spark, d):
+    name = "USER-01"
+    if name not in REGISTRY:
+        Q.rule(name, "Overdrawn customers of a segment", (4,), ["customers"], segment="BUILDING")(
+            lambda f, p: f["customers"].where((F.col("c_acctbal") < 0) & (F.col("c_mktsegment") == p["segment"]))
+        )
+    return offending(name, customers=P.table(spark, d, "customer"), params={"segment": "MACHINERY"}).select("c_custkey", "c_acctbal")
