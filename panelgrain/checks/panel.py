@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DEC = "decimal(18,4)"
+SCALE = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,16 @@ def month_id(date):
     return F.year(date) * 12 + F.month(date)
 
 
+def fixed_point(col):
+    """Four-decimal amount as a whole number of ten-thousandths: sums are exact and cheap."""
+    return F.rint(col * SCALE).cast("long")
+
+
+def total(name: str):
+    """Sum of a fixed-point column as double."""
+    return F.sum(name).cast("double") / SCALE
+
+
 def sales(spark: SparkSession, d: str) -> DataFrame:
     """Line items with market, contract, source and period."""
     nation = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
@@ -31,8 +42,8 @@ def sales(spark: SparkSession, d: str) -> DataFrame:
         F.col("l_partkey").alias("product_key"),
         month_id(day).alias("period_id"),
         F.last_day(day).alias("period_end"),
-        F.col("l_quantity").cast(DEC).alias("quantity"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast(DEC).alias("amount"),
+        fixed_point(F.col("l_quantity")).alias("quantity"),
+        fixed_point(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("amount"),
         F.col("l_orderkey").alias("order_key"),
         F.col("l_linenumber").alias("line_number"),
     )
@@ -52,7 +63,7 @@ FACT_KEYS = ("source_id", "contract_id", "market_key", "product_key", "period_id
 
 
 def facts(spark: SparkSession, d: str) -> DataFrame:
-    return sales(spark, d).groupBy(*FACT_KEYS).agg(F.sum("quantity").cast("double").alias("volume"), F.sum("amount").cast("double").alias("value"))
+    return sales(spark, d).groupBy(*FACT_KEYS).agg(total("quantity").alias("volume"), total("amount").alias("value"))
 
 
 FACTS = """facts AS (
@@ -68,7 +79,7 @@ def brand_facts(spark: SparkSession, d: str) -> DataFrame:
         sales(spark, d)
         .join(part, "product_key")
         .groupBy("contract_id", "market_key", "path", "period_id", "period_end")
-        .agg(F.sum("quantity").cast("double").alias("volume"), F.sum("amount").cast("double").alias("value"))
+        .agg(total("quantity").alias("volume"), total("amount").alias("value"))
     )
 
 
@@ -82,12 +93,12 @@ def tree_facts(spark: SparkSession, d: str) -> DataFrame:
     """Brand rows and their type totals as one two-level hierarchy."""
     part = table(spark, d, "part").select(F.col("p_partkey").alias("product_key"), "p_type", "p_brand")
     rows = sales(spark, d).join(part, "product_key")
-    total = [F.sum("quantity").cast("double").alias("volume"), F.sum("amount").cast("double").alias("value")]
+    sums = [total("quantity").alias("volume"), total("amount").alias("value")]
     keys = ["market_key", "period_id"]
-    brands = rows.groupBy(*keys, "p_type", "p_brand").agg(*total).select(
+    brands = rows.groupBy(*keys, "p_type", "p_brand").agg(*sums).select(
         *keys, F.concat_ws(" ", "p_type", "p_brand").alias("path"), F.col("p_type").alias("parent_path"), F.lit(2).alias("level"), F.lit("N").alias("is_top"), "volume", "value"
     )
-    tops = rows.groupBy(*keys, "p_type").agg(*total).select(
+    tops = rows.groupBy(*keys, "p_type").agg(*sums).select(
         *keys, F.col("p_type").alias("path"), F.lit(None).cast("string").alias("parent_path"), F.lit(1).alias("level"), F.lit("Y").alias("is_top"), "volume", "value"
     )
     return brands.unionByName(tops)

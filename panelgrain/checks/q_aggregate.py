@@ -23,7 +23,7 @@ from panelgrain.quality.framework import fail_flags
 
 @query("agg01_share_totals", "SELECT market_key, period_id, CAST(sum(quantity) AS DOUBLE) AS volume, CAST(sum(amount) AS DOUBLE) AS value FROM sales GROUP BY 1, 2", (P.SALES,))
 def agg01(spark, d):
-    return P.sales(spark, d).groupBy("market_key", "period_id").agg(F.sum("quantity").cast("double").alias("volume"), F.sum("amount").cast("double").alias("value"))
+    return P.sales(spark, d).groupBy("market_key", "period_id").agg(P.total("quantity").alias("volume"), P.total("amount").alias("value"))
 
 
 @query(

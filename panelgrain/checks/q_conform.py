@@ -257,7 +257,7 @@ def prj11(spark, d):
     (P.SALES,),
 )
 def prj12(spark, d):
-    base = P.sales(spark, d).groupBy("product_key").agg(F.sum("quantity").alias("volume"), F.sum("amount").alias("value"))
+    base = P.sales(spark, d).groupBy("product_key").agg(P.total("quantity").alias("volume"), P.total("amount").alias("value"))
     first = M.derive_measures(base, {"price": "round(try_divide(cast(value as double), cast(volume as double)), 4)"})
     second = M.derive_measures(first, {"double_price": "price * 2"})
     return as_double(second, "volume", "value", "price", "double_price")

@@ -40,25 +40,32 @@ def fact_lines(spark, d, layout, product_width):
     return P.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", P.fixed_line(*sorted(cells, key=lambda c: c[0])).alias("value"))
 
 
+def delivered(spark, lines):
+    """The lines as a vendor file, read back the way a delivery is."""
+    path = scratch_path(spark, "delivery")
+    lines.select("value").write.text(path)
+    return read_raw(spark, path, "FFS")
+
+
 @query(
     "ext01_fact_fixed_a",
-    f"""SELECT l_orderkey, l_linenumber, CAST(l_suppkey AS VARCHAR) AS market_code, CAST(l_partkey AS VARCHAR) AS product_code,
+    f"""SELECT CAST(l_suppkey AS VARCHAR) AS market_code, CAST(l_partkey AS VARCHAR) AS product_code,
         strftime(l_shipdate, '%Y%m%d') AS period_code, l_returnflag AS rest, {SLOT_SQL} FROM lineitem""",
 )
 def ext01(spark, d):
-    rows = E.extract_fixed_width(fact_lines(spark, d, L.FACT_A, 9), L.FACT_A, prefix_when="N")
-    return rows.select("l_orderkey", "l_linenumber", "market_code", "product_code", "period_code", "rest", *SHOWN)
+    rows = E.extract_fixed_width(delivered(spark, fact_lines(spark, d, L.FACT_A, 9)), L.FACT_A, prefix_when="N")
+    return rows.select("market_code", "product_code", "period_code", "rest", *SHOWN)
 
 
 @query(
     "ext02_fact_fixed_b",
-    f"""SELECT l_orderkey, l_linenumber, lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS market_code, lpad(CAST(l_partkey AS VARCHAR), 37, '0') AS product_code,
+    f"""SELECT lpad(CAST(l_suppkey AS VARCHAR), 6, '0') AS market_code, lpad(CAST(l_partkey AS VARCHAR), 37, '0') AS product_code,
         strftime(l_shipdate, '%Y%m%d') || '0' AS period_code, l_returnflag AS rest, {SLOT_SQL} FROM lineitem""",
 )
 def ext02(spark, d):
     lines = fact_lines(spark, d, L.FACT_B, 37)
     dense = lines.withColumn("value", F.concat(F.regexp_replace(F.substring("value", 1, 65), " ", "0"), F.substring("value", 66, 400)))
-    return E.extract_fixed_width(dense, L.FACT_B).select("l_orderkey", "l_linenumber", "market_code", "product_code", "period_code", "rest", *SHOWN)
+    return E.extract_fixed_width(delivered(spark, dense), L.FACT_B).select("market_code", "product_code", "period_code", "rest", *SHOWN)
 
 
 @query(

@@ -131,7 +131,7 @@ def run_facts(spark, d):
     keys = ["contract_id", "market_key", "path", "period_end"]
 
     def side(cond):
-        return rows.where(cond).groupBy(*keys).agg(F.sum("quantity").cast("double").alias("volume"))
+        return rows.where(cond).groupBy(*keys).agg(P.total("quantity").alias("volume"))
 
     return side("y >= 1999"), side("y < 1999"), keys
 
@@ -250,7 +250,7 @@ IMAGE = T.StructType(
 )
 def fct02(spark, d):
     rows = P.sales(spark, d).select(
-        F.concat(F.lit("M"), "market_key").alias("market_code"), F.concat(F.lit("P"), "product_key").alias("product_code"), F.date_format("period_end", "yyyyMM").alias("period_code"), F.col("quantity").alias("volume"), F.col("amount").alias("value")
+        F.concat(F.lit("M"), "market_key").alias("market_code"), F.concat(F.lit("P"), "product_key").alias("product_code"), F.date_format("period_end", "yyyyMM").alias("period_code"), (F.col("quantity") / P.SCALE).alias("volume"), (F.col("amount") / P.SCALE).alias("value")
     )
     markets = P.table(spark, d, "nation").select(F.concat(F.lit("M"), "n_nationkey").alias("market_code"), F.col("n_nationkey").alias("market_key"))
     products = P.table(spark, d, "part").select(F.concat(F.lit("P"), "p_partkey").alias("product_code"), (F.col("p_partkey") + 1_000_001).alias("product_key"))

@@ -529,7 +529,7 @@ AT = "2024-01-01 00:00:00"
 
 def structure_results(spark, d):
     frames = {
-        "facts": tagged_facts(spark, d).withColumn("measure_1", F.col("quantity").cast("string")).drop("quantity"),
+        "facts": tagged_facts(spark, d).withColumn("measure_1", (F.col("quantity") / P.SCALE).cast("string")).drop("quantity"),
         **references(spark, d),
     }
     chosen = Q.rules_of(1, ["DQ-01", "DQ-04", "DQ-08", "DQ-09", "DQ-10"])

@@ -17,9 +17,13 @@ def lead_zero(col: Column) -> Column:
 
 
 def parse_measure(col: Column, to: str = MEASURE_TYPE) -> Column:
-    """Measure text to decimal; "not available" and unparsable texts become null."""
-    text = F.trim(col)
-    return F.when(~F.upper(text).isin(*NOT_AVAILABLE), lead_zero(text)).try_cast(to)
+    """Measure text to decimal; "not available" and unparsable texts become null.
+
+    Blanks and markers are ruled out by comparison first: they are frequent, and a failed parse
+    costs far more than a comparison. A leading separator needs no zero here; the parser takes `.5`
+    and refuses `,5` and `0,5` alike.
+    """
+    return F.when(~F.trim(col).isin(*NOT_AVAILABLE), col).try_cast(to)
 
 
 def is_bad_measure(col: Column, to: str = MEASURE_TYPE) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelgrain.functions.numbering import ordered_numbers
 from panelgrain.operators import layouts as L
 from panelgrain.operators.filters import by_record_code, by_record_letter, drop_tag_rows, is_fact_line, keep_any_value
-from panelgrain.spec import MAX_ATTRIBUTE_CODES, MAX_MEASURES, ContractSpec, DelimitedLayout, FixedLayout
+from panelgrain.spec import MAX_ATTRIBUTE_CODES, ContractSpec, DelimitedLayout, Field, FixedLayout
 
 
 def records(lines: DataFrame, layout: FixedLayout) -> DataFrame:
@@ -21,6 +23,23 @@ def records(lines: DataFrame, layout: FixedLayout) -> DataFrame:
     return lines.where(is_fact_line(F.col("value")))
 
 
+def cut(line: str, fields: Sequence[Field]) -> list[Column]:
+    """Trimmed text of each field.
+
+    Cutting a string by characters walks it from the start for every field. In a line of single-byte
+    characters a character is a byte, so the bytes are sliced directly; other lines are cut by
+    characters.
+    """
+    text, raw = F.col(line), F.col(line).cast("binary")
+    single = F.length(text) == F.octet_length(text)
+
+    def piece(f: Field) -> Column:
+        by_byte = F.substring(raw, f.start, f.length).cast("string")
+        return F.trim(F.when(single, by_byte).otherwise(F.substring(text, f.start, f.length))).alias(f.name)
+
+    return [piece(f) for f in fields]
+
+
 def extract_fixed_width(lines: DataFrame, layout: FixedLayout, prefix_when: str | None = None) -> DataFrame:
     """Trimmed fields of the layout's lines; columns other than `value` (run id, line number) pass through.
 
@@ -28,8 +47,7 @@ def extract_fixed_width(lines: DataFrame, layout: FixedLayout, prefix_when: str
     prefix where the market code equals that indicator; a layout with a prefix field always does.
     """
     rest = [c for c in lines.columns if c != "value"]
-    fields = [F.trim(F.substring("value", f.start, f.length)).alias(f.name) for f in layout.all_fields()]
-    out = records(lines, layout).select(*rest, *fields)
+    out = records(lines, layout).select(*rest, *cut("value", layout.all_fields()))
     if layout.prefix_field:
         return out.withColumn("code", F.trim(F.concat(layout.prefix_field, "code"))).drop(layout.prefix_field)
     if prefix_when is not None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from panelgrain.functions.text import has_non_ascii
 
 def keep_any_value(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows where at least one of the columns is not null."""
-    return df.where(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
+    return df.where(reduce(or_, [F.col(c).isNotNull() for c in columns]))
 
 
 def by_record_letter(df: DataFrame, letter: str, line: str = "value") -> DataFrame:

@@ -47,25 +47,28 @@ def stitch_lines(
     measures: Sequence[int] = tuple(range(1, MAX_MEASURES + 1)),
     keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Physical lines of 20 slots to one row per record.
+    """Physical lines of 20 slots to one row per record; `keep` columns come from the first line.
 
     Measure k sits on the record's line ceil(k/20) in slot ((k-1) mod 20)+1. Lines are ranked per
     record; ranks beyond the last line that can hold a measure carry none (DQ-17 reports them), so
-    the rank is bounded and every task keeps at most five lines of a record before the shuffle.
+    the rank is bounded and every task keeps at most five lines of a record before the shuffle. The
+    first line then looks ahead to the others in the same sorted partition: one shuffle, one sort.
+    Texts are shuffled and only the cells that hold a measure are parsed.
     """
     width = len(slots)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     last_line = (max(measures) - 1) // width + 1
-    ranked = facts.withColumn("_line", rank).where(F.col("_line") <= last_line)
+    in_record = Window.partitionBy(*keys).orderBy(*order)
+    packed = facts.select(*keys, *[o for o in order if o not in keys], *keep, F.struct(*slots).alias("_line_1"))
+    ranked = packed.withColumn("_rank", F.row_number().over(in_record)).where(F.col("_rank") <= last_line)
+    ahead = {f"_line_{i}": F.lead("_line_1", i - 1).over(in_record) for i in range(2, last_line + 1)}
+    records = ranked.withColumns(ahead).where("_rank = 1")
 
     def measure(k: int):
-        on_line = F.col("_line") == (k - 1) // width + 1
-        return F.max(F.when(on_line, F.col(slots[(k - 1) % width]))).alias(f"measure_{k}")
+        text = F.col(f"_line_{(k - 1) // width + 1}")[slots[(k - 1) % width]]
+        return parse_measure(text).alias(f"measure_{k}")
 
-    firsts = [F.max(F.when(F.col("_line") == 1, F.col(c))).alias(c) for c in keep]
-    stitched = ranked.groupBy(*keys).agg(*firsts, *[measure(k) for k in measures])
-    parsed = {f"measure_{k}": parse_measure(F.col(f"measure_{k}")) for k in measures}
-    return keep_any_value(stitched.withColumns(parsed), list(parsed))
+    stitched = records.select(*keys, *keep, *[measure(k) for k in measures])
+    return keep_any_value(stitched, [f"measure_{k}" for k in measures])
 
 
 def clean_delimited_facts(facts: DataFrame, measures: Sequence[str]) -> DataFrame:
