@@ -32,10 +32,9 @@ def total(name: str):
 
 def sales(spark: SparkSession, d: str) -> DataFrame:
     """Line items with market, contract, source and period."""
-    nation = table(spark, d, "nation").select("n_nationkey", "n_regionkey")
-    markets = table(spark, d, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "s_nationkey", "n_regionkey")
     day = F.col("l_shipdate").cast("date")
-    return table(spark, d, "lineitem").join(markets, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    lines = table(spark, d, "lineitem").join(table(spark, d, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+    return lines.join(table(spark, d, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.when(F.col("n_regionkey") < 2, 3).otherwise(4).alias("source_id"),
         F.col("n_regionkey").alias("contract_id"),
         F.col("s_nationkey").alias("market_key"),
@@ -72,17 +71,26 @@ FACTS = """facts AS (
   FROM sales GROUP BY ALL)"""
 
 
-def brand_facts(spark: SparkSession, d: str) -> DataFrame:
-    """Facts by type and brand path."""
+def brand_units(spark: SparkSession, d: str) -> DataFrame:
+    """Facts by type and brand path, in fixed-point units."""
     part = table(spark, d, "part").select(F.col("p_partkey").alias("product_key"), F.concat_ws(" ", "p_type", "p_brand").alias("path"))
     return (
         sales(spark, d)
         .join(part, "product_key")
         .groupBy("contract_id", "market_key", "path", "period_id", "period_end")
-        .agg(total("quantity").alias("volume"), total("amount").alias("value"))
+        .agg(F.sum("quantity").alias("volume"), F.sum("amount").alias("value"))
     )
 
 
+def in_units(df: DataFrame) -> DataFrame:
+    """Fixed-point measures as plain amounts."""
+    return df.withColumns({c: F.col(c) / SCALE for c in df.columns if c.split("_")[0] in MEASURES and not c.endswith(("share", "ipp", "iya", "ipd"))})
+
+
+def brand_facts(spark: SparkSession, d: str) -> DataFrame:
+    return in_units(brand_units(spark, d))
+
+
 BRAND_FACTS = """brand_facts AS (
   SELECT contract_id, market_key, p_type || ' ' || p_brand AS path, period_id, period_end,
          CAST(sum(quantity) AS DOUBLE) AS volume, CAST(sum(amount) AS DOUBLE) AS value

@@ -46,9 +46,7 @@ TOPS = """tops AS (SELECT market_key AS m, period_id AS p, sum(quantity)::DOUBLE
     (P.SALES, P.BRAND_FACTS, TOPS),
 )
 def fct05_total(spark, d):
-    # Totals are summed as decimals so that they are exact whatever the order of addition.
-    exact = P.brand_facts(spark, d).withColumns({m: F.col(m).cast(P.DEC) for m in MEASURES})
-    return C.share_of_total(exact, ["market_key", "period_id"], MEASURES).select("market_key", "path", "period_id", "volume_share", "value_share")
+    return C.share_of_total(P.brand_units(spark, d), ["market_key", "period_id"], MEASURES).select("market_key", "path", "period_id", "volume_share", "value_share")
 
 
 @query(
@@ -75,11 +73,14 @@ def _index_sql(m):
     (P.SALES, P.BRAND_FACTS, SIDES, TOPS),
 )
 def fct06(spark, d):
-    """Flagship: monthly brand sales per market with shares and period indexes."""
-    exact = sides(spark, d).withColumns({m: F.col(m).cast(P.DEC) for m in MEASURES})
-    shared = C.share_of_total(exact, ["market_key", "period_id"], MEASURES)
+    """Flagship: monthly brand sales per market with shares and period indexes.
+
+    Shares come first, so that totals and facts share one shuffle of the aggregated sales.
+    """
+    shared = C.share_of_total(P.brand_units(spark, d), ["market_key", "period_id"], MEASURES)
+    lined = C.period_sides(shared, P.periods(spark, d), SIDE_KEYS, MEASURES, carry=[f"{m}_share" for m in MEASURES])
     names = P.table(spark, d, "nation").select(F.col("n_nationkey").alias("market_key"), F.col("n_name").alias("market_name"))
-    out = C.indexes(shared, MEASURES).join(names, "market_key").withColumns({m: F.col(m).cast("double") for m in MEASURES})
+    out = P.in_units(C.indexes(lined, MEASURES)).join(names, "market_key")
     shown = [f"{m}_{s}" for m in MEASURES for s in ("share", "ipp", "iya")]
     return out.select("market_key", "market_name", "path", "period_id", *MEASURES, *shown)
 

@@ -69,22 +69,23 @@ def share_of_top(facts: DataFrame, within: Sequence[str], path: str, top_depth:
 
 def period_roles(periods: DataFrame) -> DataFrame:
     """(period id, target id, role): which periods a fact's period serves as current, previous, year ago."""
-    def role(source: str, name: str) -> DataFrame:
-        return periods.select(F.col(source).alias("period_id"), F.col("period_id").alias("target_id"), F.lit(name).alias("role"))
+    roles = {"now": "period_id", "pp": "prev_id", "ya": "year_ago_id"}
+    served = F.array(*[F.struct(F.col(c).alias("period_id"), F.col("period_id").alias("target_id"), F.lit(r).alias("role")) for r, c in roles.items()])
+    return periods.select(F.explode(served).alias("r")).select("r.*").where(F.col("period_id").isNotNull())
 
-    return role("period_id", "now").unionByName(role("prev_id", "pp")).unionByName(role("year_ago_id", "ya")).where(F.col("period_id").isNotNull())
 
-
-def period_sides(facts: DataFrame, periods: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def period_sides(
+    facts: DataFrame, periods: DataFrame, keys: Sequence[str], measures: Sequence[str], carry: Sequence[str] = ()
+) -> DataFrame:
     """Each fact with the previous period's (`_pp`) and year-ago (`_ya`) measures.
 
     Instead of joining the fact with itself twice, every row is sent to the periods it serves and one
     aggregation on (keys, period) lines the sides up: the fact is read once and shuffled once. Keys
-    must be unique per period.
+    must be unique per period. `carry` columns come from the current side only.
     """
     sent = facts.join(period_roles(periods), "period_id")
     now = F.col("role") == "now"
-    picks = [F.max(F.when(now, F.col(m))).alias(m) for m in measures]
+    picks = [F.max(F.when(now, F.col(c))).alias(c) for c in [*measures, *carry]]
     picks += [F.max(F.when(F.col("role") == s, F.col(m))).alias(f"{m}_{s}") for s in ("pp", "ya") for m in measures]
     lined = sent.groupBy(*keys, F.col("target_id").alias("period_id")).agg(F.max(now).alias("_now"), *picks)
     return lined.where("_now").drop("_now")
