@@ -44,11 +44,11 @@ def jn02(spark, d):
 )
 def jn03(spark, d):
     part = P.table(spark, d, "part")
-    rows = part.select("p_partkey", "p_brand", "p_type", F.col("p_size").alias("size"), F.lit(1).alias("any"))
+    rows = part.select("p_partkey", "p_brand", "p_type", F.col("p_size").alias("size"))
     by_contract = part.where("p_size < 10").select("p_brand", F.col("p_size").alias("size"), F.concat(F.lit("contract "), "p_brand").alias("rule")).distinct()
     by_country = part.where("p_type IN ('SMALL', 'LARGE')").select("p_type", F.concat(F.lit("country "), "p_type").alias("rule")).distinct()
-    default = part.select(F.lit(1).alias("any"), F.lit("default").alias("rule")).distinct()
-    layers = [J.Layer(by_contract, ("p_brand", "size")), J.Layer(by_country, ("p_type",)), J.Layer(default, ("any",))]
+    default = part.select("p_brand", F.lit("default").alias("rule")).distinct()
+    layers = [J.Layer(by_contract, ("p_brand", "size")), J.Layer(by_country, ("p_type",)), J.Layer(default, ("p_brand",))]
     return J.layered(rows, layers, "rule").select("p_partkey", "rule")
 
 

@@ -261,12 +261,12 @@ def dim09(spark, d):
     "dim11_level_decode",
     """WITH p AS (SELECT p_partkey AS product_key, p_size AS run_id, p_type, p_brand, p_name,
            CASE p_type WHEN 'SMALL' THEN 'A!B!C' WHEN 'LARGE' THEN '03 level' WHEN 'PROMO' THEN 'Brand' WHEN 'MEDIUM' THEN 'Drill down' WHEN 'STANDARD' THEN NULL ELSE 'Pack' END AS lvl FROM part)
-       SELECT product_key, run_id, CAST(4 AS SMALLINT) AS source_id, CAST(c AS BIGINT) AS contract_id,
+       SELECT product_key, run_id, CAST(src AS SMALLINT) AS source_id, CAST(c AS BIGINT) AS contract_id,
          CASE WHEN lvl IS NULL THEN CASE WHEN p_brand = 'Brand#1' THEN 'maker' ELSE 'NoLevelName' END WHEN p_type = 'ECONOMY' THEN 'Hier no. 2, level no. 7 - Pack' ELSE lvl END AS level_name,
          CASE WHEN p_type IN ('PROMO', 'STANDARD') THEN p_type ELSE p_name END AS product_text,
          CASE WHEN c = 1 THEN CASE WHEN p_type = 'PROMO' THEN 17 ELSE 99 END ELSE CASE p_type WHEN 'SMALL' THEN 3 WHEN 'LARGE' THEN 3 WHEN 'ECONOMY' THEN 27 ELSE 1 END END AS level_number,
          CASE WHEN run_id = (SELECT max(p_size) FROM part) THEN 'Y' ELSE 'N' END AS last_run
-       FROM p, (SELECT unnest([1, 2]) AS c) WHERE lvl IS NULL OR lvl <> 'Drill down'""",
+       FROM p JOIN (VALUES (4, 1), (4, 2), (5, 3)) AS k(src, c) ON src = CASE WHEN run_id < 26 THEN 4 ELSE 5 END WHERE lvl IS NULL OR lvl <> 'Drill down'""",
 )
 def dim11(spark, d):
     kind = F.col("p_type")
@@ -275,7 +275,7 @@ def dim11(spark, d):
     rows = part.select(
         F.col("p_partkey").alias("product_key"),
         F.col("p_size").alias("run_id"),
-        F.lit(4).cast("short").alias("source_id"),
+        F.when(F.col("p_size") < 26, 4).otherwise(5).cast("short").alias("source_id"),
         name.alias("level_name"),
         F.when(kind == "ECONOMY", 2).alias("level_id"),
         F.when(kind == "ECONOMY", "7").alias("model_number"),
@@ -286,8 +286,9 @@ def dim11(spark, d):
         F.col("p_name").alias("long_text"),
         F.lit(None).cast("string").alias("short_text"),
     )
-    contracts = spark.createDataFrame([(4, 1, True), (4, 2, False)], "source_id short, contract_id long, ranked boolean")
-    last = part.agg(F.max("p_size").alias("run_id")).select("run_id", F.explode(F.array(F.lit(1).cast("long"), F.lit(2).cast("long"))).alias("contract_id"))
+    contracts = spark.createDataFrame([(4, 1, True), (4, 2, False), (5, 3, False)], "source_id short, contract_id long, ranked boolean")
+    numbers = F.array(*[F.lit(c).cast("long") for c in (1, 2, 3)])
+    last = part.agg(F.max("p_size").alias("run_id")).select("run_id", F.explode(numbers).alias("contract_id"))
     ranks = spark.createDataFrame([("BRAND", 17), ("SIZE", 63)], "level_name string, rank int")
     return D.decode_levels(rows, ranks, last, contracts, skip_sources=(3, 100))
 

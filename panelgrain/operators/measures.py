@@ -17,8 +17,12 @@ VALUE, FACTOR = "decimal(38,10)", "decimal(18,8)"
 
 
 def scaled(col: Column, factor: str | Decimal | float) -> Column:
-    """col * factor in (38,10); an overflow becomes null instead of failing the job."""
-    return F.try_multiply(col.cast("decimal(28,10)"), F.lit(str(factor)).cast(FACTOR)).cast(VALUE)
+    """col * factor, exact to ten decimals; an overflow becomes null instead of failing the job.
+
+    (27,10) times (18,8) is the widest product that Spark still types as (38,10); measures have 17
+    digits before the point.
+    """
+    return F.try_multiply(col.try_cast("decimal(27,10)"), F.lit(str(factor)).cast(FACTOR)).try_cast(VALUE)
 
 
 def apply_multipliers(df: DataFrame, multipliers: dict[str, str]) -> DataFrame:

@@ -229,7 +229,8 @@ def parent_associations(products: DataFrame, levels: DataFrame, allow_self: bool
     if not allow_self:
         children = children.where(F.col("child_path") != F.col("parent_path"))
     parents = newest.select(F.col("path").alias("parent_path")).distinct()
-    return children.join(parents, "parent_path", "left_semi").distinct()
+    kept = children.join(parents, "parent_path", "left_semi")
+    return kept.select("child_path", "parent_path", "security_key").distinct()
 
 
 def external_id(code: Column, category: Column, group: Column) -> Column:
