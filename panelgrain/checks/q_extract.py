@@ -190,6 +190,22 @@ def ext09_b(spark, d):
     return E.extract_periods(month_lines(spark, d, L.PERIOD_B, code="01"), L.PERIOD_B)
 
 
+@query("ext08_measure_generated_order", "SELECT p_name AS code, p_name AS name, row_number() OVER (ORDER BY p_name) AS line_num FROM (SELECT DISTINCT p_name FROM part)")
+def ext08_order(spark, d):
+    rows = P.table(spark, d, "part").select(F.col("p_name").alias("TAG"), F.col("p_name").alias("LONG")).distinct()
+    return E.extract_measures(rows, DelimitedLayout("measure_d3", code="TAG", long_name="LONG"))
+
+
+@query(
+    "ext09_period_delimited",
+    "SELECT strftime(start_date, '%Y%m') AS code, strftime(start_date, '%Y-%m') AS name, CAST(period_id AS BIGINT) AS line_num, 0 AS period_id FROM periods",
+    (P.PERIODS,),
+)
+def ext09_tag(spark, d):
+    rows = P.periods(spark, d).select(F.date_format("start_date", "yyyyMM").alias("TAG"), F.date_format("start_date", "yyyy-MM").alias("LONG"), F.col("period_id").alias("DISPLAY_ORDER"))
+    return E.extract_periods(rows, L.PERIOD_D)
+
+
 @query(
     "ext09_period_generated_order",
     "SELECT strftime(start_date, '%Y%m') AS code, strftime(start_date, '%Y-%m') AS name, row_number() OVER (ORDER BY start_date) AS line_num, 0 AS period_id FROM periods",

@@ -1,6 +1,7 @@
 """Row numbers without a single-task window.
 
-Three ways, by what the caller needs:
+Four ways, by what the caller needs:
+* `file_order`         - sort columns that follow the lines of a file, without a second read;
 * `file_line_numbers`  - position of a line in its file, straight from the scan;
 * `ordered_numbers`    - dense 1..n in a given order (range partitions + offsets);
 * `hashed_numbers`     - dense numbers for distinct keys in a fixed pseudo-random order.
@@ -21,19 +22,32 @@ def _offsets(groups: DataFrame, within: list[str], order: str, size: str, name:
     return groups.withColumn(name, F.coalesce(F.sum(size).over(before), F.lit(0)))
 
 
-def file_line_numbers(df: DataFrame, name: str = "line_num") -> DataFrame:
-    """1-based line number within each file of a text or csv scan.
+FILE_ORDER = ("_file", "_block", "_pos")
 
-    Rows of one file split sit next to each other in one scan task, so the distance to the split's
-    first row is the position within the split; split sizes give the offset. The numbers depend on
-    the file content only, not on how splits are packed into tasks.
+
+def file_order(df: DataFrame) -> DataFrame:
+    """Sort columns (file, split start, place in the scan) of a text or csv scan.
+
+    Enough wherever only the order of lines matters, such as stitching records: no numbers are
+    handed out, so the file is read once. Files of one delivery sort by name.
     """
-    tagged = df.select(
+    return df.select(
         "*",
         F.col("_metadata.file_path").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_pos"),
     )
+
+
+def file_line_numbers(df: DataFrame, name: str = "line_num") -> DataFrame:
+    """1-based line number within each file of a text or csv scan.
+
+    Rows of one file split sit next to each other in one scan task, so the distance to the split's
+    first row is the position within the split; split sizes give the offset. The numbers depend on
+    the file content only, not on how splits are packed into tasks. Sizes take a second pass over the
+    file; use `file_order` where order is enough.
+    """
+    tagged = file_order(df)
     splits = tagged.groupBy("_file", "_block").agg(F.min("_pos").alias("_first"), F.count("*").alias("_n"))
     offsets = _offsets(splits, ["_file"], "_block", "_n", "_before").drop("_n")
     return (

@@ -7,7 +7,8 @@ executor only repeats its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,12 +44,30 @@ def write_any(df: DataFrame, kind: str, path: str, mode: str = "overwrite", part
 
 
 def _staged(df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back: cut lineage that survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def _staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Staged frames that are only needed inside the block; their folders go when it succeeds.
+
+    After a failure they stay, so nothing that was already moved out of the table is lost.
+    """
+    folder = scratch_path(spark, "stage")
+
+    def stage(df: DataFrame, label: str) -> DataFrame:
+        path = f"{folder}/{label}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    yield stage
+    _remove_folders(spark, [folder])
+
+
 def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows without a match in source, plus all of source. Source keys must be unique."""
     kept = target.join(source.select(*keys), list(keys), "left_anti")
@@ -64,9 +83,10 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     if missing:
         raise ValueError(f"keys must include the partition columns {missing}")
     target = spark.read.parquet(path)
-    incoming = _staged(conform(source, target.schema), "upsert-in")
-    touched = target.join(incoming.select(*partition_by).distinct(), list(partition_by), "left_semi")
-    write_partitions(_staged(upserted(touched, incoming, keys), "upsert-out"), path, partition_by)
+    with _staging(spark) as stage:
+        incoming = stage(conform(source, target.schema), "in")
+        touched = target.join(incoming.select(*partition_by).distinct(), list(partition_by), "left_semi")
+        write_partitions(stage(upserted(touched, incoming, keys), "out"), path, partition_by)
 
 
 def change_set(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -85,9 +105,10 @@ def change_set(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 def sync(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Make the table equal to source (upsert plus delete of absent rows); returns what changed."""
     target = spark.read.parquet(path)
-    incoming = _staged(conform(source, target.schema), "sync-in")
-    changes = _staged(change_set(target, incoming, keys), "sync-changes")
-    incoming.write.mode("overwrite").parquet(path)
+    with _staging(spark) as stage:
+        incoming = stage(conform(source, target.schema), "in")
+        changes = _staged(change_set(target, incoming, keys), "changes")
+        incoming.write.mode("overwrite").parquet(path)
     return changes
 
 
@@ -122,20 +143,23 @@ def delete_rows(spark: SparkSession, path: str, listed: DataFrame, keys: Sequenc
     What stays of a touched partition replaces it; a partition left without rows is removed.
     """
     target = spark.read.parquet(path)
-    wanted = _staged(listed.select(*keys).distinct(), "delete-keys")
-    hit = _staged(target.join(wanted, list(keys), "left_semi").select(*partition_by).distinct(), "delete-hit")
-    stays = _staged(target.join(hit, list(partition_by), "left_semi").join(wanted, list(keys), "left_anti"), "delete-stays")
-    emptied = hit.join(stays.select(*partition_by).distinct(), list(partition_by), "left_anti")
-    folders = _folders(target.select("*", "_metadata").join(emptied, list(partition_by), "left_semi"))
-    write_partitions(stays, path, partition_by)
-    _remove_folders(spark, folders)
+    by = list(partition_by)
+    with _staging(spark) as stage:
+        wanted = stage(listed.select(*keys).distinct(), "keys")
+        hit = stage(target.join(wanted, list(keys), "left_semi").select(*by).distinct(), "hit")
+        stays = stage(target.join(hit, by, "left_semi").join(wanted, list(keys), "left_anti"), "stays")
+        emptied = hit.join(stays.select(*by).distinct(), by, "left_anti")
+        folders = _folders(target.select("*", "_metadata").join(emptied, by, "left_semi"))
+        write_partitions(stays, path, by)
+        _remove_folders(spark, folders)
 
 
 def replace_run(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     """Delete the rows of (run, contract, source), then append the new ones: safe to repeat."""
-    incoming = _staged(df, "replace")
-    delete_rows(spark, path, incoming, keys, partition_by)
-    write_partitions(incoming, path, partition_by, mode="append")
+    with _staging(spark) as stage:
+        incoming = stage(df, "in")
+        delete_rows(spark, path, incoming, keys, partition_by)
+        write_partitions(incoming, path, partition_by, mode="append")
 
 
 def jdbc_write(df: DataFrame, url: str, table: str, mode: str = "append", connections: int = 8, **properties: str) -> None:

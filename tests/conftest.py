@@ -10,7 +10,7 @@ from panelgrain.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("tests", "4", 4)
+    session = build_session("tests", "8", 4)
     session.sparkContext.setLogLevel("OFF")
     return session
 

@@ -64,6 +64,25 @@ def test_file_line_numbers_over_many_splits(spark, tmp_path):
     assert all(int(r.value[1:]) == r.line_num for r in got)
 
 
+def test_file_order_stitches_records_of_a_file(spark, tmp_path):
+    """Lines of a record are found in file order although splits are read by different tasks."""
+    from panelgrain.operators.reshape import stitch_lines
+
+    text = "".join(f"r{i} {i * 10 + n}\n" for i in range(200) for n in (1, 2, 3))
+    (tmp_path / "facts.txt").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "256")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        raw = N.file_order(spark.read.text(str(tmp_path)))
+        lines = raw.select(F.split("value", " ")[0].alias("record"), F.split("value", " ")[1].alias("slot_1"), *N.FILE_ORDER)
+        got = stitch_lines(lines, ["record"], N.FILE_ORDER, ["slot_1"], measures=(1, 2, 3)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert len(got) == 200
+    assert all([int(r[f"measure_{n}"]) for n in (1, 2, 3)] == [int(r.record[1:]) * 10 + n for n in (1, 2, 3)] for r in got)
+
+
 def test_ordered_numbers_with_one_hot_value(spark):
     """Half of the rows share one order key; numbers stay dense and ordered."""
     df = spark.range(1000).select("id", F.when(F.col("id") < 500, 7).otherwise(F.col("id")).alias("k"))

@@ -36,6 +36,14 @@ def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert spark.read.parquet(path).count() == 13
 
 
+def test_staged_copies_are_removed(spark, tmp_path):
+    from panelgrain.session import shared_folder
+
+    path = table(spark, tmp_path)
+    S.replace_run(spark, spark.createDataFrame([(7, "a", "x")], "k int, part string, v string"), path, ["part"], ["part"])
+    assert not [f for f in os.listdir(f"{shared_folder(spark)}/panelgrain") if f.startswith("stage-")]
+
+
 def test_upsert_keys_must_name_the_partition(spark, tmp_path):
     with pytest.raises(ValueError):
         S.upsert(spark, spark.range(1), "x", ["k"], ["part"])
