@@ -52,10 +52,11 @@ def share_of_total(facts: DataFrame, within: Sequence[str], measures: Sequence[s
     """Tier 2 share: value / sum over all products of the same market and period * 100.
 
     Totals are aggregated map-side and joined back, so one market-period with a third of the rows
-    does not end in one task as it would with a window.
+    does not end in one task as it would with a window. Rows with an unknown market or period stay,
+    without a share.
     """
     totals = facts.groupBy(*within).agg(*[F.sum(m).alias(f"{m}_top") for m in measures])
-    joined = facts.join(totals, list(within))
+    joined = facts.join(totals, list(within), "left")
     return joined.withColumns({f"{m}_share": share(F.col(m), F.col(f"{m}_top")) for m in measures})
 
 
@@ -81,9 +82,11 @@ def period_sides(
 
     Instead of joining the fact with itself twice, every row is sent to the periods it serves and one
     aggregation on (keys, period) lines the sides up: the fact is read once and shuffled once. Keys
-    must be unique per period. `carry` columns come from the current side only.
+    must be unique per period. `carry` columns come from the current side only. A fact whose period
+    the calendar does not know serves itself, so it stays.
     """
-    sent = facts.join(period_roles(periods), "period_id")
+    known = facts.join(period_roles(periods), "period_id", "left")
+    sent = known.withColumns({"target_id": F.coalesce("target_id", "period_id"), "role": F.coalesce("role", F.lit("now"))})
     now = F.col("role") == "now"
     picks = [F.max(F.when(now, F.col(c))).alias(c) for c in [*measures, *carry]]
     picks += [F.max(F.when(F.col("role") == s, F.col(m))).alias(f"{m}_{s}") for s in ("pp", "ya") for m in measures]

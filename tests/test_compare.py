@@ -28,6 +28,12 @@ def test_null_measures_stay_null(spark):
     assert rows(C.period_sides(facts, calendar(spark), ["k"], ["volume"]), "period_id", "volume", "volume_pp") == [(1, None, None), (2, 5.0, None)]
 
 
+def test_unknown_periods_and_markets_stay(spark):
+    facts = spark.createDataFrame([("a", 99, 5.0), (None, 2, 6.0), ("a", None, 7.0)], "k string, period_id int, volume double")
+    assert rows(C.period_sides(facts, calendar(spark), ["k"], ["volume"]), "k", "period_id", "volume", "volume_pp") == [(None, 2, 6.0, None), ("a", 99, 5.0, None), ("a", None, 7.0, None)]
+    assert rows(C.share_of_total(facts, ["k"], ["volume"]), "k", "volume", "volume_share") == [(None, 6.0, None), ("a", 5.0, 41.666667), ("a", 7.0, 58.333333)]
+
+
 def test_shares_are_null_without_a_total(spark):
     facts = spark.createDataFrame([(1, "a", 0.0), (1, "b", 0.0), (2, "a", 1.0), (2, "b", 3.0)], "m int, path string, volume double")
     assert rows(C.share_of_total(facts, ["m"], ["volume"]), "m", "path", "volume_share") == [(1, "a", None), (1, "b", None), (2, "a", 25.0), (2, "b", 75.0)]
