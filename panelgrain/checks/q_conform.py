@@ -10,7 +10,6 @@ from panelgrain.checks.registry import query
 from panelgrain.operators import conform as C
 from panelgrain.operators import measures as M
 from panelgrain.operators.periods import add_period_expressions
-from panelgrain.sources.readers import period_class  # noqa: F401
 from panelgrain.spec import ContractSpec, ExpressionSet
 
 SPEC = ContractSpec(run_id=7, contract_id=101, source_id=3, category_id="SMALL", currency="USD")
