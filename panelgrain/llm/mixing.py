@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelgrain.llm.shared import query, table
+from panelgrain.llm.shared import query, table, written
 
 SEED = "mix-1"
 TEMPER = 0.5
@@ -70,11 +70,13 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     null or empty texts are drawn like others. An empty table gives no rows. Columns `rate`, `copy`
     and names that begin with an underscore are replaced; other extra columns pass through.
 
-    The side that is joined has a row a source; adaptive joins split a hot source. Copies are dealt
+    The rates have a row a source and are written first: Spark sees their size, so it broadcasts them
+    below its threshold without moving a text, and above it splits a hot source. Copies are dealt
     by a hash of seed, doc_id and copy and sorted by it within each part: one shuffle of the texts.
     """
     docs = docs.drop("rate", "copy", "cdf", "_source", "_rate", "_mix")
     chances = poisson_table(source_rates(docs, weights, epochs, temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "cdf")
+    chances = written(chances, "rates")
     drawn = docs.join(chances, F.col("source").eqNullSafe(F.col("_source")))
     u = uniform(seed, "doc_id")
     count = F.size(F.filter("cdf", lambda c: c <= u))
