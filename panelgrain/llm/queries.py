@@ -1,6 +1,6 @@
 """All queries of the subpackage; importing the modules registers them."""
 
-from panelgrain.llm import decontaminate, licenses, mixing, near_dedup, quality, substring_dedup, tokens  # noqa: F401
+from panelgrain.llm import decontaminate, fingerprints, licenses, mixing, near_dedup, pages, quality, substring_dedup, tokens  # noqa: F401
 from panelgrain.llm.shared import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
