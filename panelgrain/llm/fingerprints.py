@@ -59,7 +59,7 @@ def with_next(docs: DataFrame, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
     is sent to the bucket above as well, whose last row it follows; those rows are found from ids alone.
     """
     source = docs.select("doc_id", "tkey", "text")
-    ids = source.agg(F.count("*").alias("n"), F.expr(f"approx_percentile(doc_id, transform(sequence(0, {COARSE}), x -> x / {COARSE}D), 10000)").alias("q")).first()
+    ids = source.agg(F.count("*").alias("n"), F.percentile_approx("doc_id", [x / COARSE for x in range(COARSE + 1)], 10000).alias("q")).first()
     bounds = sorted(set(ids["q"] or [0]))
     steps = max(1, -(-ids["n"] // (rows_a_bucket * max(1, len(bounds)))))
     held = F.array(*[F.lit(b).cast("long") for b in bounds])
