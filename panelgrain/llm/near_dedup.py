@@ -109,13 +109,15 @@ def _reaches() -> Column:
     return F.floor((F.lit(7) * (F.col("n") - F.col("u"))) / 3).cast("long") - F.col("n")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose full shingle sets are alike enough."""
+ALIKE = "100 * shared >= 75 * (na + nb - shared)"
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the sizes of their full shingle sets and how many shingles they share."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("items").alias("sa"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("sb"))
     both = pairs.join(left, "a").join(right, "b")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.withColumn("shared", shared).where("100 * shared >= 75 * (na + nb - shared)").select("a", "b")
+    return both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("shared"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -132,7 +134,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Shingles that no other class in any shared band has bound how like a class can be to another; this
     exact bound removes most chance collisions. In each band the member that collides most is the hub
     and is compared with the others, on full sets. What the hubs have not connected is compared with the
-    rest of its band, if the bound allows. No list of a band's members is ever made.
+    other members under its hub, unless a second exact bound rules the pair out: two sets share at most
+    what both share with the hub and what both have beside the hub and not alone. No list of a band's
+    members is ever made.
     """
     source = texts(docs)
     meta = written(source.mapInArrow(_signatures, "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signatures")
@@ -151,7 +155,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = alone.groupBy("doc_id").agg(F.count("*").alias("u"))
     bounds = members.join(own, "doc_id", "left").withColumn("u", F.coalesce("u", F.lit(0))).withColumn("reach", _reaches())
     spans = bounds.groupBy("band").agg(F.min("n").alias("least"), F.max("reach").alias("most"))
-    able = bounds.join(spans, "band").where("reach >= least AND n <= most").select("band", "doc_id", "n", "reach", "size")
+    able = bounds.join(spans, "band").where("reach >= least AND n <= most").select("band", "doc_id", "n", "u", "reach", "size")
     crowd = able.groupBy("doc_id").agg(F.sum("size").alias("degree"))
     able = written(able.join(crowd, "doc_id"), "able")
 
@@ -160,18 +164,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).select("band", "h.*")
     ranked = able.join(hubs, "band").where("doc_id <> hub")
     pairs = ranked.where("n <= hub_reach AND hub_n <= reach").select(F.col("doc_id").alias("a"), F.col("hub").alias("b")).distinct()
-    links = written(_verified(pairs, sets), "links")
+    compared = written(_compared(pairs, sets), "compared")
+    links = compared.where(ALIKE).select("a", "b")
     labels = written(components(links, "a", "b"), "labels")
 
     named = labels.select(F.col("node").alias("doc_id"), F.col("component").alias("label"))
-    placed = able.join(named, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
-    hub_names = hubs.join(named.select(F.col("doc_id").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
-    hub_names = hub_names.select("band", "hub", F.coalesce("hub_label", "hub").alias("hub_label"))
-    placed = written(placed.join(hub_names, "band"), "placed")
-    outside = placed.where("label <> hub_label").select("band", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("reach").alias("ra"), F.col("label").alias("la"))
-    inside = placed.where("doc_id <> hub").select("band", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("reach").alias("rb"), F.col("label").alias("lb"), (F.col("label") != F.col("hub_label")).alias("out"))
-    rest = outside.join(inside, "band").where("la <> lb AND na <= rb AND nb <= ra AND (NOT out OR a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = written(_verified(rest, sets), "links")
+    # What share a band share its hub, so the rest is paired by hub and each pair comes up once a hub.
+    placed = ranked.select("hub", "doc_id", "n", "u", "reach").distinct()
+    placed = placed.join(named, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    placed = placed.join(named.select(F.col("doc_id").alias("hub"), F.col("label").alias("hub_label")), "hub", "left")
+    placed = placed.join(compared.select(F.col("a").alias("doc_id"), F.col("b").alias("hub"), F.col("shared").alias("of_hub")), ["doc_id", "hub"], "left")
+    # Shared with the hub, and at most shared otherwise; unknown: all.
+    placed = placed.withColumn("x", F.coalesce("of_hub", "n")).withColumn("y", F.col("n") - F.col("u") - F.coalesce("of_hub", F.lit(0)))
+    placed = written(placed.withColumn("out", F.col("label") != F.coalesce("hub_label", "hub")), "placed")
+    side = lambda d: [F.col("doc_id").alias(d), *[F.col(c).alias(c + d) for c in ("n", "reach", "label", "x", "y", "out")]]
+    rest = placed.where("out").select("hub", *side("a")).join(placed.select("hub", *side("b")), "hub")
+    rest = rest.where("labela <> labelb AND na <= reachb AND nb <= reacha AND (NOT outb OR a < b)")
+    rest = rest.where("7 * (least(xa, xb) + least(ya, yb)) >= 3 * (na + nb)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    late = written(_compared(rest.distinct(), sets).where(ALIKE).select("a", "b"), "links")
     final = components(links.union(late), "a", "b")
 
     joined = labelled.join(final, F.col("rep") == F.col("node"), "left")
