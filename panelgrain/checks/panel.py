@@ -112,7 +112,7 @@ def tree_facts(spark: SparkSession, d: str) -> DataFrame:
     return brands.unionByName(tops)
 
 
-TREE = """tree AS (
+TREE = """tree AS MATERIALIZED (
   SELECT market_key, period_id, p_type || ' ' || p_brand AS path, p_type AS parent_path, 2 AS level, 'N' AS is_top,
          CAST(sum(quantity) AS DOUBLE) AS volume, CAST(sum(amount) AS DOUBLE) AS value
   FROM sales JOIN part ON product_key = p_partkey GROUP BY ALL

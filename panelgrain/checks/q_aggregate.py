@@ -297,12 +297,14 @@ def rsh03(spark, d):
 
 @query(
     "rsh04_delimited_clean",
-    """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0 THEN NULL ELSE round(l_tax, 2) END AS measure_1, CASE WHEN l_discount < 0.05 THEN NULL ELSE round(l_discount, 2) END AS measure_2
+    """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0 OR l_linenumber = 1 THEN NULL ELSE round(l_tax, 2) END AS measure_1, CASE WHEN l_discount < 0.05 THEN NULL ELSE round(l_discount, 2) END AS measure_2
        FROM lineitem WHERE l_tax <> 0 OR l_discount >= 0.05""",
 )
 def rsh04(spark, d):
     def text(c, missing):
         short = F.regexp_replace(F.format_string("%.2f", F.col(c)), "^0", "")
+        if c == "l_tax":  # `,05` and `0,05` are no numbers, but their rows stay
+            short = F.when(F.col("l_linenumber") == 1, F.when(F.col("l_orderkey") % 2 == 0, F.translate(short, ".", ",")).otherwise(F.concat(F.lit("0"), F.translate(short, ".", ",")))).otherwise(short)
         return F.when(missing, F.lit("N/A")).otherwise(short)
 
     rows = P.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", text("l_tax", F.col("l_tax") == 0).alias("measure_1"), text("l_discount", F.col("l_discount") < 0.05).alias("measure_2"))

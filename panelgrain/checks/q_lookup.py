@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelgrain.checks import panel as P
@@ -65,26 +68,44 @@ def jn05(spark, d):
 
 
 def name_patterns(spark, d):
-    """LIKE patterns per brand from the parts themselves: exact names, first words, and a catch-all."""
+    """LIKE patterns per brand from the parts themselves: exact names, first words, last words, middles, and escaped wildcards."""
     part = P.table(spark, d, "part")
+    middle = part.where("p_size = 25").select("p_brand", F.concat(F.lit("%"), F.substring_index("p_name", " ", 1), F.lit("_%")).alias("pattern"))
+    escaped = part.where("p_size = 30").select("p_brand", F.concat("p_name", F.lit("\\%_off")).alias("pattern"))
+    escaped_end = part.where("p_size = 31").select("p_brand", F.lit("%\\%\\_off").alias("pattern"))
     exact = part.where("p_size = 1").select("p_brand", F.col("p_name").alias("pattern"))
     head = part.where("p_size < 20").select("p_brand", F.concat(F.substring_index("p_name", " ", 1), F.lit(" %")).alias("pattern"))
     tail = part.where("p_size > 45").select("p_brand", F.concat(F.lit("%"), F.substring_index("p_name", " ", -1)).alias("pattern"))
-    return exact.unionByName(head).unionByName(tail).distinct().withColumn("label", F.concat(F.lit("<"), "pattern", F.lit(">")))
+    return reduce(DataFrame.union, [exact, head, tail, middle, escaped, escaped_end]).distinct().withColumn("label", F.concat(F.lit("<"), "pattern", F.lit(">")))
+
+
+def coded_parts(spark, d):
+    """Names as codes; some carry a literal percent sign."""
+    code = F.when(F.col("p_size").isin(30, 31), F.concat("p_name", F.lit("%_off"))).otherwise(F.col("p_name"))
+    return P.table(spark, d, "part").select("p_partkey", "p_brand", code.alias("code"))
+
+
+RANKED_PATTERNS = r"""coded AS (SELECT p_partkey, p_brand, CASE WHEN p_size IN (30, 31) THEN p_name || '%_off' ELSE p_name END AS code FROM part),
+       pats AS (SELECT p_brand, p_name AS pattern FROM part WHERE p_size = 1 UNION SELECT p_brand, split_part(p_name, ' ', 1) || ' %' FROM part WHERE p_size < 20
+         UNION SELECT p_brand, '%' || split_part(p_name, ' ', -1) FROM part WHERE p_size > 45 UNION SELECT p_brand, '%' || split_part(p_name, ' ', 1) || '_%' FROM part WHERE p_size = 25
+         UNION SELECT p_brand, p_name || '\%_off' FROM part WHERE p_size = 30 UNION SELECT p_brand, '%\%\_off' FROM part WHERE p_size = 31),
+       ranked AS (SELECT c.p_brand, c.code, pattern, row_number() OVER (PARTITION BY c.p_brand, c.code
+           ORDER BY length(regexp_replace(regexp_extract(pattern, '^([^%_\\]|\\.)*'), '\\(.)', '\1', 'g')) DESC, length(regexp_extract(pattern, '^([^%_\\]|\\.)*')) < length(pattern), pattern) AS rn
+         FROM (SELECT DISTINCT p_brand, code FROM coded) c JOIN pats ON pats.p_brand = c.p_brand AND c.code LIKE pattern ESCAPE '\')"""
 
 
 @query(
     "jn06_like_lookup",
-    """WITH pats AS (SELECT DISTINCT p_brand, p_name AS pattern FROM part WHERE p_size = 1 UNION SELECT p_brand, split_part(p_name, ' ', 1) || ' %' FROM part WHERE p_size < 20
-         UNION SELECT p_brand, '%' || split_part(p_name, ' ', 2) FROM part WHERE p_size > 45),
-       ranked AS (SELECT c.p_brand, c.p_name, pattern, row_number() OVER (PARTITION BY c.p_brand, c.p_name
-           ORDER BY length(regexp_extract(pattern, '^[^%_]*')) DESC, contains(pattern, '%'), pattern) AS rn
-         FROM (SELECT DISTINCT p_brand, p_name FROM part) c JOIN pats ON pats.p_brand = c.p_brand AND c.p_name LIKE pattern)
-       SELECT p.p_partkey, r.pattern, '<' || r.pattern || '>' AS label FROM part p LEFT JOIN ranked r ON r.p_brand = p.p_brand AND r.p_name = p.p_name AND rn = 1""",
+    f"""WITH {RANKED_PATTERNS}
+       SELECT p.p_partkey, r.pattern, '<' || r.pattern || '>' AS label FROM coded p LEFT JOIN ranked r ON r.p_brand = p.p_brand AND r.code = p.code AND rn = 1""",
 )
 def jn06(spark, d):
-    part = P.table(spark, d, "part").select("p_partkey", "p_brand", "p_name")
-    return J.like_lookup(part, name_patterns(spark, d), ["p_brand"], "p_name", "pattern", ["label"]).select("p_partkey", "pattern", "label")
+    return J.like_lookup(coded_parts(spark, d), name_patterns(spark, d), ["p_brand"], "code", "pattern", ["label"]).select("p_partkey", "pattern", "label")
+
+
+@query("jn06_like_conflicts", f"WITH {RANKED_PATTERNS} SELECT p_brand, code, pattern, '<' || pattern || '>' AS label FROM ranked WHERE rn > 1")
+def jn06_conflicts(spark, d):
+    return J.like_conflicts(coded_parts(spark, d), name_patterns(spark, d), ["p_brand"], "code", "pattern", ["label"])
 
 
 @query(
@@ -132,7 +153,7 @@ def jn09(spark, d):
 def level_metadata(spark, d):
     """Per type two structures whose levels carry attribute names in a different order."""
     types = P.table(spark, d, "part").select(F.col("p_type").alias("category")).distinct()
-    one = [("1", 1, "CATEGORY"), ("1", 2, "BRAND"), ("1", 3, "ITEM"), ("2", 1, "CATEGORY"), ("2", 2, "SIZE"), ("2", 3, "BRAND")]
+    one = [("1", 1, "CATEGORY"), ("1", 2, "BRAND"), ("1", 3, "ITEM"), ("2", 1, "CATEGORY"), ("2", 2, "SIZE"), ("2", 3, "BRAND"), ("1", 12, "DEEP"), ("2", 12, "DEEP")]
     rows = F.array(*[F.struct(F.lit(s).alias("structure"), F.lit(n).alias("level"), F.lit(a).alias("attribute_name")) for s, n, a in one])
     return types.select("category", F.explode(rows).alias("r")).select("category", "r.*")
 
@@ -140,11 +161,11 @@ def level_metadata(spark, d):
 @query(
     "jn10_level_fan_out",
     """SELECT p_partkey, 'CATEGORY' AS level_name_1, CASE WHEN p_size > 25 THEN 'SIZE' ELSE 'BRAND' END AS level_name_2, CASE WHEN p_size > 25 THEN 'BRAND' ELSE 'ITEM' END AS level_name_3,
-       CAST(NULL AS VARCHAR) AS level_name_4, CASE WHEN p_size % 3 = 0 THEN 'CATEGORY' WHEN p_size % 3 = 1 THEN CASE WHEN p_size > 25 THEN 'SIZE' ELSE 'BRAND' END
+       CAST(NULL AS VARCHAR) AS level_name_4, CASE WHEN p_size % 3 = 0 THEN 'CATEGORY' WHEN p_size % 3 = 1 THEN CASE WHEN p_size > 25 THEN 'SIZE' ELSE 'BRAND' END WHEN p_size > 40 THEN 'DEEP'
          ELSE CASE WHEN p_size > 25 THEN 'BRAND' ELSE 'ITEM' END END AS own_level_name FROM part""",
 )
 def jn10(spark, d):
-    rows = P.table(spark, d, "part").select("p_partkey", F.col("p_type").alias("category"), F.when(F.col("p_size") > 25, "2").otherwise("1").alias("structure"), (F.col("p_size") % 3 + 1).alias("level"))
+    rows = P.table(spark, d, "part").select("p_partkey", F.col("p_type").alias("category"), F.when(F.col("p_size") > 25, "2").otherwise("1").alias("structure"), F.when(F.expr("p_size % 3 = 2 AND p_size > 40"), 12).otherwise(F.col("p_size") % 3 + 1).alias("level"))
     out = J.fan_out_levels(rows, level_metadata(spark, d), ["category", "structure"])
     return out.select("p_partkey", "level_name_1", "level_name_2", "level_name_3", "level_name_4", "own_level_name")
 
@@ -175,7 +196,7 @@ def jn13(spark, d):
 
 @query(
     "jn14_complete_levels",
-    """SELECT CAST(g AS INTEGER) AS level, n FROM (SELECT unnest(range(1, 10)) AS g) LEFT JOIN (SELECT p_size AS level, count(*) AS n FROM part WHERE p_type <> 'SMALL' GROUP BY 1) ON g = level""",
+    """SELECT CAST(coalesce(g, level) AS INTEGER) AS level, n FROM (SELECT unnest(range(1, 10)) AS g) FULL JOIN (SELECT p_size AS level, count(*) AS n FROM part WHERE p_type <> 'SMALL' GROUP BY 1) ON g = level""",
 )
 def jn14(spark, d):
     counts = P.table(spark, d, "part").where("p_type <> 'SMALL'").groupBy(F.col("p_size").alias("level")).agg(F.count("*").alias("n"))

@@ -37,6 +37,11 @@ def jn12(spark, d):
     return sides(spark, d)
 
 
+def rounded(df):
+    """Shares and indexes to six digits, to compare with SQL."""
+    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.endswith(("_share", "_ipp", "_iya", "_ipd"))})
+
+
 TOPS = """tops AS (SELECT market_key AS m, period_id AS p, sum(quantity)::DOUBLE AS volume_top, sum(amount)::DOUBLE AS value_top FROM sales GROUP BY 1, 2)"""
 
 
@@ -46,17 +51,17 @@ TOPS = """tops AS (SELECT market_key AS m, period_id AS p, sum(quantity)::DOUBLE
     (P.SALES, P.BRAND_FACTS, TOPS),
 )
 def fct05_total(spark, d):
-    return C.share_of_total(P.brand_units(spark, d), ["market_key", "period_id"], MEASURES).select("market_key", "path", "period_id", "volume_share", "value_share")
+    return rounded(C.share_of_total(P.brand_units(spark, d), ["market_key", "period_id"], MEASURES).select("market_key", "path", "period_id", "volume_share", "value_share"))
 
 
 @query(
     "fct05_share_of_top",
     """SELECT a.market_key, a.path, a.period_id, round(a.volume / nullif(b.volume, 0) * 100, 6) AS volume_share, round(a.value / nullif(b.value, 0) * 100, 6) AS value_share
-       FROM tree a LEFT JOIN tree b ON b.is_top = 'Y' AND b.market_key = a.market_key AND b.period_id = a.period_id AND b.path = split_part(a.path, ' ', 1)""",
+       FROM tree a LEFT JOIN (SELECT market_key, period_id, path, volume, value FROM tree WHERE is_top = 'Y') b ON b.market_key = a.market_key AND b.period_id = a.period_id AND b.path = split_part(a.path, ' ', 1)""",
     (P.SALES, P.TREE),
 )
 def fct05_top(spark, d):
-    return C.share_of_top(P.tree_facts(spark, d), ["market_key", "period_id"], "path", 1, MEASURES).select("market_key", "path", "period_id", "volume_share", "value_share")
+    return rounded(C.share_of_top(P.tree_facts(spark, d), ["market_key", "period_id"], "path", 1, MEASURES).select("market_key", "path", "period_id", "volume_share", "value_share"))
 
 
 INDEX = "round(({a} - {b}) / nullif({b}, 0) * 100, 6)"
@@ -82,7 +87,7 @@ def fct06(spark, d):
     names = P.table(spark, d, "nation").select(F.col("n_nationkey").alias("market_key"), F.col("n_name").alias("market_name"))
     out = P.in_units(C.indexes(lined, MEASURES)).join(names, "market_key")
     shown = [f"{m}_{s}" for m in MEASURES for s in ("share", "ipp", "iya")]
-    return out.select("market_key", "market_name", "path", "period_id", *MEASURES, *shown)
+    return rounded(out.select("market_key", "market_name", "path", "period_id", *MEASURES, *shown))
 
 
 @query(
@@ -93,7 +98,7 @@ def fct06(spark, d):
 )
 def fct06_factored(spark, d):
     factor = F.when(F.col("period_id") % 3 == 0, F.lit(0.8)).otherwise(F.lit(1.0))
-    return C.indexes(sides(spark, d).withColumn("time_factor", factor), ["volume"]).select("market_key", "path", "period_id", "volume_ipp", "volume_iya")
+    return rounded(C.indexes(sides(spark, d).withColumn("time_factor", factor), ["volume"]).select("market_key", "path", "period_id", "volume_ipp", "volume_iya"))
 
 
 # ---------------------------------------------------------------- deliveries
@@ -208,20 +213,24 @@ def fct09(spark, d):
 
 @query(
     "fct01_measure_mapping",
-    """SELECT n_name AS vendor_measure, CASE WHEN n_regionkey = 2 THEN 200 + n_nationkey WHEN n_regionkey = 3 THEN 300 ELSE 100 + n_nationkey END AS measure_id,
-       row_number() OVER (ORDER BY n_nationkey) AS ordinal, 'm' || n_nationkey AS physical_name, CAST(n_regionkey AS DOUBLE) AS vendor_factor, CAST(CASE WHEN n_regionkey = 2 THEN 2.5 END AS DOUBLE) AS contract_factor,
-       'measure_' || row_number() OVER (ORDER BY n_nationkey) AS slot
-       FROM nation WHERE n_regionkey <> 3""",
+    """SELECT 'v' || p_partkey AS vendor_measure, CASE WHEN p_size % 5 = 2 THEN 20000000 ELSE 10000000 END + p_partkey AS measure_id,
+       ordinal, name || p_partkey AS physical_name, CAST(p_size AS DOUBLE) AS vendor_factor, CAST(CASE WHEN p_size % 5 = 2 THEN 2.5 END AS DOUBLE) AS contract_factor,
+       'measure_' || ordinal AS slot
+       FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) AS ordinal FROM part) p JOIN (VALUES ('m'), ('n')) t(name) ON name = 'm' OR p_size % 7 = 0
+       WHERE p_size % 5 <> 3""",
 )
 def fct01(spark, d):
-    nation = P.table(spark, d, "nation")
-    key = F.col("n_nationkey")
-    measures = nation.where("n_regionkey <> 3").select(F.col("n_name").alias("vendor_measure"), key.alias("line_num"), F.lit(5).alias("vendor_id"), F.lit(9).alias("contract_id"))
-    own = nation.where("n_regionkey = 2").select(F.col("n_name").alias("vendor_measure"), F.lit(9).alias("contract_id"), (key + 200).alias("measure_id"))
-    default = nation.select(F.col("n_name").alias("vendor_measure"), F.lit(5).alias("vendor_id"), (key + 100).alias("measure_id"))
-    lookup = nation.select((key + F.when(F.col("n_regionkey") == 2, 200).otherwise(100)).alias("measure_id"), F.concat(F.lit("m"), key).alias("physical_name"), F.lit(True).alias("in_use"))
-    vendor = nation.select((key + F.when(F.col("n_regionkey") == 2, 200).otherwise(100)).alias("measure_id"), (F.col("n_regionkey") * 1.0).alias("factor"))
-    contract = nation.where("n_regionkey = 2").select((key + 200).alias("measure_id"), F.lit(2.5).alias("factor"))
+    """Every fifth source measure is unknown; every seventh feeds two names."""
+    part = P.table(spark, d, "part")
+    key, name = F.col("p_partkey"), F.concat(F.lit("v"), "p_partkey").alias("vendor_measure")
+    measures = part.select(name, key.alias("line_num"), F.lit(5).alias("vendor_id"), F.lit(9).alias("contract_id"))
+    own = part.where("p_size % 5 = 2").select(name, F.lit(9).alias("contract_id"), (key + 20_000_000).alias("measure_id"))
+    default = part.where("p_size % 5 <> 3").select(name, F.lit(5).alias("vendor_id"), (key + 10_000_000).alias("measure_id"))
+    ids = part.select("p_partkey", "p_size", (key + F.when(F.col("p_size") % 5 == 2, 20_000_000).otherwise(10_000_000)).alias("measure_id"))
+    names = ids.withColumn("name", F.explode(F.when(F.col("p_size") % 7 == 0, F.array(F.lit("m"), F.lit("n"))).otherwise(F.array(F.lit("m")))))
+    lookup = names.select("measure_id", F.concat("name", "p_partkey").alias("physical_name"), F.lit(True).alias("in_use"))
+    vendor = ids.select("measure_id", (F.col("p_size") * 1.0).alias("factor"))
+    contract = ids.where("p_size % 5 = 2").select("measure_id", F.lit(2.5).alias("factor"))
     layers = [Layer(own, ("vendor_measure", "contract_id")), Layer(default, ("vendor_measure", "vendor_id"))]
     out = M.slots_of_order(M.map_measures(measures, layers, lookup, vendor, contract))
     return out.select("vendor_measure", "measure_id", "ordinal", "physical_name", "vendor_factor", "contract_factor", "slot")

@@ -39,7 +39,7 @@ def key01(spark, d):
 
 @query(
     "key01_key_map",
-    """SELECT category, brand, 1000000 + row_number() OVER (ORDER BY substr(md5(category || '|' || brand), 1, 3), category || '|' || brand) AS surrogate_key, CAST(3 AS BIGINT) AS run_id
+    """SELECT category, brand, 1000000 + row_number() OVER (ORDER BY substr(md5(category || '|' || brand), 1, 3), category, brand) AS surrogate_key, CAST(3 AS BIGINT) AS run_id
        FROM (SELECT DISTINCT category, brand FROM products)""",
     (P.PRODUCTS,),
 )
@@ -49,6 +49,22 @@ def key01_map(spark, d):
     return K.new_keys(products, ["category", "brand"], empty, 3)
 
 
+@query(
+    "key01_separator_in_keys",
+    """SELECT a, b, 1000000 + row_number() OVER (ORDER BY substr(md5(a || '|' || b), 1, 3), a, b) AS surrogate_key, CAST(3 AS BIGINT) AS run_id
+       FROM (SELECT DISTINCT p_type || '|' || p_brand AS a, p_name AS b FROM part UNION SELECT DISTINCT p_type, p_brand || '|' || p_name FROM part)""",
+)
+def key01_separator(spark, d):
+    """Two keys that read alike when joined by the separator get two numbers, the same ones in every run."""
+    part = P.table(spark, d, "part")
+    bar = F.lit("|")
+    first = part.select(F.concat("p_type", bar, "p_brand").alias("a"), F.col("p_name").alias("b"))
+    second = part.select(F.col("p_type").alias("a"), F.concat("p_brand", bar, "p_name").alias("b"))
+    empty = spark.createDataFrame([], "a string, b string, surrogate_key long, run_id long")
+    rows, added = K.assign_keys(first.unionByName(second).repartition(5), ["a", "b"], empty, 3)
+    return rows.join(added.select("a", "b", "run_id"), ["a", "b"]).select("a", "b", "surrogate_key", "run_id").distinct()
+
+
 @query(
     "key02_keys_for_new",
     """WITH p AS (SELECT *, CASE WHEN size < 20 THEN 'NEW PRODUCT' ELSE 'FULL MATCH' END AS change FROM products)
@@ -69,7 +85,7 @@ def key02(spark, d):
 def metadata(spark, d):
     """Structure 1 of every category: type, brand, item."""
     types = P.table(spark, d, "part").select(F.col("p_type").alias("category")).distinct()
-    steps = [(1, "a1", "CATEGORY", "pg_type", 11), (2, "a2", "BRAND", "pg_brand", 12), (3, "a3", "ITEM", "item", 13)]
+    steps = [(1, "a1", "CATEGORY", "type_text", 11), (2, "a2", "BRAND", "brand_text", 12), (3, "a3", "ITEM", "item", 13)]
     rows = F.array(
         *[
             F.struct(F.lit(n).alias("level"), F.lit(i).alias("attribute_id"), F.lit(a).alias("attribute_name"), F.lit(c).alias("column_name"), F.lit(k).alias("level_id"))
@@ -91,13 +107,13 @@ CODED = """coded AS (SELECT code, name, category, brand, CASE WHEN size < 5 THEN
 
 @query(
     "dim01_attribute_codes",
-    """SELECT code, CASE level WHEN 1 THEN 'CATEGORY' WHEN 2 THEN 'BRAND' ELSE 'ITEM' END AS own_level_name, level + 10 AS own_level_id, category AS pg_type,
-       CASE WHEN level > 1 THEN brand END AS pg_brand, CASE WHEN level > 2 THEN code END AS item FROM coded""",
+    """SELECT code, CASE level WHEN 1 THEN 'CATEGORY' WHEN 2 THEN 'BRAND' ELSE 'ITEM' END AS own_level_name, level + 10 AS own_level_id, category AS type_text,
+       CASE WHEN level > 1 THEN brand END AS brand_text, CASE WHEN level > 2 THEN code END AS item FROM coded""",
     (P.PRODUCTS, CODED),
 )
 def dim01(spark, d):
     out = D.attribute_codes(coded_products(spark, d), metadata(spark, d))
-    return out.select("code", "own_level_name", "own_level_id", "pg_type", "pg_brand", "item")
+    return out.select("code", "own_level_name", "own_level_id", "type_text", "brand_text", "item")
 
 
 def values(spark, d):
@@ -115,12 +131,12 @@ BRAND_VALUE = """CASE WHEN level = 1 THEN NULL WHEN length(brand) = 7 AND EXISTS
 
 @query(
     "dim02_attribute_values",
-    f"""SELECT code, upper(left(category, 1)) || lower(substring(category, 2)) AS pg_type, {BRAND_VALUE} AS pg_brand, CAST(NULL AS VARCHAR) AS item FROM coded""",
+    f"""SELECT code, upper(left(category, 1)) || lower(substring(category, 2)) AS type_text, {BRAND_VALUE} AS brand_text, CAST(NULL AS VARCHAR) AS item FROM coded""",
     (P.PRODUCTS, CODED),
 )
 def dim02(spark, d):
     leveled = D.attach_levels(coded_products(spark, d), metadata(spark, d))
-    return D.attribute_values(leveled, values(spark, d), ["pg_type", "pg_brand", "item"]).select("code", "pg_type", "pg_brand", "item")
+    return D.attribute_values(leveled, values(spark, d), ["type_text", "brand_text", "item"]).select("code", "type_text", "brand_text", "item")
 
 
 def stored_products(spark, d):
@@ -154,17 +170,17 @@ def dim03(spark, d):
 
 @query(
     "dim04_normalised",
-    """SELECT code, upper(left(category, 1)) || lower(substring(category, 2)) AS pg_type,
-       CASE WHEN length(brand) = 7 THEN 'Brand no. ' || substring(brand, 7, 2) WHEN brand LIKE 'Brand#1%' THEN 'Teens' ELSE brand END AS pg_brand,
+    """SELECT code, upper(left(category, 1)) || lower(substring(category, 2)) AS type_text,
+       CASE WHEN length(brand) = 7 THEN 'Brand no. ' || substring(brand, 7, 2) WHEN brand LIKE 'Brand#1%' THEN 'Teens' ELSE brand END AS brand_text,
        CASE WHEN level = 1 THEN upper(left(category, 1)) || lower(substring(category, 2)) WHEN level = 2 THEN
          CASE WHEN length(brand) = 7 THEN 'Brand no. ' || substring(brand, 7, 2) WHEN brand LIKE 'Brand#1%' THEN 'Teens' ELSE brand END END AS own_value FROM coded""",
     (P.PRODUCTS, CODED),
 )
 def dim04(spark, d):
     depth = F.when(F.col("size") < 5, "CATEGORY").when(F.col("size") < 15, "BRAND").otherwise("ITEM")
-    rows = P.products(spark, d).select("code", "category", F.col("category").alias("pg_type"), F.col("brand").alias("pg_brand"), depth.alias("level_name"))
-    attributes = {"pg_type": ("a1", "CATEGORY"), "pg_brand": ("a2", "BRAND")}
-    return D.normalise_attributes(rows, attributes, values(spark, d)).select("code", "pg_type", "pg_brand", "own_value")
+    rows = P.products(spark, d).select("code", "category", F.col("category").alias("type_text"), F.col("brand").alias("brand_text"), depth.alias("level_name"))
+    attributes = {"type_text": ("a1", "CATEGORY"), "brand_text": ("a2", "BRAND")}
+    return D.normalise_attributes(rows, attributes, values(spark, d)).select("code", "type_text", "brand_text", "own_value")
 
 
 @query(
@@ -182,13 +198,13 @@ def dim05(spark, d):
         F.lit("1").alias("structure"),
         depth.alias("level"),
         names.alias("level_name"),
-        F.col("category").alias("pg_type"),
-        F.col("brand").alias("pg_brand"),
+        F.col("category").alias("type_text"),
+        F.col("brand").alias("brand_text"),
         F.col("name").alias("product_name"),
         F.lit("own text").alias("product_description"),
     )
     shape = metadata(spark, d).withColumn("category", F.concat(F.lit("id-"), "category"))
-    return D.generate_names(rows, shape, ["pg_type", "pg_brand"]).select("code", "product_name", "product_description")
+    return D.generate_names(rows, shape, ["type_text", "brand_text"]).select("code", "product_name", "product_description")
 
 
 @query(

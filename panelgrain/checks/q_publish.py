@@ -18,14 +18,16 @@ AS_BIGINT = "contract_id::BIGINT AS contract_id, market_key::BIGINT AS market_ke
 
 @query(
     "pub01_publish_facts",
-    f"""SELECT {AS_BIGINT}, CASE WHEN contract_id = 2 AND year(period_end) = 1999 THEN volume + 1 ELSE volume END AS volume FROM facts
-        WHERE contract_id <> 2 OR period_end >= DATE '1997-01-01'""",
+    f"""SELECT {AS_BIGINT}, CASE WHEN year(period_end) = 1998 THEN volume + 1 ELSE volume END AS volume FROM facts
+        WHERE contract_id NOT IN (2, 3) OR period_end >= CASE contract_id WHEN 2 THEN DATE '1997-01-01' ELSE DATE '1996-06-01' END""",
     (P.SALES, P.FACTS),
 )
 def pub01(spark, d):
+    """Redelivers a year of all contracts; two of them keep from different dates on."""
     path = stored_facts(spark, d)
-    again = P.facts(spark, d).where("contract_id = 2 AND year(period_end) = 1999").withColumn("volume", F.col("volume") + 1)
-    PUB.publish_facts(spark, C.cast_all(again, FACT_TYPES), path, keep_from="1997-01-01")
+    again = P.facts(spark, d).where("year(period_end) = 1998").withColumn("volume", F.col("volume") + 1)
+    limits = spark.createDataFrame([(4, 2, "1997-01-01"), (4, 3, "1996-06-01")], "source_id int, contract_id int, keep_from string")
+    PUB.publish_facts(spark, C.cast_all(again, FACT_TYPES), path, limits)
     return spark.read.parquet(path).select(*SHOWN)
 
 
@@ -126,21 +128,21 @@ def pub08(spark, d):
 
 @query(
     "pub09_orphans",
-    """SELECT p_partkey AS product_key FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND year(l_shipdate) = 1996)
-       AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'A' AND year(l_shipdate) = 1997)""",
+    """SELECT p_partkey AS product_key FROM part WHERE p_partkey NOT IN (SELECT l_partkey * 2 FROM lineitem) AND p_partkey NOT IN (SELECT l_partkey * 3 FROM lineitem)""",
 )
 def pub09(spark, d):
-    item = P.table(spark, d, "lineitem").select(F.col("l_partkey").alias("product_key"), "l_returnflag", F.year("l_shipdate").alias("y"))
+    """Two fact tables, one with twice and one with three times the keys."""
+    item = P.table(spark, d, "lineitem")
     dims = [P.products(spark, d), P.products(spark, d).where("size > 3")]
-    return PUB.orphan_keys(dims, [item.where("l_returnflag = 'R' AND y = 1996"), item.where("l_returnflag = 'A' AND y = 1997")], "product_key")
+    return PUB.orphan_keys(dims, [item.select((F.col("l_partkey") * n).alias("product_key")) for n in (2, 3)], "product_key")
 
 
 @query(
     "pub09_without_orphans",
-    "SELECT p_partkey AS product_key FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_returnflag = 'R' AND year(l_shipdate) = 1996)",
+    "SELECT p_partkey AS product_key FROM part WHERE p_partkey IN (SELECT l_partkey * 2 FROM lineitem)",
 )
 def pub09_rest(spark, d):
-    used = P.table(spark, d, "lineitem").where("l_returnflag = 'R' AND year(l_shipdate) = 1996").select(F.col("l_partkey").alias("product_key"))
+    used = P.table(spark, d, "lineitem").select((F.col("l_partkey") * 2).alias("product_key"))
     dim = P.products(spark, d).select("product_key")
     return PUB.without_orphans(dim, PUB.orphan_keys([dim], [used], "product_key"), "product_key")
 

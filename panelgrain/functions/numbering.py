@@ -9,6 +9,8 @@ Four ways, by what the caller needs:
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -83,19 +85,21 @@ def ordered_numbers(df: DataFrame, order: list[str | Column], name: str = "line_
     )
 
 
-def hashed_numbers(keys: DataFrame, text: Column, name: str, digits: int = 3) -> DataFrame:
-    """Dense 1..n for rows whose `text` is distinct, ordered by (md5 prefix, text).
+def hashed_numbers(keys: DataFrame, columns: Sequence[str], name: str, digits: int = 3) -> DataFrame:
+    """Dense 1..n for rows that differ in `columns`, ordered by (md5 prefix, columns).
 
     The prefix makes 16^digits even buckets whatever the keys look like; each bucket is ranked in
-    its own task and shifted by the sizes of the buckets before it. Deterministic, no sampling.
+    its own task, by the columns themselves, and shifted by the sizes of the buckets before it.
+    Deterministic, no sampling.
     """
-    bucketed = keys.withColumn("_text", text).withColumn("_bucket", F.substring(F.md5("_text"), 1, digits))
+    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    bucketed = keys.withColumn("_bucket", F.substring(F.md5(text), 1, digits))
     sizes = bucketed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     offsets = _offsets(sizes, [], "_bucket", "_n", "_before").drop("_n")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_text"))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*columns))
     return (
         bucketed.withColumn("_rank", rank)
         .join(offsets, "_bucket")
         .withColumn(name, F.col("_before") + F.col("_rank"))
-        .drop("_text", "_bucket", "_rank", "_before")
+        .drop("_bucket", "_rank", "_before")
     )

@@ -7,21 +7,19 @@ from pyspark.sql import functions as F
 
 
 def ratio(top: Column, bottom: Column) -> Column:
-    """top / bottom as double; null when the bottom is null or zero."""
-    return F.try_divide(top.cast("double"), bottom.cast("double"))
+    """top / bottom in the type of the columns (decimals stay decimals); null when the bottom is null or zero."""
+    return F.try_divide(top, bottom)
 
 
-def share(value: Column, total: Column, digits: int = 6) -> Column:
-    """Percentage of a total, null when the total is zero."""
-    return F.round(ratio(value, total) * 100, digits)
+def share(value: Column, total: Column) -> Column:
+    """Percentage of a total, null when the total is zero; nothing is rounded."""
+    return ratio(value, total) * 100
 
 
-def index(
-    current: Column, base: Column, scale: Column | None = None, base_scale: Column | None = None, digits: int = 6
-) -> Column:
+def index(current: Column, base: Column, scale: Column | None = None, base_scale: Column | None = None) -> Column:
     """Percent change of `current` against `base`; the scales bring both sides to the same length."""
 
     def scaled(side: Column, factor: Column | None) -> Column:
-        return side.cast("double") if factor is None else side.cast("double") * factor.cast("double")
+        return side if factor is None else side * factor
 
-    return F.round(ratio(scaled(current, scale) - scaled(base, base_scale), base) * 100, digits)
+    return ratio(scaled(current, scale) - scaled(base, base_scale), base) * 100

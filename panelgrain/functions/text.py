@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The texts vendors send for "no measurement".
-NOT_AVAILABLE = ("", "NA", "N/A")
+NOT_AVAILABLE = ("", "NA", "N/A", "N.A.")
 
 MEASURE_TYPE = "decimal(38,10)"
 
@@ -20,8 +20,8 @@ def parse_measure(col: Column, to: str = MEASURE_TYPE) -> Column:
     """Measure text to decimal; "not available" and unparsable texts become null.
 
     Blanks and markers are ruled out by comparison first: they are frequent, and a failed parse
-    costs far more than a comparison. A leading separator needs no zero here; the parser takes `.5`
-    and refuses `,5` and `0,5` alike.
+    costs far more than a comparison. A leading separator needs no zero here: the parser takes `.5`;
+    a text with a comma is no number.
     """
     return F.when(~F.trim(col).isin(*NOT_AVAILABLE), col).try_cast(to)
 

@@ -38,11 +38,11 @@ def comparison_set(
 ) -> DataFrame:
     """Delivered facts with the previously delivered values on redelivered periods, null on new ones.
 
-    A left join keeps products without history. New periods need no stored value, so the flag
-    blanks it instead of a second branch and a union.
+    Left joins keep products without history and periods without a status, whose flags are null. New
+    periods need no stored value, so the flag blanks it instead of a second branch and a union.
     """
     old = stored.select(*row_keys, *[F.col(m).alias(f"{m}_pd") for m in measures])
-    flagged = delivered.join(status.select(*period_keys, "is_new", "is_redelivered"), list(period_keys))
+    flagged = delivered.join(status.select(*period_keys, "is_new", "is_redelivered"), list(period_keys), "left")
     joined = flagged.join(old, list(row_keys), "left")
     again = F.col("is_redelivered") == "Y"
     return joined.withColumns({f"{m}_pd": F.when(again, F.col(f"{m}_pd")) for m in measures})

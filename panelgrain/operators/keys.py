@@ -18,9 +18,8 @@ def new_keys(df: DataFrame, natural: Sequence[str], known: DataFrame, run_id: in
     Order depends on the keys alone; a rerun over the stored map finds nothing new.
     """
     fresh = df.select(*natural).dropna("any").distinct().join(known.select(*natural), list(natural), "left_anti")
-    text = F.concat_ws("|", *[F.col(c).cast("string") for c in natural])
     highest = known.agg(F.coalesce(F.max(name), F.lit(FIRST_KEY - 1)).alias("highest")).scalar()
-    numbered = hashed_numbers(fresh, text, "_n")
+    numbered = hashed_numbers(fresh, natural, "_n")
     return numbered.select(*natural, (highest + F.col("_n")).cast("long").alias(name), F.lit(run_id).cast("long").alias("run_id"))
 
 

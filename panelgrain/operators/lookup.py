@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -44,29 +44,59 @@ def layer_conflicts(layer: Layer, value: str) -> DataFrame:
     return spread.where(F.col("lowest") != F.col("highest"))
 
 
+def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str, pattern: str) -> DataFrame:
+    """All pairs of a code and a rule with equal `on` columns whose LIKE pattern the code matches.
+
+    What a pattern says literally before its first wildcard is an equi-join key against the prefixes of a
+    code; a pattern that begins with a wildcard is joined by its literal end against the suffixes; only one with
+    wildcards at both ends meets every code of its `on` columns. A code makes one row for each length
+    that patterns of its `on` columns have. A backslash before a wildcard makes it literal, as in LIKE.
+    Adds `_prefix` (literal) and `_wild`; other columns of `rules` come along.
+    """
+    plain = r"(?:[^%_\\]|\\.)*"
+    unescaped = lambda text: F.regexp_replace(text, r"\\(.)", "$1")
+    raw = F.regexp_extract(pattern, f"^{plain}", 0)
+    prefix, suffix = unescaped(raw), unescaped(F.regexp_extract(pattern, f"{plain}$", 0))
+    by_end = (prefix == "") & (suffix != "")
+    keyed = rules.withColumns({"_prefix": prefix, "_wild": F.length(raw) < F.length(pattern), "_end": by_end, "_key": F.when(by_end, suffix).otherwise(prefix)})
+    lengths = keyed.groupBy(*on).agg(F.collect_set(F.struct(F.col("_end").alias("end"), F.length("_key").alias("n"))).alias("_sizes"))
+    probes = codes.join(lengths, list(on)).withColumn("_size", F.explode("_sizes")).where(F.col("_size.n") <= F.length(code))
+    part = F.when(F.col("_size.end"), F.expr(f"right(`{code}`, _size.n)")).otherwise(F.expr(f"left(`{code}`, _size.n)"))
+    probes = probes.select(*codes.columns, F.col("_size.end").alias("_end"), part.alias("_key"))
+    return probes.join(keyed, [*on, "_end", "_key"]).where(F.expr(f"`{code}` LIKE `{pattern}`")).drop("_end", "_key")
+
+
+def _ranked_hits(df: DataFrame, patterns: DataFrame, on: Sequence[str], code: str, pattern: str, values: Sequence[str]) -> tuple[DataFrame, Column]:
+    rules = patterns.select(*on, F.col(pattern).alias("_pattern"), *values)
+    hits = like_hits(df.select(*on, code).where(F.col(code).isNotNull()).distinct(), rules, on, code, "_pattern")
+    rank = F.struct((-F.length("_prefix")).alias("a"), F.col("_wild").alias("b"), F.col("_pattern").alias("c"), F.struct(*values).alias("d") if values else F.lit(0).alias("d"))
+    return hits, rank
+
+
 def like_lookup(
     df: DataFrame, patterns: DataFrame, on: Sequence[str], code: str, pattern: str, values: Sequence[str]
 ) -> DataFrame:
-    """Left lookup of `code` in LIKE patterns that share the `on` keys.
+    """Left lookup of `code` in LIKE patterns that share the `on` keys; see `like_hits`.
 
-    Only distinct codes are matched. A pattern's text before its first wildcard is an equi-join key
-    against the prefixes of a code, so the join hashes on (keys, prefix) and a residual LIKE checks
-    what is left; nothing is paired by the `on` keys alone. Among several matching patterns the
-    longest literal prefix wins, then the pattern without wildcards, then the smallest text.
+    Only distinct codes are matched. Among several matching patterns the longest literal prefix wins,
+    then the pattern without wildcards, then the smallest text and values; `like_conflicts` has the others.
     """
-    literal = F.regexp_extract(pattern, r"^[^%_]*", 0)
-    wild = F.col(pattern).rlike("[%_]")
-    rules = patterns.select(*on, F.col(pattern).alias("_pattern"), literal.alias("_prefix"), wild.alias("_wild"), *values)
-    codes = df.select(*on, code).where(F.col(code).isNotNull()).distinct()
-    prefixes = codes.withColumn("_n", F.explode(F.sequence(F.lit(0), F.length(code))))
-    prefixes = prefixes.withColumn("_prefix", F.expr(f"left(`{code}`, _n)"))
-    hits = prefixes.join(rules, [*on, "_prefix"]).where(F.expr(f"`{code}` LIKE _pattern"))
-    rank = F.struct((-F.length("_prefix")).alias("a"), F.col("_wild").alias("b"), F.col("_pattern").alias("c"))
+    hits, rank = _ranked_hits(df, patterns, on, code, pattern, values)
     best = hits.groupBy(*on, code).agg(F.min_by(F.struct("_pattern", *values), rank).alias("_best"))
     picked = best.select(*on, code, F.col("_best._pattern").alias(pattern), *[F.col(f"_best.{v}").alias(v) for v in values])
     return df.join(picked, [*on, code], "left")
 
 
+def like_conflicts(
+    df: DataFrame, patterns: DataFrame, on: Sequence[str], code: str, pattern: str, values: Sequence[str]
+) -> DataFrame:
+    """The matching patterns that `like_lookup` passes over, with their values: one row for each (code, pattern)."""
+    hits, rank = _ranked_hits(df, patterns, on, code, pattern, values)
+    order = Window.partitionBy(*on, code).orderBy(rank)
+    lost = hits.withColumn("_place", F.row_number().over(order)).where("_place > 1")
+    return lost.select(*on, code, F.col("_pattern").alias(pattern), *values)
+
+
 def match_any_key(df: DataFrame, dim: DataFrame, pairs: Sequence[tuple[str, str]], extra: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Rows matched by any of several keys, as one equi-join per key and a distinct union (no OR join)."""
     found = []
@@ -122,18 +152,18 @@ def visible_rows(df: DataFrame, permissions: DataFrame, principal: str, key: str
 
 
 def fan_out_levels(products: DataFrame, metadata: DataFrame, on: Sequence[str], max_level: int = 9) -> DataFrame:
-    """Level names 1..9 of a product's structure, plus the name of its own level, with one join.
+    """Level names 1..n of a product's structure, plus the name of its own level, however deep, with one join.
 
-    The metadata is pivoted by level first instead of joining it once per level.
+    The metadata becomes one map from level to name first instead of being joined once per level.
     """
-    wide = metadata.groupBy(*on).agg(
-        *[F.max(F.when(F.col("level") == i, F.col("attribute_name"))).alias(f"level_name_{i}") for i in range(1, max_level + 1)]
-    )
-    own = F.coalesce(*[F.when(F.col("level") == i, F.col(f"level_name_{i}")) for i in range(1, max_level + 1)])
-    return products.join(wide, list(on), "left").withColumn("own_level_name", own)
+    named = metadata.where("level IS NOT NULL AND attribute_name IS NOT NULL").groupBy(*on, F.col("level").cast("int").alias("level")).agg(F.max("attribute_name").alias("attribute_name"))
+    wide = named.groupBy(*on).agg(F.map_from_entries(F.collect_list(F.struct("level", "attribute_name"))).alias("_names"))
+    names = {f"level_name_{i}": F.try_element_at("_names", F.lit(i)) for i in range(1, max_level + 1)}
+    joined = products.join(wide, list(on), "left")
+    return joined.withColumns({**names, "own_level_name": F.try_element_at("_names", F.col("level").cast("int"))}).drop("_names")
 
 
 def complete_levels(df: DataFrame, level: str, max_level: int = 9) -> DataFrame:
-    """Every level 1..n, with the rows that sit on it or nulls."""
+    """Every level 1..n, with the rows that sit on it or nulls; rows on other levels stay as well."""
     levels = df.sparkSession.range(1, max_level + 1).select(F.col("id").cast("int").alias(level))
-    return df.withColumn(level, F.col(level).cast("int")).join(levels, level, "right")
+    return df.withColumn(level, F.col(level).cast("int")).join(levels, level, "full")

@@ -11,18 +11,38 @@ from pyspark.sql import functions as F
 
 from panelgrain.functions.numbering import ordered_numbers
 from panelgrain.operators.lookup import Layer, layered
-from panelgrain.spec import MAX_MEASURES
+from panelgrain.spec import MAX_COLUMNS
 
 VALUE, FACTOR = "decimal(38,10)", "decimal(18,8)"
 
 
+SPLIT = 14  # digits
+
+
+def _literal(number: Decimal) -> Column:
+    """A decimal literal with as many decimals as the number needs."""
+    plain = number.normalize()
+    return F.lit(plain.quantize(1) if plain.as_tuple().exponent > 0 else plain)
+
+
 def scaled(col: Column, factor: str | Decimal | float) -> Column:
-    """col * factor, exact to ten decimals; an overflow becomes null instead of failing the job.
+    """col * factor, rounded to ten decimals; null only where the product has over 27 digits before the point.
 
-    (27,10) times (18,8) is the widest product that Spark still types as (38,10); measures have 17
-    digits before the point.
+    Spark types a product of 38 digits with fewer decimals. Values of up to 17 digits before the point
+    and factors of up to eight decimals multiply in one step, (27,10) by (18,8); others in two parts,
+    above and below 10 ** 14.
     """
-    return F.try_multiply(col.try_cast("decimal(27,10)"), F.lit(str(factor)).cast(FACTOR)).try_cast(VALUE)
+    exact = Decimal(str(factor))
+    value = col.try_cast(VALUE)
+    unit = F.lit(Decimal(10**SPLIT))
+    upper = F.call_function("div", value, unit).cast("decimal(14,0)")
+    high = F.try_multiply(upper, _literal(exact.scaleb(SPLIT))).try_cast("decimal(37,10)")
+    low = F.try_multiply(value % unit, _literal(exact)).try_cast("decimal(37,10)")
+    wide = F.try_add(high, low).try_cast(VALUE)
+    if exact != exact.quantize(Decimal("1e-8")) or abs(exact) >= Decimal(10) ** 10:
+        return wide
+    near = F.try_multiply(value.try_cast("decimal(27,10)"), F.lit(str(exact)).cast(FACTOR)).try_cast(VALUE)
+    return F.when(F.abs(value) < F.lit(Decimal(10**17)), near).otherwise(wide)
 
 
 def apply_multipliers(df: DataFrame, multipliers: dict[str, str]) -> DataFrame:
@@ -45,7 +65,7 @@ def read_multipliers(column_map: DataFrame, contract_id: int, dimension: str = "
 
 def scale_precision(df: DataFrame, precision: dict[str, int]) -> DataFrame:
     """measure / 10^precision."""
-    return df.withColumns({c: (F.col(c).cast(VALUE) / F.lit(10**p).cast("decimal(20,0)")).cast(VALUE) for c, p in precision.items()})
+    return df.withColumns({c: F.try_divide(F.col(c).try_cast(VALUE), F.lit(10**p).cast("decimal(20,0)")).try_cast(VALUE) for c, p in precision.items()})
 
 
 @dataclass(frozen=True)
@@ -60,7 +80,7 @@ class MeasureColumn:
 
     def column(self) -> Column:
         factor = self.contract_factor or self.vendor_factor
-        col = F.col(self.slot).cast(VALUE)
+        col = F.col(self.slot).try_cast(VALUE)
         return (col if factor is None else scaled(col, factor)).alias(self.physical)
 
 
@@ -68,9 +88,12 @@ def map_measures(
     measures: DataFrame, layers: Sequence[Layer], lookup: DataFrame, vendor_factors: DataFrame, contract_factors: DataFrame
 ) -> DataFrame:
     """Vendor measures with id (contract, then country, then default layer), physical name, factors,
-    and ordinal by source line. Factors are rows of this contract and its own vendor."""
-    known = layered(measures, layers, "measure_id").where(F.col("measure_id").isNotNull())
-    ranked = ordered_numbers(known, ["line_num", "vendor_measure"], "ordinal")
+    and ordinal by source line. Factors are rows of this contract and its own vendor.
+
+    The ordinal counts every source measure, mapped or not: it is the slot that the values sit in.
+    """
+    numbered = ordered_numbers(measures, ["line_num", "vendor_measure"], "ordinal")
+    ranked = layered(numbered, layers, "measure_id").where(F.col("measure_id").isNotNull())
     return (
         ranked.join(lookup.select("measure_id", "physical_name", "in_use"), "measure_id")
         .join(vendor_factors.select("measure_id", F.col("factor").alias("vendor_factor")), "measure_id", "left")
@@ -90,13 +113,18 @@ def slots_of_order(mapped: DataFrame) -> DataFrame:
 
 
 def read_measure_columns(mapped: DataFrame) -> list[MeasureColumn]:
-    """The mapped measures as column specs, in slot order; a file has at most 100 measures."""
+    """The mapped measures as column specs, in slot order. One slot may feed several names.
+
+    All are collected, as they become the columns of a table; more than MAX_COLUMNS raise.
+    """
     rows = mapped.select("slot", "physical_name", "contract_factor", "vendor_factor", "in_use", "ordinal").distinct()
 
     def text(v):
         return None if v is None or str(v) == "" else str(v)
 
-    found = rows.orderBy("ordinal").limit(MAX_MEASURES).collect()
+    found = rows.orderBy("ordinal", "physical_name").limit(MAX_COLUMNS + 1).collect()
+    if len(found) > MAX_COLUMNS:
+        raise ValueError(f"over {MAX_COLUMNS} mapped measures")
     return [MeasureColumn(r.slot, r.physical_name.lower(), text(r.contract_factor), text(r.vendor_factor), bool(r.in_use)) for r in found]
 
 

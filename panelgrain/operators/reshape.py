@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelgrain.functions.text import has_non_ascii, parse_measure
+from panelgrain.functions.text import NOT_AVAILABLE, has_non_ascii, lead_zero, parse_measure
 from panelgrain.operators.filters import keep_any_value
 from panelgrain.spec import MAX_MEASURES
 
@@ -72,16 +72,28 @@ def stitch_lines(
 
 
 def clean_delimited_facts(facts: DataFrame, measures: Sequence[str]) -> DataFrame:
-    """Leading-separator texts get a zero, measures become decimals, empty rows go."""
-    return keep_any_value(facts.withColumns({m: parse_measure(F.col(m)) for m in measures}), measures)
+    """Leading-separator texts get a zero, measures become decimals, rows without any text go.
+
+    A row whose texts are no numbers, such as `0,5`, stays with nulls; DQ-01 lists such cells.
+    """
+    given = facts.where(F.coalesce(*[F.when(~F.upper(F.trim(F.col(m))).isin(*NOT_AVAILABLE), True) for m in measures], F.lit(False)))
+    return given.withColumns({m: parse_measure(lead_zero(F.trim(F.col(m)))) for m in measures})
 
 
 def explode_list(df: DataFrame, column: str, name: str, sep: str = ",") -> DataFrame:
     return df.withColumn(name, F.explode(F.split(column, sep)))
 
 
+def bad_values(df: DataFrame, ids: Sequence[str], columns: Sequence[str], is_bad: Callable[[Column], Column]) -> DataFrame:
+    """One row per (column, value) cell that is bad. The cells of a row are tested in place; only bad ones become rows."""
+    cells = [F.when(is_bad(F.col(c)), F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value"))) for c in columns]
+    if not cells:
+        return df.select(*ids, F.lit("").alias("column_name"), F.lit("").alias("value")).where(F.lit(False))
+    found = df.select(*ids, F.explode(F.array_compact(F.array(*cells))).alias("_cell"))
+    return found.select(*ids, "_cell.column_name", "_cell.value")
+
+
 def bad_cells(df: DataFrame, ids: Sequence[str]) -> DataFrame:
     """One row per (column, value) cell with a non-ASCII character; string columns only."""
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in ids]
-    cells = df.unpivot([F.col(i) for i in ids], [F.col(t) for t in texts], "column_name", "value")
-    return cells.where(has_non_ascii(F.col("value")))
+    return bad_values(df, ids, texts, has_non_ascii)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from panelgrain.operators.conform import conform, union_all
 from panelgrain.operators.lookup import newest_change, not_logged
 from panelgrain.operators.periods import retention_date
-from panelgrain.sources.sinks import drop_partitions, write_partitions
+from panelgrain.sources.sinks import drop_before, drop_partitions, write_partitions
 
 FACT_PARTITIONS = ("part_source_id", "part_contract_id", "part_period_end")
 
@@ -31,14 +31,18 @@ def touched_partitions(facts: DataFrame, keys: Sequence[str] = FACT_PARTITIONS)
     return facts.select(*keys).distinct()
 
 
-def publish_facts(spark: SparkSession, facts: DataFrame, path: str, keep_from: str | None = None) -> None:
-    """Replace exactly the delivered partitions, then drop this contract's partitions before `keep_from`."""
-    parts = with_fact_partitions(facts)
-    write_partitions(parts, path, FACT_PARTITIONS)
-    if keep_from is not None:
-        mine = touched_partitions(parts, FACT_PARTITIONS[:2]).collect()
-        for row in mine:
-            expire(spark, path, row.part_source_id, row.part_contract_id, keep_from)
+def publish_facts(spark: SparkSession, facts: DataFrame, path: str, limits: DataFrame | None = None) -> DataFrame | None:
+    """Replace exactly the delivered partitions, then drop what each contract no longer keeps.
+
+    `limits` has source_id, contract_id and keep_from: every contract has a date of its own (see
+    `retention_limits`), and only contracts it names lose partitions. The plan of `facts` runs once, for the write. Returns the
+    removed partitions if there are limits.
+    """
+    write_partitions(with_fact_partitions(facts), path, FACT_PARTITIONS)
+    if limits is None:
+        return None
+    named = limits.select(F.col("source_id").alias("part_source_id"), F.col("contract_id").alias("part_contract_id"), F.col("keep_from").cast("date").alias("keep_from"))
+    return drop_before(spark, path, named, FACT_PARTITIONS[:2], "part_period_end", "keep_from", FACT_PARTITIONS)
 
 
 def expire(spark: SparkSession, path: str, source_id: int, contract_id: int, keep_from: str) -> DataFrame:

@@ -18,7 +18,7 @@ from panelgrain.functions.text import is_bad_measure, path_parent
 from panelgrain.operators.dedup import repeated_keys, repeated_rows
 from panelgrain.operators.lookup import delivered_status
 from panelgrain.operators.product import NEW
-from panelgrain.operators.reshape import bad_cells
+from panelgrain.operators.reshape import bad_cells, bad_values
 from panelgrain.quality.framework import Frames, rule
 from panelgrain.spec import MEASURES_PER_LINE
 
@@ -40,7 +40,7 @@ def _absent_tags(facts: DataFrame, known: DataFrame, axis: str) -> DataFrame:
 def _changed(rows: DataFrame, stored: DataFrame, on: Sequence[str], column: str) -> DataFrame:
     """Rows whose column differs from the stored row with the same key."""
     old = stored.select(*on, F.col(column).alias(f"stored_{column}")).distinct()
-    return rows.join(old, list(on)).where(F.col(column) != F.col(f"stored_{column}"))
+    return rows.join(old, list(on)).where(~F.col(column).eqNullSafe(F.col(f"stored_{column}")))
 
 
 def _shared(rows: DataFrame, keys: Sequence[str], of: str, name: str) -> DataFrame:
@@ -55,8 +55,7 @@ def _shared(rows: DataFrame, keys: Sequence[str], of: str, name: str) -> DataFra
 @rule("DQ-01", "Bad fact data format", (1, 5), ["facts"])
 def bad_fact_format(f: Frames, p: dict) -> DataFrame:
     names = [c for c in f["facts"].columns if c.startswith("measure_")]
-    cells = f["facts"].unpivot(["line_num"], names, "column_name", "value")
-    return cells.where(is_bad_measure(F.col("value")))
+    return bad_values(f["facts"], ["line_num"], names, is_bad_measure)
 
 
 @rule("DQ-02", "Missing mandatory columns", (1,), ["column_map", "columns"])
@@ -280,20 +279,20 @@ def period_gaps(f: Frames, p: dict) -> DataFrame:
     missing, new (one delivery) or redelivered (more).
 
     Calendar periods get an ordinal within their class; a key's span is generated from its first to
-    its last ordinal, so every join is an equality on a period.
+    its last ordinal, so every join is an equality on a period. A delivered period that the calendar
+    does not have is listed with the status unknown; a span starts and ends with its known periods.
     """
     keys = list(p["keys"])
     came = f["deliveries"].groupBy(*keys, "class", "period_end").agg(F.countDistinct("run_id").alias("deliveries"))
-    span = came.groupBy(*keys, "class").agg(F.min("period_end").alias("_from"), F.max("period_end").alias("_to"))
     in_order = F.row_number().over(Window.partitionBy("class").orderBy("period_end"))
     calendar = f["periods"].select("class", F.col("end_date").alias("period_end")).distinct().withColumn("_no", in_order)
-    first = calendar.select("class", F.col("period_end").alias("_from"), F.col("_no").alias("_first"))
-    last = calendar.select("class", F.col("period_end").alias("_to"), F.col("_no").alias("_last"))
-    ranges = span.join(first, ["class", "_from"]).join(last, ["class", "_to"])
+    placed = came.join(calendar, ["class", "period_end"], "left")
+    ranges = placed.where("_no IS NOT NULL").groupBy(*keys, "class").agg(F.min("_no").alias("_first"), F.max("_no").alias("_last"))
     expected = ranges.select(*keys, "class", F.explode(F.sequence("_first", "_last")).alias("_no")).join(calendar, ["class", "_no"])
     joined = expected.join(came, [*keys, "class", "period_end"], "left")
     status = F.when(F.col("deliveries").isNull(), "missing").when(F.col("deliveries") == 1, "new").otherwise("redelivered")
-    return joined.select(*keys, "class", "period_end", status.alias("status"))
+    unknown = placed.where("_no IS NULL").select(*keys, "class", "period_end", F.lit("unknown").alias("status"))
+    return joined.select(*keys, "class", "period_end", status.alias("status")).unionByName(unknown)
 
 
 @rule("DQ-38", "Duplicated period after mapping", (6,), ["mapped_periods"])
@@ -355,18 +354,20 @@ def market_too_deep(f: Frames, p: dict) -> DataFrame:
 
 
 def _limits(facts: DataFrame, thresholds: DataFrame) -> DataFrame:
-    return facts.join(thresholds, "level_id")
+    """Facts with the limits of their level; a level without a threshold row has none of the limits."""
+    return facts.join(thresholds.withColumn("has_limits", F.lit(True)), "level_id", "left").withColumn("has_limits", F.coalesce("has_limits", F.lit(False)))
 
 
 def _beyond(col: str, limit: str) -> Column:
-    return F.coalesce(F.abs(col) > F.col(limit), F.lit(False))
+    """Past the limit; without a threshold row any known change is, so that no level goes unchecked."""
+    return F.coalesce(F.when(F.col("has_limits"), F.abs(col) > F.col(limit)).otherwise(F.col(col) != 0), F.lit(False))
 
 
 @rule("DQ-49", "Unexpected change vs previous period or year ago", (4, 8), ["comparison", "thresholds"], measure="volume")
 def unexpected_change(f: Frames, p: dict) -> DataFrame:
     m = p["measure"]
     moved = _beyond(f"{m}_ipp", "previous_limit") | _beyond(f"{m}_iya", "year_ago_limit")
-    return _limits(f["comparison"], f["thresholds"]).where(moved & (F.abs(m) > F.col("absolute_limit")))
+    return _limits(f["comparison"], f["thresholds"]).where(moved & (~F.col("has_limits") | (F.abs(m) > F.col("absolute_limit"))))
 
 
 @rule("DQ-50", "Unexpected backdata difference", (4, 8), ["comparison", "thresholds"], measure="volume")
@@ -381,12 +382,13 @@ def negative_values(f: Frames, p: dict) -> DataFrame:
 
 @rule("DQ-52", "Parent and children mismatch on volume", (8,), ["facts"], within=("market_key", "period_id"), measure="volume", limit=0.0)
 def parent_mismatch(f: Frames, p: dict) -> DataFrame:
-    """Parents whose value is off from the sum of their children by more than `limit` percent."""
+    """Parents whose value is off from the sum of their children by more than `limit` percent; off a parent of 0, by anything."""
     within, m = list(p["within"]), p["measure"]
     kids = f["facts"].where("parent_path IS NOT NULL").groupBy(*within, F.col("parent_path").alias("path")).agg(F.sum(m).alias("children"))
     both = f["facts"].select(*within, "path", F.col(m).alias("parent")).join(kids, [*within, "path"])
-    gap = F.abs(ratio(F.col("parent") - F.col("children"), F.col("parent"))) * 100
-    return both.where(gap > p["limit"])
+    off = F.col("parent") - F.col("children")
+    gap = F.when(F.col("parent") == 0, off != 0).otherwise(F.abs(ratio(off, F.col("parent"))) * 100 > p["limit"])
+    return both.where(gap)
 
 
 @rule("DQ-53", "Top level mismatch between hierarchies", (8,), ["facts"], within=("market_key", "period_id"), measure="volume")

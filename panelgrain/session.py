@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -54,8 +56,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder shared by all executors")
-        folder = _LOCAL.setdefault("folder", "") or tempfile.mkdtemp(prefix="panelgrain-")
-        _LOCAL["folder"] = folder
+        if "folder" not in _LOCAL:
+            _LOCAL["folder"] = tempfile.mkdtemp(prefix="panelgrain-")
+            atexit.register(shutil.rmtree, _LOCAL["folder"], ignore_errors=True)
+        folder = _LOCAL["folder"]
     return folder.rstrip("/")
 
 

@@ -7,7 +7,8 @@ executor only repeats its tasks.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+import uuid
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -74,6 +75,12 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return kept.unionByName(conform(source, target.schema))
 
 
+def _no_repeats(df: DataFrame, keys: Sequence[str]) -> None:
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("n")).where("n > 1").limit(3).collect()
+    if repeated:
+        raise ValueError(f"source keys occur more than once: {[tuple(r)[:-1] for r in repeated]}")
+
+
 def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
     """Update matched rows, insert the others, rewriting only the partitions that source touches.
 
@@ -85,6 +92,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
     target = spark.read.parquet(path)
     with _staging(spark) as stage:
         incoming = stage(conform(source, target.schema), "in")
+        _no_repeats(incoming, keys)
         touched = target.join(incoming.select(*partition_by).distinct(), list(partition_by), "left_semi")
         write_partitions(stage(upserted(touched, incoming, keys), "out"), path, partition_by)
 
@@ -103,27 +111,66 @@ def change_set(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def sync(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
-    """Make the table equal to source (upsert plus delete of absent rows); returns what changed."""
+    """Make the table equal to source (upsert plus delete of absent rows); returns what changed.
+
+    The table keeps its partition columns. The new state is written beside it first and takes its
+    place by two renames, so a failure leaves the old table or the whole new one.
+    """
     target = spark.read.parquet(path)
+    layout = partition_columns(spark, path)
     with _staging(spark) as stage:
         incoming = stage(conform(source, target.schema), "in")
         changes = _staged(change_set(target, incoming, keys), "changes")
-        incoming.write.mode("overwrite").parquet(path)
+        fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+        writer = incoming.hint("rebalance", *layout).write.partitionBy(*layout) if layout else incoming.write
+        writer.parquet(fresh)
+        _replace(spark, path.rstrip("/"), fresh)
     return changes
 
 
-def _folders(rows: DataFrame) -> list[str]:
-    """Partition folders the rows lie in; one entry per partition, never per row."""
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """The partition columns of a stored table, read off its folders' names from the top down."""
+    files, folder = _file_system(spark, path)
+    found = []
+    while folder is not None:
+        inner = [s.getPath() for s in files.listStatus(folder) if s.isDirectory() and "=" in s.getPath().getName()]
+        folder = inner[0] if inner else None
+        if folder is not None:
+            found.append(spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(folder.getName().split("=")[0]))
+    return found
+
+
+def _replace(spark: SparkSession, path: str, fresh: str) -> None:
+    files, now = _file_system(spark, path)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh}-old")
+    for a, b in ((now, old), (spark._jvm.org.apache.hadoop.fs.Path(fresh), now)):
+        if not files.rename(a, b):
+            raise OSError(f"could not move {a.toString()} to {b.toString()}")
+    _remove_folders(spark, [f"{fresh}-old"])
+
+
+def _folder() -> Column:
+    """The folder a row lies in, as a plain path: Spark shows paths URL-encoded; a plus sign is no blank there."""
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    return [r[0] for r in rows.select(folder.alias("folder")).distinct().collect()]
+    return F.url_decode(F.regexp_replace(folder, r"\+", "%2B")).alias("folder")
 
 
-def _remove_folders(spark: SparkSession, folders: Sequence[str]) -> None:
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
+def _remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete the folders; one that is there and cannot be deleted is an error."""
     for folder in folders:
-        path = path_class(folder)
-        path.getFileSystem(conf).delete(path, True)
+        files, where = _file_system(spark, folder)
+        if not files.delete(where, True) and files.exists(where):
+            raise OSError(f"could not delete {folder}")
+
+
+def _listed(folders: DataFrame) -> Iterable[str]:
+    """Folder names one by one, a task's worth in memory at a time; they are metadata, one per partition."""
+    return (r.folder for r in folders.toLocalIterator())
 
 
 def drop_partitions(spark: SparkSession, path: str, condition: Column, partition_by: Sequence[str]) -> DataFrame:
@@ -132,9 +179,25 @@ def drop_partitions(spark: SparkSession, path: str, condition: Column, partition
     The condition prunes the scan and no data column is read. Other partitions keep their files.
     """
     doomed = spark.read.parquet(path).where(condition)
-    removed = _staged(doomed.groupBy(*partition_by).agg(F.count("*").alias("rows")), "dropped")
-    _remove_folders(spark, _folders(doomed))
-    return removed
+    return _drop(spark, doomed, partition_by)
+
+
+def _drop(spark: SparkSession, doomed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Delete the folders of the given rows of a table; one scan, without data columns, counts them and names the folders."""
+    removed = _staged(doomed.select(*partition_by, _folder()).groupBy(*partition_by, "folder").agg(F.count("*").alias("rows")), "dropped")
+    _remove_folders(spark, _listed(removed))
+    return removed.groupBy(*partition_by).agg(F.sum("rows").alias("rows"))
+
+
+def drop_before(spark: SparkSession, path: str, limits: DataFrame, on: Sequence[str], column: str, limit: str, partition_by: Sequence[str]) -> DataFrame:
+    """Remove the partitions whose `column` lies before the `limit` of their `on` columns; returns what was removed.
+
+    `limits` has a row per `on` values, such as a contract; all of them are handled by one join on partition values.
+    """
+    bounds = limits.select(*[F.col(c).alias(f"_{c}") for c in on], F.col(limit).alias("_limit"))
+    table = spark.read.parquet(path)
+    same = [F.col(c) == F.col(f"_{c}") for c in on]
+    return _drop(spark, table.select(*partition_by, "_metadata").join(bounds, [*same, F.col(column) < F.col("_limit")], "left_semi"), partition_by)
 
 
 def delete_rows(spark: SparkSession, path: str, listed: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> None:
@@ -149,9 +212,9 @@ def delete_rows(spark: SparkSession, path: str, listed: DataFrame, keys: Sequenc
         hit = stage(target.join(wanted, list(keys), "left_semi").select(*by).distinct(), "hit")
         stays = stage(target.join(hit, by, "left_semi").join(wanted, list(keys), "left_anti"), "stays")
         emptied = hit.join(stays.select(*by).distinct(), by, "left_anti")
-        folders = _folders(target.select("*", "_metadata").join(emptied, by, "left_semi"))
+        folders = stage(target.select("*", "_metadata").join(emptied, by, "left_semi").select(_folder()).distinct(), "folders")
         write_partitions(stays, path, by)
-        _remove_folders(spark, folders)
+        _remove_folders(spark, _listed(folders))
 
 
 def replace_run(spark: SparkSession, df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:

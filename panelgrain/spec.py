@@ -6,6 +6,8 @@ from dataclasses import dataclass, field
 
 MEASURES_PER_LINE = 20
 MAX_MEASURES = 100
+# Columns that a table of measures may have.
+MAX_COLUMNS = 2000
 MAX_LEVELS = 9
 MAX_ATTRIBUTE_CODES = 11
 FIRST_KEY = 1_000_001

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from panelgrain.operators.lookup import like_hits
+
 # Contract states that accept deliveries, and size limits in bytes.
 ACTIVE_STATES = (2, 3)
 SMALL_BELOW, MEDIUM_BELOW = 1 << 30, 3 << 30
@@ -19,20 +21,13 @@ def route(files: DataFrame, contracts: DataFrame) -> DataFrame:
     """Each file with exactly one matching contract is accepted with its job and size class; files with
     none or several matches are rejected.
 
-    `files` holds name and size. A pattern's text before its first wildcard is equi-joined with the
-    prefixes of the file name and LIKE checks the rest, so files meet only patterns that start like
-    them. Matches are counted per name.
+    `files` holds name and size. Files meet only patterns that start like them, or end like them where a
+    pattern starts with a wildcard (see `like_hits`). Matches are counted per name.
     """
     active = contracts.where(F.col("status").isin(*ACTIVE_STATES))
-    rules = active.select(
-        F.lower("file_pattern").alias("_pattern"),
-        F.regexp_extract(F.lower("file_pattern"), r"^[^%_]*", 0).alias("_prefix"),
-        "contract_id",
-        "job_id",
-    )
-    names = files.select("name").distinct().withColumn("_name", F.lower("name"))
-    prefixes = names.withColumn("_n", F.explode(F.sequence(F.lit(0), F.length("_name")))).withColumn("_prefix", F.expr("left(_name, _n)"))
-    hits = prefixes.join(rules, "_prefix").where(F.expr("_name LIKE _pattern"))
+    rules = active.select(F.lit(1).alias("_all"), F.lower("file_pattern").alias("_pattern"), "contract_id", "job_id")
+    names = files.select(F.lit(1).alias("_all"), "name", F.lower("name").alias("_name")).distinct()
+    hits = like_hits(names, rules, ["_all"], "_name", "_pattern")
     matched = hits.groupBy("name").agg(
         F.count("*").alias("matches"), F.min("contract_id").alias("contract_id"), F.min("job_id").alias("job_id")
     )

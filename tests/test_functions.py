@@ -100,7 +100,7 @@ def test_ordered_numbers_of_nothing(spark):
 @given(keys=st.sets(st.text(alphabet="abc123", min_size=1, max_size=6), min_size=1, max_size=40))
 def test_hashed_numbers_are_dense_and_stable(spark, keys):
     df = spark.createDataFrame([(k,) for k in sorted(keys)], "k string")
-    first = rows(N.hashed_numbers(df, F.col("k"), "n"))
-    again = rows(N.hashed_numbers(df.repartition(3), F.col("k"), "n"))
+    first = rows(N.hashed_numbers(df, ["k"], "n"))
+    again = rows(N.hashed_numbers(df.repartition(3), ["k"], "n"))
     assert first == again
     assert sorted(n for _, n in first) == list(range(1, len(keys) + 1))

@@ -85,7 +85,7 @@ def test_publication_replaces_only_delivered_partitions(spark, tmp_path):
     path = str(tmp_path / "fact_mth")
     PUB.publish_facts(spark, fact(spark, (3, 1, DAY(2020, 1, 31), 1, 1.0), (3, 1, DAY(2024, 1, 31), 1, 1.0), (3, 2, DAY(2020, 1, 31), 1, 1.0)), path)
     before = files(path)
-    PUB.publish_facts(spark, fact(spark, (3, 1, DAY(2024, 1, 31), 2, 5.0)), path, keep_from="2023-01-01")
+    PUB.publish_facts(spark, fact(spark, (3, 1, DAY(2024, 1, 31), 2, 5.0)), path, spark.createDataFrame([(3, 1, "2023-01-01")], "source_id int, contract_id int, keep_from string"))
     got = rows(spark.read.parquet(path), "contract_id", "period_end", "product_key")
     assert got == [(1, DAY(2024, 1, 31), 2), (2, DAY(2020, 1, 31), 1)]
     after = files(path)
