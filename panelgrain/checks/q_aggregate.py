@@ -295,6 +295,17 @@ def rsh03(spark, d):
     return stitched.select(*keys, *[F.col(f"measure_{k}").cast("double").alias(f"measure_{k}") for k in shown])
 
 
+@query(
+    "rsh03_surplus_lines",
+    """SELECT l_orderkey, l_linenumber, line, CAST(r AS INTEGER) AS line_rank FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, line) AS r
+       FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem), (SELECT CAST(unnest([1, 2, 3]) AS INTEGER) AS line)) WHERE r > 5""",
+)
+def rsh03_surplus(spark, d):
+    """Whole orders as records: from the sixth line on there is no measure for a line."""
+    lines = physical_lines(spark, d)
+    return R.surplus_lines(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "line"], SLOTS).select("l_orderkey", "l_linenumber", "line", "line_rank")
+
+
 @query(
     "rsh04_delimited_clean",
     """SELECT l_orderkey, l_linenumber, CASE WHEN l_tax = 0 OR l_linenumber = 1 THEN NULL ELSE round(l_tax, 2) END AS measure_1, CASE WHEN l_discount < 0.05 THEN NULL ELSE round(l_discount, 2) END AS measure_2

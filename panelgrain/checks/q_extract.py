@@ -71,17 +71,17 @@ def ext02(spark, d):
 @query(
     "ext03_fact_delimited",
     """SELECT l_orderkey AS line_num, CAST(l_suppkey AS VARCHAR) AS market_code, CAST(l_partkey AS VARCHAR) AS product_code, strftime(l_shipdate, '%Y%m') AS period_code,
-       CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS measure_1, CAST(l_linenumber AS VARCHAR) AS measure_100, CAST(101 AS BIGINT) AS contract_id
+       CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS measure_1, CAST(l_linenumber AS VARCHAR) AS measure_100, l_returnflag AS measure_102, CAST(101 AS BIGINT) AS contract_id
        FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_type = 'PROMO')""",
 )
 def ext03(spark, d):
     item = P.table(spark, d, "lineitem")
-    text = {1: F.col("l_suppkey"), 2: F.col("l_partkey"), 3: F.date_format("l_shipdate", "yyyyMM"), 4: F.col("l_quantity").cast("int"), 103: F.col("l_linenumber")}
-    raw = item.select(F.col("l_orderkey").alias("line_num"), *[text.get(i, F.lit(None)).cast("string").alias(f"col{i}") for i in range(1, 104)])
-    tags = item.sparkSession.createDataFrame([tuple([None, "MKT_TAG", "PROD_TAG", "PER_TAG"] + [None] * 100)], raw.schema)
+    text = {1: F.col("l_suppkey"), 2: F.col("l_partkey"), 3: F.date_format("l_shipdate", "yyyyMM"), 4: F.col("l_quantity").cast("int"), 103: F.col("l_linenumber"), 105: F.col("l_returnflag")}
+    raw = item.select(F.col("l_orderkey").alias("line_num"), *[text.get(i, F.lit(None)).cast("string").alias(f"col{i}") for i in range(1, 106)])
+    tags = item.sparkSession.createDataFrame([tuple([None, "MKT_TAG", "PROD_TAG", "PER_TAG"] + [None] * 102)], raw.schema)
     invalid = P.table(spark, d, "part").where("p_type = 'PROMO'").select(F.col("p_partkey").cast("string").alias("product_code"))
     facts = E.extract_delimited_facts(raw.unionByName(tags), SPEC, invalid)
-    return facts.select("line_num", "market_code", "product_code", "period_code", "measure_1", "measure_100", "contract_id")
+    return facts.select("line_num", "market_code", "product_code", "period_code", "measure_1", "measure_100", "measure_102", "contract_id")
 
 
 def named_lines(spark, d, layout, letter=None, code=None, attributes=None, key=None, name=None):
@@ -143,16 +143,16 @@ def ext06_order(spark, d):
 
 @query(
     "ext07_split_attributes",
-    """SELECT p_partkey, level, attribute_0, attribute_9, attribute_10, CASE WHEN level = 9 THEN attributes || ' ' || p_name ELSE attributes END AS match_path FROM (
+    """SELECT p_partkey, level, attribute_0, attribute_9, attribute_10, more_attributes, CASE WHEN level = 9 THEN attributes || ' ' || p_name ELSE attributes END AS match_path FROM (
        SELECT p_partkey, p_name, attributes, len(string_split(attributes, ' ')) - 1 AS level, string_split(attributes, ' ')[1] AS attribute_0, string_split(attributes, ' ')[10] AS attribute_9,
-       string_split(attributes, ' ')[11] AS attribute_10
-       FROM (SELECT p_partkey, p_name, CASE WHEN p_size > 25 THEN '1 2 3 4 5 6 7 8 9 ' || p_brand ELSE '1 ' || p_type END AS attributes FROM part))""",
+       string_split(attributes, ' ')[11] AS attribute_10, CASE WHEN p_size > 40 THEN '12 13' END AS more_attributes
+       FROM (SELECT p_partkey, p_name, p_size, CASE WHEN p_size > 40 THEN '1 2 3 4 5 6 7 8 9 10 11 12 13' WHEN p_size > 25 THEN '1 2 3 4 5 6 7 8 9 ' || p_brand ELSE '1 ' || p_type END AS attributes FROM part))""",
 )
 def ext07(spark, d):
     deep = F.concat(F.lit("1 2 3 4 5 6 7 8 9 "), F.col("p_brand"))
-    rows = P.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), F.when(F.col("p_size") > 25, deep).otherwise(F.concat(F.lit("1 "), F.col("p_type"))).alias("attributes"))
+    rows = P.table(spark, d, "part").select("p_partkey", F.col("p_name").alias("name"), F.when(F.col("p_size") > 40, " ".join(str(i) for i in range(1, 14))).when(F.col("p_size") > 25, deep).otherwise(F.concat(F.lit("1 "), F.col("p_type"))).alias("attributes"))
     out = E.add_match_path(E.split_attributes(rows), 9)
-    return out.select("p_partkey", F.col("level").cast("long").alias("level"), "attribute_0", "attribute_9", "attribute_10", "match_path")
+    return out.select("p_partkey", F.col("level").cast("long").alias("level"), "attribute_0", "attribute_9", "attribute_10", "more_attributes", "match_path")
 
 
 @query("ext08_measure_fixed_a", "SELECT p_partkey, CAST(p_partkey AS VARCHAR) AS code, p_name AS name FROM part")

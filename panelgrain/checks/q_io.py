@@ -45,8 +45,8 @@ def src01_text(spark, d):
 
 @query(
     "src02_wide_facts",
-    """SELECT CAST(l_suppkey AS VARCHAR) AS col1, CAST(l_partkey AS VARCHAR) AS col2, CAST(l_linenumber AS VARCHAR) AS col4, CAST(NULL AS VARCHAR) AS col103 FROM lineitem
-       UNION ALL SELECT 'MKT_TAG', 'PROD_TAG', 'm1', NULL""",
+    """SELECT CAST(l_suppkey AS VARCHAR) AS col1, CAST(l_partkey AS VARCHAR) AS col2, CAST(l_linenumber AS VARCHAR) AS col4, CAST(NULL AS VARCHAR) AS col103, CASE WHEN l_linenumber = 2 THEN 105 END AS surplus FROM lineitem
+       UNION ALL SELECT 'MKT_TAG', 'PROD_TAG', 'm1', NULL, NULL""",
 )
 def src02(spark, d):
     item = P.table(spark, d, "lineitem")
@@ -54,7 +54,12 @@ def src02(spark, d):
     rows = item.select(*[(F.col(text[i]) if i in text else F.lit(None)).cast("string").alias(f"col{i}") for i in range(1, 104)])
     words = list(R.SFF3_WORDS.values())
     header = spark.createDataFrame([tuple([*words, "m1"] + [None] * 99)], rows.schema)
-    return R.read_wide_facts(spark, written(spark, rows.unionByName(header), "wide", "csv"), "SFF3").select("col1", "col2", "col4", "col103")
+    # Some lines have two columns too many.
+    cells = [F.coalesce(F.col(f"col{i}"), F.lit("")) for i in range(1, 104)]
+    tail = F.when(F.col("col4") == "2", F.lit(",x,y")).otherwise("")
+    lines = rows.unionByName(header).select(F.concat(F.concat_ws(",", *cells), tail).alias("value"))
+    facts = R.read_wide_facts(spark, written(spark, lines, "wide", "text"), "SFF3")
+    return facts.select("col1", "col2", "col4", "col103", F.size(F.split("surplus", ",")).alias("surplus")).withColumn("surplus", F.when(F.col("surplus") > 0, F.col("surplus")))
 
 
 @query(

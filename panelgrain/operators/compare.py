@@ -68,30 +68,27 @@ def share_of_top(facts: DataFrame, within: Sequence[str], path: str, top_depth:
     return joined.withColumns({f"{m}_share": share(F.col(m), F.col(f"{m}_top")) for m in measures})
 
 
-def period_roles(periods: DataFrame) -> DataFrame:
-    """(period id, target id, role): which periods a fact's period serves as current, previous, year ago."""
-    roles = {"now": "period_id", "pp": "prev_id", "ya": "year_ago_id"}
-    served = F.array(*[F.struct(F.col(c).alias("period_id"), F.col("period_id").alias("target_id"), F.lit(r).alias("role")) for r, c in roles.items()])
-    return periods.select(F.explode(served).alias("r")).select("r.*").where(F.col("period_id").isNotNull())
-
-
 def period_sides(
     facts: DataFrame, periods: DataFrame, keys: Sequence[str], measures: Sequence[str], carry: Sequence[str] = ()
 ) -> DataFrame:
     """Each fact with the previous period's (`_pp`) and year-ago (`_ya`) measures.
 
-    Instead of joining the fact with itself twice, every row is sent to the periods it serves and one
-    aggregation on (keys, period) lines the sides up: the fact is read once and shuffled once. Keys
-    must be unique per period. `carry` columns come from the current side only. A fact whose period
-    the calendar does not know serves itself, so it stays.
+    Facts are shuffled once, on the keys without the period: a key's rows, at most one a period, become
+    a map in which every row looks up its two other sides. Two facts of one key and period are an error.
+    `carry` columns come from the current side only. A fact whose period the calendar does not know
+    stays, without other sides.
     """
-    known = facts.join(period_roles(periods), "period_id", "left")
-    sent = known.withColumns({"target_id": F.coalesce("target_id", "period_id"), "role": F.coalesce("role", F.lit("now"))})
-    now = F.col("role") == "now"
-    picks = [F.max(F.when(now, F.col(c))).alias(c) for c in [*measures, *carry]]
-    picks += [F.max(F.when(F.col("role") == s, F.col(m))).alias(f"{m}_{s}") for s in ("pp", "ya") for m in measures]
-    lined = sent.groupBy(*keys, F.col("target_id").alias("period_id")).agg(F.max(now).alias("_now"), *picks)
-    return lined.where("_now").drop("_now")
+    calendar = periods.select("period_id", "prev_id", "year_ago_id").where(F.col("period_id").isNotNull()).dropDuplicates(["period_id"])
+    known = facts.join(calendar, "period_id", "left")
+    rows = F.collect_list(F.struct("period_id", "prev_id", "year_ago_id", *carry, *measures))
+    packed = known.groupBy(*keys).agg(rows.alias("_rows"))
+    named = F.filter("_rows", lambda r: r["period_id"].isNotNull())
+    repeated = F.size(named) > F.size(F.array_distinct(F.transform(named, lambda r: r["period_id"])))
+    once = F.when(repeated, F.raise_error(F.lit("two facts of one key and period")).cast("boolean")).otherwise(True)
+    by_period = F.map_from_entries(F.transform(named, lambda r: F.struct(r["period_id"], F.struct(*[r[m].alias(m) for m in measures]))))
+    lined = packed.where(once).select(*keys, by_period.alias("_sides"), F.explode("_rows").alias("_r"))
+    sides = [F.try_element_at("_sides", F.col(f"_r.{c}"))[m].alias(f"{m}_{s}") for s, c in (("pp", "prev_id"), ("ya", "year_ago_id")) for m in measures]
+    return lined.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in ("period_id", *measures, *carry)], *sides)
 
 
 def indexes(facts: DataFrame, measures: Sequence[str], policy: PeriodPolicy = PeriodPolicy()) -> DataFrame:

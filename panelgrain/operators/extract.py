@@ -71,10 +71,11 @@ def extract_delimited(df: DataFrame, layout: DelimitedLayout) -> DataFrame:
 
 
 def split_attributes(df: DataFrame, attributes: str = "attributes") -> DataFrame:
-    """Positional codes 0..10 (null past the end) and the level, which is tokens - 1."""
+    """Positional codes 0..10 (null past the end), codes past the eleventh as one text, and the level, which is tokens - 1."""
     tokens = F.split(F.col(attributes), " ")
     codes = {f"attribute_{i}": F.get(tokens, F.lit(i)) for i in range(MAX_ATTRIBUTE_CODES)}
-    return df.withColumns({**codes, "level": F.size(tokens) - 1})
+    more = F.when(F.size(tokens) > MAX_ATTRIBUTE_CODES, F.array_join(F.slice(tokens, MAX_ATTRIBUTE_CODES + 1, F.size(tokens)), " "))
+    return df.withColumns({**codes, "more_attributes": more, "level": F.size(tokens) - 1})
 
 
 def add_match_path(df: DataFrame, deepest: Column | int, attributes: str = "attributes", name: str = "name") -> DataFrame:
@@ -139,14 +140,14 @@ def extract_measures(lines: DataFrame, layout: FixedLayout | DelimitedLayout) ->
 
 
 def extract_delimited_facts(df: DataFrame, contract: ContractSpec, invalid_products: DataFrame | None = None) -> DataFrame:
-    """Wide delimited facts: drop empty and header rows, name keys and measures 1..100, add ids,
-    and leave out products of invalid hierarchies."""
-    columns = [c for c in df.columns if c != "line_num"][: L.FACT_WIDTH]
+    """Wide delimited facts: drop empty and header rows, name keys and measures 1..n, add ids,
+    and leave out products of invalid hierarchies. `line_num` and `surplus` pass through."""
+    beside = [c for c in ("line_num", "surplus") if c in df.columns]
+    columns = [c for c in df.columns if c not in beside]
     rows = keep_any_value(df, columns)
     keys = [F.col(c).alias(k) for c, k in zip(columns, L.FACT_KEYS)]
     measures = [F.col(c).alias(f"measure_{i}") for i, c in enumerate(columns[3:], start=1)]
-    line = [F.col("line_num")] if "line_num" in df.columns else []
-    facts = add_ids(drop_tag_rows(rows.select(*keys, *measures, *line), L.FACT_TAGS), contract)
+    facts = add_ids(drop_tag_rows(rows.select(*keys, *measures, *beside), L.FACT_TAGS), contract)
     if invalid_products is None:
         return facts
     return facts.join(invalid_products.select("product_code").distinct(), "product_code", "left_anti")

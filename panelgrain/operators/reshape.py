@@ -50,7 +50,7 @@ def stitch_lines(
     """Physical lines of 20 slots to one row per record; `keep` columns come from the first line.
 
     Measure k sits on the record's line ceil(k/20) in slot ((k-1) mod 20)+1. Lines are ranked per
-    record; ranks beyond the last line that can hold a measure carry none (DQ-17 reports them), so
+    record; ranks beyond the last line that can hold a measure carry none (`surplus_lines` returns them), so
     the rank is bounded and every task keeps at most five lines of a record before the shuffle. The
     first line then looks ahead to the others in the same sorted partition: one shuffle, one sort.
     Texts are shuffled and only the cells that hold a measure are parsed.
@@ -71,6 +71,20 @@ def stitch_lines(
     return keep_any_value(stitched, [f"measure_{k}" for k in measures])
 
 
+def surplus_lines(
+    facts: DataFrame, keys: Sequence[str], order: Sequence[str], slots: Sequence[str], measures: Sequence[int] = tuple(range(1, MAX_MEASURES + 1))
+) -> DataFrame:
+    """The physical lines that `stitch_lines` has no place for, with their rank in the record.
+
+    Records are counted first, so only those with too many lines are sorted.
+    """
+    last_line = (max(measures) - 1) // len(slots) + 1
+    full = facts.groupBy(*keys).agg(F.count("*").alias("_lines")).where(F.col("_lines") > last_line).select(*keys)
+    same = [facts[k].eqNullSafe(full[k]) for k in keys]
+    ranked = facts.join(full, same, "left_semi").withColumn("line_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return ranked.where(F.col("line_rank") > last_line)
+
+
 def clean_delimited_facts(facts: DataFrame, measures: Sequence[str]) -> DataFrame:
     """Leading-separator texts get a zero, measures become decimals, rows without any text go.
 

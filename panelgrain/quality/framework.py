@@ -29,6 +29,8 @@ GROUPS = {
 
 Frames = dict[str, DataFrame]
 RuleFunction = Callable[[Frames, dict], DataFrame]
+# How many offences a row of the rule's first frame holds.
+RowCount = Callable[[DataFrame, dict], Column]
 
 RESULT = T.StructType(
     [
@@ -54,6 +56,7 @@ class Rule:
     needs: tuple[str, ...]
     word: str | None = None
     defaults: dict = field(default_factory=dict)
+    per_row: RowCount | None = None
 
     def offending(self, frames: Frames, **params) -> DataFrame:
         missing = [n for n in self.needs if n not in frames]
@@ -66,13 +69,17 @@ class Rule:
 REGISTRY: dict[str, Rule] = {}
 
 
-def rule(rule_id: str, name: str, groups: Iterable[int], needs: Iterable[str], word: str | None = None, **defaults):
-    """Register a rule function; users add their own the same way."""
+def rule(rule_id: str, name: str, groups: Iterable[int], needs: Iterable[str], word: str | None = None, per_row: RowCount | None = None, **defaults):
+    """Register a rule function; users add their own the same way.
+
+    A rule that looks at one row at a time may give `per_row` as well: all such rules of a table are
+    counted in one scan of it.
+    """
 
     def add(find: RuleFunction) -> RuleFunction:
         if rule_id in REGISTRY:
             raise ValueError(f"rule {rule_id} exists")
-        REGISTRY[rule_id] = Rule(rule_id, name, tuple(groups), find, tuple(needs), word, defaults)
+        REGISTRY[rule_id] = Rule(rule_id, name, tuple(groups), find, tuple(needs), word, defaults, per_row)
         return find
 
     return add
@@ -99,8 +106,24 @@ def result_row(found: DataFrame, rule_: Rule, run_id: int, group: int, at: Colum
 
 
 def evaluate(rules: Sequence[Rule], frames: Frames, run_id: int, group: int, at: Column, **params) -> DataFrame:
-    """Results of several rules as one frame: one job evaluates the whole group."""
-    return union_all([result_row(r.offending(frames, **params.get(r.rule_id, {})), r, run_id, group, at) for r in rules])
+    """Results of several rules as one frame.
+
+    Rules that look at single rows are counted together, one scan for each table; others have a plan each.
+    """
+    alone = [r for r in rules if r.per_row is None or r.needs[0] not in frames]
+    parts = [result_row(r.offending(frames, **params.get(r.rule_id, {})), r, run_id, group, at) for r in alone]
+    by_table: dict[str, list[Rule]] = {}
+    for r in rules:
+        if r not in alone:
+            by_table.setdefault(r.needs[0], []).append(r)
+    for table, together in by_table.items():
+        frame = frames[table]
+        sums = [F.coalesce(F.sum(r.per_row(frame, {**r.defaults, **params.get(r.rule_id, {})})), F.lit(0)).cast("long").alias(r.rule_id) for r in together]
+        named = [F.struct(F.lit(r.rule_id).alias("rule_id"), F.lit(r.name).alias("rule_name"), F.col(f"`{r.rule_id}`").alias("offending")) for r in together]
+        rows = frame.agg(*sums).select(F.explode(F.array(*named)).alias("r")).select("r.*")
+        word = F.when(F.col("offending") == 0, PASSED).otherwise(FAILED)
+        parts.append(rows.select(F.lit(run_id).cast("long").alias("run_id"), "rule_id", F.lit(group).alias("group_id"), "rule_name", word.alias("result"), "offending", at.alias("created_at")))
+    return union_all(parts)
 
 
 def save_details(rule_: Rule, frames: Frames, path: str, **params) -> None:

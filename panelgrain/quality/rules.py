@@ -52,10 +52,17 @@ def _shared(rows: DataFrame, keys: Sequence[str], of: str, name: str) -> DataFra
 # ---------------------------------------------------------------- file structure
 
 
-@rule("DQ-01", "Bad fact data format", (1, 5), ["facts"])
+def _measures(facts: DataFrame) -> list[str]:
+    return [c for c in facts.columns if c.startswith("measure_")]
+
+
+def _bad_measures(facts: DataFrame, p: dict) -> Column:
+    return reduce(lambda a, b: a + b, [F.coalesce(is_bad_measure(F.col(c)).cast("int"), F.lit(0)) for c in _measures(facts)], F.lit(0))
+
+
+@rule("DQ-01", "Bad fact data format", (1, 5), ["facts"], per_row=_bad_measures)
 def bad_fact_format(f: Frames, p: dict) -> DataFrame:
-    names = [c for c in f["facts"].columns if c.startswith("measure_")]
-    return bad_values(f["facts"], ["line_num"], names, is_bad_measure)
+    return bad_values(f["facts"], ["line_num"], _measures(f["facts"]), is_bad_measure)
 
 
 @rule("DQ-02", "Missing mandatory columns", (1,), ["column_map", "columns"])
@@ -268,7 +275,11 @@ def all_zero(f: Frames, p: dict) -> DataFrame:
     return f["facts"].groupBy(p["key"]).agg(F.max(largest).alias("_largest")).where("_largest = 0").drop("_largest")
 
 
-@rule("DQ-36", "Unknown attribute value", (6,), ["attribute_cells"])
+def _where(condition: str):
+    return lambda rows, p: F.coalesce(F.expr(condition).cast("int"), F.lit(0))
+
+
+@rule("DQ-36", "Unknown attribute value", (6,), ["attribute_cells"], per_row=_where("code IS NOT NULL AND value_name IS NULL"))
 def unknown_value(f: Frames, p: dict) -> DataFrame:
     return f["attribute_cells"].where("code IS NOT NULL AND value_name IS NULL")
 
@@ -305,12 +316,12 @@ def area_status(f: Frames, p: dict) -> DataFrame:
     return delivered_status(f["markets"], f["last_markets"], [p["key"]])
 
 
-@rule("DQ-40", "Unknown period", (2, 6), ["mapped_periods"])
+@rule("DQ-40", "Unknown period", (2, 6), ["mapped_periods"], per_row=_where("period_id IS NULL"))
 def unknown_period(f: Frames, p: dict) -> DataFrame:
     return f["mapped_periods"].where("period_id IS NULL")
 
 
-@rule("DQ-41", "Unknown market", (6,), ["mapped_markets"])
+@rule("DQ-41", "Unknown market", (6,), ["mapped_markets"], per_row=_where("market_key IS NULL"))
 def unknown_market(f: Frames, p: dict) -> DataFrame:
     return f["mapped_markets"].where("market_key IS NULL")
 
@@ -375,7 +386,7 @@ def backdata_difference(f: Frames, p: dict) -> DataFrame:
     return _limits(f["comparison"], f["thresholds"]).where(_beyond(f"{p['measure']}_ipd", "delivery_limit"))
 
 
-@rule("DQ-51", "Negative fact values", (4, 8), ["facts"], measure="value", limit=0)
+@rule("DQ-51", "Negative fact values", (4, 8), ["facts"], per_row=lambda rows, p: F.coalesce((F.col(p["measure"]) < -abs(p["limit"])).cast("int"), F.lit(0)), measure="value", limit=0)
 def negative_values(f: Frames, p: dict) -> DataFrame:
     return f["facts"].where(F.col(p["measure"]) < -abs(p["limit"]))
 

@@ -33,12 +33,21 @@ def wide_schema(width: int = FACT_WIDTH) -> T.StructType:
 
 
 def read_wide_facts(spark: SparkSession, path: str, vendor_format: str) -> DataFrame:
-    """Headerless wide facts; the comma format's header words become the tags used downstream."""
+    """Headerless wide facts; the comma format's header words become the tags used downstream.
+
+    A line with more columns than facts have is kept whole in `surplus`, which is null for all others.
+    """
     if vendor_format not in COMMA_FORMATS + PIPE_FORMATS:
         raise ValueError(f"unknown vendor format {vendor_format!r}")
+    sep = "|" if vendor_format in PIPE_FORMATS else ","
+    shape = wide_schema()
+    reader = spark.read.schema(T.StructType([*shape.fields, T.StructField("surplus", T.StringType())]))
+    # With pruned columns the parser would not look at the end of a line.
+    raw = reader.options(sep=sep, columnNameOfCorruptRecord="surplus", columnPruning=False).csv(path)
+    # Lines that are too short are set apart as well; only long ones are a surplus.
+    raw = raw.withColumn("surplus", F.when(F.size(F.split("surplus", "[|]" if sep == "|" else sep)) > len(shape), F.col("surplus")))
     if vendor_format in PIPE_FORMATS:
-        return spark.read.csv(path, schema=wide_schema(), sep="|")
-    raw = spark.read.csv(path, schema=wide_schema(), sep=",")
+        return raw
     words = zip(("col1", "col2", "col3"), SFF3_WORDS.values(), FACT_TAGS.values())
     return raw.withColumns({c: F.regexp_replace(c, word, tag) for c, word, tag in words})
 
