@@ -39,7 +39,7 @@ def scaled(col: Column, factor: str | Decimal | float) -> Column:
     high = F.try_multiply(upper, _literal(exact.scaleb(SPLIT))).try_cast("decimal(37,10)")
     low = F.try_multiply(value % unit, _literal(exact)).try_cast("decimal(37,10)")
     wide = F.try_add(high, low).try_cast(VALUE)
-    if exact != exact.quantize(Decimal("1e-8")) or abs(exact) >= Decimal(10) ** 10:
+    if -exact.normalize().as_tuple().exponent > 8 or abs(exact) >= Decimal(10) ** 10:
         return wide
     near = F.try_multiply(value.try_cast("decimal(27,10)"), F.lit(str(exact)).cast(FACTOR)).try_cast(VALUE)
     return F.when(F.abs(value) < F.lit(Decimal(10**17)), near).otherwise(wide)

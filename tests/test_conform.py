@@ -1,5 +1,7 @@
 """Column maps and conformance."""
 
+from decimal import Decimal, localcontext
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -108,3 +110,20 @@ def test_read_multipliers(spark):
 def test_partition_columns_are_typed(spark):
     out = C.add_partition_columns(spark.range(1), ContractSpec(1, 2, 3))
     assert dict(out.dtypes)["part_source_id"] == "smallint" and dict(out.dtypes)["part_contract_id"] == "bigint"
+
+
+def test_scaling_is_exact_for_the_whole_type(spark):
+    """Large values, small factors, signs; a product beyond the type is null."""
+    cases = [("123456789012345678.5", "2"), ("0.5", "0.000000001"), ("-98765432109876543210.25", "0.1"), ("1234567890123456789012345.1", "1.5"), ("7", "-0.25"), ("999", "1000000000000")]
+    for value, factor in cases:
+        got = spark.createDataFrame([(value,)], "a string").select(M.scaled(F.col("a"), factor).alias("a")).head()[0]
+        with localcontext() as context:
+            context.prec = 60
+            assert got == (Decimal(value) * Decimal(factor)).quantize(Decimal("1e-10")), (value, factor)
+    huge = spark.createDataFrame([("9" * 27,), ("x",), (None,)], "a string")
+    assert [r[0] for r in huge.select(M.scaled(F.col("a"), "100")).collect()] == [None, None, None]
+
+
+def test_unparsable_measures_become_null(spark):
+    df = spark.createDataFrame([("1.5", "x")], "a string, b string")
+    assert [None if v is None else float(v) for v in M.scale_precision(df, {"a": 1, "b": 2}).head()] == [0.15, None]

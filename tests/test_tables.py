@@ -138,3 +138,29 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
         stream = spark.readStream.schema("name string, size long").parquet(inbox)
         ST.route_stream(stream, contracts, out, checkpoint).awaitTermination()
     assert rows(spark.read.parquet(out).drop("batch_id")) == rows(ST.route(first.unionByName(second), contracts))
+
+
+def test_upsert_refuses_repeated_keys(spark, tmp_path):
+    path = str(tmp_path / "u")
+    S.write_partitions(spark.createDataFrame([(1, "a", "x")], "k int, part string, v string"), path, ["part"])
+    twice = spark.createDataFrame([(1, "a", "y"), (1, "a", "z")], "k int, part string, v string")
+    with pytest.raises(ValueError, match="more than once"):
+        S.upsert(spark, twice, path, ["k", "part"], ["part"])
+    assert rows(spark.read.parquet(path), "k", "v") == [(1, "x")]
+
+
+def test_special_characters_in_paths(spark, tmp_path):
+    path = str(tmp_path / "a b % +")
+    frame = spark.createDataFrame([(1, "p q%"), (2, "r+s"), (3, "t=u")], "k int, part string")
+    S.write_partitions(frame, path, ["part"])
+    assert rows(S.drop_partitions(spark, path, F.col("part") == "p q%", ["part"])) == [("p q%", 1)]
+    assert rows(spark.read.parquet(path), "k") == [(2,), (3,)]
+    S.sync(spark, frame.where("k = 3"), path, ["k"])
+    assert S.partition_columns(spark, path) == ["part"] and rows(spark.read.parquet(path), "k", "part") == [(3, "t=u")]
+
+
+def test_router_reads_escapes_and_leading_wildcards(spark):
+    contracts = spark.createDataFrame([(1, 11, r"a\%b%", 2), (2, 12, "%.zip", 2), (3, 13, "%mid%", 2), (4, 14, r"x\_y", 2)], "contract_id int, job_id int, file_pattern string, status int")
+    arriving = spark.createDataFrame([("a%b1", 1), ("axb1", 1), ("one.ZIP", 1), ("a mid", 1), ("x_y", 1), ("xzy", 1)], "name string, size long")
+    got = rows(ST.route(arriving, contracts), "name", "matches", "contract_id")
+    assert got == [("a mid", 1, 3), ("a%b1", 1, 1), ("axb1", 0, None), ("one.ZIP", 1, 2), ("x_y", 1, 4), ("xzy", 0, None)]
