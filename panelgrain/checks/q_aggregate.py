@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelgrain.checks import panel as P
 from panelgrain.checks.registry import query
@@ -14,7 +15,7 @@ from panelgrain.functions.numbering import ordered_numbers
 from panelgrain.operators import dedup as D
 from panelgrain.operators import reshape as R
 from panelgrain.operators.compare import delivery_counts
-from panelgrain.operators.conform import empty_like, union_all
+from panelgrain.operators.conform import conform, empty_like, union_all
 from panelgrain.operators.extract import deepest_level
 from panelgrain.quality.framework import fail_flags
 
@@ -218,16 +219,20 @@ def set03(spark, d):
     return union_all([P.table(spark, d, t).select(F.lit(t).alias("kind"), F.col(c).alias("k")) for t, c in kinds])
 
 
-@query("set04_except", "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey FROM lineitem WHERE year(l_shipdate) = 1996")
+@query("set04_except", "SELECT p_partkey AS k FROM part EXCEPT SELECT l_partkey * 2 FROM lineitem")
 def set04(spark, d):
-    sold = P.table(spark, d, "lineitem").where(F.year("l_shipdate") == 1996).select("l_partkey")
+    sold = P.table(spark, d, "lineitem").select(F.col("l_partkey") * 2)
     return P.table(spark, d, "part").select(F.col("p_partkey").alias("k")).subtract(sold)
 
 
-@query("set05_union_conformed", "SELECT l_orderkey AS k, CAST(l_quantity AS DOUBLE) AS v FROM lineitem UNION ALL SELECT o_orderkey, o_totalprice FROM orders")
+@query("set05_union_conformed", "SELECT l_orderkey AS k, CAST(l_quantity AS DOUBLE) AS v, l_returnflag AS note FROM lineitem UNION ALL SELECT o_orderkey, TRY_CAST(o_totalprice || CASE WHEN o_orderstatus = 'P' THEN '?' ELSE '' END AS DOUBLE), NULL FROM orders")
 def set05(spark, d):
-    lines = P.table(spark, d, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_quantity").alias("v"))
-    return lines.unionByName(P.table(spark, d, "orders").select(F.col("o_totalprice").alias("v"), F.col("o_orderkey").alias("k")))
+    """Frames with other orders, types and columns; a text that is no number becomes null."""
+    shape = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.DoubleType()), T.StructField("note", T.StringType())])
+    lines = P.table(spark, d, "lineitem").select(F.col("l_returnflag").alias("NOTE"), F.col("l_quantity").alias("v"), F.col("l_orderkey").cast("string").alias("k"), "l_tax")
+    price = F.concat(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.when(F.col("o_orderstatus") == "P", "?").otherwise(""))
+    orders = P.table(spark, d, "orders").select(price.alias("v"), F.col("o_orderkey").alias("k"))
+    return union_all([conform(lines, shape), conform(orders, shape)])
 
 
 # ---------------------------------------------------------------- reshapes

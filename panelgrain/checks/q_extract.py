@@ -40,10 +40,18 @@ def fact_lines(spark, d, layout, product_width):
     return P.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", P.fixed_line(*sorted(cells, key=lambda c: c[0])).alias("value"))
 
 
-def delivered(spark, lines):
-    """The lines as a vendor file, read back the way a delivery is."""
-    path = scratch_path(spark, "delivery")
-    lines.select("value").write.text(path)
+_DELIVERED: dict[tuple, str] = {}
+
+
+def delivered(spark, lines, *key):
+    """The lines as a vendor file, read back the way a delivery is; with a key the file is written once a session."""
+    key = key and (spark.sparkContext.applicationId, *key)
+    path = _DELIVERED.get(key) if key else None
+    if path is None:
+        path = scratch_path(spark, "delivery")
+        lines.select("value").write.text(path)
+        if key:
+            _DELIVERED[key] = path
     return read_raw(spark, path, "FFS")
 
 
@@ -53,7 +61,7 @@ def delivered(spark, lines):
         strftime(l_shipdate, '%Y%m%d') AS period_code, l_returnflag AS rest, {SLOT_SQL} FROM lineitem""",
 )
 def ext01(spark, d):
-    rows = E.extract_fixed_width(delivered(spark, fact_lines(spark, d, L.FACT_A, 9)), L.FACT_A, prefix_when="N")
+    rows = E.extract_fixed_width(delivered(spark, fact_lines(spark, d, L.FACT_A, 9), "fact_a", d), L.FACT_A, prefix_when="N")
     return rows.select("market_code", "product_code", "period_code", "rest", *SHOWN)
 
 

@@ -69,7 +69,7 @@ def tier1(spark, d):
     old = {"contract_id": 101, "product_key": 0, "period_id": 0, "run_id": 1}
     stored = P.table(spark, d, "supplier").select(F.col("s_suppkey").alias("market_key"), *[F.lit(v).cast("long").alias(k) for k, v in old.items()], F.lit(1.5).cast("decimal(38,10)").alias("m1"))
     stored = stored.select("*", *[F.lit(None).cast("decimal(38,10)").alias(n) for n in NAMES[1:]], F.lit(3).cast("short").alias("part_source_id"), F.lit(101).cast("long").alias("part_contract_id"))
-    done = tier1_delivery(delivered(spark, record_lines(spark, d)), L.FACT_A, measure_columns(spark, d), markets, products, periods, IMAGE, SPEC, stored)
+    done = tier1_delivery(delivered(spark, record_lines(spark, d), "records", d), L.FACT_A, measure_columns(spark, d), markets, products, periods, IMAGE, SPEC, stored)
     return done.image.select("contract_id", "market_key", "product_key", "period_id", "run_id", *[F.col(n).cast("double").alias(n) for n in NAMES])
 
 

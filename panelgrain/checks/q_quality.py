@@ -135,10 +135,10 @@ def dq13(spark, d):
     return offending("DQ-13", periods=P.table(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("code")))
 
 
-@query("dq14_data_exists", "SELECT 'markets' AS file")
+@query("dq14_data_exists", "SELECT 'markets' AS file WHERE NOT EXISTS (SELECT 1 FROM nation WHERE n_nationkey > 100) UNION ALL SELECT 'products' WHERE NOT EXISTS (SELECT 1 FROM part WHERE p_size > 10)")
 def dq14(spark, d):
-    none = P.table(spark, d, "nation").where("n_regionkey < 0")
-    return offending("DQ-14", facts=P.table(spark, d, "lineitem"), markets=none, products=P.table(spark, d, "part"))
+    none = P.table(spark, d, "nation").where("n_nationkey > 100")
+    return offending("DQ-14", facts=P.table(spark, d, "lineitem"), markets=none, products=P.table(spark, d, "part").where("p_size > 10"))
 
 
 @query(
@@ -166,9 +166,12 @@ def dq17(spark, d):
     return offending("DQ-17", facts=P.table(spark, d, "lineitem"), params={"keys": ("l_orderkey",), "measures": 67})
 
 
-@query("dq18_too_many_measures", "SELECT l_orderkey * 10 + l_linenumber AS line_num, l_returnflag AS rest FROM lineitem")
+@query("dq18_too_many_measures", "SELECT l_orderkey * 10 + l_linenumber AS line_num, l_returnflag AS rest FROM lineitem WHERE l_returnflag <> 'N'")
 def dq18(spark, d):
-    lines = fact_lines(spark, d, L.FACT_A, 9).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_num"), "value")
+    """Lines that end after the last slot are fine, whether blank or cut off there."""
+    end = L.FACT_A.tail.start - 1
+    kept = F.when(F.substring("value", end + 1, 1) != "N", F.col("value")).when(F.col("l_linenumber") == 1, F.substring("value", 1, end)).otherwise(F.rpad(F.substring("value", 1, end), end + 9, " "))
+    lines = fact_lines(spark, d, L.FACT_A, 9).select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_num"), kept.alias("value"))
     return offending("DQ-18", facts=extract_fixed_width(lines, L.FACT_A))
 
 
