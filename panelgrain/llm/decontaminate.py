@@ -18,7 +18,7 @@ THRESHOLD = 0.55
 GRAM, LIKE, PART = 5, 0.75, 0.5
 BLOCK = 8
 # One index holds at most this many bytes of items; more items are searched index by index.
-MOST_BYTES = 8 << 20
+MOST_BYTES = 2 << 20
 U64 = K.U64
 
 
