@@ -59,8 +59,13 @@ def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str,
     prefix, suffix = unescaped(raw), unescaped(F.regexp_extract(pattern, f"{plain}$", 0))
     by_end = (prefix == "") & (suffix != "")
     keyed = rules.withColumns({"_prefix": prefix, "_wild": F.length(raw) < F.length(pattern), "_end": by_end, "_key": F.when(by_end, suffix).otherwise(prefix)})
-    lengths = keyed.groupBy(*on).agg(F.collect_set(F.struct(F.col("_end").alias("end"), F.length("_key").alias("n"))).alias("_sizes"))
-    probes = codes.join(lengths, list(on)).withColumn("_size", F.explode("_sizes")).where(F.col("_size.n") <= F.length(code))
+    size = F.struct(F.col("_end").alias("end"), F.length("_key").alias("n"))
+    if on:
+        sized = codes.join(keyed.groupBy(*on).agg(F.collect_set(size).alias("_sizes")), list(on))
+    else:  # lengths of pattern texts, so few that they are a constant
+        few = [F.struct(F.lit(r.s["end"]).alias("end"), F.lit(r.s["n"]).alias("n")) for r in keyed.select(size.alias("s")).distinct().collect()]
+        sized = codes.withColumn("_sizes", F.array(*few) if few else F.array().cast("array<struct<end: boolean, n: int>>"))
+    probes = sized.withColumn("_size", F.explode("_sizes")).where(F.col("_size.n") <= F.length(code))
     part = F.when(F.col("_size.end"), F.expr(f"right(`{code}`, _size.n)")).otherwise(F.expr(f"left(`{code}`, _size.n)"))
     probes = probes.select(*codes.columns, F.col("_size.end").alias("_end"), part.alias("_key"))
     return probes.join(keyed, [*on, "_end", "_key"]).where(F.expr(f"`{code}` LIKE `{pattern}`")).drop("_end", "_key")

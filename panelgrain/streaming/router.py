@@ -25,9 +25,9 @@ def route(files: DataFrame, contracts: DataFrame) -> DataFrame:
     pattern starts with a wildcard (see `like_hits`). Matches are counted per name.
     """
     active = contracts.where(F.col("status").isin(*ACTIVE_STATES))
-    rules = active.select(F.lit(1).alias("_all"), F.lower("file_pattern").alias("_pattern"), "contract_id", "job_id")
-    names = files.select(F.lit(1).alias("_all"), "name", F.lower("name").alias("_name")).distinct()
-    hits = like_hits(names, rules, ["_all"], "_name", "_pattern")
+    rules = active.select(F.lower("file_pattern").alias("_pattern"), "contract_id", "job_id")
+    names = files.select("name", F.lower("name").alias("_name")).distinct()
+    hits = like_hits(names, rules, [], "_name", "_pattern")
     matched = hits.groupBy("name").agg(
         F.count("*").alias("matches"), F.min("contract_id").alias("contract_id"), F.min("job_id").alias("job_id")
     )
