@@ -16,12 +16,24 @@ STRETCH = 64
 ROWS_A_BUCKET, COARSE = 1000, 256
 
 
-def s_mers(text: Column) -> Column:
-    """Hashes of the two-word substrings of a text, in order; of its only word if there is one."""
-    words = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    return F.when(F.size(words) >= S, F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - S, F.lit(0))), lambda i: F.xxhash64(words[i], words[i + 1]))).otherwise(
-        F.transform(words, lambda w: F.xxhash64(w))
-    )
+def words(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+
+
+def s_mers(words: Column) -> Column:
+    """Hashes of the two-word substrings, in order; of the only word if there is one.
+
+    `words` must be a column of its own: an expression would be evaluated again for every place.
+    """
+    pairs = F.transform(F.sequence(F.lit(0), F.greatest(F.size(words) - S, F.lit(0))), lambda i: F.xxhash64(words[i], words[i + 1]))
+    return F.when(F.size(words) >= S, pairs).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
+
+
+def marked(frame: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the anchors of a text column; each step is a projection of its own, so each is evaluated once."""
+    frame = frame.withColumn("_words", words(F.col(text)))
+    frame = frame.withColumn("_mers", s_mers(F.col("_words"))).drop("_words")
+    return frame.withColumn(name, anchors(F.col("_mers"))).drop("_mers")
 
 
 def anchors(mers: Column) -> Column:
@@ -77,7 +89,7 @@ def with_next(docs: DataFrame, rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
     same = F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("tkey") == F.col("h_key"))
     guests = source.join(heads, same).dropDuplicates(["doc_id", "tkey"]).select("doc_id", "tkey", "text", F.col("above").alias("bucket"), F.lit(True).alias("guest"))
     every = dealt.withColumn("guest", F.lit(False)).unionByName(guests).repartition("bucket")
-    every = every.withColumn("mers", s_mers(F.col("text"))).withColumn("mark", anchors(F.col("mers"))).drop("mers")
+    every = marked(every, "text", "mark")
     order = Window.partitionBy("bucket").orderBy("guest", F.col("doc_id").desc_nulls_last(), F.col("tkey").desc())
     after = lambda c: F.lead(c).over(order).alias(f"next_{c}")
     return every.select("doc_id", "tkey", "text", "mark", "guest", after("text"), after("mark")).where("NOT guest").drop("guest")
@@ -96,7 +108,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     third = F.floor(n / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
     rows = rows.select("doc_id", n.cast("long").alias("n_chars"), "mark", "next_mark", edited.alias("edited"))
-    rows = rows.withColumn("edited_mers", s_mers(F.col("edited"))).withColumn("edited_mark", anchors(F.col("edited_mers")))
+    rows = marked(rows, "edited", "edited_mark")
     return rows.select(
         "doc_id",
         "n_chars",
