@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -41,8 +43,11 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = _OWN.setdefault("folder", "") or "file://" + tempfile.mkdtemp(prefix="llm-")
-        _OWN["folder"] = folder
+        if "folder" not in _OWN:
+            path = tempfile.mkdtemp(prefix="llm-")
+            atexit.register(shutil.rmtree, path, ignore_errors=True)
+            _OWN["folder"] = "file://" + path
+        folder = _OWN["folder"]
     return folder.rstrip("/")
 
 
