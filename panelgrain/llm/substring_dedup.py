@@ -7,7 +7,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from panelgrain.llm import kernels as K
@@ -17,10 +17,16 @@ WIDTH = 50
 GRAM = 26
 CHOICE = WIDTH - GRAM + 1  # q-grams of one string
 UNIT, LEAST_UNIT, ROLL = 512, 64, 16
+# Fragments that one turn of refinement takes at least, and bytes of text that are worked on at once.
+TURN, SLICE = 20000, 1 << 20
+# A range of at most CHOICE starts as one number: start * PACK + count.
+PACK = 64
 # A bucket of more documents than this goes string by string, combined before the shuffle.
 HOT = 4096
 U64 = K.U64
 SHIFT = U64(32)
+# Buckets are named by 48 bits of the hash: two of one name only cost work, as strings are told apart by their bytes.
+SPARE = U64(16)
 
 
 def rolled(data: np.ndarray, width: int) -> np.ndarray:
@@ -55,7 +61,7 @@ def unit_bounds(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _units(batches):
     for batch in batches:
         data, at = K.text_bytes(batch.column(2))
-        for i, j in K.slices(at):
+        for i, j in K.slices(at, SLICE):
             part, own = np.ascontiguousarray(data[at[i] : at[j]]), at[i : j + 1] - at[i]
             starts, stops, row = unit_bounds(part, own)
             ends = np.minimum(stops + WIDTH - 1, own[row + 1])
@@ -77,11 +83,10 @@ def _units(batches):
 
 
 def _ranges(column: pa.Array, i: int, j: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, starts and stops of a list<struct<start, stop>> column's rows i to j."""
+    """Rows, starts and stops of rows i to j of a list<struct<start, stop>> column."""
     part = column.slice(i, j - i).fill_null([])
     flat = part.flatten()
-    rows = np.asarray(pa.compute.list_parent_indices(part))
-    return rows, np.asarray(flat.field(0)), np.asarray(flat.field(1))
+    return np.asarray(pa.compute.list_parent_indices(part)), np.asarray(flat.field(0)), np.asarray(flat.field(1))
 
 
 def anchors(data: np.ndarray, at: np.ndarray, rows: np.ndarray, starts: np.ndarray, stops: np.ndarray):
@@ -111,24 +116,59 @@ def anchors(data: np.ndarray, at: np.ndarray, rows: np.ndarray, starts: np.ndarr
     return active, (low[active] & U64(0xFFFFFFFF)).astype(np.int64), g
 
 
+def _slices(batch):
+    """Slices of a batch of (doc_id, tkey, text, pieces, ...): rows, bytes, offsets, and `anchors` of them."""
+    data, at = K.text_bytes(batch.column(2))
+    for i, j in K.slices(at, SLICE):
+        part, own = np.ascontiguousarray(data[at[i] : at[j]]), at[i : j + 1] - at[i]
+        yield i, j, part, own, *anchors(part, own, *_ranges(batch.column(3), i, j))
+
+
 def _anchor_buckets(batches):
-    """(doc_id, tkey, h): the q-grams that strings of the document are filed under."""
+    """(doc_id, tkey, h): the q-grams that strings of the document are filed under, each once."""
     for batch in batches:
-        data, at = K.text_bytes(batch.column(2))
-        for i, j in K.slices(at):
-            own = at[i : j + 1] - at[i]
-            _, prime, g = anchors(data[at[i] : at[j]], own, *_ranges(batch.column(3), i, j))
+        for i, j, _, own, _, prime, g in _slices(batch):
             prime = prime[np.concatenate(([True], prime[1:] != prime[:-1]))] if len(prime) else prime
             row = np.searchsorted(own, prime, "right") - 1
-            h = g[prime]
+            h = g[prime] >> SPARE
             order = np.lexsort((h, row))
             row, h = row[order], h[order]
             if len(row):
                 new = np.concatenate(([True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])))
                 row, h = row[new], h[new]
+            row = pa.array(row + i)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(h.view(np.int64))], names=["doc_id", "tkey", "h"])
+
+
+def _runs(own: np.ndarray, active: np.ndarray, prime: np.ndarray, g: np.ndarray, wanted: pa.Array):
+    """Runs of strings filed under one q-gram that the row's list names: first string, count, row, h, and the listed entry's place."""
+    none = np.zeros(0, dtype=np.int64)
+    wanted = wanted.fill_null([])
+    rows, listed = np.asarray(pa.compute.list_parent_indices(wanted)), np.asarray(wanted.flatten())
+    if len(active) == 0 or len(rows) == 0:
+        return none, none, none, none, none
+    head = np.flatnonzero(np.concatenate(([True], (prime[1:] != prime[:-1]) | (np.diff(active) != 1))))
+    size = np.diff(np.concatenate((head, [len(active)])))
+    low, h = active[head], (g[prime[head]] >> SPARE).view(np.int64)
+    row = np.searchsorted(own, low, "right") - 1
+    mark = K.mixed((listed >> 1).view(np.uint64)) ^ rows.astype(np.uint64) * K.BASE
+    mine = K.mixed(h.view(np.uint64)) ^ row.astype(np.uint64) * K.BASE
+    order = np.argsort(mark)
+    spot = np.minimum(np.searchsorted(mark[order], mine), len(mark) - 1)
+    found = mark[order][spot] == mine
+    return low[found], size[found], row[found], h[found], listed[order][spot][found]
+
+
+def _digests(batches):
+    """(doc_id, tkey, h, b, place): runs filed under a shared q-gram; b is a hash of their bytes and count, place start * PACK + count."""
+    for batch in batches:
+        for i, j, part, own, active, prime, g in _slices(batch):
+            first, count, row, h, _ = _runs(own, active, prime, g, batch.column(4).slice(i, j - i))
+            b = K.span_hash(K.prefix_hash(K.BYTE_VALUES[part]), first, first + count + WIDTH - 1) ^ K.mixed(count.astype(np.uint64))
+            spot = pa.array(row + i)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(i, j - i).take(pa.array(row)), batch.column(1).slice(i, j - i).take(pa.array(row)), pa.array(h.view(np.int64))],
-                names=["doc_id", "tkey", "h"],
+                [batch.column(0).take(spot), batch.column(1).take(spot), pa.array(h), pa.array(b.view(np.int64)), pa.array((first - own[row]) * PACK + count)],
+                names=["doc_id", "tkey", "h", "b", "place"],
             )
 
 
@@ -139,45 +179,41 @@ def _taken(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
 
 
 def _fragments(batches):
-    """Runs of strings that are filed under one shared q-gram, with their bytes; strings of hot q-grams one by one."""
+    """Runs of strings with their bytes, for the q-grams that the row's list names; strings of hot q-grams one by one.
+
+    A hot string that a smaller doc_id of the same slice has as well is settled here (sure), so each slice
+    sends one row for each hot string to where these meet; the settled rows go anywhere.
+    """
     for batch in batches:
-        data, at = K.text_bytes(batch.column(2))
-        for i, j in K.slices(at):
-            part, own = np.ascontiguousarray(data[at[i] : at[j]]), at[i : j + 1] - at[i]
-            active, prime, g = anchors(part, own, *_ranges(batch.column(3), i, j))
-            rows, shared, hot = _ranges(batch.column(4), i, j)
-            if len(active) == 0 or len(rows) == 0:
-                continue
-            head = np.flatnonzero(np.concatenate(([True], (prime[1:] != prime[:-1]) | (np.diff(active) != 1))))
-            size = np.diff(np.concatenate((head, [len(active)])))
-            low, h = active[head], g[prime[head]]
-            row = np.searchsorted(own, low, "right") - 1
-            mark = K.mixed(shared.astype(np.int64).view(np.uint64)) ^ rows.astype(np.uint64) * K.BASE
-            mine = K.mixed(h) ^ row.astype(np.uint64) * K.BASE
-            order = np.argsort(mark)
-            spot = np.minimum(np.searchsorted(mark[order], mine), len(mark) - 1)
-            found = mark[order][spot] == mine
-            is_hot = found & (hot[order][spot] == 1)
-            found &= ~is_hot
-            docs, keys = batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i)
-            for pick, single in ((found, False), (is_hot, True)):
+        doc, keys = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+        for i, j, part, own, active, prime, g in _slices(batch):
+            runs = _runs(own, active, prime, g, batch.column(4).slice(i, j - i))
+            is_hot = (runs[4] & 1) == 1
+            for pick, single in ((~is_hot, False), (is_hot, True)):
                 if not pick.any():
                     continue
-                first, count, rid, hid = low[pick], size[pick], row[pick], h[pick]
+                first, count, rid, hid, _ = (r[pick] for r in runs)
+                sure = np.zeros(len(first), dtype=bool)
                 if single:
                     first = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.concatenate(([0], np.cumsum(count)[:-1])), count)
-                    rid, hid = np.repeat(rid, count), np.repeat(hid, count)
+                    rid = np.repeat(rid, count)
                     view = memoryview(part)
-                    digest = b"".join([hashlib.blake2b(view[a : a + WIDTH], digest_size=8).digest() for a in first.tolist()])
-                    second = np.frombuffer(digest, dtype=np.int64)
+                    digest = b"".join([hashlib.blake2b(view[a : a + WIDTH], digest_size=16).digest() for a in first.tolist()])
+                    hid, second = (np.ascontiguousarray(x) for x in np.frombuffer(digest, dtype=np.int64).reshape(-1, 2).T)
+                    hid = hid.copy()
+                    _, which = np.unique(hid ^ (second * np.int64(3)), return_inverse=True)
+                    least = np.full(which.max() + 1, np.iinfo(np.int64).max)
+                    np.minimum.at(least, which, doc[i:j][rid])
+                    sure = doc[i:j][rid] > least[which]
+                    hid[sure] = K.mixed(first[sure].astype(np.uint64) + doc[i:j][rid[sure]].view(np.uint64)).view(np.int64)
                     body = pa.nulls(len(first), pa.binary())
                 else:
                     second = np.zeros(len(first), dtype=np.int64)
                     raw, offsets = _taken(part, first, count + WIDTH - 1)
                     body = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
                 yield pa.RecordBatch.from_arrays(
-                    [docs.take(pa.array(rid)), keys.take(pa.array(rid)), pa.array(hid.view(np.int64)), pa.array(second), pa.array(first - own[rid]), body],
-                    names=["doc_id", "tkey", "h", "w", "start", "body"],
+                    [pa.array(doc[i:j][rid]), pa.array(keys[i:j][rid]), pa.array(hid), pa.array(second), pa.array(sure), pa.array(first - own[rid]), body],
+                    names=["doc_id", "tkey", "h", "w", "sure", "start", "body"],
                 )
 
 
@@ -224,32 +260,57 @@ def _later(tables: pa.Table) -> pa.RecordBatch:
     row = owner[gone[head]]
     start = np.asarray(tables.column("start").combine_chunks())[row] + places[gone[head]] - at[row]
     return pa.RecordBatch.from_arrays(
-        [tables.column("doc_id").combine_chunks().take(pa.array(row)), tables.column("tkey").combine_chunks().take(pa.array(row)), pa.array(start), pa.array(start + count)],
-        names=["doc_id", "tkey", "start", "stop"],
+        [tables.column("doc_id").combine_chunks().take(pa.array(row)), tables.column("tkey").combine_chunks().take(pa.array(row)), pa.array(start * PACK + count)],
+        names=["doc_id", "tkey", "place"],
     )
 
 
+def _settled(batch: pa.Table, gone: np.ndarray) -> pa.RecordBatch:
+    start = np.asarray(batch.column("start").combine_chunks())[gone]
+    docs, keys = (np.asarray(batch.column(c).combine_chunks())[gone] for c in ("doc_id", "tkey"))
+    return pa.RecordBatch.from_arrays([pa.array(docs), pa.array(keys), pa.array(start * PACK + 1)], names=["doc_id", "tkey", "place"])
+
+
 def _refine(batches):
-    """Fragments in order of h; whole buckets are refined together, many in one turn."""
-    held, count = [], 0
+    """Rows in order of h, w, doc_id: whole buckets of fragments are refined together, many in one turn.
+
+    Of a hot string only the first row's doc_id is held, as all later ones are compared with it.
+    """
+    held, count, turn, last = [], 0, TURN, (None, None, 0)
     for batch in batches:
         if batch.num_rows == 0:
             continue
-        held.append(batch)
-        count += batch.num_rows
-        if count < 40000:
+        whole = pa.Table.from_batches([batch])
+        alone = pa.compute.is_null(whole.column("body"))
+        hot = whole.filter(alone)
+        if hot.num_rows:
+            h, w, doc, sure = (np.asarray(hot.column(c).combine_chunks()) for c in ("h", "w", "doc_id", "sure"))
+            open_rows = np.flatnonzero(~sure)
+            gone = sure.copy()
+            if len(open_rows):
+                ho, wo, do = h[open_rows], w[open_rows], doc[open_rows]
+                head = np.concatenate(([(ho[0], wo[0]) != last[:2]], (ho[1:] != ho[:-1]) | (wo[1:] != wo[:-1])))
+                firsts = np.concatenate(([last[2]], do[head]))
+                least = firsts[np.cumsum(head)]
+                gone[open_rows] = do > least
+                last = (ho[-1], wo[-1], int(least[-1]))
+            yield _settled(hot, gone)
+        cold = whole.filter(pa.compute.invert(alone))
+        held.append(cold)
+        count += cold.num_rows
+        if count < turn or cold.num_rows == 0:
             continue
-        whole = pa.Table.from_batches(held)
-        h = np.asarray(whole.column("h").combine_chunks())
+        full = pa.concat_tables(held)
+        h = np.asarray(full.column("h").combine_chunks())
         cut = int(np.searchsorted(h, h[-1]))
         if cut:
-            yield _later(whole.slice(0, cut))
-        rest = whole.slice(cut).combine_chunks()
-        held, count = rest.to_batches(), rest.num_rows
-        if not cut:
-            count = -count  # one bucket so far; wait for twice as much before the next look
-    if held:
-        yield _later(pa.Table.from_batches(held))
+            yield _later(full.slice(0, cut))
+        held = [full.slice(cut)]
+        count = full.num_rows - cut
+        turn = TURN if cut else 2 * turn
+    full = pa.concat_tables(held) if held else None
+    if full is not None and full.num_rows:
+        yield _later(full)
 
 
 def _cut(batches):
@@ -257,10 +318,12 @@ def _cut(batches):
         data, at = K.text_bytes(batch.column(2))
         raw = memoryview(np.ascontiguousarray(data))
         n_bytes, n_removed, n_spans, sums = [], [], [], []
-        ranges = [_ranges(batch.column(k), 0, batch.num_rows) for k in (3, 4)]
-        rows = np.concatenate([r[0] for r in ranges])
-        starts = np.concatenate([r[1] for r in ranges]).astype(np.int64)
-        stops = np.concatenate([r[2] for r in ranges]).astype(np.int64)
+        rows, starts, stops = _ranges(batch.column(3), 0, batch.num_rows)
+        listed = batch.column(4).fill_null([])
+        place = np.asarray(listed.flatten()).astype(np.int64)
+        rows = np.concatenate((rows, np.asarray(pa.compute.list_parent_indices(listed))))
+        starts = np.concatenate((starts, place // PACK)).astype(np.int64)
+        stops = np.concatenate((stops, place // PACK + place % PACK)).astype(np.int64)
         size = np.diff(at)
         stops = np.minimum(stops, size[rows] - WIDTH + 1)
         sound = stops > starts
@@ -291,33 +354,6 @@ def _cut(batches):
         )
 
 
-def removed_ranges(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Two frames (doc_id, tkey, start, stop): starts of the strings that a smaller doc_id has too.
-
-    The first has whole pieces, the second what remains; see `without_repeats`.
-    """
-    units = written(docs.where("doc_id IS NOT NULL").mapInArrow(_units, "doc_id long, tkey long, start long, stop long, u1 long, u2 long"), "units")
-    firsts = units.groupBy("u1", "u2").agg(F.min("doc_id").alias("first"))
-    pieces = units.join(firsts, ["u1", "u2"]).where("doc_id > first").select("doc_id", "tkey", "start", "stop")
-    pieces = written(pieces.distinct(), "pieces")
-
-    listed = pieces.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("start", "stop")).alias("pieces"))
-    left = docs.where("doc_id IS NOT NULL").join(listed, ["doc_id", "tkey"], "left").select("doc_id", "tkey", "text", "pieces")
-    filed = left.mapInArrow(_anchor_buckets, "doc_id long, tkey long, h long").repartition("h")
-    common = filed.groupBy("h").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count("*").alias("c")).where("lo < hi")
-    common = common.select("h", F.when(F.col("c") > HOT, 1).otherwise(0).cast("long").alias("hot"))
-    shared = filed.join(common, "h").groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("h", "hot")).alias("shared"))
-    parts = left.join(shared, ["doc_id", "tkey"]).select("doc_id", "tkey", "text", "pieces", "shared")
-    parts = written(parts.mapInArrow(_fragments, "doc_id long, tkey long, h long, w long, start long, body binary"), "fragments")
-
-    shape = "doc_id long, tkey long, start long, stop long"
-    cold = parts.where("body IS NOT NULL").repartition("h").sortWithinPartitions("h").mapInArrow(_refine, shape)
-    hot = parts.where("body IS NULL").select("doc_id", "tkey", "h", "w", "start")
-    least = hot.groupBy("h", "w").agg(F.min("doc_id").alias("first"))
-    single = hot.join(least, ["h", "w"]).where("doc_id > first").select("doc_id", "tkey", "start", (F.col("start") + 1).alias("stop"))
-    return pieces, cold.union(single)
-
-
 def without_repeats(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document after removal.
 
@@ -330,18 +366,43 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     Bytes are first cut into pieces at places their own bytes choose; a piece that a smaller doc_id
     has as well (with the 49 bytes after it) is settled by one comparison of digests, so copies end
     here. The strings of what remains are filed under one of their 26-byte q-grams; a q-gram of one
-    document only is dropped. The strings of each q-gram bucket then meet in one task with their bytes,
-    and bucket-pointer refinement sorts them apart exactly. Strings of a bucket that over 4096
-    documents share go one by one through an aggregate that combines before the shuffle.
+    document only is dropped. A run of strings under one q-gram that a smaller doc_id has whole is settled
+    by its hash. Of the runs that are left the first of each kind sends its bytes to its q-gram's task,
+    where bucket-pointer refinement sorts the strings apart exactly. Strings of a bucket of over 4096
+    runs go one by one, by a digest of their bytes, and are combined before the shuffle.
     """
-    source = texts(docs).withColumn("tkey", F.xxhash64("text"))
-    pieces, rest = removed_ranges(source)
-    lists = [
-        part.groupBy("doc_id", "tkey").agg(F.collect_list(F.struct("start", "stop")).alias(name)) for part, name in ((pieces, "pieces"), (rest, "rest"))
-    ]
-    both = lists[0].join(lists[1], ["doc_id", "tkey"], "full")
-    joined = source.join(both, ["doc_id", "tkey"], "left").select("doc_id", "tkey", "text", "pieces", "rest")
-    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    whole = texts(docs)
+    twice = written(whole.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"), "twice")
+    # Rows of one doc_id are told apart by a hash of the text; others have 0, which costs nothing to move.
+    keyed = whole.join(twice.withColumn("twice", F.lit(True)), "doc_id", "left")
+    every = keyed.select("doc_id", F.when(F.col("twice"), F.xxhash64("text")).otherwise(F.lit(0)).cast("long").alias("tkey"), "text")
+    source, key = every.where("doc_id IS NOT NULL"), ["doc_id", "tkey"]
+    units = written(source.mapInArrow(_units, "doc_id long, tkey long, start long, stop long, u1 long, u2 long"), "units")
+    firsts = units.groupBy("u1", "u2").agg(F.min("doc_id").alias("first"))
+    pieces = units.join(firsts, ["u1", "u2"]).where("doc_id > first").groupBy(*key).agg(F.collect_set(F.struct("start", "stop")).alias("pieces"))
+    base = source.join(written(pieces, "pieces"), key, "left").select(*key, "text", "pieces")
+
+    # What follows is one plan, in which the texts are dealt by document once for all joins.
+    bucket, run = Window.partitionBy("h"), Window.partitionBy("h", "b")
+    filed = base.mapInArrow(_anchor_buckets, "doc_id long, tkey long, h long")
+    filed = filed.select(*key, "h", F.min("doc_id").over(bucket).alias("lo"), F.max("doc_id").over(bucket).alias("hi"))
+    shared = filed.where("lo < hi").groupBy(*key).agg(F.collect_list(F.col("h") * 2).alias("shared"))
+    runs = base.join(shared, key).select(*key, "text", "pieces", "shared").mapInArrow(_digests, "doc_id long, tkey long, h long, b long, place long")
+    runs = runs.withColumn("first", F.min("doc_id").over(run))
+    runs = runs.withColumns({"several": F.min("b").over(bucket) != F.max("b").over(bucket), "c": F.count("*").over(bucket)})
+    settled = runs.where("doc_id > first").select(*key, "place")
+    asked = runs.where("several AND doc_id = first").groupBy(*key).agg(F.collect_set(F.col("h") * 2 + F.when(F.col("c") > HOT, 1).otherwise(0)).alias("asked"))
+    parts = base.join(asked, key).select(*key, "text", "pieces", "asked")
+    parts = parts.mapInArrow(_fragments, "doc_id long, tkey long, h long, w long, sure boolean, start long, body binary")
+    parts = parts.repartition("h", "w").sortWithinPartitions("h", "w", "doc_id")
+    found = parts.mapInArrow(_refine, "doc_id long, tkey long, place long")
+    rest = settled.union(found).groupBy(*key).agg(F.collect_list("place").alias("rest"))
+    joined = base.join(rest, key, "left").select(*key, "text", "pieces", "rest")
+    nameless = every.where("doc_id IS NULL").select(
+        *key, "text", F.lit(None).cast("array<struct<start: bigint, stop: bigint>>").alias("pieces"), F.lit(None).cast("array<bigint>").alias("rest")
+    )
+    shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    return joined.mapInArrow(_cut, shape).union(nameless.mapInArrow(_cut, shape))
 
 
 @query("op9_without_repeats")
