@@ -9,12 +9,14 @@ from panelgrain.llm.shared import query, table, written
 
 SEED = "mix-1"
 TEMPER = 0.5
-MOST_RATE = 500.0
+# The largest rate of one draw; a larger one is the sum of several draws of equal rate. Copies of a row that are made at a time.
+MOST_RATE, COPIES = 500.0, 4096
 
 
-def uniform(seed: str, *columns: str) -> Column:
-    """A number in [0, 1) from the first 52 bits of an md5; the same for the same values."""
-    text = F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+def uniform(seed: str, *columns: str, draw: Column | None = None) -> Column:
+    """A number in [0, 1) from the first 52 bits of an md5; the same for the same values and number of the draw, if there is one."""
+    more = [] if draw is None else [draw.cast("string")]
+    text = F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns], *more)
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -45,22 +47,34 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, epoch
 
 
 def poisson_table(rates: DataFrame) -> DataFrame:
-    """Adds `cdf`: P(count <= k) for k = 0, 1, ... until doubles cannot tell it from 1."""
-    too_high = F.raise_error(F.concat(F.lit("more copies than a Poisson table holds for source "), F.coalesce("source", F.lit("null"))))
-    terms = F.when(F.col("rate") <= MOST_RATE, F.ceil(F.col("rate") + 12 * F.sqrt("rate") + 20).cast("int")).otherwise(too_high.cast("int"))
-    start = F.struct(F.exp(-F.col("rate")).alias("p"), F.array(F.exp(-F.col("rate"))).alias("cdf"))
+    """Adds `draws`, the fewest draws of equal rate up to MOST_RATE, and `cdf` of one of them.
+
+    cdf is P(count <= k) for k = 0, 1, ... until doubles cannot tell it from 1. The sum of independent
+    Poisson draws is a Poisson draw of the summed rate, so any rate has a table of bounded length.
+    """
+    rates = rates.withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / MOST_RATE)).cast("int"))
+    rate = F.col("rate") / F.col("draws")
+    start = F.struct(F.exp(-rate).alias("p"), F.array(F.exp(-rate)).alias("cdf"))
     cdf = F.aggregate(
-        F.sequence(F.lit(1), terms),
+        F.sequence(F.lit(1), F.ceil(rate + 12 * F.sqrt(rate) + 20).cast("int")),
         start,
         lambda acc, k: F.struct(
-            (acc["p"] * F.col("rate") / k).alias("p"),
-            F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + acc["p"] * F.col("rate") / k)).alias("cdf"),
+            (acc["p"] * rate / k).alias("p"),
+            F.concat(acc["cdf"], F.array(F.element_at(acc["cdf"], -1) + acc["p"] * rate / k)).alias("cdf"),
         ),
         lambda acc: acc["cdf"],
     )
     return rates.withColumn("cdf", cdf)
 
 
+def drawn_count(seed: str) -> Column:
+    """How often a row with `draws` and `cdf` is taken: the first draw by seed and doc_id, each further one by its number too."""
+    below = lambda u: F.size(F.filter("cdf", lambda c: c <= u))
+    first = below(uniform(seed, "doc_id")).cast("long")
+    more = F.aggregate(F.sequence(F.lit(2), F.col("draws")), first, lambda acc, k: acc + below(uniform(seed, "doc_id", draw=k)))
+    return F.when(F.col("draws") > 1, more).otherwise(first)
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temper: float = TEMPER, seed: str = SEED) -> DataFrame:
     """Every document as often as its draw says, all copies shuffled over the whole output.
 
@@ -70,18 +84,22 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     null or empty texts are drawn like others. An empty table gives no rows. Columns `rate`, `copy`
     and names that begin with an underscore are replaced; other extra columns pass through.
 
+    Any rate is drawn: above MOST_RATE as a sum of independent draws. MIX_SQL says the same up to there; from a
+    rate of about 745 its EXP(-rate) is 0 and it cannot. A row's copies are made COPIES at a time; `copy` is
+    an int.
+
     The rates have a row a source and are written first: Spark sees their size, so it broadcasts them
     below its threshold without moving a text, and above it splits a hot source. Copies are dealt
     by a hash of seed, doc_id and copy and sorted by it within each part: one shuffle of the texts.
     """
-    docs = docs.drop("rate", "copy", "cdf", "_source", "_rate", "_mix")
-    chances = poisson_table(source_rates(docs, weights, epochs, temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "cdf")
+    docs = docs.drop("rate", "copy", "cdf", "draws", "_source", "_rate", "_mix", "_count", "_from")
+    chances = poisson_table(source_rates(docs, weights, epochs, temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "draws", "cdf")
     chances = written(chances, "rates")
     drawn = docs.join(chances, F.col("source").eqNullSafe(F.col("_source")))
-    u = uniform(seed, "doc_id")
-    count = F.size(F.filter("cdf", lambda c: c <= u))
-    copies = F.when(count > 0, F.sequence(F.lit(1), count)).otherwise(F.array().cast("array<int>"))
-    out = drawn.select(*docs.columns, F.col("_rate").alias("rate"), F.explode(copies).alias("copy"))
+    counted = drawn.select(*docs.columns, "_rate", drawn_count(seed).alias("_count")).where("_count > 0")
+    begun = counted.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_count"), F.lit(COPIES).cast("long"))))
+    copies = F.sequence(F.col("_from"), F.least(F.col("_count"), F.col("_from") + (COPIES - 1)))
+    out = begun.select(*docs.columns, F.col("_rate").alias("rate"), F.explode(copies.cast("array<int>")).alias("copy"))
     place = F.xxhash64(F.lit(seed), "doc_id", "copy")
     return out.withColumn("_mix", place).repartition("_mix").sortWithinPartitions("_mix", "doc_id", "copy").drop("_mix")
 

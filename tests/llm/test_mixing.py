@@ -48,3 +48,28 @@ def test_edge_rows(spark, documents, clashing):
     assert M.mix(docs, weights={}).where("source = 's'").count() == 0
     with pytest.raises(Exception, match="more copies"):
         M.mix(documents([(1, "a", "tiny")] + [(i, "b" * 900, "s") for i in range(2, 9)]), weights={"tiny": 1.0}).collect()
+
+
+def test_any_rate_is_drawn(spark, documents):
+    """A tiny source beside a very large one: rates of 900 (two draws) and 200,000 (400 draws, copies in many parts)."""
+    rows = [(i, "a", "tiny") for i in range(40)] + [(100, "b" * 35960, "large")]
+    out = M.mix(documents(rows), weights={"tiny": 1.0})
+    counts = {r.doc_id: (r.n, r.most, r.rate) for r in out.groupBy("doc_id").agg(F.countDistinct("copy").alias("n"), F.max("copy").alias("most"), F.max("rate").alias("rate")).collect()}
+    assert sorted(counts) == list(range(40)) and out.count() == sum(n for n, _, _ in counts.values())
+    assert all(n == most and rate == 900 and abs(n - 900) < 6 * 30 for n, most, rate in counts.values())
+    mean = sum(n for n, _, _ in counts.values()) / 40
+    spread = sum((n - mean) ** 2 for n, _, _ in counts.values()) / 39
+    assert mean == pytest.approx(900, abs=4 * 30 / 40**0.5) and 300 < spread < 2000
+    one = M.mix(documents([(1, "a", "tiny"), (2, "b" * 199_999, "large")]), weights={"tiny": 1.0})
+    found = one.agg(F.count("*"), F.countDistinct("copy"), F.max("copy")).first()
+    assert found[0] == found[1] == found[2] and abs(found[0] - 200_000) < 6 * 200_000**0.5
+
+
+def test_high_rates_follow_poisson(spark):
+    """Up to MOST_RATE one draw, as before; above it the sum of two has the distribution of the whole rate."""
+    rates = M.poisson_table(spark.createDataFrame([("a", 500.0), ("b", 501.0), ("c", 0.0)], "source string, rate double"))
+    assert {r.source: r.draws for r in rates.collect()} == {"a": 1, "b": 2, "c": 1}
+    counts = [r.n for r in spark.range(4000).withColumnRenamed("id", "doc_id").join(rates.where("source = 'b'")).select(M.drawn_count("s").alias("n")).collect()]
+    mean = sum(counts) / len(counts)
+    assert mean == pytest.approx(501, abs=1.8)
+    assert sum((n - mean) ** 2 for n in counts) / len(counts) == pytest.approx(501, rel=0.12)
