@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from panelgrain.functions.numbering import hashed_numbers
 from panelgrain.llm.decontaminate import clean_documents
 from panelgrain.llm.mixing import mix
 from panelgrain.llm.near_dedup import near_duplicates
@@ -18,11 +19,37 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
+def _nodes(docs: DataFrame) -> DataFrame:
+    """docs with `_node`, an id for each distinct (doc_id, text).
+
+    It is the doc_id; a row without one and the further texts under a repeated one get numbers above all
+    ids, by a hash. The first text of an id is the one with the smallest hash.
+    """
+    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
+    keys = keyed.select("_id", "_key").distinct()
+    firsts = keys.where("_id IS NOT NULL").groupBy("_id").agg(F.min("_key").alias("_first"), F.count("*").alias("_texts")).where("_texts > 1")
+    further = keys.join(firsts, "_id").where("_key <> _first").select("_id", "_key")
+    further = written(keys.where("_id IS NULL").union(further), "further")
+    numbered = hashed_numbers(further, ["_id", "_key"], "_node").select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), "_node")
+    last = docs.agg(F.coalesce(F.max(F.col("doc_id").cast("long")), F.lit(0).cast("long"))).first()[0]
+    numbered = written(numbered.withColumn("_node", F.col("_node") + F.lit(last)), "numbered")
+    both = keyed.join(numbered, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left")
+    return both.select(*docs.columns, F.coalesce("_node", "_id").alias("_node"))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest doc_id, once."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    one = docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")), "left_semi")
-    return one.dropDuplicates(["doc_id"])
+    """One document of each group of near duplicates, once: the one with the smallest doc_id.
+
+    Documents are told apart by doc_id and text: rows without a doc_id and different texts under one
+    doc_id are documents of their own, which go only if they are near a kept one; they come after all
+    others. Of rows equal in both, the first by the other columns stays.
+    """
+    noded = _nodes(docs)
+    groups = near_duplicates(noded.select(F.col("_node").alias("doc_id"), "text"))
+    kept = groups.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    one = noded.join(kept, F.col("_node") == F.col("_kept"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("_node").orderBy(*docs.columns))
+    return one.withColumn("_first", first).where("_first = 1").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,10 +65,12 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards in an order that mixes all copies: (doc_id, start, n_tokens, ids_crc32) read back from them.
 
-    The order is a hash of doc_id and the number of the copy, so it does not depend on how rows arrive.
+    The order is a hash of doc_id and the number of the copy, so it does not depend on how rows arrive. Copies
+    without a doc_id are numbered and placed by their text too, so they are dealt like others.
     """
-    copies = docs.select("doc_id", "text", F.row_number().over(Window.partitionBy("doc_id").orderBy("text")).alias("_copy"))
-    place = F.md5(F.concat_ws("|", F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_copy").cast("string")))
+    unnamed = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    copies = docs.select("doc_id", "text", F.row_number().over(Window.partitionBy("doc_id", unnamed).orderBy("text")).alias("_copy"))
+    place = F.md5(F.concat_ws("|", F.lit("order"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("_copy").cast("string"), unnamed.cast("string")))
     return token_index(copies, default_tokenizer(), order=[place, F.col("doc_id"), F.col("_copy")])
 
 

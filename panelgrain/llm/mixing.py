@@ -100,7 +100,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     begun = counted.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_count"), F.lit(COPIES).cast("long"))))
     copies = F.sequence(F.col("_from"), F.least(F.col("_count"), F.col("_from") + (COPIES - 1)))
     out = begun.select(*docs.columns, F.col("_rate").alias("rate"), F.explode(copies.cast("array<int>")).alias("copy"))
-    place = F.xxhash64(F.lit(seed), "doc_id", "copy")
+    # Rows without a doc_id are dealt by their text, else all of them were in one part.
+    place = F.xxhash64(F.lit(seed), "doc_id", "copy", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
     return out.withColumn("_mix", place).repartition("_mix").sortWithinPartitions("_mix", "doc_id", "copy").drop("_mix")
 
 

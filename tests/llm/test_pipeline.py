@@ -7,6 +7,7 @@ import corpus_pipeline as C
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from panelgrain.llm import mixing, quality, tokens
@@ -82,3 +83,20 @@ def test_empty_documents(spark):
     for _, stage in C.STAGES:
         docs = written(stage(spark, docs, SF), "test")
         assert docs.count() == 0
+
+
+def test_unnamed_and_repeated_ids_stay(spark):
+    """A third of the rows without an id, and ids with several texts: what is unlike stays, by row, in every order of rows."""
+    prose = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(i, prose(i)) for i in range(10)] + [(None, prose(100 + i)) for i in range(8)]  # all unlike
+    rows += [(None, prose(3)), (None, prose(100)), (None, prose(100) + " more"), (None, ""), (None, None)]  # copies and a near copy
+    rows += [(4, prose(200)), (4, prose(4)), (4, prose(5)), (4, prose(200) + " tail")]  # texts under one id
+    frame = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [[tuple(r) for r in C.near_dedup(spark, f, SF).collect()] for f in (frame.repartition(5), frame.orderBy(F.col("text").desc()))]
+    assert sorted(got[0], key=str) == sorted(got[1], key=str)
+    # A near copy may stand for its group; cut it to what the group has in common.
+    texts = sorted((t or "").removesuffix(" more").removesuffix(" tail") for _, t, *_ in got[0])
+    assert texts == sorted(["", *[prose(i) for i in (*range(10), *range(100, 108), 200)]])
+    assert all(d == i for d, t, *_ in got[0] for i in range(10) if t == prose(i) and i not in (4, 5))
+    tokens = C.tokens(spark, frame.where("doc_id IS NULL"), SF).collect()
+    assert len(tokens) == sum(d is None for d, _ in rows)
