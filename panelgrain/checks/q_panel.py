@@ -37,6 +37,31 @@ def jn12(spark, d):
     return sides(spark, d)
 
 
+FISCAL = """fiscal AS (SELECT contract_id, market_key, path, (period_id // 12) * 100 + period_id % 12 AS period_id, volume FROM brand_facts),
+  back AS (SELECT f.*, CASE WHEN period_id % 100 = 0 THEN period_id - 89 ELSE period_id - 1 END AS prev_id FROM fiscal f)"""
+
+
+@query(
+    "jn12_period_shift_of_a_fiscal_calendar",
+    """SELECT b.contract_id, b.market_key, b.path, b.period_id, b.volume, p.volume AS volume_pp, y.volume AS volume_ya FROM back b
+       LEFT JOIN fiscal p ON p.market_key = b.market_key AND p.path = b.path AND p.period_id = b.prev_id
+       LEFT JOIN fiscal y ON y.market_key = b.market_key AND y.path = b.path AND y.period_id = b.period_id - 100""",
+    (P.SALES, P.BRAND_FACTS, FISCAL),
+)
+def jn12_fiscal(spark, d):
+    """Period ids that are no ordinals: year * 100 + month, with pointers."""
+    fiscal = lambda no: F.floor(no / 12) * 100 + no % 12
+    periods = P.periods(spark, d).select(*[fiscal(F.col(c)).alias(c) for c in ("period_id", "prev_id", "year_ago_id")])
+    facts = P.brand_facts(spark, d).withColumn("period_id", fiscal(F.col("period_id")))
+    return C.period_sides(facts, periods, SIDE_KEYS, ["volume"])
+
+
+@query("jn12_repeated_facts", "SELECT market_key, product_key, period_id, count(*) AS facts FROM sales GROUP BY ALL HAVING count(*) > 1", (P.SALES,))
+def jn12_repeated(spark, d):
+    """Sales lines that share a market, product and month, as a delivery that repeats its facts would."""
+    return C.repeated_facts(P.sales(spark, d), ["market_key", "product_key"])
+
+
 def rounded(df):
     """Shares and indexes to six digits, to compare with SQL."""
     return df.withColumns({c: F.round(c, 6) for c in df.columns if c.endswith(("_share", "_ipp", "_iya", "_ipd"))})

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,27 +69,115 @@ def share_of_top(facts: DataFrame, within: Sequence[str], path: str, top_depth:
     return joined.withColumns({f"{m}_share": share(F.col(m), F.col(f"{m}_top")) for m in measures})
 
 
+# A calendar is metadata: a century of days, weeks and months is below this.
+MAX_PERIODS = 100_000
+
+
+def _chains(links: dict[int, int | None]) -> tuple[dict[int, int], list[tuple[int, int]]]:
+    """An ordinal for each period such that what it points to has the ordinal before it.
+
+    Periods are laid in chains along the pointers, with a free ordinal before each chain. Where a period
+    is pointed to more than once (or pointers run in a circle) the second chain starts anew, and the period that its
+    first one points to gets that free ordinal too: those come as the second result.
+    """
+    after: dict[int, list[int]] = {}
+    for period, target in links.items():
+        if target is not None:
+            after.setdefault(target, []).append(period)
+    place: dict[int, int] = {}
+    again = []
+    free = 0
+    for period in sorted({*links, *after}):
+        if period in place:
+            continue
+        seen = {period}
+        while (back := links.get(period)) is not None and back not in place and back not in seen:
+            seen.add(back)
+            period = back
+        free += 2
+        if links.get(period) is not None:
+            again.append((links[period], free - 1))
+        while period is not None:
+            place[period] = free
+            free += 1
+            period = next((c for c in after.get(period, ()) if c not in place), None)
+    return place, again
+
+
+def calendar_ordinals(periods: DataFrame) -> tuple[DataFrame, int | None, bool]:
+    """The calendar as ordinals for RANGE frames, at most MAX_PERIODS periods.
+
+    Returns period_id, `_slots` (ordinal along prev_id, ordinal along year_ago_id, whether the slot is the
+    period's own), `_has_pp` and `_has_ya`; the number of periods to year ago where period ids are
+    themselves such ordinals, else None; and whether any period has more slots than its own.
+    """
+    rows = periods.select(*[F.col(c).cast("long").alias(c) for c in ("period_id", "prev_id", "year_ago_id")]).where("period_id IS NOT NULL").distinct()
+    found = sorted((tuple(r) for r in rows.limit(MAX_PERIODS + 1).collect()), key=repr)
+    if len(found) > MAX_PERIODS:
+        raise ValueError(f"over {MAX_PERIODS} periods in the calendar")
+    calendar = {r[0]: r[1:] for r in found}
+    years = {period - back for period, (_, back) in calendar.items() if back is not None}
+    even = len(years) <= 1 and min(years, default=1) > 0 and all(prev is None or prev == period - 1 for period, (prev, _) in calendar.items())
+    slots: dict[int, list] = {}
+    if even:
+        for period in calendar:
+            slots[period] = [(period, period, True)]
+    else:
+        (prev, more), (year, again) = (_chains({p: sides[i] for p, sides in calendar.items()}) for i in (0, 1))
+        for period in {*prev, *year}:
+            slots[period] = [(prev.get(period), year.get(period), True)]
+        for period, free in more:
+            slots[period].append((free, None, False))
+        for period, free in again:
+            slots[period].append((None, free, False))
+    none = (None, None)
+    made = [(p, [dict(zip(("pp", "ya", "own"), s)) for s in own], calendar.get(p, none)[0] is not None, calendar.get(p, none)[1] is not None) for p, own in sorted(slots.items())]
+    slot = pa.struct([("pp", pa.int64()), ("ya", pa.int64()), ("own", pa.bool_())])
+    types = (pa.int64(), pa.list_(slot), pa.bool_(), pa.bool_())
+    columns = [pa.array([r[i] for r in made], t) for i, t in enumerate(types)]
+    table = pa.Table.from_arrays(columns, names=["_period", "_slots", "_has_pp", "_has_ya"])
+    return periods.sparkSession.createDataFrame(table), (min(years, default=1) if even else None), any(len(s) > 1 for s in slots.values())
+
+
 def period_sides(
     facts: DataFrame, periods: DataFrame, keys: Sequence[str], measures: Sequence[str], carry: Sequence[str] = ()
 ) -> DataFrame:
     """Each fact with the previous period's (`_pp`) and year-ago (`_ya`) measures.
 
-    Facts are shuffled once, on the keys without the period: a key's rows, at most one a period, become
-    a map in which every row looks up its two other sides. Two facts of one key and period are an error.
-    `carry` columns come from the current side only. A fact whose period the calendar does not know
-    stays, without other sides.
+    Facts are shuffled once, on the keys without the period, and sorted by the calendar's ordinal; the
+    other sides are what a RANGE frame of one ordinal holds. Nothing is collected by key. The calendar must not point
+    to two periods from one; its rows are few and come to the driver (`calendar_ordinals`).
+
+    Every fact stays. Where the other side is repeated it is null, as no one fact is right; `repeated_facts` has
+    those keys. A fact without a period, or with one that the calendar does not know, has no other sides; such
+    facts are dealt by their values, so that a key may have any number of them. `carry` columns come from the
+    current side only.
     """
-    calendar = periods.select("period_id", "prev_id", "year_ago_id").where(F.col("period_id").isNotNull()).dropDuplicates(["period_id"])
-    known = facts.join(calendar, "period_id", "left")
-    rows = F.collect_list(F.struct("period_id", "prev_id", "year_ago_id", *carry, *measures))
-    packed = known.groupBy(*keys).agg(rows.alias("_rows"))
-    named = F.filter("_rows", lambda r: r["period_id"].isNotNull())
-    repeated = F.size(named) > F.size(F.array_distinct(F.transform(named, lambda r: r["period_id"])))
-    once = F.when(repeated, F.raise_error(F.lit("two facts of one key and period")).cast("boolean")).otherwise(True)
-    by_period = F.map_from_entries(F.transform(named, lambda r: F.struct(r["period_id"], F.struct(*[r[m].alias(m) for m in measures]))))
-    lined = packed.where(once).select(*keys, by_period.alias("_sides"), F.explode("_rows").alias("_r"))
-    sides = [F.try_element_at("_sides", F.col(f"_r.{c}"))[m].alias(f"{m}_{s}") for s, c in (("pp", "prev_id"), ("ya", "year_ago_id")) for m in measures]
-    return lined.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in ("period_id", *measures, *carry)], *sides)
+    calendar, year, branched = calendar_ordinals(periods)
+    plain = facts.select(*keys, "period_id", *measures, *carry).withColumn("_period", F.col("period_id").cast("long"))
+    known = plain.join(calendar, "_period", "left")
+    if year is not None:
+        placed = known.withColumns({"_pp": F.col("_period"), "_own": F.lit(True)})
+        order = {"pp": ("_pp", 1), "ya": ("_pp", year)}
+    else:
+        only = F.struct(F.lit(None).cast("long").alias("pp"), F.lit(None).cast("long").alias("ya"), F.lit(True).alias("own"))
+        slot = F.explode(F.coalesce("_slots", F.array(only))) if branched else F.coalesce(F.col("_slots")[0], only)
+        placed = known.withColumn("_slot", slot).withColumns({"_pp": F.col("_slot.pp"), "_ya": F.col("_slot.ya"), "_own": F.col("_slot.own")})
+        order = {"pp": ("_pp", 1), "ya": ("_ya", 1)}
+    loose = F.col("_period").isNull() | F.col("_pp").isNull() & F.col("_own")
+    placed = placed.withColumn("_deal", F.when(loose, F.pmod(F.xxhash64(*measures, *carry, "_period"), F.lit(4096)) + 1).otherwise(0))
+    sides = {}
+    for name, (ordinal, back) in order.items():
+        frame = Window.partitionBy(*keys, "_deal").orderBy(ordinal).rangeBetween(-back, -back)
+        single = F.col(f"_has_{name}") & F.col(ordinal).isNotNull() & (F.count(F.lit(1)).over(frame) == 1)
+        sides |= {f"{m}_{name}": F.when(single, F.max(m).over(frame)) for m in measures}
+    lined = placed.withColumns(sides)
+    return (lined.where("_own") if branched else lined).select(*keys, "period_id", *measures, *carry, *sides)
+
+
+def repeated_facts(facts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys and periods that have more than one fact, with their number; partial counts are combined before the shuffle."""
+    return facts.where(F.col("period_id").isNotNull()).groupBy(*keys, "period_id").agg(F.count("*").alias("facts")).where(F.col("facts") > 1)
 
 
 def indexes(facts: DataFrame, measures: Sequence[str], policy: PeriodPolicy = PeriodPolicy()) -> DataFrame:

@@ -1,5 +1,7 @@
 """Period sides, shares, indexes, delivery status."""
 
+import random
+
 import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -25,6 +27,46 @@ def test_period_sides_equal_self_joins(spark, cells):
     assert got == ordered(want)
 
 
+def expected(facts, calendar_rows):
+    """Period sides by definition: the one fact of the key at the period that the calendar points to."""
+    pointers = {p: (prev, year) for p, prev, year in calendar_rows}
+    out = []
+    for k, p, v in facts:
+        sides = []
+        for i in (0, 1):
+            target = pointers.get(p, (None, None))[i]
+            there = [w for kk, q, w in facts if kk == k and q == target] if target is not None else []
+            sides.append(there[0] if len(there) == 1 else None)
+        out.append((k, p, v, *sides))
+    return ordered(out)
+
+
+CALENDARS = {
+    "weeks": [(w, w - 1 if w > 200 else None, w - (53 if w > 260 else 52)) for w in range(200, 310)],
+    "fiscal ids": [(p * 10, p * 10 - 10 if p > 1 else None, p * 10 - 120 if p > 12 else None) for p in range(1, 30)],
+    "two share a year ago": [(p, p - 1, {25: 13, 26: 13, 27: 14}.get(p, p - 12)) for p in range(1, 30)],
+    "circles and itself": [(1, 2, 1), (2, 3, 1), (3, 1, 3), (4, 4, 2), (5, 1, 2), (6, None, None)],
+    "missing months": [(p, p - 1, p - 12) for p in range(1, 30) if p not in (5, 17, 18)],
+}
+
+
+@pytest.mark.parametrize("name", sorted(CALENDARS))
+def test_sides_of_any_calendar(spark, name):
+    rng = random.Random(name)
+    ids = [p for p, _, _ in CALENDARS[name]] + [0, 5, 999, None]
+    facts = [(k, rng.choice(ids), float(i)) for i in range(300) for k in [rng.choice("abc")]]
+    df = spark.createDataFrame(facts, "k string, period_id int, volume double").repartition(3)
+    periods = spark.createDataFrame(CALENDARS[name], "period_id int, prev_id int, year_ago_id int")
+    assert rows(C.period_sides(df, periods, ["k"], ["volume"]), "k", "period_id", "volume", "volume_pp", "volume_ya") == expected(facts, CALENDARS[name])
+
+
+def test_repeated_facts_come_back_as_a_frame(spark):
+    facts = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0), ("a", 2, 3.0), ("a", 3, 4.0), ("b", None, 1.0), ("b", None, 1.0)], "k string, period_id int, volume double")
+    got = rows(C.period_sides(facts, calendar(spark), ["k"], ["volume"]), "k", "period_id", "volume", "volume_pp")
+    assert got == [("a", 1, 1.0, None), ("a", 1, 2.0, None), ("a", 2, 3.0, None), ("a", 3, 4.0, 3.0), ("b", None, 1.0, None), ("b", None, 1.0, None)]
+    assert rows(C.repeated_facts(facts, ["k"])) == [("a", 1, 2)]
+
+
 def test_null_measures_stay_null(spark):
     facts = spark.createDataFrame([("a", 1, None), ("a", 2, 5.0)], "k string, period_id int, volume double")
     assert rows(C.period_sides(facts, calendar(spark), ["k"], ["volume"]), "period_id", "volume", "volume_pp") == [(1, None, None), (2, 5.0, None)]
