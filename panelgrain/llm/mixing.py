@@ -13,10 +13,10 @@ TEMPER = 0.5
 MOST_RATE, COPIES = 500.0, 4096
 
 
-def uniform(seed: str, *columns: str, draw: Column | None = None) -> Column:
+def uniform(seed: str, *columns: Column | str, draw: Column | None = None) -> Column:
     """A number in [0, 1) from the first 52 bits of an md5; the same for the same values and number of the draw, if there is one."""
     more = [] if draw is None else [draw.cast("string")]
-    text = F.concat_ws("|", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns], *more)
+    text = F.concat_ws("|", F.lit(seed), *[F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("")) for c in columns], *more)
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -67,11 +67,16 @@ def poisson_table(rates: DataFrame) -> DataFrame:
     return rates.withColumn("cdf", cdf)
 
 
-def drawn_count(seed: str) -> Column:
-    """How often a row with `draws` and `cdf` is taken: the first draw by seed and doc_id, each further one by its number too."""
+def named() -> Column:
+    """The doc_id as text; of a row without one, a digest of its text."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce("text", F.lit("")))))
+
+
+def drawn_count(seed: str, name: Column | str = "doc_id") -> Column:
+    """How often a row with `draws` and `cdf` is taken: the first draw by seed and name, each further one by its number too."""
     below = lambda u: F.size(F.filter("cdf", lambda c: c <= u))
-    first = below(uniform(seed, "doc_id")).cast("long")
-    more = F.aggregate(F.sequence(F.lit(2), F.col("draws")), first, lambda acc, k: acc + below(uniform(seed, "doc_id", draw=k)))
+    first = below(uniform(seed, name)).cast("long")
+    more = F.aggregate(F.sequence(F.lit(2), F.col("draws")), first, lambda acc, k: acc + below(uniform(seed, name, draw=k)))
     return F.when(F.col("draws") > 1, more).otherwise(first)
 
 
@@ -80,8 +85,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
 
     The draw inverts the Poisson distribution of the source's rate at a uniform number that depends
     on the seed and doc_id alone, so reruns and lost executors give the same copies. Adds `rate` and
-    `copy` (1, 2, ...). Rows of equal doc_id get equal draws; null doc_id counts as an empty one;
-    null or empty texts are drawn like others. An empty table gives no rows. Columns `rate`, `copy`
+    `copy` (1, 2, ...). Rows of equal doc_id get equal draws; a row without
+    a doc_id is drawn by its text; null or empty texts are drawn like others. An empty table gives no rows. Columns `rate`, `copy`
     and names that begin with an underscore are replaced; other extra columns pass through.
 
     Any rate is drawn: above MOST_RATE as a sum of independent draws. MIX_SQL says the same up to there; from a
@@ -96,7 +101,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     chances = poisson_table(source_rates(docs, weights, epochs, temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "draws", "cdf")
     chances = written(chances, "rates")
     drawn = docs.join(chances, F.col("source").eqNullSafe(F.col("_source")))
-    counted = drawn.select(*docs.columns, "_rate", drawn_count(seed).alias("_count")).where("_count > 0")
+    counted = drawn.select(*docs.columns, "_rate", drawn_count(seed, named()).alias("_count")).where("_count > 0")
     begun = counted.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_count"), F.lit(COPIES).cast("long"))))
     copies = F.sequence(F.col("_from"), F.least(F.col("_count"), F.col("_from") + (COPIES - 1)))
     out = begun.select(*docs.columns, F.col("_rate").alias("rate"), F.explode(copies.cast("array<int>")).alias("copy"))
@@ -121,7 +126,7 @@ WITH RECURSIVE sizes AS (
   SELECT source, rate, k + 1, p * rate / (k + 1), total + p * rate / (k + 1) FROM cdf
   WHERE k < CEIL(rate + 12 * SQRT(rate) + 20)
 ), drawn AS (
-  SELECT *, ('0x' || SUBSTR(MD5('{SEED}|' || COALESCE(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  SELECT *, ('0x' || SUBSTR(MD5('{SEED}|' || COALESCE(CAST(doc_id AS VARCHAR), '#' || MD5(COALESCE(text, '')))), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
   FROM documents
 ), counted AS (
   SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, c.rate, COUNT(*) FILTER (WHERE c.total <= d.u) AS copies

@@ -46,8 +46,16 @@ def test_edge_rows(spark, documents, clashing):
     assert {r.source: r.rate for r in out.select("source", "rate").distinct().collect()}.get("e", 1.0) == 1.0
     assert M.mix(docs.limit(0)).collect() == []
     assert M.mix(docs, weights={}).where("source = 's'").count() == 0
-    with pytest.raises(Exception, match="more copies"):
-        M.mix(documents([(1, "a", "tiny")] + [(i, "b" * 900, "s") for i in range(2, 9)]), weights={"tiny": 1.0}).collect()
+    drawn = M.mix(documents([(1, "a", "tiny")] + [(i, "b" * 900, "s") for i in range(2, 9)]), weights={"tiny": 1.0}).collect()
+    assert {r.doc_id for r in drawn} == {1} and abs(len(drawn) - 6301) < 6 * 6301**0.5
+
+
+def test_rows_without_an_id_are_drawn_one_by_one(spark, documents):
+    """By their texts, so a corpus part without ids neither vanishes nor multiplies as one block."""
+    docs = documents([(None, f"text {i}", "s") for i in range(3000)] + [(i, f"text {i}", "s") for i in range(3000)])
+    out = M.mix(docs)
+    unnamed = [r.n for r in out.where("doc_id IS NULL").groupBy("text").agg(F.count("*").alias("n")).collect()]
+    assert sum(unnamed) == pytest.approx(3000, abs=6 * 3000**0.5) and 1800 < len(unnamed) < 2000
 
 
 def test_any_rate_is_drawn(spark, documents):
