@@ -23,7 +23,7 @@ MAGIC = b"EFTOKEN1"
 TAIL = struct.Struct("<QQBB8s")  # place of the footer, ids, bytes an id, whether doc ids ascend, magic
 READ = 8 << 20
 # Distinct pieces that a worker remembers before it starts anew.
-MOST_PIECES = 1 << 20
+MOST_PIECES = 1 << 18
 
 # The characters below U+0240 by the classes of the tokenizer's split pattern.
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
@@ -178,6 +178,7 @@ def _write_shard(batches, tokenizer: str, folder: str, ascending: bool):
         total = int(count.sum())
         out.write(_footer(docs, count, ascending))
         out.write(TAIL.pack(total * encoder.dtype.itemsize, total, encoder.dtype.itemsize, ascending, MAGIC))
+    encoder.forget()  # a worker lives on after its task
     if not docs:
         files.delete_file(own)
         return
