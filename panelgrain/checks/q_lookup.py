@@ -108,6 +108,18 @@ def jn06_conflicts(spark, d):
     return J.like_conflicts(coded_parts(spark, d), name_patterns(spark, d), ["p_brand"], "code", "pattern", ["label"])
 
 
+INNER = """inner_pats AS (SELECT DISTINCT '%' || substr(c_name, 13, 3 + c_custkey % 4) || CASE WHEN c_nationkey % 2 = 0 THEN '_' || right(c_name, 1) ELSE '' END || '%' AS pattern FROM customer)"""
+
+
+@query("jn06_inner_patterns", f"WITH {INNER} SELECT pattern, count(*) AS codes, min(c_name) AS first_code FROM inner_pats JOIN customer ON c_name LIKE pattern GROUP BY 1")
+def jn06_inner(spark, d):
+    """About as many patterns wild at both ends as there are customers, against all names."""
+    customer = P.table(spark, d, "customer")
+    text = F.expr("concat('%', substring(c_name, 13, cast(3 + c_custkey % 4 as int)), CASE WHEN c_nationkey % 2 = 0 THEN concat('_', right(c_name, 1)) ELSE '' END, '%')")
+    hits = J.like_hits(customer.select(F.col("c_name").alias("code")).distinct(), customer.select(text.alias("pattern")).distinct(), [], "code", "pattern")
+    return hits.groupBy("pattern").agg(F.count("*").alias("codes"), F.min("code").alias("first_code"))
+
+
 @query(
     "jn07_start_or_end",
     """WITH given AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders),

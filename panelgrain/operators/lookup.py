@@ -44,21 +44,62 @@ def layer_conflicts(layer: Layer, value: str) -> DataFrame:
     return spread.where(F.col("lowest") != F.col("highest"))
 
 
+# What a LIKE pattern says literally between its wildcards; a backslash makes the next character literal.
+LITERAL = r"((?:[^%_\\]|\\.)+)"
+GRAM = 3
+
+
+def _unescaped(text: Column) -> Column:
+    return F.regexp_replace(text, r"\\(.)", "$1")
+
+
+def _grams(text: Column, q: Column) -> Column:
+    """The distinct substrings of q characters."""
+    places = F.when(F.length(text) >= q, F.sequence(F.lit(1), F.length(text) - q + 1)).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, q)))
+
+
+def inner_pairs(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str, pattern: str) -> DataFrame:
+    """Pairs of a code and a rule that share the rarest q-gram of the pattern's literals, not yet matched.
+
+    An inverted index: codes are filed under their q-grams (three characters; two or one where patterns have no
+    longer literal), counted, and each pattern is looked up once, under the gram that fewest codes of its `on`
+    columns have. A pattern with a gram that no code has pairs with none under it.
+    """
+    literals = F.transform(F.regexp_extract_all(pattern, F.lit(LITERAL), F.lit(1)), _unescaped)
+    longest = F.array_max(F.transform(literals, F.length))
+    held = rules.withColumn("_q", F.least(F.lit(GRAM), longest)).where("_q > 0")
+    every = F.flatten(F.transform(literals, lambda text: _grams(text, F.col("_q"))))
+    wanted = held.select(*on, pattern, "_q", F.explode(F.array_distinct(every)).alias("_gram")).distinct()
+    if on:
+        sized = codes.join(held.groupBy(*on).agg(F.collect_set("_q").alias("_qs")), list(on))
+    else:
+        sized = codes.withColumn("_qs", F.array(*[F.lit(q) for q in range(1, GRAM + 1)]))
+    filed = sized.select(*codes.columns, F.explode(F.flatten(F.transform("_qs", lambda q: _grams(F.col(code), q)))).alias("_gram"))
+    counts = filed.groupBy(*on, "_gram").agg(F.count("*").alias("_codes"))
+    rarest = wanted.join(counts, [*on, "_gram"]).groupBy(*on, pattern).agg(F.min_by("_gram", F.struct("_codes", "_gram")).alias("_gram"))
+    return filed.join(rules.join(rarest, [*on, pattern]), [*on, "_gram"]).drop("_gram")
+
+
 def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str, pattern: str) -> DataFrame:
     """All pairs of a code and a rule with equal `on` columns whose LIKE pattern the code matches.
 
     What a pattern says literally before its first wildcard is an equi-join key against the prefixes of a
-    code; a pattern that begins with a wildcard is joined by its literal end against the suffixes; only one with
-    wildcards at both ends meets every code of its `on` columns. A code makes one row for each length
+    code; a pattern that begins with a wildcard is joined by its literal end against the suffixes; one with
+    wildcards at both ends by the rarest q-gram of what it says between them (`inner_pairs`). Only a pattern of
+    nothing but wildcards meets every code of its `on` columns. A code makes one row for each length
     that patterns of its `on` columns have. A backslash before a wildcard makes it literal, as in LIKE.
     Adds `_prefix` (literal) and `_wild`; other columns of `rules` come along.
     """
     plain = r"(?:[^%_\\]|\\.)*"
-    unescaped = lambda text: F.regexp_replace(text, r"\\(.)", "$1")
     raw = F.regexp_extract(pattern, f"^{plain}", 0)
-    prefix, suffix = unescaped(raw), unescaped(F.regexp_extract(pattern, f"{plain}$", 0))
+    prefix, suffix = _unescaped(raw), _unescaped(F.regexp_extract(pattern, f"{plain}$", 0))
     by_end = (prefix == "") & (suffix != "")
-    keyed = rules.withColumns({"_prefix": prefix, "_wild": F.length(raw) < F.length(pattern), "_end": by_end, "_key": F.when(by_end, suffix).otherwise(prefix)})
+    inner = (prefix == "") & (suffix == "") & F.rlike(pattern, F.lit(LITERAL))
+    labelled = rules.withColumns({"_prefix": prefix, "_wild": F.length(raw) < F.length(pattern), "_inner": inner})
+    matches = F.expr(f"`{code}` LIKE `{pattern}`")
+    within = inner_pairs(codes, labelled.where("_inner").drop("_inner"), on, code, pattern).where(matches)
+    keyed = labelled.where("NOT _inner").drop("_inner").withColumns({"_end": by_end, "_key": F.when(by_end, suffix).otherwise(prefix)})
     size = F.struct(F.col("_end").alias("end"), F.length("_key").alias("n"))
     if on:
         sized = codes.join(keyed.groupBy(*on).agg(F.collect_set(size).alias("_sizes")), list(on))
@@ -68,7 +109,8 @@ def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str,
     probes = sized.withColumn("_size", F.explode("_sizes")).where(F.col("_size.n") <= F.length(code))
     part = F.when(F.col("_size.end"), F.expr(f"right(`{code}`, _size.n)")).otherwise(F.expr(f"left(`{code}`, _size.n)"))
     probes = probes.select(*codes.columns, F.col("_size.end").alias("_end"), part.alias("_key"))
-    return probes.join(keyed, [*on, "_end", "_key"]).where(F.expr(f"`{code}` LIKE `{pattern}`")).drop("_end", "_key")
+    outer = probes.join(keyed, [*on, "_end", "_key"]).where(matches).drop("_end", "_key")
+    return outer.unionByName(within)
 
 
 def _ranked_hits(df: DataFrame, patterns: DataFrame, on: Sequence[str], code: str, pattern: str, values: Sequence[str]) -> tuple[DataFrame, Column]:

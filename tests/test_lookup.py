@@ -1,6 +1,7 @@
 """Joins, periods and keys."""
 
 import datetime
+import random
 import re
 
 import pytest
@@ -46,6 +47,26 @@ def test_like_lookup_keeps_other_groups_apart(spark):
     assert rows(J.like_lookup(df, pats, ["g"], "code", "pattern", ["label"]), "id", "label") == [(1, "x"), (2, None), (3, None)]
 
 
+def test_patterns_wild_at_both_ends_meet_codes_under_their_rarest_gram(spark):
+    """10,000 patterns: a code is paired only under a shared q-gram, far from all pairs."""
+    rng = random.Random(1)
+    text = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    names = [text(rng.randint(0, 12)) for _ in range(1500)]
+    patterns = sorted({f"%{text(rng.randint(3, 5))}{rng.choice(['', '_' + text(2)])}%" for _ in range(13_000)} | {r"%a\%_b%", "%ab%", "%j%", "%%", "_%"})
+    codes = spark.createDataFrame([(n,) for n in sorted(set(names))], "code string")
+    rules = spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    inner = rules.where(F.length(F.regexp_replace("pattern", "[%_]", "")) > 0)
+    pairs = [tuple(r) for r in J.inner_pairs(codes, inner, [], "code", "pattern").select("code", "pattern").collect()]
+    grams = lambda p: [lit for lit in re.split("[%_]", p.replace("\\%", "\x00")) if lit]
+    shared = lambda c, p: any(g.replace("\x00", "%")[i : i + 3] in c for g in grams(p) for i in range(max(1, len(g) - 2)))
+    assert len(patterns) > 10_000 and all(shared(c, p) for c, p in pairs)
+    assert len(pairs) == len(set(pairs)) < 0.02 * len(patterns) * len(set(names))
+    got = {tuple(r) for r in J.like_hits(codes, rules, [], "code", "pattern").select("code", "pattern").collect()}
+    plain = [p for p in patterns if "\\" not in p]
+    compiled = {p: re.compile("".join(".*" if c == "%" else "." if c == "_" else re.escape(c) for c in p)) for p in plain}
+    assert got == {(c, p) for c in set(names) for p in plain if compiled[p].fullmatch(c)}
+
+
 def test_layers_do_not_multiply_rows(spark):
     df = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, "c", "z")], "id int, m string, country string")
     own = spark.createDataFrame([("a", 10), ("a", 11)], "m string, v int")
