@@ -8,8 +8,10 @@ from pyspark.sql import types as T
 from panelgrain.checks import panel as P
 from panelgrain.checks.registry import query
 from panelgrain.operators import conform as C
+from panelgrain.operators import expressions as X
 from panelgrain.operators import measures as M
 from panelgrain.operators.periods import add_period_expressions
+from panelgrain.session import scratch_path
 from panelgrain.spec import ContractSpec, ExpressionSet
 
 SPEC = ContractSpec(run_id=7, contract_id=101, source_id=3, category_id="SMALL", currency="USD")
@@ -262,6 +264,47 @@ def prj12(spark, d):
     return as_double(second, "volume", "value", "price", "double_price")
 
 
+def stored_expressions(spark):
+    """A lookup table of expression sets, rows in no order: contract 7 has sets of its own, others take the default's."""
+    rows = [
+        (101, "measures", "price_class", "CASE WHEN price > 1400 THEN 'high' ELSE 'low' END"), (101, "measures", "price", "0"), (7, "measures", "premium", "price_class = 'high' AND share > 0.5"),
+        (7, "measures", "price_class", "CASE WHEN price > 1400 THEN 'high' ELSE 'low' END"), (7, "measures", "price", "round(try_divide(value, volume), 4)"),
+        (7, "measures", "share", "round(try_divide(volume, volume + 100), 4)"), (7, "measures", "volume", "volume + 1"), (7, "broken", "a", "b + 1"), (7, "broken", "b", "a * 2"),
+        (7, "broken", "margin", "value - cost"), (7, "broken", "rate", "margin / value"), (7, "broken", "double_value", "value * 2"), (7, "broken", "half", "value /"),
+    ]
+    path = scratch_path(spark, "expressions")
+    spark.createDataFrame(rows, "contract_id int, set_name string, column_name string, expression string").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@query(
+    "prj12_stages_from_a_table",
+    """WITH s AS (SELECT product_key, CAST(sum(quantity) AS DOUBLE) + 1 AS volume, CAST(sum(amount) AS DOUBLE) AS value FROM sales GROUP BY 1),
+       p AS (SELECT *, round(value / nullif(volume, 0), 4) AS price, round(volume / nullif(volume + 100, 0), 4) AS share FROM s),
+       c AS (SELECT *, CASE WHEN price > 1400 THEN 'high' ELSE 'low' END AS price_class FROM p)
+       SELECT product_key, volume, value, price, share, price_class, price_class = 'high' AND share > 0.5 AS premium FROM c""",
+    (P.SALES,),
+)
+def prj12_stages(spark, d):
+    """Four stages out of five rows in mixed order: volume; price and share; the class; the premium."""
+    base = P.sales(spark, d).groupBy("product_key").agg(P.total("quantity").alias("volume"), P.total("amount").alias("value"))
+    staged = X.stage_expressions(spark, X.expression_rows(stored_expressions(spark), "measures", 7), base.schema)
+    return staged.apply(base).select("product_key", "volume", "value", "price", "share", "price_class", "premium")
+
+
+@query(
+    "prj12_rejected_expressions",
+    """SELECT DISTINCT l_returnflag, column_name, reason FROM lineitem, (VALUES ('a', 'circle: a -> b -> a'), ('b', 'circle: b -> a -> b'), ('half', 'does not parse'),
+       ('margin', 'unknown column cost'), ('rate', 'needs margin')) t(column_name, reason)""",
+)
+def prj12_rejected(spark, d):
+    """What a set's faults keep from the facts of each return flag."""
+    facts = P.table(spark, d, "lineitem").select("l_returnflag", F.col("l_extendedprice").alias("value"))
+    staged = X.stage_expressions(spark, X.expression_rows(stored_expressions(spark), "broken", 7), facts.schema)
+    flags = staged.apply(facts).where("double_value = value * 2").select("l_returnflag").distinct().withColumn("set_name", F.lit("broken"))
+    return flags.join(staged.faults(spark).withColumn("set_name", F.lit("broken")), "set_name").select("l_returnflag", "column_name", "reason")
+
+
 @query("prj13_minus", "SELECT r_name FROM region")
 def prj13(spark, d):
     return C.minus(P.table(spark, d, "region"), ["r_regionkey"])
