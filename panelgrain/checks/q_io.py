@@ -218,6 +218,12 @@ def snk03(spark, d):
     return spark.read.parquet(path).select("product_key", "name", "category")
 
 
+def written_frame(spark, df):
+    path = scratch_path(spark, "written")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def sync_frames(spark, d):
     base = P.products(spark, d).select("product_key", "name", "brand", "size")
     old = base.where("size > 5").select("product_key", F.when(F.col("size") == 20, "was").otherwise(F.col("name")).alias("name"), "brand")
@@ -242,6 +248,25 @@ def snk04_table(spark, d):
     return spark.read.parquet(path)
 
 
+@query(
+    "snk04_sync_by_digests",
+    """SELECT brand, count(*) AS products, sum(CASE WHEN size = 20 AND brand LIKE '%1' THEN 1 ELSE 0 END) AS renamed, sum(CASE WHEN size = 20 AND brand LIKE '%1' THEN 1 ELSE 0 END) > 0 AS rewritten
+       FROM products WHERE brand <> 'Brand#7' GROUP BY brand""",
+    (P.PRODUCTS,),
+)
+def snk04_digests(spark, d):
+    """A table by brand after a sync that renames some products of a few brands and drops one brand: which folders have new files."""
+    path = scratch_path(spark, "digests")
+    base = P.products(spark, d).select("product_key", "name", "size", "brand")
+    S.write_partitions(base, path, ["brand"])
+    before = written_frame(spark, spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file")).distinct())
+    renamed = F.when((F.col("size") == 20) & F.col("brand").endswith("1"), F.concat("name", F.lit(" new"))).otherwise(F.col("name"))
+    S.sync(spark, base.where("brand <> 'Brand#7'").withColumn("name", renamed), path, ["product_key"])
+    now = spark.read.parquet(path).select("brand", F.col("name").endswith(" new").cast("long").alias("new"), F.col("_metadata.file_path").alias("file"))
+    fresh = now.join(before.withColumn("old", F.lit(True)), "file", "left")
+    return fresh.groupBy("brand").agg(F.count("*").alias("products"), F.sum("new").alias("renamed"), F.max(F.col("old").isNull()).alias("rewritten"))
+
+
 @query(
     "snk05_product_merge",
     """SELECT product_key, CASE WHEN size < 30 THEN 'delivered' ELSE 'stored' END AS origin, CAST(CASE WHEN category IN ('SMALL', 'LARGE') THEN 3 ELSE 4 END AS INTEGER) AS part_source_id FROM products WHERE size < 30 OR size > 10""",

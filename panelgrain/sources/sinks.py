@@ -110,20 +110,64 @@ def change_set(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Dat
     return both.where(~F.col("_old").eqNullSafe(F.col("_new"))).select(*keys, letter.alias("change"))
 
 
+def digests(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """One row a partition with a digest of its rows in any order: their number and two sums of 64-bit hashes.
+
+    Which cells are null is hashed too, as a hash skips nulls. Sums are combined before the shuffle.
+    """
+    cells = [c for c in df.columns if c not in by]
+    nulls = F.concat(F.lit(""), *[F.isnull(c).cast("int").cast("string") for c in cells])
+    sums = [F.sum(F.xxhash64(F.lit(seed), nulls, *cells).cast("decimal(38,0)")).alias(f"sum{seed}") for seed in (1, 2)]
+    return df.groupBy(*by).agg(F.struct(F.count("*").alias("rows"), *sums).alias("digest"))
+
+
+def differing_partitions(target: DataFrame, source: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The partition values whose rows differ between two frames, with `gone` where source has none of them."""
+    old = digests(target, by).select(*[F.col(c).alias(f"_{c}") for c in by], F.col("digest").alias("_old"))
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    both = digests(source, by).join(old, same, "full").where(~F.col("digest").eqNullSafe(F.col("_old")))
+    there = F.col("digest").isNotNull()
+    return both.select(*[F.when(there, F.col(c)).otherwise(F.col(f"_{c}")).alias(c) for c in by], (~there).alias("gone"))
+
+
+def _of_partitions(df: DataFrame, listed: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows whose partition is listed; nulls are values like others."""
+    names = listed.select(*[F.col(c).alias(f"_{c}") for c in by])
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return df.join(names, same, "left_semi")
+
+
 def sync(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str]) -> DataFrame:
     """Make the table equal to source (upsert plus delete of absent rows); returns what changed.
 
-    The table keeps its partition columns. The new state is written beside it first and takes its
-    place by two renames, so a failure leaves the old table or the whole new one.
+    Partitions are told apart by digests of their rows (`digests`: 128 bits and the number of rows); only those that
+    differ are compared key by key and replaced by dynamic overwrite, those that source no longer has are removed last.
+    There is no moment without a table, and a run that failed can be repeated. A table without partition
+    columns is left alone if its digest is equal; else the new state is written beside it and takes its
+    place by two renames.
     """
     target = spark.read.parquet(path)
     layout = partition_columns(spark, path)
     with _staging(spark) as stage:
         incoming = stage(conform(source, target.schema), "in")
+        if layout:
+            differing = stage(differing_partitions(target, incoming, layout), "differing")
+            old, new = (_of_partitions(df, differing, layout) for df in (target, incoming))
+            changes = _staged(change_set(old, new, keys), "changes")
+            gone = _of_partitions(target.select("*", "_metadata"), differing.where("gone"), layout)
+            folders = stage(gone.select(_folder()).distinct(), "folders")
+            write_partitions(new, path, layout)
+            _remove_folders(spark, _listed(folders))
+            return changes
         changes = _staged(change_set(target, incoming, keys), "changes")
+        if differing_partitions(target.withColumn("_all", F.lit(1)), incoming.withColumn("_all", F.lit(1)), ["_all"]).isEmpty():
+            return changes
         fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
-        writer = incoming.hint("rebalance", *layout).write.partitionBy(*layout) if layout else incoming.write
-        writer.parquet(fresh)
+        incoming.write.parquet(fresh)
         _replace(spark, path.rstrip("/"), fresh)
     return changes
 

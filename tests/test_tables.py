@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from panelgrain.plans import publish as PUB
 from panelgrain.sources import sinks as S
 from panelgrain.streaming import router as ST
-from tests.conftest import rows
+from tests.conftest import ordered, rows
 
 
 def files(path):
@@ -74,6 +74,37 @@ def test_sync_changes(spark, tmp_path):
     assert S.sync(spark, new, path, ["k"]).count() == 0
 
 
+def test_sync_rewrites_only_partitions_that_differ(spark, tmp_path):
+    path = str(tmp_path / "p")
+    schema = "k int, v string, part string"
+    before = [(k, None if k % 4 == 0 else f"v{k}", p) for k, p in enumerate(["a", "a", "b", "b", "c q%", "c q%", "d", None, None])]
+    S.write_partitions(spark.createDataFrame(before, schema), path, ["part"])
+    first = files(path)
+    # b has a changed row, d is gone, e is new; the others are the same rows in another order.
+    now = [(k, "new" if k == 2 else v, p) for k, v, p in before if p != "d"][::-1] + [(20, "x", "e")]
+    assert rows(S.sync(spark, spark.createDataFrame(now, schema), path, ["k"])) == [(2, "U"), (20, "I"), (6, "D")]
+    assert rows(spark.read.parquet(path), "k", "v", "part") == ordered(now)
+    then = files(path)
+    kept = {f for f, t in first.items() if then.get(f) == t}
+    assert {f.split("part=")[1].split("/")[0] for f in first.keys() - kept} == {"b", "d"}
+    assert {f.split("part=")[1].split("/")[0] for f in then.keys() - kept} == {"b", "e"}
+    assert S.sync(spark, spark.createDataFrame(now, schema), path, ["k"]).count() == 0 and files(path) == then
+
+
+def test_a_key_that_moves_to_another_partition(spark, tmp_path):
+    path = str(tmp_path / "m")
+    frame = lambda *r: spark.createDataFrame(r, "k int, v string, part string")
+    S.write_partitions(frame((1, "x", "a"), (2, None, "a"), (3, "y", "b"), (4, "z", "c")), path, ["part"])
+    assert rows(S.sync(spark, frame((1, "x", "b"), (2, None, "a"), (3, "y", "b"), (4, "z", "c")), path, ["k"])) == [(1, "U")]
+    assert rows(spark.read.parquet(path), "k", "part") == [(1, "b"), (2, "a"), (3, "b"), (4, "c")]
+
+
+def test_digests_see_where_nulls_stand(spark):
+    one, two = (spark.createDataFrame([(1, a, b)], "p int, a string, b string") for a, b in ((None, "x"), ("x", None)))
+    assert rows(S.differing_partitions(one, two, ["p"])) == [(1, False)]
+    assert S.differing_partitions(one, one, ["p"]).count() == 0
+
+
 def fact(spark, *data):
     return spark.createDataFrame(data, "source_id int, contract_id int, period_end date, product_key int, volume double")
 
