@@ -301,8 +301,9 @@ def prj12_rejected(spark, d):
     """What a set's faults keep from the facts of each return flag."""
     facts = P.table(spark, d, "lineitem").select("l_returnflag", F.col("l_extendedprice").alias("value"))
     staged = X.stage_expressions(spark, X.expression_rows(stored_expressions(spark), "broken", 7), facts.schema)
-    flags = staged.apply(facts).where("double_value = value * 2").select("l_returnflag").distinct().withColumn("set_name", F.lit("broken"))
-    return flags.join(staged.faults(spark).withColumn("set_name", F.lit("broken")), "set_name").select("l_returnflag", "column_name", "reason")
+    faults = F.array(*[F.struct(F.lit(name).alias("column_name"), F.lit(reason).alias("reason")) for name, _, reason in staged.rejected])
+    flags = staged.apply(facts).where("double_value = value * 2").select("l_returnflag").distinct()
+    return flags.select("l_returnflag", F.explode(faults).alias("fault")).select("l_returnflag", "fault.*")
 
 
 @query("prj13_minus", "SELECT r_name FROM region")
