@@ -74,12 +74,14 @@ def scan(docs: DataFrame, base: list[tuple[str, str]] | None = None, more: list[
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score for every row.
 
     A base phrase counts at each place where all its words stand in a row. A further template counts
-    where diagonals at most 4 words apart hold 0.6 of its k-grams or more, so a few changed, added or
-    missing words do not hide it. score is the best share of any template, 1 for a base phrase.
+    where diagonals at most 4 words apart hold 0.6 of its k-grams or more, each counted once and only in
+    the template's order: a k-gram counts where its first place in the span lies behind those of all k-grams before
+    it in the template. So a few changed, added or missing words do not hide it, and a part said twice
+    does not stand for the whole. score is the best share of any template, 1 for a base phrase.
 
     All rolling three-word hashes are joined with the templates' (a constant table of a few hundred
     rows, broadcast); what matches is aggregated by document, template and diagonal (place in the text
-    less place in the template). Null text counts as empty: 0 words, no places, empty labels, score 0.
+    less place in the template); what a diagonal keeps is which k-grams of the template lie on it. Null text counts as empty: 0 words, no places, empty labels, score 0.
     Equal rows are scanned as one and returned as often as they came; null doc_id is kept. Extra columns are
     not read.
     """
@@ -92,17 +94,27 @@ def scan(docs: DataFrame, base: list[tuple[str, str]] | None = None, more: list[
     # The join keeps one row for each document (no k-gram) and every k-gram that a template has.
     joined = grams.join(F.broadcast(templates), "h", "left").where("places IS NOT NULL OR pos < 0")
     hits = joined.select("doc_id", "tkey", "n_words", "pos", F.explode_outer("places").alias("t"))
+    # A row without a template stands for a copy of the document. A set of offsets is never longer than its template.
     voted = hits.groupBy("doc_id", "tkey", "t.template", (F.col("pos") - F.col("t.offset")).alias("diagonal")).agg(
-        F.first("n_words").alias("n_words"), F.first("t.label").alias("label"), F.first("t.base").alias("base"), F.first("t.grams").alias("grams"), F.count("*").alias("votes")
-    )
-    copies = F.max(F.when(F.col("template").isNull(), F.col("votes"))).over(Window.partitionBy("doc_id", "tkey"))
-    voted = voted.withColumn("copies", copies).withColumn("votes", (F.col("votes") / F.col("copies")).cast("long"))
+        F.first("n_words").alias("n_words"), F.first("t.label").alias("label"), F.first("t.base").alias("base"), F.first("t.grams").alias("grams"),
+        F.count("*").alias("rows"), F.collect_set("t.offset").alias("offsets"),
+    )
+    copies = F.max(F.when(F.col("template").isNull(), F.col("rows"))).over(Window.partitionBy("doc_id", "tkey"))
+    voted = voted.withColumn("copies", copies)
     line = Window.partitionBy("doc_id", "tkey", "template").orderBy("diagonal")
     apart = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(line) > NEAR, F.lit(True)) | F.col("base")
-    spans = voted.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(line))
-    spans = spans.groupBy("doc_id", "tkey", "template", "span").agg(
+    merged = voted.withColumn("apart", apart.cast("int")).withColumn("span", F.sum("apart").over(line))
+    span = ["doc_id", "tkey", "template", "span"]
+    found = merged.select("*", F.explode_outer("offsets").alias("offset")).groupBy(*span, "offset").agg(
+        F.first("n_words").alias("n_words"), F.first("copies").alias("copies"), F.first("label").alias("label"), F.first("base").alias("base"),
+        F.first("grams").alias("grams"), F.min("diagonal").alias("diagonal"),
+    )
+    # Verification: a span's k-grams at their first places, in the template's order.
+    place = F.col("diagonal") + F.col("offset")
+    behind = F.max(place).over(Window.partitionBy(*span).orderBy("offset").rowsBetween(Window.unboundedPreceding, -1))
+    spans = found.withColumn("in_order", F.when(behind.isNull() | (place > behind), 1).otherwise(0)).groupBy(*span).agg(
         F.first("n_words").alias("n_words"), F.first("copies").alias("copies"), F.first("label").alias("label"), F.first("base").alias("base"),
-        F.min("diagonal").alias("start"), F.least(F.sum("votes") / F.first("grams"), F.lit(1.0)).alias("share"),
+        F.min("diagonal").alias("start"), (F.sum("in_order") / F.first("grams")).alias("share"),
     )
     is_base = F.col("base") & (F.col("share") >= 1)
     is_more = ~F.col("base") & (F.col("share") >= SHARE)
@@ -139,16 +151,23 @@ WITH template AS (
 ), dgram AS (
   SELECT doc_id, pos, ARRAY_TO_STRING(w[pos + 1:pos + 3], ' ') AS g FROM place
 ), vote AS (
-  SELECT d.doc_id, t.n, t.label, t.is_base, t.grams, d.pos - t.off AS diagonal, COUNT(*) AS votes
+  SELECT d.doc_id, t.n, t.label, t.is_base, t.grams, d.pos - t.off AS diagonal, LIST(DISTINCT t.off) AS offs
   FROM dgram d JOIN tgram t ON d.g = t.g GROUP BY ALL
 ), marked AS (
   SELECT *, CASE WHEN is_base OR COALESCE(diagonal - LAG(diagonal) OVER l > {NEAR}, TRUE) THEN 1 ELSE 0 END AS apart
   FROM vote WINDOW l AS (PARTITION BY doc_id, n ORDER BY diagonal)
 ), numbered AS (
   SELECT *, SUM(apart) OVER (PARTITION BY doc_id, n ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked
+), spread AS (
+  SELECT doc_id, n, label, is_base, grams, span, diagonal, UNNEST(offs) AS off FROM numbered
+), found AS (
+  SELECT doc_id, n, label, is_base, grams, span, off, MIN(diagonal) AS diagonal, MIN(diagonal + off) AS place FROM spread GROUP BY doc_id, n, label, is_base, grams, span, off
+), checked AS (
+  SELECT *, COALESCE(place > MAX(place) OVER (PARTITION BY doc_id, n, span ORDER BY off ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), TRUE) AS in_order
+  FROM found
 ), spans AS (
-  SELECT doc_id, n, label, is_base, span, MIN(diagonal) AS start, LEAST(SUM(votes)::DOUBLE / MIN(grams), 1.0) AS share
-  FROM numbered GROUP BY ALL
+  SELECT doc_id, n, label, is_base, span, MIN(diagonal) AS start, COUNT(*) FILTER (WHERE in_order)::DOUBLE / MIN(grams) AS share
+  FROM checked GROUP BY doc_id, n, label, is_base, span
 ), sound AS (
   SELECT *, is_base AND share >= 1 AS b FROM spans WHERE CASE WHEN is_base THEN share >= 1 ELSE share >= {SHARE} END
 )
