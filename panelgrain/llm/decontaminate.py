@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelgrain.functions.numbering import hashed_numbers
 from panelgrain.llm import kernels as K
 from panelgrain.llm.shared import query, table, texts, written
 
@@ -35,7 +36,7 @@ def _item_terms(batches):
         _, first, word = _words(data, at)
         row = np.repeat(np.arange(len(at) - 1), np.diff(first))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row)), pa.array(np.diff(first)[row].astype(np.int64)), pa.array(word.view(np.int64))], names=["item_id", "words", "term"]
+            [batch.column(0).take(pa.array(row)), pa.array(np.diff(first)[row].astype(np.int64)), pa.array(word.view(np.int64))], names=["item", "words", "term"]
         )
 
 
@@ -58,10 +59,11 @@ class Index:
     block_most: np.ndarray
     grams: list
     split: list
+    longest: int
 
 
-def build_index(items: list[tuple], weights: dict[tuple, float]) -> Index:
-    """`items`: (id, text); `weights`: (id, term) -> BM25 impact."""
+def build_index(items: list[tuple], weights: dict[tuple, float], longest: int = 0) -> Index:
+    """`items`: (name, text), each name once; `weights`: (name, term) -> BM25 impact; `longest`: words of the longest item of all indexes."""
     kept, grams, split = [], [], []
     for name, text in items:
         raw = (text or "").encode()
@@ -91,7 +93,7 @@ def build_index(items: list[tuple], weights: dict[tuple, float]) -> Index:
     block = item // BLOCK
     head = np.flatnonzero(np.concatenate(([True], (block[1:] != block[:-1]) | (which[1:] != which[:-1])))) if len(term) else np.zeros(0, dtype=np.int64)
     block_most = np.maximum.reduceat(impact, head) if len(head) else np.zeros(0)
-    return Index(kept, terms, low, item, impact, most, np.searchsorted(which[head], np.arange(len(terms) + 1)), block[head], block_most, grams, split)
+    return Index(kept, terms, low, item, impact, most, np.searchsorted(which[head], np.arange(len(terms) + 1)), block[head], block_most, grams, split, max([longest, *(len(own) + k - 1 for k, own in grams)]))
 
 
 def answer_start(raw: bytes, starts: np.ndarray) -> int:
@@ -159,7 +161,7 @@ def search(index: Index, window: np.ndarray, term: np.ndarray, n: int, threshold
 
 def _leaks(batches, index: Index):
     """(doc_id, tkey, item, score, question, answer): an item verified in a document; its best passage."""
-    longest = max(len(own) + k - 1 for k, own in index.grams)
+    longest = index.longest
     for batch in batches:
         data, at = K.text_bytes(batch.column(2))
         found = []
@@ -196,7 +198,7 @@ def _leaks(batches, index: Index):
             [
                 batch.column(0).take(pa.array([r for r, _ in rows], pa.int64())),
                 batch.column(1).take(pa.array([r for r, _ in rows], pa.int64())),
-                pa.array([index.items[it] for _, it in rows], pa.int64()),
+                pa.array([index.items[it][1] for _, it in rows], pa.int64()),
                 *[pa.array([min(1.0, round(best[k][x], 6)) for k in rows], pa.float64()) for x in range(3)],
             ],
             names=["doc_id", "tkey", "item_id", "score", "question", "answer"],
@@ -207,24 +209,30 @@ LEAK = "doc_id long, tkey long, item_id long, score double, question double, ans
 
 
 def indexes(benchmark: DataFrame, most_bytes: int = MOST_BYTES) -> list[Index]:
-    """Indexes that hold all items, each of about `most_bytes` of text; impacts use counts over all items."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.groupBy("item_id", "text").agg(F.count("*").alias("same")).groupBy("item_id").agg(F.max("text").alias("text"))
-    terms = written(items.mapInArrow(_item_terms, "item_id long, words long, term long"), "terms")
-    counts = terms.groupBy("item_id", "term").agg(F.count("*").alias("tf"), F.first("words").alias("words"))
+    """Indexes that hold all items, each of about `most_bytes` of text; impacts and passages use counts over all items.
+
+    An item is a distinct (item_id, text); what an index calls an item is the pair of its number and its item_id.
+    """
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL").distinct()
+    items = written(hashed_numbers(items, ["item_id", "text"], "item"), "items")
+    terms = written(items.select("item", "text").mapInArrow(_item_terms, "item long, words long, term long"), "terms")
+    counts = terms.groupBy("item", "term").agg(F.count("*").alias("tf"), F.first("words").alias("words"))
     frequency = counts.groupBy("term").agg(F.count("*").alias("df"))
-    whole = counts.groupBy("item_id").agg(F.first("words").alias("words")).agg(F.count("*").alias("n"), F.avg("words").alias("mean")).first()
+    sizes = counts.groupBy("item").agg(F.first("words").alias("words"))
+    whole = sizes.agg(F.count("*").alias("n"), F.avg("words").alias("mean"), F.coalesce(F.max("words"), F.lit(0)).alias("longest")).first()
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = -(-size // most_bytes)
     idf = F.log1p((F.lit(whole["n"]) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("words") / F.lit(whole["mean"] or 1.0)))
-    weighted = written(counts.join(frequency, "term").select("item_id", "term", weight.alias("weight")), "weights")
+    weighted = written(counts.join(frequency, "term").select("item", "term", weight.alias("weight")), "weights")
     found = []
     for part in range(parts):
-        mine = F.pmod(F.xxhash64("item_id"), F.lit(parts)) == part
-        own = [tuple(r) for r in items.where(mine).orderBy("item_id").collect()]
-        index = build_index(own, {(r[0], r[1]): r[2] for r in weighted.where(mine).collect()})
+        mine = F.pmod(F.xxhash64("item"), F.lit(parts)) == part
+        own = [tuple(r) for r in items.where(mine).orderBy("item").select("item", "item_id", "text").collect()]
+        ids = {number: item_id for number, item_id, _ in own}
+        index = build_index([(number, text) for number, _, text in own], {(r[0], r[1]): r[2] for r in weighted.where(mine).collect()}, whole["longest"])
         if index.items:
+            index.items = [(number, ids[number]) for number in index.items]
             found.append(index)
     return found
 
@@ -257,10 +265,14 @@ def _over(source: DataFrame, index: Index) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents in which no item was found, with their own columns; see `leaks`."""
-    found = written(leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("tkey").alias("_key")).distinct(), "leaks")
-    same = F.col("_id").eqNullSafe(docs["doc_id"].cast("long")) & (F.col("_key") == F.xxhash64(F.coalesce(docs["text"], F.lit(""))))
-    return docs.join(found, same, "left_anti")
+    """The documents in which no item was found, with their own columns, whatever their names; see `leaks`.
+
+    Rows are told apart by doc_id and text; a null doc_id is a value like others, equal rows go or stay together.
+    """
+    found = written(leaks(docs, benchmark).select("doc_id", "tkey").distinct(), "leaks")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("doc_id").eqNullSafe(F.col("row.doc_id").cast("long")) & (F.col("tkey") == F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    return rows.join(found, same, "left_anti").select("row.*")
 
 
 @query("op1_benchmark_leaks")

@@ -94,6 +94,23 @@ def test_search_is_whole():
         assert all(got[k] == pytest.approx(want[k]) for k in got)
 
 
+@pytest.mark.parametrize("most_bytes", [1 << 23, 60])
+def test_every_text_is_an_item(spark, documents, most_bytes):
+    """Several texts under one id and texts without an id are all looked for, in one index or in many, with the same passages."""
+    r = random.Random(12)
+    say = lambda n: " ".join(f"v{r.randrange(400)}" for _ in range(n))
+    pairs = [(i // 3, f"{say(r.randint(4, 30))}. {say(r.randint(2, 9))}.") for i in range(24)] + [(None, f"{say(20)}. {say(6)}.") for _ in range(4)]
+    rows = [(k, f"{say(r.randint(0, 300))} {text} {say(r.randint(0, 300))}") for k, (_, text) in enumerate(pairs)]
+    rows += [(100 + k, say(200)) for k in range(10)]
+    numbered = list(enumerate(pairs))
+    want = [(d, pairs[i][0]) for d, i in brute(rows, [(i, text) for i, (_, text) in numbered])]
+    bench = spark.createDataFrame(pairs + pairs[:5], "item_id long, text string")
+    got = [(x.doc_id, x.item_id) for x in D.leaks(documents(rows), bench, most_bytes).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str) and len(got) >= len(pairs)
+    left = {x.doc_id for x in D.clean_documents(documents(rows), bench).collect()}
+    assert left == {d for d, _ in rows} - {d for d, _ in want}
+
+
 def test_edge_rows(spark, documents, clashing):
     item = "What is the name of the river that runs by the old mill town. The answer is the long grey Tarn river."
     bench = spark.createDataFrame([(1, item), (2, None), (None, "x y z"), (3, "..."), (4, "Tiny item"), (4, "Tiny item")], "item_id long, text string")
