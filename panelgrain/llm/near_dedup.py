@@ -7,6 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelgrain.functions.numbering import hashed_numbers
 from panelgrain.llm import kernels as K
 from panelgrain.llm.components import components
 from panelgrain.llm.shared import query, table, texts, written
@@ -120,14 +121,28 @@ def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "na", "nb", F.size(F.array_intersect("sa", "sb")).cast("long").alias("shared"))
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def _identified(source: DataFrame) -> tuple[DataFrame, int]:
+    """Source with an id in every row, and the largest id it came with.
+
+    Rows without one get a number above all ids, equal for equal texts. Only those rows are joined.
+    """
+    last = source.agg(F.coalesce(F.max("doc_id"), F.lit(0).cast("long"))).first()[0]
+    nameless = source.where("doc_id IS NULL").select(F.xxhash64("text").alias("key"), "text")
+    numbers = written(hashed_numbers(nameless.select("key").distinct(), ["key"], "number"), "numbers")
+    named = nameless.join(numbers, "key").select((F.col("number") + F.lit(last)).alias("doc_id"), "text")
+    return source.where("doc_id IS NOT NULL").unionByName(named), last
+
+
+def near_duplicates(docs: DataFrame, identified: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of documents.
 
     Two documents are linked if their sets of distinct five-word shingles have a Jaccard likeness of
     0.75 or more; a component is named by its smallest doc_id, which is kept. Null text counts as
     empty; a document without words has no set, no links and is kept. Rows that share a doc_id are one
-    document. A row with null doc_id joins the component of an equal set if there is one, else it is
-    kept and its component is null. Extra columns are not read. An empty table gives no rows.
+    document. Rows with null doc_id are documents of their own, told apart by their texts, and link others like any
+    document: they join the component of what they are near to. Where no document of a component has an id
+    component_id is null, and the rows of one of its texts are kept. `identified` says that no doc_id is null, which
+    saves looking for them. Extra columns are not read. An empty table gives no rows.
 
     Steps: equal sets become one class, so copies never meet each other. Classes are banded
     (28 bands of 3 slots: a pair at exactly 0.75 misses all of them once in 5 million times).
@@ -138,7 +153,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     what both share with the hub and what both have beside the hub and not alone. No list of a band's
     members is ever made.
     """
-    source = texts(docs)
+    source, last = (texts(docs), None) if identified else _identified(texts(docs))
     meta = written(source.mapInArrow(_signatures, "doc_id long, n long, k1 long, k2 long, bands array<long>"), "signatures")
     classes = meta.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
     labelled = written(meta.select("doc_id", "n", "k1", "k2").join(classes, ["k1", "k2"], "left").select("doc_id", "n", "rep"), "classes")
@@ -186,8 +201,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     joined = labelled.join(final, F.col("rep") == F.col("node"), "left")
     component = F.coalesce("component", "rep", "doc_id")
+    own = lambda node: node if last is None else F.when(node <= last, node)
     return joined.select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept")
+        own(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"), own(component).alias("component_id"), (F.col("doc_id") == component).alias("kept")
     )
 
 

@@ -66,6 +66,27 @@ def test_null_ids_and_empty_table(spark, documents):
     assert N.near_duplicates(documents(rows).limit(0)).collect() == []
 
 
+def test_rows_without_an_id_link_others(spark, documents):
+    """Ids 1 and 3 are not near each other but both near a row without an id; two such rows make a group of their own."""
+    words = [f"w{i}" for i in range(200)]
+    bridge = words[20:] + [f"x{i}" for i in range(20)]
+    far = words[40:] + [f"x{i}" for i in range(40)]
+    lone = [f"y{i}" for i in range(100)]
+    rows = [(1, words), (None, bridge), (3, far), (None, lone), (None, [*lone, "end"]), (None, [*lone, "end"]), (7, ["z"])]
+    rows = [(d, " ".join(w)) for d, w in rows]
+    assert {r[0]: r[2] for r in brute([(1, rows[0][1]), (3, rows[2][1])])} == {1: 1, 3: 3}
+    got = N.near_duplicates(documents(rows)).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in got if r.doc_id) == [(1, 1, True), (3, 1, False), (7, 7, True)]
+    none = [(r.n_shingles, r.component_id, r.kept) for r in got if r.doc_id is None]
+    assert (196, 1, False) in none and len(none) == 4
+    kept = {n for n, c, k in none if c is None and k}
+    assert len(kept) == 1 and all(k == (n in kept) for n, c, k in none if c is None)
+    # As numbered rows the texts form the same groups.
+    want = brute([(100 + i if d is None else d, t) for i, (d, t) in enumerate(rows)])
+    assert sorted(n for _, n, _, _ in want) == sorted(r.n_shingles for r in got)
+    assert {d: c for d, _, c, _ in want if d < 100} == {r.doc_id: r.component_id for r in got if r.doc_id}
+
+
 def test_signature_estimates_and_stops_early():
     """Equal ranks are as frequent as the sets are alike, with less spread than independent ranks have."""
     r = np.random.default_rng(8)
