@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from panelgrain.functions.numbering import hashed_numbers
 from panelgrain.llm.decontaminate import clean_documents
-from panelgrain.llm.mixing import mix
+from panelgrain.llm.mixing import copies_of
 from panelgrain.llm.near_dedup import near_duplicates
 from panelgrain.llm.quality import good_documents
 from panelgrain.llm.shared import table, written
@@ -20,21 +20,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _nodes(docs: DataFrame) -> DataFrame:
-    """docs with `_node`, an id for each distinct (doc_id, text).
+    """(row, node): each row as a struct, and an id for its (doc_id, text).
 
     It is the doc_id; a row without one and the further texts under a repeated one get numbers above all
     ids, by a hash. The first text of an id is the one with the smallest hash.
     """
-    keyed = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    keys = keyed.select("_id", "_key").distinct()
-    firsts = keys.where("_id IS NOT NULL").groupBy("_id").agg(F.min("_key").alias("_first"), F.count("*").alias("_texts")).where("_texts > 1")
-    further = keys.join(firsts, "_id").where("_key <> _first").select("_id", "_key")
-    further = written(keys.where("_id IS NULL").union(further), "further")
-    numbered = hashed_numbers(further, ["_id", "_key"], "_node").select(F.col("_id").alias("_i"), F.col("_key").alias("_k"), "_node")
-    last = docs.agg(F.coalesce(F.max(F.col("doc_id").cast("long")), F.lit(0).cast("long"))).first()[0]
-    numbered = written(numbered.withColumn("_node", F.col("_node") + F.lit(last)), "numbered")
-    both = keyed.join(numbered, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_k")), "left")
-    return both.select(*docs.columns, F.coalesce("_node", "_id").alias("_node"))
+    text = F.xxhash64(F.coalesce("row.text", F.lit("")))
+    keyed = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").cast("long").alias("id"), text.alias("key"))
+    keys = keyed.select("id", "key").distinct()
+    firsts = keys.where("id IS NOT NULL").groupBy("id").agg(F.min("key").alias("first"), F.count("*").alias("texts")).where("texts > 1")
+    further = keys.join(firsts, "id").where("key <> first").select("id", "key")
+    further = written(keys.where("id IS NULL").union(further), "further")
+    numbered = hashed_numbers(further, ["id", "key"], "number").select(F.col("id").alias("of_id"), F.col("key").alias("of_key"), "number")
+    last = keyed.agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).first()[0]
+    numbered = written(numbered.withColumn("number", F.col("number") + F.lit(last)), "numbered")
+    both = keyed.join(numbered, F.col("id").eqNullSafe(F.col("of_id")) & (F.col("key") == F.col("of_key")), "left")
+    return both.select("row", F.coalesce("number", "id").alias("node"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,24 +43,33 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents are told apart by doc_id and text: rows without a doc_id and different texts under one
     doc_id are documents of their own, which go only if they are near a kept one; they come after all
-    others. Of rows equal in both, the first by the other columns stays.
+    others. Null texts are empty; an empty text is near no other document. Of rows equal in both, the first by all
+    columns in their order stays. Extra columns pass through, whatever their names. An empty table gives no rows.
     """
     noded = _nodes(docs)
-    groups = near_duplicates(noded.select(F.col("_node").alias("doc_id"), "text"))
-    kept = groups.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    one = noded.join(kept, F.col("_node") == F.col("_kept"), "left_semi")
-    first = F.row_number().over(Window.partitionBy("_node").orderBy(*docs.columns))
-    return one.withColumn("_first", first).where("_first = 1").select(*docs.columns)
+    groups = near_duplicates(noded.select(F.col("node").alias("doc_id"), F.col("row.text").alias("text")), identified=True)
+    kept = groups.where("kept").select(F.col("doc_id").alias("kept")).distinct()
+    one = noded.join(kept, F.col("node") == F.col("kept"), "left_semi")
+    first = F.row_number().over(Window.partitionBy("node").orderBy("row"))
+    return one.withColumn("first", first).where("first = 1").select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that hold no benchmark item."""
+    """The documents that hold no benchmark item.
+
+    Documents are told apart by doc_id and text; rows without a doc_id, without a text or repeated are judged by their
+    text like others. Extra columns pass through, whatever their names; they are not read. An empty table gives no rows.
+    """
     return clean_documents(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources come to their target shares."""
-    return mix(docs).select(*docs.columns)
+    """Documents repeated or left out so that sources come to their target shares.
+
+    Null sources are a source; a row without a doc_id is drawn by its text, rows of one doc_id share its draw, empty
+    texts are drawn like others. Extra columns pass through, whatever their names. An empty table gives no rows.
+    """
+    return copies_of(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -67,9 +67,9 @@ def poisson_table(rates: DataFrame) -> DataFrame:
     return rates.withColumn("cdf", cdf)
 
 
-def named() -> Column:
+def named(doc_id: str = "doc_id", text: str = "text") -> Column:
     """The doc_id as text; of a row without one, a digest of its text."""
-    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce("text", F.lit("")))))
+    return F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("#"), F.md5(F.coalesce(text, F.lit("")))))
 
 
 def drawn_count(seed: str, name: Column | str = "doc_id") -> Column:
@@ -80,14 +80,34 @@ def drawn_count(seed: str, name: Column | str = "doc_id") -> Column:
     return F.when(F.col("draws") > 1, more).otherwise(first)
 
 
+def _drawn(docs: DataFrame, weights: dict[str, float] | None, epochs: float, temper: float, seed: str) -> DataFrame:
+    """The copies with the documents' columns under the names c0, c1, ... so that none clashes, then rate and copy."""
+    chances = written(poisson_table(source_rates(docs, weights, epochs, temper)).select("source", "rate", "draws", "cdf"), "rates")
+    rows = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text, source = (f"c{docs.columns.index(c)}" for c in ("doc_id", "text", "source"))
+    drawn = rows.join(chances, F.col(source).eqNullSafe(chances["source"]))
+    counted = drawn.select(*rows.columns, "rate", drawn_count(seed, named(doc_id, text)).alias("count")).where("count > 0")
+    begun = counted.withColumn("from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("count"), F.lit(COPIES).cast("long"))))
+    numbers = F.sequence(F.col("from"), F.least(F.col("count"), F.col("from") + (COPIES - 1)))
+    out = begun.select(*rows.columns, "rate", F.explode(numbers.cast("array<int>")).alias("copy"))
+    # Rows without a doc_id are dealt by their text, else all of them were in one part.
+    place = F.xxhash64(F.lit(seed), doc_id, "copy", F.when(F.col(doc_id).isNull(), F.xxhash64(text)))
+    return out.withColumn("place", place).repartition("place").sortWithinPartitions("place", doc_id, "copy").drop("place")
+
+
+def copies_of(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temper: float = TEMPER, seed: str = SEED) -> DataFrame:
+    """The copies that `mix` makes with the documents' own columns only, whatever their names."""
+    return _drawn(docs, weights, epochs, temper, seed).drop("rate", "copy").toDF(*docs.columns)
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float = 1.0, temper: float = TEMPER, seed: str = SEED) -> DataFrame:
     """Every document as often as its draw says, all copies shuffled over the whole output.
 
     The draw inverts the Poisson distribution of the source's rate at a uniform number that depends
     on the seed and doc_id alone, so reruns and lost executors give the same copies. Adds `rate` and
     `copy` (1, 2, ...). Rows of equal doc_id get equal draws; a row without
-    a doc_id is drawn by its text; null or empty texts are drawn like others. An empty table gives no rows. Columns `rate`, `copy`
-    and names that begin with an underscore are replaced; other extra columns pass through.
+    a doc_id is drawn by its text; null or empty texts are drawn like others. An empty table gives no rows. Columns `rate` and
+    `copy` are replaced (`copies_of` keeps them); all other columns pass through, whatever their names.
 
     Any rate is drawn: above MOST_RATE as a sum of independent draws. MIX_SQL says the same up to there; from a
     rate of about 745 its EXP(-rate) is 0 and it cannot. A row's copies are made COPIES at a time; `copy` is
@@ -97,17 +117,8 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, epochs: float
     below its threshold without moving a text, and above it splits a hot source. Copies are dealt
     by a hash of seed, doc_id and copy and sorted by it within each part: one shuffle of the texts.
     """
-    docs = docs.drop("rate", "copy", "cdf", "draws", "_source", "_rate", "_mix", "_count", "_from")
-    chances = poisson_table(source_rates(docs, weights, epochs, temper)).select(F.col("source").alias("_source"), F.col("rate").alias("_rate"), "draws", "cdf")
-    chances = written(chances, "rates")
-    drawn = docs.join(chances, F.col("source").eqNullSafe(F.col("_source")))
-    counted = drawn.select(*docs.columns, "_rate", drawn_count(seed, named()).alias("_count")).where("_count > 0")
-    begun = counted.withColumn("_from", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_count"), F.lit(COPIES).cast("long"))))
-    copies = F.sequence(F.col("_from"), F.least(F.col("_count"), F.col("_from") + (COPIES - 1)))
-    out = begun.select(*docs.columns, F.col("_rate").alias("rate"), F.explode(copies.cast("array<int>")).alias("copy"))
-    # Rows without a doc_id are dealt by their text, else all of them were in one part.
-    place = F.xxhash64(F.lit(seed), "doc_id", "copy", F.when(F.col("doc_id").isNull(), F.xxhash64("text")))
-    return out.withColumn("_mix", place).repartition("_mix").sortWithinPartitions("_mix", "doc_id", "copy").drop("_mix")
+    docs = docs.drop("rate", "copy")
+    return _drawn(docs, weights, epochs, temper, seed).toDF(*docs.columns, "rate", "copy")
 
 
 MIX_SQL = f"""

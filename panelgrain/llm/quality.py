@@ -229,20 +229,23 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleModel
     return fit(rows[names].to_numpy(dtype=np.float64), (rows["target"].to_numpy() == 1).astype(np.int64))
 
 
-def scored(docs: DataFrame, model: RuleModel) -> DataFrame:
+def scored(docs: DataFrame, model: RuleModel, text: str = "text") -> DataFrame:
     """All columns, the statistics, score (0 to 1, higher: better) and predicted (1 if score >= 0.5)."""
-    frame = with_statistics(docs.drop("score", "predicted"))
+    frame = with_statistics(docs.drop("score", "predicted"), text)
     return frame.withColumn("score", model.score()).withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that the classifier accepts, with their own columns.
+    """The documents that the classifier accepts, with their own columns, whatever their names.
 
     Null and empty texts are scored like others; rows of one doc_id each by their own text. Without
     usable labels every document gets the same score of 0.5 and stays. Statistics are counted in Arrow
     tasks, the rules are Spark column expressions; nothing is shuffled.
     """
-    return scored(docs, learn(docs, labels)).where("predicted = 1").select(*docs.columns)
+    columns = docs.columns
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(columns))])
+    good = scored(numbered, learn(docs, labels), f"c{columns.index('text')}").where("predicted = 1")
+    return good.select(*numbered.columns).toDF(*columns)
 
 
 @query("op5_rule_ensemble")

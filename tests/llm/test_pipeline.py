@@ -100,3 +100,24 @@ def test_unnamed_and_repeated_ids_stay(spark):
     assert all(d == i for d, t, *_ in got[0] for i in range(10) if t == prose(i) and i not in (4, 5))
     tokens = C.tokens(spark, frame.where("doc_id IS NULL"), SF).collect()
     assert len(tokens) == sum(d is None for d, _ in rows)
+
+
+def test_clashing_columns_keep_their_values(spark):
+    """Whatever the caller's columns are called, every stage and helper returns them as they came."""
+    names = "_id _key _node _first _kept _i _k rate copy _mix _count _from _source _rate cdf draws score predicted stat_upper tkey node row key id place hub kept item_id n size text_ number".split()
+    plain = table(spark, SF, "documents").limit(150)
+    extra = [F.concat(F.lit(f"{name}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(name) for name in names]
+    repeated = plain.limit(30).withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.lit(None)).otherwise(F.col("doc_id")))
+    docs = written(plain.unionByName(repeated).select("*", *extra), "test")
+    for _, stage in C.STAGES[:-1]:
+        want = [tuple(r) for r in stage(spark, docs.select(*plain.columns), SF).collect()]
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        got = out.collect()
+        assert sorted((tuple(r)[:5] for r in got), key=str) == sorted(want, key=str) and got
+        for r in got:
+            assert list(r)[5:] == [f"{name}:{'none' if r.doc_id is None else r.doc_id}" for name in names]
+    assert C.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [c for c in docs.columns if c not in ("rate", "copy")] + ["rate", "copy"]
+    assert all(r["_mix"].startswith("_mix:") and r.copy >= 1 for r in mixed.collect())
