@@ -11,12 +11,14 @@ from panelgrain.checks.q_extract import fact_lines
 from panelgrain.checks.registry import query
 from panelgrain.operators import compare as C
 from panelgrain.operators import layouts as L
+from panelgrain.operators.conform import union_all
 from panelgrain.operators.extract import extract_fixed_width
 from panelgrain.operators.lookup import like_lookup
 from panelgrain.operators.product import classify_changes
 from panelgrain.quality import framework as Q
 from panelgrain.quality import rules  # noqa: F401
 from panelgrain.quality.framework import REGISTRY
+from panelgrain.session import scratch_path
 
 
 def offending(rule_id: str, **frames: DataFrame) -> DataFrame:
@@ -571,6 +573,45 @@ def dqf2(spark, d):
     return structure_results(spark, d).select("run_id", "rule_id", "offending", "result")
 
 
+def key_frames(spark, d):
+    """Order lines as products with two keys, and orders as mapped periods, of which some have no period."""
+    lines = P.table(spark, d, "lineitem")
+    periods = P.table(spark, d, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("period_id"), F.col("o_custkey").alias("code"))
+    return {
+        "products": lines.select(F.col("l_partkey").alias("code"), F.concat_ws(" ", "l_shipmode", "l_suppkey", "l_quantity").alias("attributes")),
+        "mapped_periods": periods,
+    }
+
+
+KEY_RULES = ("DQ-10", "DQ-12", "DQ-38", "DQ-40")
+KEY_COUNTS = """key_counts AS (
+  SELECT 'DQ-10' AS rule_id, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING count(*) > 1)) AS offending
+  UNION ALL SELECT 'DQ-12', (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_shipmode, l_suppkey, l_quantity HAVING count(*) > 1))
+  UNION ALL SELECT 'DQ-38', (SELECT count(*) FROM (SELECT 1 FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderdate HAVING count(*) > 1))
+  UNION ALL SELECT 'DQ-40', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'))"""
+
+
+def key_rules():
+    return [Q.REGISTRY[r] for r in KEY_RULES]
+
+
+@query("dqf2_key_rules", "SELECT rule_id, offending::BIGINT AS offending, CASE WHEN offending = 0 THEN 'PASSED' ELSE 'FAILED' END AS result FROM key_counts", (KEY_COUNTS,))
+def dqf2_keys(spark, d):
+    """Row-wise and key rules of two tables, one scan and one shuffle of keys each."""
+    return Q.evaluate(key_rules(), key_frames(spark, d), 7, 6, F.lit(AT).cast("timestamp")).select("rule_id", "offending", "result")
+
+
+@query("dqf2_saved_details", "SELECT rule_id, offending::BIGINT AS offending, offending::BIGINT AS stored FROM key_counts", (KEY_COUNTS,))
+def dqf2_saved(spark, d):
+    """Results from metrics observed while details are written, beside the details read back."""
+    path = scratch_path(spark, "details")
+    results = Q.evaluate_and_save(key_rules(), key_frames(spark, d), 7, 6, F.lit(AT).cast("timestamp"), path)
+    kept = [spark.read.schema("key string, rule_id string").parquet(f"{path}/{t}_keys").select("rule_id") for t in ("products", "mapped_periods")]
+    kept.append(spark.read.parquet(f"{path}/DQ-40").select(F.lit("DQ-40").alias("rule_id")))
+    stored = union_all(kept).groupBy("rule_id").agg(F.count("*").alias("stored"))
+    return results.join(stored, "rule_id", "left").select("rule_id", "offending", F.coalesce("stored", F.lit(0)).alias("stored"))
+
+
 def many_results(spark, d):
     """One result per order as if a customer were a run and a priority a rule."""
     rows = P.table(spark, d, "orders").groupBy(F.col("o_custkey").alias("run_id"), F.col("o_orderpriority").alias("rule_id")).agg(F.max(F.when(F.col("o_orderstatus") == "F", 1).otherwise(0)).alias("f"), F.count("*").alias("offending"))

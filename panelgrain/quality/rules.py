@@ -19,7 +19,7 @@ from panelgrain.operators.dedup import repeated_keys, repeated_rows
 from panelgrain.operators.lookup import delivered_status
 from panelgrain.operators.product import NEW
 from panelgrain.operators.reshape import bad_cells, bad_values
-from panelgrain.quality.framework import Frames, rule
+from panelgrain.quality.framework import Frames, RepeatedKey, rule
 from panelgrain.spec import MEASURES_PER_LINE
 
 AXES = ("market", "product", "period")
@@ -99,32 +99,32 @@ def undefined_period(f: Frames, p: dict) -> DataFrame:
     return _absent_tags(f["facts"], f["periods"], "period")
 
 
-@rule("DQ-08", "Duplicated fact", (1,), ["facts"], keys=("market_code", "product_code", "period_code"))
+@rule("DQ-08", "Duplicated fact", (1,), ["facts"], per_key=RepeatedKey(rows=True), keys=("market_code", "product_code", "period_code"))
 def duplicated_fact(f: Frames, p: dict) -> DataFrame:
     return repeated_rows(f["facts"], p["keys"]).select(*p["keys"], "line_num", "copies")
 
 
-@rule("DQ-09", "Duplicated market code", (1, 5), ["markets"], keys=("code",))
+@rule("DQ-09", "Duplicated market code", (1, 5), ["markets"], per_key=RepeatedKey(), keys=("code",))
 def duplicated_market(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["markets"], p["keys"])
 
 
-@rule("DQ-10", "Duplicated product code", (1, 5), ["products"], keys=("code",))
+@rule("DQ-10", "Duplicated product code", (1, 5), ["products"], per_key=RepeatedKey(), keys=("code",))
 def duplicated_product(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["products"], p["keys"])
 
 
-@rule("DQ-11", "Duplicated measure", (5,), ["measures"], keys=("code",))
+@rule("DQ-11", "Duplicated measure", (5,), ["measures"], per_key=RepeatedKey(), keys=("code",))
 def duplicated_measure(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["measures"], p["keys"])
 
 
-@rule("DQ-12", "Duplicated product attributes", (5,), ["products"], keys=("attributes",))
+@rule("DQ-12", "Duplicated product attributes", (5,), ["products"], per_key=RepeatedKey(), keys=("attributes",))
 def duplicated_attributes(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["products"], p["keys"])
 
 
-@rule("DQ-13", "Duplicated period", (5,), ["periods"], keys=("code",))
+@rule("DQ-13", "Duplicated period", (5,), ["periods"], per_key=RepeatedKey(), keys=("code",))
 def duplicated_period(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["periods"], p["keys"])
 
@@ -306,7 +306,7 @@ def period_gaps(f: Frames, p: dict) -> DataFrame:
     return joined.select(*keys, "class", "period_end", status.alias("status")).unionByName(unknown)
 
 
-@rule("DQ-38", "Duplicated period after mapping", (6,), ["mapped_periods"])
+@rule("DQ-38", "Duplicated period after mapping", (6,), ["mapped_periods"], per_key=RepeatedKey(("period_id",), known=True))
 def repeated_period_id(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["mapped_periods"].where("period_id IS NOT NULL"), ["period_id"])
 
@@ -326,7 +326,7 @@ def unknown_market(f: Frames, p: dict) -> DataFrame:
     return f["mapped_markets"].where("market_key IS NULL")
 
 
-@rule("DQ-42", "Duplicated market after mapping", (6,), ["mapped_markets"])
+@rule("DQ-42", "Duplicated market after mapping", (6,), ["mapped_markets"], per_key=RepeatedKey(("market_key",), known=True))
 def repeated_market_key(f: Frames, p: dict) -> DataFrame:
     return repeated_keys(f["mapped_markets"].where("market_key IS NOT NULL"), ["market_key"])
 

@@ -125,3 +125,46 @@ def test_status_word_narrows_a_rule(spark):
     rule = Q.Rule("X", "x", (1,), lambda f, p: f["a"], ("a",), word="missing")
     df = spark.createDataFrame([("Missing",), ("new",)], "status string")
     assert rows(rule.offending({"a": df})) == [("Missing",)]
+
+
+def key_frame(spark):
+    data = [("a", "x", 1, None), ("a", "x", 1, None), ("a", "y", 2, 5), ("b", "x", 3, 5), (None, "z", 4, 6), (None, "z", 4, None)]
+    return spark.createDataFrame(data, "code string, attributes string, line_num int, period_id int")
+
+
+def test_key_rules_together_equal_each_alone(spark):
+    """Null keys are keys unless the rule says otherwise; rules that share a key or a table with row-wise rules count alike."""
+    frame = key_frame(spark)
+    frames = {"products": frame, "mapped_periods": frame, "markets": frame.limit(0)}
+    chosen = [REGISTRY[r] for r in ("DQ-09", "DQ-10", "DQ-12", "DQ-38", "DQ-40")]
+    got = rows(Q.evaluate(chosen, frames, 1, 6, F.lit(AT).cast("timestamp")), "rule_id", "offending")
+    assert got == sorted((r.rule_id, r.offending(frames).count()) for r in chosen)
+    assert got == [("DQ-09", 0), ("DQ-10", 2), ("DQ-12", 2), ("DQ-38", 1), ("DQ-40", 3)]
+    facts = frame.select(F.col("code").alias("market_code"), F.col("attributes").alias("product_code"), F.lit(1).alias("period_code"), "line_num")
+    assert rows(Q.evaluate([REGISTRY["DQ-08"]], {"facts": facts}, 1, 1, F.lit(AT).cast("timestamp")), "result", "offending") == [("FAILED", 4)]
+
+
+def test_key_rules_of_a_table_take_one_scan_and_one_shuffle(spark, tmp_path):
+    key_frame(spark).write.parquet(str(tmp_path / "t"))
+    frame = spark.read.parquet(str(tmp_path / "t"))
+    chosen = [REGISTRY[r] for r in ("DQ-10", "DQ-12")]
+    plan = Q.repeated(chosen, frame)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+    mixed = [REGISTRY[r] for r in ("DQ-38", "DQ-40")]
+    plan = Q.evaluate(mixed, {"mapped_periods": frame}, 1, 6, F.lit(AT).cast("timestamp"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 1
+
+
+def test_counts_and_details_are_stored_together(spark, tmp_path):
+    frame = key_frame(spark)
+    chosen = [REGISTRY[r] for r in ("DQ-09", "DQ-10", "DQ-12", "DQ-40")]
+    frames = {"products": frame, "mapped_periods": frame, "markets": frame.limit(0)}
+    path = str(tmp_path / "found")
+    for _ in range(2):  # a repeated run replaces what it stored
+        results = Q.evaluate_and_save(chosen, frames, 1, 5, F.lit(AT).cast("timestamp"), path)
+        assert results.schema.names == Q.RESULT.names
+        assert rows(results, "rule_id", "result", "offending") == [("DQ-09", "PASSED", 0), ("DQ-10", "FAILED", 2), ("DQ-12", "FAILED", 2), ("DQ-40", "FAILED", 3)]
+        stored = spark.read.parquet(f"{path}/products_keys")
+        assert sorted(tuple(r) for r in stored.select("rule_id", "key", "copies").collect()) == [
+            ("DQ-10", '{"code":"a"}', 3), ("DQ-10", "{}", 2), ("DQ-12", '{"attributes":"x"}', 3), ("DQ-12", '{"attributes":"z"}', 2)]
+        assert spark.read.parquet(f"{path}/DQ-40").count() == 3
