@@ -578,7 +578,7 @@ def key_frames(spark, d):
     lines = P.table(spark, d, "lineitem")
     periods = P.table(spark, d, "orders").select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate")).alias("period_id"), F.col("o_custkey").alias("code"))
     return {
-        "products": lines.select(F.col("l_partkey").alias("code"), F.concat_ws(" ", "l_shipmode", "l_suppkey", "l_quantity").alias("attributes")),
+        "products": lines.select(F.col("l_partkey").alias("code"), F.concat_ws(" ", "l_shipdate", "l_suppkey", "l_quantity").alias("attributes")),
         "mapped_periods": periods,
     }
 
@@ -586,7 +586,7 @@ def key_frames(spark, d):
 KEY_RULES = ("DQ-10", "DQ-12", "DQ-38", "DQ-40")
 KEY_COUNTS = """key_counts AS (
   SELECT 'DQ-10' AS rule_id, (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_partkey HAVING count(*) > 1)) AS offending
-  UNION ALL SELECT 'DQ-12', (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_shipmode, l_suppkey, l_quantity HAVING count(*) > 1))
+  UNION ALL SELECT 'DQ-12', (SELECT count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_shipdate, l_suppkey, l_quantity HAVING count(*) > 1))
   UNION ALL SELECT 'DQ-38', (SELECT count(*) FROM (SELECT 1 FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_orderdate HAVING count(*) > 1))
   UNION ALL SELECT 'DQ-40', (SELECT count(*) FROM orders WHERE o_orderstatus = 'P'))"""
 
