@@ -218,6 +218,32 @@ def snk03(spark, d):
     return spark.read.parquet(path).select("product_key", "name", "category")
 
 
+@query(
+    "snk03_files_rewritten",
+    """WITH stored AS (SELECT product_key, category, product_key % 4 AS quarter, size FROM products WHERE product_key % 8 <> 3)
+       SELECT category, count(DISTINCT quarter) AS files_before, CAST(coalesce(max(hit), 0) AS BIGINT) AS files_rewritten, CAST(coalesce(max(rows), 0) AS BIGINT) AS rows_rewritten,
+         CAST(coalesce(max(matched), 0) AS BIGINT) AS rows_matched, count(*) + any_value(added) AS rows_after
+       FROM stored LEFT JOIN (SELECT category AS c, count(*) AS hit, sum(n) AS rows, sum(m) AS matched
+           FROM (SELECT category, quarter, count(*) AS n, count(*) FILTER (quarter = 3 AND size < 10) AS m FROM stored GROUP BY ALL) WHERE m > 0 GROUP BY 1) ON category = c
+         JOIN (SELECT category AS d, count(*) FILTER (product_key % 8 = 3 AND size < 10) AS added FROM products GROUP BY 1) ON category = d
+       GROUP BY category""",
+    (P.PRODUCTS,),
+)
+def snk03_files(spark, d):
+    """Four files a category, by the key's remainder; changes and new rows all have remainder 3, so three files of four stay."""
+    path = scratch_path(spark, "upsert-files")
+    base = P.products(spark, d).select("product_key", "name", "size", "category")
+    stored = base.where("product_key % 8 <> 3").repartitionById(4, F.pmod("product_key", F.lit(4)).cast("int"))
+    stored.write.partitionBy("category").parquet(path)
+    files = spark.read.parquet(path).select("category", "_metadata.file_path").groupBy("category").agg(F.countDistinct("file_path").alias("files_before"))
+    before = written_frame(spark, files)
+    changed = base.where("product_key % 4 = 3 AND size < 10").withColumn("name", F.concat("name", F.lit(" new")))
+    report = S.upsert(spark, changed, path, ["product_key", "category"], ["category"])
+    per = report.groupBy("category").agg(F.count("*").alias("files_rewritten"), F.sum("rows").alias("rows_rewritten"), F.sum("matched").alias("rows_matched"))
+    after = spark.read.parquet(path).groupBy("category").agg(F.count("*").alias("rows_after"))
+    return before.join(per, "category", "left").na.fill(0, ["files_rewritten", "rows_rewritten", "rows_matched"]).join(after, "category")
+
+
 def written_frame(spark, df):
     path = scratch_path(spark, "written")
     df.write.parquet(path)

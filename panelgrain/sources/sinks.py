@@ -81,20 +81,80 @@ def _no_repeats(df: DataFrame, keys: Sequence[str]) -> None:
         raise ValueError(f"source keys occur more than once: {[tuple(r)[:-1] for r in repeated]}")
 
 
-def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str]) -> None:
-    """Update matched rows, insert the others, rewriting only the partitions that source touches.
+UNFINISHED = "_upsert"
+RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType, T.DateType, T.DecimalType)
 
-    Keys include the partition columns, so a match cannot sit in an untouched partition.
+
+def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str] = ()) -> DataFrame:
+    """Update matched rows, insert the others, rewriting only the files that hold a match.
+
+    Keys are first matched to the files they lie in, reading key columns only, between the smallest and the largest
+    key of the source. What stays of those files and all of source is written to the table's `_upsert` folder, which
+    readers do not see, with a list of the files that go; `finish_upsert` then moves the new files in and removes the old. Every
+    other file of a partition keeps its bytes. Returns a row per file that went: its partition, name, rows and matched rows.
+
+    Keys include the partition columns. A key with a null matches nothing and is inserted, as in `upserted`. While files
+    are moved, readers see rewritten rows twice, never too few. A run that broke off is finished, or undone if it had
+    not begun to move files, by the next upsert. One upsert at a time may write a table.
     """
     missing = [p for p in partition_by if p not in keys]
     if missing:
         raise ValueError(f"keys must include the partition columns {missing}")
-    target = spark.read.parquet(path)
+    finish_upsert(spark, path)
+    target, by, work = spark.read.parquet(path), list(partition_by), f"{path.rstrip('/')}/{UNFINISHED}"
     with _staging(spark) as stage:
         incoming = stage(conform(source, target.schema), "in")
         _no_repeats(incoming, keys)
-        touched = target.join(incoming.select(*partition_by).distinct(), list(partition_by), "left_semi")
-        write_partitions(stage(upserted(touched, incoming, keys), "out"), path, partition_by)
+        wanted = incoming.select(*keys)
+        near = target.select(*keys, _plain("_metadata.file_path").alias("_file")).where(_within(wanted, keys))
+        hit = stage(near.join(wanted, list(keys), "left_semi").groupBy("_file").agg(F.count("*").alias("matched")), "hit")
+        named = [r[0] for r in hit.select("_file").toLocalIterator()]
+        whole = spark.read.schema(target.schema).option("basePath", path).parquet(*named) if named else target.limit(0)
+        counted = whole.select(*by, _plain("_metadata.file_path").alias("_file")) if named else whole.select(*by, F.lit("").alias("_file"))
+        sizes = counted.groupBy(*by, "_file").agg(F.count("*").alias("rows"))
+        report = _staged(sizes.join(hit, "_file").select(*by, F.col("_file").alias("file"), "rows", "matched"), "rewritten")
+        write_partitions(upserted(whole, incoming, keys), f"{work}/fresh", by, mode="append")
+        hit.select("_file").write.parquet(f"{work}/listing")
+        _move(spark, f"{work}/listing", f"{work}/goes")
+        finish_upsert(spark, path)
+    return report
+
+
+def finish_upsert(spark: SparkSession, path: str) -> None:
+    """Carry out what an upsert has written down, or drop what one left that never came to its list.
+
+    Each step can be repeated: new files keep their names when moved, and old ones are removed by name. The
+    driver handles one name at a time, as many as there are files rewritten.
+    """
+    work = f"{path.rstrip('/')}/{UNFINISHED}"
+    files, folder = _file_system(spark, work)
+    if not files.exists(folder):
+        return
+    goes = _file_system(spark, f"{work}/goes")[1]
+    if files.exists(goes):
+        _, fresh = _file_system(spark, f"{work}/fresh")
+        base, found = fresh.toUri().getPath(), files.listFiles(fresh, True)
+        while found.hasNext():
+            name = found.next().getPath().toUri().getPath()[len(base) :]
+            if name.endswith(".parquet") and "/_" not in name:
+                _move(spark, f"{work}/fresh{name}", f"{path.rstrip('/')}{name}")
+        _remove_folders(spark, (r[0] for r in spark.read.schema("_file string").parquet(f"{work}/goes").toLocalIterator()))
+    _remove_folders(spark, [work])
+
+
+def _within(rows: DataFrame, columns: Sequence[str]) -> Column:
+    """True where each column lies in the range it has in `rows`, so that scans skip files; one row of ends is collected.
+
+    Only for types whose values a round trip to the driver cannot change.
+    """
+    ranged = [c for c in columns if isinstance(rows.schema[c].dataType, RANGED)]
+    inside = F.lit(True)
+    if ranged:
+        ends = rows.agg(*[F.struct(F.min(c), F.max(c)).alias(f"_{i}") for i, c in enumerate(ranged)]).first()
+        for c, (low, high) in zip(ranged, ends, strict=True):
+            kind = rows.schema[c].dataType
+            inside = inside & F.col(c).between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return inside
 
 
 def change_set(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -189,19 +249,29 @@ def partition_columns(spark: SparkSession, path: str) -> list[str]:
     return found
 
 
+def _move(spark: SparkSession, source: str, to: str) -> None:
+    """Rename a file or folder, making the folder it goes to."""
+    files, now = _file_system(spark, source)
+    _, then = _file_system(spark, to)
+    files.mkdirs(then.getParent())
+    if not files.rename(now, then):
+        raise OSError(f"could not move {source} to {to}")
+
+
 def _replace(spark: SparkSession, path: str, fresh: str) -> None:
-    files, now = _file_system(spark, path)
-    old = spark._jvm.org.apache.hadoop.fs.Path(f"{fresh}-old")
-    for a, b in ((now, old), (spark._jvm.org.apache.hadoop.fs.Path(fresh), now)):
-        if not files.rename(a, b):
-            raise OSError(f"could not move {a.toString()} to {b.toString()}")
+    _move(spark, path, f"{fresh}-old")
+    _move(spark, fresh, path)
     _remove_folders(spark, [f"{fresh}-old"])
 
 
+def _plain(name: str) -> Column:
+    """A path column as a plain path: Spark shows paths URL-encoded; a plus sign is no blank there."""
+    return F.url_decode(F.regexp_replace(F.col(name), r"\+", "%2B"))
+
+
 def _folder() -> Column:
-    """The folder a row lies in, as a plain path: Spark shows paths URL-encoded; a plus sign is no blank there."""
-    folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    return F.url_decode(F.regexp_replace(folder, r"\+", "%2B")).alias("folder")
+    """The folder a row lies in."""
+    return F.regexp_replace(_plain("_metadata.file_path"), "/[^/]*$", "").alias("folder")
 
 
 def _remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:

@@ -36,6 +36,48 @@ def test_upsert_leaves_other_partitions_alone(spark, tmp_path):
     assert spark.read.parquet(path).count() == 13
 
 
+def files_by_key(spark, tmp_path, part="a b%"):
+    """Two partitions of four files, each with five keys of its own."""
+    path = str(tmp_path / "by key+1")
+    df = spark.range(20).selectExpr("CAST(id AS INT) AS k", "CASE WHEN id = 3 THEN NULL ELSE 'v' || id END AS v")
+    for p in (part, "c"):
+        one = df.withColumn("part", F.lit(p)).repartitionById(4, F.floor(F.col("k") / 5).cast("int"))
+        one.write.mode("append").partitionBy("part").parquet(path)
+    return path
+
+
+def test_upsert_rewrites_only_files_that_hold_a_match(spark, tmp_path):
+    path = files_by_key(spark, tmp_path)
+    before = files(path)
+    assert len(before) == 8
+    source = spark.createDataFrame([(6, "new", "a b%"), (8, None, "a b%"), (50, "added", "a b%"), (None, "no key", "c"), (1, "x", "n")], "k int, v string, part string")
+    report = S.upsert(spark, source, path, ["k", "part"], ["part"])
+    assert rows(report, "part", "rows", "matched") == [("a b%", 5, 2)]
+    after = files(path)
+    kept = {f for f, t in before.items() if after.get(f) == t}
+    assert len(kept) == 7 and not os.path.exists(f"{path}/_upsert")
+    got = {(r.k, r.part): r.v for r in spark.read.parquet(path).collect()}
+    assert len(got) == 43 and got[(6, "a b%")] == "new" and got[(6, "c")] == "v6" and got[(8, "a b%")] is None
+    assert got[(50, "a b%")] == "added" and got[(None, "c")] == "no key" and got[(1, "n")] == "x"
+
+
+def test_upsert_without_match_or_rows_keeps_every_file(spark, tmp_path):
+    path = files_by_key(spark, tmp_path)
+    before = files(path)
+    schema = "k int, v string, part string"
+    assert S.upsert(spark, spark.createDataFrame([], schema), path, ["k", "part"], ["part"]).count() == 0
+    assert files(path) == before
+    assert S.upsert(spark, spark.createDataFrame([(7, "x", "z")], schema), path, ["k", "part"], ["part"]).count() == 0
+    assert before.items() <= files(path).items() and spark.read.parquet(path).count() == 41
+
+
+def test_upsert_of_a_table_without_partitions(spark, tmp_path):
+    path = str(tmp_path / "flat")
+    spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.parquet(path)
+    S.upsert(spark, spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), path, ["k"])
+    assert rows(spark.read.parquet(path)) == [(1, "a"), (2, "B"), (3, "c")]
+
+
 def test_staged_copies_are_removed(spark, tmp_path):
     from panelgrain.session import shared_folder
 
@@ -195,3 +237,34 @@ def test_router_reads_escapes_and_leading_wildcards(spark):
     arriving = spark.createDataFrame([("a%b1", 1), ("axb1", 1), ("one.ZIP", 1), ("a mid", 1), ("x_y", 1), ("xzy", 1)], "name string, size long")
     got = rows(ST.route(arriving, contracts), "name", "matches", "contract_id")
     assert got == [("a mid", 1, 3), ("a%b1", 1, 1), ("axb1", 0, None), ("one.ZIP", 1, 2), ("x_y", 1, 4), ("xzy", 0, None)]
+
+
+@pytest.mark.parametrize("broken", ["before the list", "before moving", "while moving", "while removing"])
+def test_an_upsert_that_broke_off_is_finished_by_the_next(spark, tmp_path, monkeypatch, broken):
+    path = files_by_key(spark, tmp_path)
+    source = spark.createDataFrame([(k, "new", p) for k in (1, 6) for p in ("a b%", "c")], "k int, v string, part string")
+    real_move, real_remove, calls = S._move, S._remove_folders, []
+
+    def move(spark, a, b):
+        calls.append(b)
+        if broken == "before the list" or (broken == "before moving" and len(calls) == 2) or (broken == "while moving" and len(calls) == 3):
+            raise OSError("lost")
+        real_move(spark, a, b)
+
+    def remove(spark, folders):
+        folders = list(folders)
+        if broken == "while removing" and folders and folders[0].endswith(".parquet"):
+            real_remove(spark, folders[:1])
+            raise OSError("lost")
+        real_remove(spark, folders)
+
+    monkeypatch.setattr(S, "_move", move)
+    monkeypatch.setattr(S, "_remove_folders", remove)
+    with pytest.raises(OSError):
+        S.upsert(spark, source, path, ["k", "part"], ["part"])
+    assert spark.read.parquet(path).select("k", "part").distinct().count() == 40  # no row is missing meanwhile
+    monkeypatch.setattr(S, "_move", real_move)
+    monkeypatch.setattr(S, "_remove_folders", real_remove)
+    S.upsert(spark, source, path, ["k", "part"], ["part"])
+    got = spark.read.parquet(path)
+    assert got.count() == 40 and got.where("v = 'new'").count() == 4 and not os.path.exists(f"{path}/_upsert")
