@@ -91,6 +91,35 @@ def pub06_measures(spark, d):
     return PUB.delivered_measures(used, delivered, 7)
 
 
+DELIVERED = """run AS (SELECT CAST(7 AS BIGINT) AS run_id), delivered AS (SELECT * FROM facts WHERE contract_id <> 2), held AS (SELECT * FROM facts WHERE contract_id = 3)"""
+
+
+def run_logs_of(kind):
+    """Log of one kind after a delivery whose run had partly been logged, and was logged twice."""
+
+    def run(spark, d):
+        base = scratch_path(spark, "run-logs")
+        facts = P.facts(spark, d).where("contract_id <> 2").select("contract_id", "market_key", "product_key", "period_id", "period_end", "volume", "value", F.lit(None).cast("double").alias("price"))
+        measures = spark.createDataFrame([(1, "volume"), (2, "value"), (3, "price")], "measure_id int, column string")
+        part = PUB.run_log_rows(facts.where("contract_id = 3"), PUB.RUN_LOGS, measures, 7)
+        PUB.append_logs(spark, part, base, 7)
+        for _ in range(2):
+            PUB.append_logs(spark, PUB.run_log_rows(facts, PUB.RUN_LOGS, measures, 7), base, 7)
+        return PUB.read_log(spark, base, kind)
+
+    return run
+
+
+for _kind, _sql in {
+    "periods": "SELECT DISTINCT run_id, period_id, period_end FROM run, delivered",
+    "partitions": "SELECT DISTINCT run_id, contract_id, period_end FROM run, delivered",
+    "markets": "SELECT DISTINCT run_id, market_key FROM run, delivered",
+    "products": "SELECT DISTINCT run_id, product_key FROM run, delivered",
+    "measures": "SELECT run_id, measure_id, calculated FROM run, (VALUES (1, 'N'), (2, 'N'), (3, 'Y')) AS m(measure_id, calculated)",
+}.items():
+    query(f"pub06_log_of_{_kind}", _sql, (P.SALES, P.FACTS, DELIVERED))(run_logs_of(_kind))
+
+
 LIMITS = """limits AS (SELECT contract_id, max(period_end) AS latest_end, CAST(max(period_end) - to_months(CAST(12 + contract_id AS INTEGER)) AS DATE) AS keep_from FROM facts GROUP BY 1)"""
 
 
@@ -163,10 +192,10 @@ def pub10_files(spark, d):
 # ---------------------------------------------------------------- routing
 
 
-def arrivals(events):
+def arrivals(events, *more):
     """Events as arriving files: type and user make the name, the value the size in bytes."""
     name = F.concat(F.upper("event_type"), F.lit("_"), "user_id", F.lit("_"), "event_id", F.lit(".zip"))
-    return events.select(name.alias("name"), (F.col("value") * 100_000_000).cast("long").alias("size"))
+    return events.select(name.alias("name"), (F.col("value") * 100_000_000).cast("long").alias("size"), *more)
 
 
 def contracts(spark):
@@ -196,6 +225,33 @@ def str01_stream(spark, d):
     return spark.read.parquet(out).drop("batch_id")
 
 
+ARRIVED = """WITH c AS (SELECT * FROM (VALUES (1, 11, 'click%', 2, 1), (2, 12, 'view_1%.zip', 3, 1), (3, 13, 'view_%', 2, 1), (4, 14, '%_99_%', 3, 2), (5, 15, 'signup%', 1, 2), (6, 16, 'purchase_1__%.ZIP', 2, 2)) AS t(contract_id, job_id, file_pattern, status, step)),
+  f AS (SELECT upper(event_type) || '_' || user_id || '_' || event_id || '.zip' AS name, CAST(trunc(value * 100000000) AS BIGINT) AS size,
+      CASE WHEN ts < TIMESTAMP '2024-01-16' THEN 1 ELSE 2 END AS step, ts >= TIMESTAMP '2024-01-14' AND ts < TIMESTAMP '2024-01-16' AS again FROM events),
+  m AS (SELECT name, f.step, count(*) FILTER (c.step = 1) AS n1, min(contract_id) FILTER (c.step = 1) AS c1, count(*) AS n2, min(contract_id) AS c2
+      FROM f JOIN c ON lower(name) LIKE lower(file_pattern) AND status IN (2, 3) GROUP BY ALL),
+  r AS (SELECT f.name, f.size, CASE WHEN f.step = 1 AND n1 = 1 THEN c1 WHEN n2 = 1 THEN c2 END AS contract_id, coalesce(CASE WHEN f.step = 1 AND n1 = 1 THEN 1 ELSE n2 END, 0) AS matches FROM f LEFT JOIN m ON f.name = m.name)
+  SELECT name, size, matches, contract_id, contract_id + 10 AS job_id, CASE WHEN contract_id IS NULL THEN 'rejected' ELSE 'accepted' END AS decision FROM r"""
+
+
+@query("str01_route_arrivals", ARRIVED)
+def str01_arrivals(spark, d):
+    """Two runs of one stream: half the files and three contracts, then the rest, two days of files announced again, three contracts more."""
+    base = scratch_path(spark, "arrivals")
+    events, late = P.table(spark, d, "events"), F.lit("2024-01-16").cast("timestamp")
+    files = arrivals(events.withColumn("arrived_at", F.col("ts").cast("timestamp")), "arrived_at")
+    again = files.where((F.col("arrived_at") >= F.lit("2024-01-14").cast("timestamp")) & (F.col("arrived_at") < late))
+    second = files.where(F.col("arrived_at") >= late).unionByName(again.withColumn("arrived_at", F.col("arrived_at") + F.expr("INTERVAL 3 DAYS")).withColumn("size", F.col("size") + 1))
+    rules = contracts(spark).withColumn("changed_at", F.lit("2024-01-01").cast("timestamp"))
+    for part, which in ((files.where(F.col("arrived_at") < late), "contract_id <= 3"), (second, "contract_id > 3")):
+        part.write.mode("append").parquet(f"{base}/files")
+        rules.where(which).write.mode("append").parquet(f"{base}/rules")
+        incoming = [spark.readStream.schema(df.schema).parquet(f"{base}/{name}") for df, name in ((files, "files"), (rules, "rules"))]
+        ST.route_arrivals(*incoming, f"{base}/out", f"{base}/checkpoint", delay="10 days").awaitTermination()
+    shown = ["name", "size", "matches", "contract_id", "job_id", "decision"]
+    return ST.accepted_files(spark, f"{base}/out").select(*shown).unionByName(ST.waiting_files(spark, f"{base}/out").select(*shown))
+
+
 @query("str02_size_class", "SELECT event_id, CASE WHEN value * 100000000 < 1073741824 THEN 'Small' WHEN value * 100000000 < 3221225472 THEN 'Medium' ELSE 'Large' END AS size_class FROM events")
 def str02(spark, d):
     return P.table(spark, d, "events").select("event_id", ST.size_class(F.col("value") * 100_000_000).alias("size_class"))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from panelgrain.operators.conform import conform, union_all
 from panelgrain.operators.lookup import newest_change, not_logged
 from panelgrain.operators.periods import retention_date
-from panelgrain.sources.sinks import drop_before, drop_partitions, write_partitions
+from panelgrain.sources.sinks import drop_before, drop_partitions, exists, staged, write_partitions
 
 FACT_PARTITIONS = ("part_source_id", "part_contract_id", "part_period_end")
 
@@ -154,6 +154,80 @@ def delivered_measures(in_use: DataFrame, delivered: DataFrame, run_id: int) ->
     )
 
 
+# Key columns of the four logs that list what a delivery holds.
+RUN_LOGS = {
+    "periods": ("period_id", "period_end"),
+    "partitions": ("contract_id", "period_end"),
+    "markets": ("market_key",),
+    "products": ("product_key",),
+}
+MEASURES = "measures"
+MOST_MEASURES = 2000
+
+
+def run_log_rows(delivery: DataFrame, logs: dict[str, Sequence[str]], measures: DataFrame, run_id: int) -> DataFrame:
+    """What every run log has to say of a delivery, from one scan and one shuffle of it.
+
+    One row per log and entry: `log`, `run_id`, the key columns of all logs (null where a log has none of them),
+    `measure_id` and `calculated`. GROUPING SETS give the distinct keys of all logs at once, combined in each task before the
+    shuffle; the set without keys counts the filled cells of each measure column. `measures` has measure_id and column, the measures in use:
+    one without a filled cell, or without a column in the delivery, was not delivered and is flagged as calculated. Their list comes to the driver; more than 2000 raise. A null key is an entry like others; an
+    empty delivery still logs its measures.
+    """
+    found = measures.select("measure_id", "column").distinct().limit(MOST_MEASURES + 1).collect()
+    if len(found) > MOST_MEASURES:
+        raise ValueError(f"more than {MOST_MEASURES} measures in use")
+    keys = list(dict.fromkeys(k for columns in logs.values() for k in columns))
+    filled = {c: F.count(c).alias(f"_n{i}") for i, c in enumerate(sorted({m.column for m in found} & set(delivery.columns)))}
+    names = list(logs)
+    # The place of a log in the order of bits that grouping_id gives: a bit is set for a key column left out.
+    bits = {name: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in logs[name]) for name in names}
+    if len(set(bits.values())) < len(names):
+        raise ValueError("two logs have the same key columns")
+    sets = [[F.col(k) for k in logs[name]] for name in names] + [[]]
+    # One row of nulls keeps the set without keys when a delivery is empty; it is no entry of a log.
+    read = delivery.select(*dict.fromkeys([*keys, *filled]), F.lit(1).alias("_row"))
+    read = read.unionByName(delivery.sparkSession.range(1).select(), allowMissingColumns=True)
+    grouped = read.groupingSets(sets, *[F.col(k) for k in keys]).agg(F.grouping_id().alias("_set"), F.count("_row").alias("_rows"), *filled.values())
+    grouped = grouped.where(f"_rows > 0 OR _set = {(1 << len(keys)) - 1}")
+    which = F.when(F.col("_set") == (1 << len(keys)) - 1, MEASURES)
+    for name in names:
+        which = which.when(F.col("_set") == bits[name], name)
+    measure = T.StructType([T.StructField("measure_id", measures.schema["measure_id"].dataType), T.StructField("calculated", T.StringType())])
+    flags = [F.struct(F.lit(m.measure_id), _calculated(F.col(f"_n{list(filled).index(m.column)}") if m.column in filled else F.lit(0))).cast(measure) for m in found]
+    listed = F.when(which != MEASURES, F.array(F.lit(None).cast(measure))).otherwise(F.array(*flags).cast(T.ArrayType(measure)))
+    return grouped.select(which.alias("log"), F.lit(run_id).cast("long").alias("run_id"), *keys, F.explode(listed).alias("_measure")).select("log", "run_id", *keys, "_measure.*")
+
+
+def _calculated(filled: Column) -> Column:
+    return F.when(filled > 0, "N").otherwise("Y")
+
+
+def append_logs(spark: SparkSession, rows: DataFrame, base: str, run_id: int) -> None:
+    """Append to the run logs below `base` what they do not hold yet of this run; safe to repeat.
+
+    Logs are partitions of one table, by log and run, so all are written by one job and only
+    this run's entries are read. Entries are compared null-safe over all columns. One writer a run at a time.
+    """
+    by = ["log", "run_id"]
+    held = read_logs(spark, base, rows.schema).where(F.col("run_id") == run_id)
+    other = held.select(*[F.col(c).alias(f"_{c}") for c in held.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in held.columns]
+    fresh = staged(rows.join(other, same, "left_anti"), "run-log")
+    write_partitions(fresh, base, by, mode="append")
+
+
+def read_logs(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """All run logs as one frame; a table that is not there yet is empty."""
+    return spark.read.schema(schema).parquet(base) if exists(spark, base) else spark.createDataFrame([], schema)
+
+
+def read_log(spark: SparkSession, base: str, name: str, logs: dict[str, Sequence[str]] | None = None) -> DataFrame:
+    """One run log with its own columns."""
+    columns = ("measure_id", "calculated") if name == MEASURES else (logs or RUN_LOGS)[name]
+    return spark.read.parquet(base).where(F.col("log") == name).select(F.col("run_id").cast("long").alias("run_id"), *columns)
+
+
 # ---------------------------------------------------------------- cleanup
 
 

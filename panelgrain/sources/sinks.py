@@ -44,7 +44,7 @@ def write_any(df: DataFrame, kind: str, path: str, mode: str = "overwrite", part
     (writer.partitionBy(*partition_by) if partition_by else writer).save(path)
 
 
-def _staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str) -> DataFrame:
     """The frame written to the shared folder and read back: cut lineage that survives lost executors."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
@@ -112,7 +112,7 @@ def upsert(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str
         whole = spark.read.schema(target.schema).option("basePath", path).parquet(*named) if named else target.limit(0)
         counted = whole.select(*by, _plain("_metadata.file_path").alias("_file")) if named else whole.select(*by, F.lit("").alias("_file"))
         sizes = counted.groupBy(*by, "_file").agg(F.count("*").alias("rows"))
-        report = _staged(sizes.join(hit, "_file").select(*by, F.col("_file").alias("file"), "rows", "matched"), "rewritten")
+        report = staged(sizes.join(hit, "_file").select(*by, F.col("_file").alias("file"), "rows", "matched"), "rewritten")
         write_partitions(upserted(whole, incoming, keys), f"{work}/fresh", by, mode="append")
         hit.select("_file").write.parquet(f"{work}/listing")
         _move(spark, f"{work}/listing", f"{work}/goes")
@@ -217,13 +217,13 @@ def sync(spark: SparkSession, source: DataFrame, path: str, keys: Sequence[str])
         if layout:
             differing = stage(differing_partitions(target, incoming, layout), "differing")
             old, new = (_of_partitions(df, differing, layout) for df in (target, incoming))
-            changes = _staged(change_set(old, new, keys), "changes")
+            changes = staged(change_set(old, new, keys), "changes")
             gone = _of_partitions(target.select("*", "_metadata"), differing.where("gone"), layout)
             folders = stage(gone.select(_folder()).distinct(), "folders")
             write_partitions(new, path, layout)
             _remove_folders(spark, _listed(folders))
             return changes
-        changes = _staged(change_set(target, incoming, keys), "changes")
+        changes = staged(change_set(target, incoming, keys), "changes")
         if differing_partitions(target.withColumn("_all", F.lit(1)), incoming.withColumn("_all", F.lit(1)), ["_all"]).isEmpty():
             return changes
         fresh = f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
@@ -237,6 +237,11 @@ def _file_system(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
 def partition_columns(spark: SparkSession, path: str) -> list[str]:
     """The partition columns of a stored table, read off its folders' names from the top down."""
     files, folder = _file_system(spark, path)
@@ -298,7 +303,7 @@ def drop_partitions(spark: SparkSession, path: str, condition: Column, partition
 
 def _drop(spark: SparkSession, doomed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Delete the folders of the given rows of a table; one scan, without data columns, counts them and names the folders."""
-    removed = _staged(doomed.select(*partition_by, _folder()).groupBy(*partition_by, "folder").agg(F.count("*").alias("rows")), "dropped")
+    removed = staged(doomed.select(*partition_by, _folder()).groupBy(*partition_by, "folder").agg(F.count("*").alias("rows")), "dropped")
     _remove_folders(spark, _listed(removed))
     return removed.groupBy(*partition_by).agg(F.sum("rows").alias("rows"))
 

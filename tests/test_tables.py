@@ -81,9 +81,10 @@ def test_upsert_of_a_table_without_partitions(spark, tmp_path):
 def test_staged_copies_are_removed(spark, tmp_path):
     from panelgrain.session import shared_folder
 
-    path = table(spark, tmp_path)
+    path, shared = table(spark, tmp_path), f"{shared_folder(spark)}/panelgrain"
+    before = set(os.listdir(shared)) if os.path.exists(shared) else set()  # a failed run of another session may have left some
     S.replace_run(spark, spark.createDataFrame([(7, "a", "x")], "k int, part string, v string"), path, ["part"], ["part"])
-    assert not [f for f in os.listdir(f"{shared_folder(spark)}/panelgrain") if f.startswith("stage-")]
+    assert not [f for f in set(os.listdir(shared)) - before if f.startswith("stage-")]
 
 
 def test_upsert_keys_must_name_the_partition(spark, tmp_path):
@@ -244,6 +245,7 @@ def test_an_upsert_that_broke_off_is_finished_by_the_next(spark, tmp_path, monke
     path = files_by_key(spark, tmp_path)
     source = spark.createDataFrame([(k, "new", p) for k in (1, 6) for p in ("a b%", "c")], "k int, v string, part string")
     real_move, real_remove, calls = S._move, S._remove_folders, []
+    monkeypatch.setattr(S, "scratch_path", lambda spark, label: str(tmp_path / label))  # what a failure leaves goes with the test
 
     def move(spark, a, b):
         calls.append(b)
@@ -263,8 +265,73 @@ def test_an_upsert_that_broke_off_is_finished_by_the_next(spark, tmp_path, monke
     with pytest.raises(OSError):
         S.upsert(spark, source, path, ["k", "part"], ["part"])
     assert spark.read.parquet(path).select("k", "part").distinct().count() == 40  # no row is missing meanwhile
-    monkeypatch.setattr(S, "_move", real_move)
-    monkeypatch.setattr(S, "_remove_folders", real_remove)
+    monkeypatch.undo()
     S.upsert(spark, source, path, ["k", "part"], ["part"])
     got = spark.read.parquet(path)
     assert got.count() == 40 and got.where("v = 'new'").count() == 4 and not os.path.exists(f"{path}/_upsert")
+
+
+def routed_arrivals(spark, base, files=(), contracts=()):
+    """Let files and contract rows arrive and run the stream over what is there."""
+    kinds = {"files": "name string, size long, arrived_at timestamp", "rules": "contract_id int, job_id int, file_pattern string, status int, changed_at timestamp"}
+    for name, data in (("files", files), ("rules", contracts)):
+        if data or not os.path.exists(f"{base}/{name}"):
+            spark.createDataFrame(data, kinds[name]).write.mode("append").parquet(f"{base}/{name}")
+    streams = [spark.readStream.schema(kind).parquet(f"{base}/{name}") for name, kind in kinds.items()]
+    ST.route_arrivals(*streams, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    accepted = rows(ST.accepted_files(spark, f"{base}/out").drop("batch_id"), "name", "size", "contract_id")
+    return accepted, rows(ST.waiting_files(spark, f"{base}/out"), "name", "size", "matches")
+
+
+def day(n, hour=0):
+    return datetime.datetime(2024, 1, n, hour)
+
+
+def test_files_wait_for_their_contract_and_are_routed_once(spark, tmp_path):
+    base = str(tmp_path)
+    one, two = (1, 11, "a%", 2, day(1)), (2, 12, "b%", 3, day(1))
+    assert routed_arrivals(spark, base, [("A.zip", 1, day(1)), ("b.zip", 2, day(1))], [one]) == ([("A.zip", 1, 1)], [("b.zip", 2, 0)])
+    # Announced again: the accepted file and the waiting one, with other sizes; both are the same files.
+    assert routed_arrivals(spark, base, [("A.zip", 5, day(2)), ("b.zip", 6, day(2)), ("c.zip", 3, day(2))]) == ([("A.zip", 1, 1)], [("b.zip", 2, 0), ("c.zip", 3, 0)])
+    # The contract comes alone, without any file.
+    assert routed_arrivals(spark, base, [], [two]) == ([("A.zip", 1, 1), ("b.zip", 2, 2)], [("c.zip", 3, 0)])
+    # Two contracts match c; closing one lets it go. A file accepted before keeps its decision.
+    assert routed_arrivals(spark, base, [], [(3, 13, "c%", 2, day(2)), (4, 14, "%.zip", 2, day(2))])[1] == [("c.zip", 3, 2)]
+    assert routed_arrivals(spark, base, [], [(4, 14, "%.zip", 9, day(3))]) == ([("A.zip", 1, 1), ("b.zip", 2, 2), ("c.zip", 3, 3)], [])
+    # Nothing new, then the same name long after the delay: a delivery of its own.
+    assert routed_arrivals(spark, base)[1] == []
+    routed_arrivals(spark, base, [("z", 1, day(28))])
+    assert ("A.zip", 9, 1) in routed_arrivals(spark, base, [("A.zip", 9, day(28))])[0]
+
+
+def test_arrivals_of_nothing(spark, tmp_path):
+    assert routed_arrivals(spark, str(tmp_path), [(None, 1, day(1))], [(None, None, None, None, None)]) == ([], [(None, 1, 0)])
+
+
+def delivered(spark, *data):
+    return spark.createDataFrame(data, "contract_id int, market_key int, product_key int, period_id int, period_end date, volume double, value double")
+
+
+def test_run_logs_from_one_scan(spark, tmp_path):
+    base, on = str(tmp_path / "logs"), datetime.date(2024, 1, 31)
+    measures = spark.createDataFrame([("m1", "volume"), ("m2", "value"), ("m3", "absent")], "measure_id string, column string")
+    facts = delivered(spark, (1, 5, 7, 1, on, 1.0, None), (1, 5, 8, 1, on, 2.0, None), (2, None, 8, 1, None, None, None))
+    logged = PUB.run_log_rows(facts, PUB.RUN_LOGS, measures, 3)
+    plan = logged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") == 1 and plan.count("Expand") == 1 and plan.count("Aggregate") == 1
+    for _ in range(2):
+        PUB.append_logs(spark, logged, base, 3)
+        get = lambda k: rows(PUB.read_log(spark, base, k))
+        assert get("periods") == ordered([(3, 1, on), (3, 1, None)]) and get("partitions") == ordered([(3, 1, on), (3, 2, None)])
+        assert get("markets") == ordered([(3, 5), (3, None)]) and get("products") == [(3, 7), (3, 8)]
+        assert get("measures") == [(3, "m1", "N"), (3, "m2", "Y"), (3, "m3", "Y")]
+    PUB.append_logs(spark, PUB.run_log_rows(facts.where("product_key = 7"), PUB.RUN_LOGS, measures.limit(0), 4), base, 4)
+    assert get("products") == [(3, 7), (3, 8), (4, 7)] and len(get("measures")) == 3
+    PUB.append_logs(spark, PUB.run_log_rows(facts.limit(0), PUB.RUN_LOGS, measures, 5), base, 5)
+    assert len(get("products")) == 3 and [r for r in get("measures") if r[0] == 5] == [(5, "m1", "Y"), (5, "m2", "Y"), (5, "m3", "Y")]
+
+
+def test_run_logs_need_keys_of_their_own(spark):
+    measures = spark.createDataFrame([], "measure_id int, column string")
+    with pytest.raises(ValueError, match="same key columns"):
+        PUB.run_log_rows(delivered(spark), {"a": ("market_key",), "b": ("market_key",)}, measures, 1)
