@@ -52,7 +52,17 @@ def agg04(spark, d):
 
 @query("agg05_ordered_names", "SELECT p_brand, string_agg(p_type, ' ' ORDER BY lvl, p_type) AS types FROM (SELECT DISTINCT p_brand, length(p_type) AS lvl, p_type FROM part) GROUP BY 1")
 def agg05(spark, d):
-    return D.ordered_names(P.table(spark, d, "part").withColumn("lvl", F.length("p_type")), ["p_brand"], "lvl", "p_type", "types")
+    return D.ordered_names(P.table(spark, d, "part").withColumn("lvl", F.length("p_type")), ["p_brand"], "lvl", "p_type", "types").select("p_brand", "types")
+
+
+@query(
+    "agg05_bounded_names",
+    """SELECT p_type, string_agg(p_name, '; ' ORDER BY p_size, p_name) FILTER (n <= 20) AS names, greatest(max(n) - 20, 0) AS names_left_out
+       FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_size, p_name) AS n FROM (SELECT DISTINCT p_type, p_size, p_name FROM part)) GROUP BY 1""",
+)
+def agg05_bounded(spark, d):
+    """The first twenty part names of a type by size, and the number of the others."""
+    return D.ordered_names(P.table(spark, d, "part"), ["p_type"], "p_size", "p_name", "names", "; ", most=20)
 
 
 @query("agg06_newest_change", "SELECT contract_id, max(period_end) AS newest FROM sales GROUP BY 1", (P.SALES,))

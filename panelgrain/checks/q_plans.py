@@ -8,11 +8,13 @@ from pyspark.sql import types as T
 from panelgrain.checks import panel as P
 from panelgrain.checks import q_panel
 from panelgrain.checks.q_extract import delivered
+from panelgrain.checks.q_lookup import WEEKS, week_associations
 from panelgrain.checks.registry import query
 from panelgrain.operators import compare as C
 from panelgrain.operators import layouts as L
 from panelgrain.operators import measures as M
 from panelgrain.operators.lookup import Layer
+from panelgrain.plans.comparison import tier1_comparison, tier2_comparison
 from panelgrain.plans.delivery import tier1_delivery
 from panelgrain.session import scratch_path
 from panelgrain.sources import sinks as S
@@ -90,6 +92,64 @@ def both_factors(spark, d):
     return q_panel.rounded(out.select("market_key", "path", "period_id", "volume_ipp", "volume_iya", "volume_share"))
 
 
+FACTORS = """months AS (SELECT year(period_end) * 12 + month(period_end) AS p, CASE WHEN count(*) = 5 THEN 0.8 ELSE 1.0 END::DOUBLE AS f FROM weeks GROUP BY period_end, 1)"""
+RUNS = """runs AS (SELECT contract_id, year(period_end) * 12 + month(period_end) AS p, run_id FROM deliveries)"""
+SHOWN = ["is_new", "is_redelivered", "time_factor", "volume_share", "volume_ipp", "volume_iya", "volume_ipd"]
+
+
+def month_runs(spark, d):
+    """Runs that delivered a month of a contract."""
+    return P.deliveries(spark, d).select("run_id", "contract_id", P.month_id(F.col("period_end")).alias("period_id"))
+
+
+def before(facts, wanted):
+    """What was stored before: the same facts with one unit less, where the condition holds."""
+    return facts.where(wanted).withColumn("volume", F.col("volume") - 1)
+
+
+@query(
+    "pln03_tier1_comparison",
+    """SELECT a.market_key, a.path, a.period_id, CASE WHEN r = 1997 AND n = 1 THEN 'Y' ELSE 'N' END AS is_new, CASE WHEN r = 1997 AND n > 1 THEN 'Y' ELSE 'N' END AS is_redelivered, coalesce(f.f, 1.0) AS time_factor,
+       round(a.volume / nullif(t.volume, 0) * 100, 6) AS volume_share, round((a.volume * coalesce(f.f, 1.0) - b.volume * coalesce(g.f, 1.0)) / nullif(b.volume, 0) * 100, 6) AS volume_ipp,
+       round((a.volume - y.volume) / nullif(y.volume, 0) * 100, 6) AS volume_iya,
+       CASE WHEN r = 1997 AND n > 1 AND a.market_key % 2 = 0 THEN round(1 / nullif(a.volume - 1, 0) * 100, 6) END AS volume_ipd
+       FROM tree a LEFT JOIN tree t ON t.market_key = a.market_key AND t.period_id = a.period_id AND t.is_top = 'Y' AND t.path = split_part(a.path, ' ', 1)
+         LEFT JOIN tree b ON b.market_key = a.market_key AND b.path = a.path AND b.period_id = a.period_id - 1
+         LEFT JOIN tree y ON y.market_key = a.market_key AND y.path = a.path AND y.period_id = a.period_id - 12
+         LEFT JOIN months f ON f.p = a.period_id LEFT JOIN months g ON g.p = a.period_id - 1
+         JOIN (SELECT p, max(run_id) AS r, count(DISTINCT run_id) AS n FROM runs GROUP BY 1) s ON s.p = a.period_id""",
+    (P.SALES, P.TREE, P.DELIVERIES, WEEKS, FACTORS, RUNS),
+)
+def tier1_compared(spark, d):
+    """A weekly run's comparison over two product levels; markets with even keys were stored before."""
+    facts = P.tree_facts(spark, d).select("market_key", "period_id", "path", "is_top", *P.MEASURES)
+    done = tier1_comparison(
+        facts, before(facts, "market_key % 2 = 0"), month_runs(spark, d).drop("contract_id"), P.periods(spark, d), week_associations(spark, d), run_id=1997, weekly_run=True,
+        keys=["market_key", "path"], period_keys=["period_id"], measures=["volume"], within=["market_key", "period_id"],
+    )
+    return q_panel.rounded(done.facts.select("market_key", "path", "period_id", *SHOWN))
+
+
+@query(
+    "pln04_tier2_comparison",
+    """SELECT c.contract_id, c.market_key, c.path, c.period_id, CASE WHEN n = 1 THEN 'Y' ELSE 'N' END AS is_new, CASE WHEN n > 1 THEN 'Y' ELSE 'N' END AS is_redelivered, coalesce(f.f, 1.0) AS time_factor,
+       round(c.volume / volume_top * 100, 6) AS volume_share, round((c.volume * coalesce(f.f, 1.0) - volume_pp) / nullif(volume_pp, 0) * 100, 6) AS volume_ipp,
+       round((c.volume * coalesce(f.f, 1.0) - volume_ya) / nullif(volume_ya, 0) * 100, 6) AS volume_iya,
+       CASE WHEN n > 1 AND c.market_key % 3 = 1 THEN round(1 / nullif(c.volume - 1, 0) * 100, 6) END AS volume_ipd
+       FROM sides c JOIN tops ON m = c.market_key AND tops.p = c.period_id LEFT JOIN months f ON f.p = c.period_id
+         JOIN (SELECT contract_id AS k, p, count(DISTINCT run_id) AS n FROM runs GROUP BY 1, 2) s ON s.k = c.contract_id AND s.p = c.period_id""",
+    (P.SALES, P.BRAND_FACTS, q_panel.SIDES, q_panel.TOPS, P.DELIVERIES, WEEKS, FACTORS, RUNS),
+)
+def tier2_compared(spark, d):
+    """A weekly run's comparison of brands within contracts; every third market was stored before."""
+    facts = P.brand_facts(spark, d).drop("period_end")
+    done = tier2_comparison(
+        facts, before(facts, "market_key % 3 = 1"), month_runs(spark, d), P.periods(spark, d), week_associations(spark, d), weekly_run=True,
+        keys=q_panel.SIDE_KEYS, period_keys=["contract_id", "period_id"], measures=["volume"], within=["market_key", "period_id"],
+    )
+    return q_panel.rounded(done.facts.select("contract_id", "market_key", "path", "period_id", *SHOWN))
+
+
 ODD = """odd AS (SELECT p_partkey, p_size, 'a b%' || p_type || '+x=' || (p_size % 3) AS area FROM part)"""
 
 

@@ -55,15 +55,21 @@ def max_per(df: DataFrame, keys: Sequence[str], column: str, name: str) -> DataF
     return df.groupBy(*keys).agg(F.max(column).alias(name))
 
 
-def ordered_names(df: DataFrame, keys: Sequence[str], level: str, text: str, name: str, sep: str = " ") -> DataFrame:
-    """Names of a group joined in level order.
+def ordered_names(df: DataFrame, keys: Sequence[str], level: str, text: str, name: str, sep: str = " ", most: int = 1000) -> DataFrame:
+    """The first `most` distinct (level, text) pairs of a group, texts joined in level order, and how many more there are.
 
-    Distinct (level, name) pairs only, so the list is bounded by the metadata's levels rather than
-    by the rows of the group.
+    The number left out is in `{name}_left_out`. Pairs are ranked before the list is made, which keeps `most` of a group in each task
+    ahead of the shuffle (window group limit), so a list is bounded whatever the group holds; pairs are counted apart, by
+    partial aggregates. Null texts are counted and take no place in the joined text.
     """
     pairs = df.select(*keys, level, text).distinct()
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct(F.col(level), F.col(text)))), lambda p: p[text])
-    return pairs.groupBy(*keys).agg(F.array_join(ordered, sep).alias(name))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(level, text))
+    first = pairs.withColumn("_rank", rank).where(F.col("_rank") <= most)
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("_rank", F.col(text).alias("_text")))), lambda p: p["_text"])
+    listed = first.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_join(ordered, sep).alias(name), F.count("*").alias("_listed"))
+    counts = pairs.groupBy(*keys).agg(F.count("*").alias("_pairs"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    return counts.join(listed, same).select(*keys, name, (F.col("_pairs") - F.col("_listed")).alias(f"{name}_left_out"))
 
 
 def nth_values(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, n: int, prefix: str) -> DataFrame:

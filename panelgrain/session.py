@@ -66,10 +66,3 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one written table inside the shared folder."""
     return f"{shared_folder(spark)}/panelgrain/{label}-{uuid.uuid4().hex}"
-
-
-def cut_lineage(df):
-    """Reliable checkpoint: survives the loss of the executors that computed it."""
-    spark = df.sparkSession
-    spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)

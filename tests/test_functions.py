@@ -93,6 +93,32 @@ def test_ordered_numbers_with_one_hot_value(spark):
     assert by_number == sorted(by_number)
 
 
+def test_ordered_numbers_agree_at_any_partitioning(spark):
+    """Nulls, a hot key and rows that are equal in all columns; the same numbers at 3 and at 200 partitions."""
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 7 == 0, None).otherwise(F.md5(F.col("id").cast("string"))).alias("k"),
+        F.when(F.col("id") % 6 == 0, None).otherwise(F.col("id")).alias("v"),
+    )
+    spark.sparkContext.setJobGroup("planned", "no job while the plan is made")
+    plans = [N.ordered_numbers(df.repartition(n), ["k"], "n") for n in (3, 200)]
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planned")
+    spark.sparkContext.setJobGroup("run", "")
+    one, other = (sorted(p.collect(), key=lambda r: r.n) for p in plans)
+    assert [tuple(r) for r in one] == [tuple(r) for r in other]
+    assert [r.n for r in one] == list(range(1, 6001))
+    keys = [r.k for r in one]
+    assert keys == sorted(keys, key=lambda k: (k is not None, k or "")) and keys.count("hot") == 2000
+
+
+def test_ordered_numbers_deal_a_hot_key_to_many_buckets(spark):
+    df = spark.range(20000).select("id", F.when(F.col("id") % 3 > 0, 7).otherwise(F.col("id")).alias("k"))
+    plan = N.ordered_numbers(df, ["k"], "n")
+    assert plan.agg(F.min("n"), F.max("n"), F.countDistinct("n")).first() == (1, 20000, 20000)
+    keyed = df.withColumn("_key", F.struct(F.col("k").alias("_o0"), F.xxhash64(F.lit(7), "id", "k").alias("_hash")))
+    bounds = [b for lists in keyed.limit(1).select(N._bounds(keyed).alias("b")).first().b for b in lists]
+    assert len(bounds) == 255 and bounds == sorted(bounds) and 150 < sum(b._o0 == 7 for b in bounds) < 190
+
+
 def test_ordered_numbers_of_nothing(spark):
     assert N.ordered_numbers(spark.range(0), ["id"]).count() == 0
 

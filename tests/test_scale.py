@@ -94,3 +94,14 @@ def test_writes_are_rebalanced(spark, tmp_path):
     write_partitions(spark.range(5000).repartition(16).withColumn("part", F.col("id") % 2), path, ["part"])
     counts = [len([f for f in os.listdir(f"{path}/part={p}") if f.endswith(".parquet")]) for p in (0, 1)]
     assert max(counts) <= 2
+
+
+def test_ordered_names_of_a_group_without_bound(spark):
+    """One group holds 300,000 texts: the list keeps its first ones and says how many there are besides."""
+    df = spark.range(300_000).select(F.lit("hot").alias("g"), (F.col("id") % 1000).alias("lvl"), F.col("id").cast("string").alias("t"))
+    few = spark.createDataFrame([("few", 2, "b"), ("few", 1, "a"), ("few", 1, "a"), (None, 1, None), (None, 2, "x")], "g string, lvl long, t string")
+    named = D.ordered_names(df.unionByName(few), ["g"], "lvl", "t", "names", ",", most=5)
+    got = {r.g: r for r in named.collect()}
+    assert got["hot"].names == "0,1000,10000,100000,101000" and got["hot"].names_left_out == 299_995
+    assert (got["few"].names, got["few"].names_left_out) == ("a,b", 0) and (got[None].names, got[None].names_left_out) == ("x", 0)
+    assert "WindowGroupLimit" in plan(named)
