@@ -1,5 +1,5 @@
-"""Joins (JN-*). No join is hinted: Catalyst and AQE broadcast a side only when its measured size
-allows it, fall back to a sort-merge join otherwise, and split hot keys at run time."""
+"""Joins (JN-*). Joins are not hinted, but for the filed codes of `inner_pairs`: Catalyst and AQE broadcast a side
+only when its size allows it, fall back to a sort-merge join otherwise, and split hot keys at run time."""
 
 from __future__ import annotations
 
@@ -46,7 +46,8 @@ def layer_conflicts(layer: Layer, value: str) -> DataFrame:
 
 # What a LIKE pattern says literally between its wildcards; a backslash makes the next character literal.
 LITERAL = r"((?:[^%_\\]|\\.)+)"
-GRAM = 3
+# Longest piece of a pattern that codes are filed under, and the number of marks that say which keys are looked for.
+GRAM, MARKS = 8, 1 << 18
 
 
 def _unescaped(text: Column) -> Column:
@@ -59,26 +60,49 @@ def _grams(text: Column, q: Column) -> Column:
     return F.array_distinct(F.transform(places, lambda i: F.substring(text, i, q)))
 
 
+def _looked_for(wanted: DataFrame, keys: Sequence[str]) -> Column:
+    """True for rows whose keys may be among the wanted ones, false for most others, before any shuffle.
+
+    A scalar of MARKS booleans, one for each hash: its size does not depend on the keys.
+    """
+    place = F.pmod(F.xxhash64(*keys), F.lit(MARKS))
+    there = wanted.select(place.alias("id")).distinct().withColumn("there", F.lit(True))
+    every = wanted.sparkSession.range(MARKS).join(there, "id", "left").select("id", F.coalesce("there", F.lit(False)).alias("there"))
+    marks = F.transform(F.array_sort(F.collect_list(F.struct("id", "there"))), lambda m: m["there"])
+    return F.get(every.agg(marks.alias("marks")).scalar(), place.cast("int"))
+
+
+def _lengths(rows: DataFrame, size: Column) -> list:
+    """The distinct values of a length, so few that they are a constant."""
+    return [r["_size"] for r in rows.select(size.alias("_size")).distinct().collect()]
+
+
 def inner_pairs(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str, pattern: str) -> DataFrame:
-    """Pairs of a code and a rule that share the rarest q-gram of the pattern's literals, not yet matched.
+    """Pairs of a code and a rule that share a piece of the pattern's literals, not yet matched.
 
-    An inverted index: codes are filed under their q-grams (three characters; two or one where patterns have no
-    longer literal), counted, and each pattern is looked up once, under the gram that fewest codes of its `on`
-    columns have. A pattern with a gram that no code has pairs with none under it.
+    An inverted index: a pattern is looked up once, under its longest literal; of several, or of the pieces of
+    GRAM characters of a longer one, under the one that fewest codes of its `on` columns have. Codes are filed under their substrings of
+    the lengths that patterns have, and only under those that patterns ask for. A pattern with a piece that no code has
+    pairs with none under it. The filed codes are many more than their table lets Spark guess, so they are never broadcast.
     """
     literals = F.transform(F.regexp_extract_all(pattern, F.lit(LITERAL), F.lit(1)), _unescaped)
     longest = F.array_max(F.transform(literals, F.length))
     held = rules.withColumn("_q", F.least(F.lit(GRAM), longest)).where("_q > 0")
     every = F.flatten(F.transform(literals, lambda text: _grams(text, F.col("_q"))))
-    wanted = held.select(*on, pattern, "_q", F.explode(F.array_distinct(every)).alias("_gram")).distinct()
+    held = held.select(*on, pattern, "_q", F.array_distinct(every).alias("_grams")).distinct()
     if on:
         sized = codes.join(held.groupBy(*on).agg(F.collect_set("_q").alias("_qs")), list(on))
     else:
-        sized = codes.withColumn("_qs", F.array(*[F.lit(q) for q in range(1, GRAM + 1)]))
-    filed = sized.select(*codes.columns, F.explode(F.flatten(F.transform("_qs", lambda q: _grams(F.col(code), q)))).alias("_gram"))
-    counts = filed.groupBy(*on, "_gram").agg(F.count("*").alias("_codes"))
-    rarest = wanted.join(counts, [*on, "_gram"]).groupBy(*on, pattern).agg(F.min_by("_gram", F.struct("_codes", "_gram")).alias("_gram"))
-    return filed.join(rules.join(rarest, [*on, pattern]), [*on, "_gram"]).drop("_gram")
+        few = _lengths(held, F.col("_q"))
+        sized = codes.withColumn("_qs", F.array(*[F.lit(q) for q in few]) if few else F.array().cast("array<int>"))
+    pieces = sized.select(*codes.columns, F.explode(F.flatten(F.transform("_qs", lambda q: _grams(F.col(code), q)))).alias("_gram"))
+    keys = [*on, "_gram"]
+    single = held.where(F.size("_grams") == 1).select(*on, pattern, F.col("_grams")[0].alias("_gram"))
+    several = held.where(F.size("_grams") > 1).select(*on, pattern, F.explode("_grams").alias("_gram"))
+    counts = pieces.where(_looked_for(several, keys)).groupBy(*keys).agg(F.count("*").alias("_codes"))
+    rarest = several.join(counts, keys).groupBy(*on, pattern).agg(F.min_by("_gram", F.struct("_codes", "_gram")).alias("_gram"))
+    filed = pieces.where(_looked_for(single.unionByName(several), keys))
+    return filed.hint("merge").join(rules.join(single.unionByName(rarest), [*on, pattern]), keys).drop("_gram")
 
 
 def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str, pattern: str) -> DataFrame:
@@ -86,9 +110,10 @@ def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str,
 
     What a pattern says literally before its first wildcard is an equi-join key against the prefixes of a
     code; a pattern that begins with a wildcard is joined by its literal end against the suffixes; one with
-    wildcards at both ends by the rarest q-gram of what it says between them (`inner_pairs`). Only a pattern of
+    wildcards at both ends by the longest literal between them (`inner_pairs`). Only a pattern of
     nothing but wildcards meets every code of its `on` columns. A code makes one row for each length
-    that patterns of its `on` columns have. A backslash before a wildcard makes it literal, as in LIKE.
+    that patterns of its `on` columns have, of which those that no pattern may ask for go at once (`_looked_for`).
+    A backslash before a wildcard makes it literal, as in LIKE.
     Adds `_prefix` (literal) and `_wild`; other columns of `rules` come along.
     """
     plain = r"(?:[^%_\\]|\\.)*"
@@ -97,19 +122,22 @@ def like_hits(codes: DataFrame, rules: DataFrame, on: Sequence[str], code: str,
     by_end = (prefix == "") & (suffix != "")
     inner = (prefix == "") & (suffix == "") & F.rlike(pattern, F.lit(LITERAL))
     labelled = rules.withColumns({"_prefix": prefix, "_wild": F.length(raw) < F.length(pattern), "_inner": inner})
-    matches = F.expr(f"`{code}` LIKE `{pattern}`")
+    # A text between two wildcards only has to be found; Spark compiles other patterns anew for each pair.
+    between = F.rlike(pattern, F.lit(r"^%[^%_\\]+%$"))
+    matches = F.when(between, F.contains(F.col(code), F.translate(pattern, "%", ""))).otherwise(F.expr(f"`{code}` LIKE `{pattern}`"))
     within = inner_pairs(codes, labelled.where("_inner").drop("_inner"), on, code, pattern).where(matches)
     keyed = labelled.where("NOT _inner").drop("_inner").withColumns({"_end": by_end, "_key": F.when(by_end, suffix).otherwise(prefix)})
     size = F.struct(F.col("_end").alias("end"), F.length("_key").alias("n"))
     if on:
         sized = codes.join(keyed.groupBy(*on).agg(F.collect_set(size).alias("_sizes")), list(on))
-    else:  # lengths of pattern texts, so few that they are a constant
-        few = [F.struct(F.lit(r.s["end"]).alias("end"), F.lit(r.s["n"]).alias("n")) for r in keyed.select(size.alias("s")).distinct().collect()]
+    else:
+        few = [F.struct(F.lit(s["end"]).alias("end"), F.lit(s["n"]).alias("n")) for s in _lengths(keyed, size)]
         sized = codes.withColumn("_sizes", F.array(*few) if few else F.array().cast("array<struct<end: boolean, n: int>>"))
     probes = sized.withColumn("_size", F.explode("_sizes")).where(F.col("_size.n") <= F.length(code))
     part = F.when(F.col("_size.end"), F.expr(f"right(`{code}`, _size.n)")).otherwise(F.expr(f"left(`{code}`, _size.n)"))
     probes = probes.select(*codes.columns, F.col("_size.end").alias("_end"), part.alias("_key"))
-    outer = probes.join(keyed, [*on, "_end", "_key"]).where(matches).drop("_end", "_key")
+    ends = [*on, "_end", "_key"]
+    outer = probes.where(_looked_for(keyed, ends)).join(keyed, ends).where(matches).drop("_end", "_key")
     return outer.unionByName(within)
 
 

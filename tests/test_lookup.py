@@ -154,3 +154,15 @@ def test_tag_rows_and_identifiers(spark):
     assert FL.safe_identifier("a_1.b") == "a_1.b"
     with pytest.raises(ValueError):
         FL.safe_identifier("a; drop")
+
+
+def test_inner_patterns_meet_codes_under_whole_literals_and_are_not_broadcast(spark):
+    codes = spark.createDataFrame([("123",), ("234",), ("345",), ("12345",), ("x12345y",), ("abcdefghijkl",), ("abcdefgh",), ("efghijkl",), ("a%b",)], "code string")
+    rules = spark.createDataFrame([("%12345%",), ("%abcdefghij%",), ("%a\\%b%",), ("%1_3%",), ("%no such%",)], "pattern string")
+    pairs = rows(J.inner_pairs(codes, rules.where("pattern = '%12345%'"), [], "code", "pattern"), "code", "pattern")
+    assert pairs == [("12345", "%12345%"), ("x12345y", "%12345%")]  # not each code with one of its three-character pieces
+    hits = J.like_hits(codes, rules, [], "code", "pattern")
+    assert rows(hits, "code", "pattern") == ordered([("12345", "%12345%"), ("x12345y", "%12345%"), ("abcdefghijkl", "%abcdefghij%"), ("a%b", "%a\\%b%"), ("123", "%1_3%"), ("12345", "%1_3%"), ("x12345y", "%1_3%")])
+    # A table that looks small is many filed codes: they are shuffled, whatever its size says.
+    joins = [line for line in J.inner_pairs(codes, rules, [], "code", "pattern")._jdf.queryExecution().sparkPlan().toString().split("\n") if "Join" in line and "_gram" in line]
+    assert "SortMergeJoin" in joins[0]
