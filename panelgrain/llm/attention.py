@@ -25,7 +25,7 @@ GROUPS, MEMBERS, SHARED = 32, 32, 31
 CLASSES = GROUPS * MEMBERS
 WIDTH, HEAD = 24, 8
 # One training window in SAMPLE is learned from, once, in ROUNDS parts; a task makes about STEPS steps of BATCH windows a round.
-SAMPLE, ROUNDS, STEPS, BATCH, RATE = 16, 6, 64, 128, 0.03
+SAMPLE, ROUNDS, STEPS, BATCH, RATE = 1, 6, 64, 128, 0.03
 # Windows and tokens of whole texts that are worked on at a time, and the parts in which weights are averaged.
 AT_ONCE, TOKENS, PARTS = 1024, 1 << 17, 16
 
@@ -500,7 +500,7 @@ def text_likelihoods(docs: DataFrame, held_out: Column, vocabulary: Vocabulary)
 
     All counts are over all training rows. Texts are cut in blocks of about 12 MB; words are counted with a
     shuffle of each block's distinct words, and the counts come back to the block by a join, so no
-    vocabulary is sent to a task whole. The model learns from one in SAMPLE of all training windows, so what it
+    vocabulary is sent to a task whole. The model learns from all training windows (one in SAMPLE, which is 1), so what it
     learns from grows with the text: tasks train in parallel and their weights are averaged a round. Only
     the counts of ids (no more than the tokenizer has) and the weights come to the driver.
     """

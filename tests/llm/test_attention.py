@@ -188,3 +188,14 @@ def test_the_query_holds_out_by_crc(spark):
     found = QUERIES["op12_attention_scores"](spark, "/root/testdata/sf0.001").collect()
     assert len(found) == 200
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2) for r in found)
+
+
+def test_every_training_window_is_learned_from(spark, vocabulary):
+    """Each id of the rows that may be learned from is the goal of one window; no window is left out."""
+    texts = [(1, False, "one two three four five six seven eight nine ten " * 20), (2, True, "held out " * 50), (3, False, ""), (4, False, "a few words")]
+    docs = spark.createDataFrame(texts, "doc_id long, held boolean, text string").coalesce(1)
+    staged = docs.mapInArrow(lambda b: A._stage(b, vocabulary), A.STAGED).where("kind = 'window'").collect()
+    sizes = [len(A.word_ids(pa.array(t.split(), pa.string()), vocabulary)[0]) + 1 for _, held, t in texts if not held]
+    assert len(staged) == sum(-(-n // A.STRIDE) for n in sizes)
+    goals = np.concatenate([np.frombuffer(r["data"], dtype="<u4")[A.STRIDE :] for r in staged])
+    assert int((goals <= vocabulary.size).sum()) == sum(sizes)
