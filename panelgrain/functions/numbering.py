@@ -84,7 +84,8 @@ def ordered_numbers(df: DataFrame, order: list[str | Column], name: str = "line_
     buckets by fixed bounds (`_bounds`), ordered by the keys and then a hash of all columns, so that a
     hot key is spread over buckets as well; each bucket is ranked in a task and shifted by the
     sizes of the buckets before it. Numbers depend on the rows' values only, not on partitions, and every pass
-    agrees. Equal keys are numbered in the order of the hash. Columns of map type cannot be compared.
+    agrees. Equal keys are numbered in the order of the hash. Columns of map type cannot be compared. The bucket is never null,
+    as Spark would otherwise look it up below the count of equal rows, once for each of them.
     """
     columns = df.columns
     keys = [(F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
@@ -94,7 +95,7 @@ def ordered_numbers(df: DataFrame, order: list[str | Column], name: str = "line_
     coarse = F.size(F.filter("_lists", lambda fine: fine[0] <= F.col("_key")))
     inner = F.size(F.filter(F.get("_lists", F.col("_coarse") - 1), lambda bound: bound <= F.col("_key")))
     bucket = F.when(F.col("_coarse") < 1, 0).otherwise((F.col("_coarse") - 1) * FINE + inner)
-    placed = listed.withColumn("_coarse", coarse).withColumn("_bucket", bucket).drop("_lists", "_coarse")
+    placed = listed.withColumn("_coarse", coarse).withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_lists", "_coarse")
     sizes = placed.groupBy("_bucket").agg(F.sum("_copies").alias("_n"))
     offsets = _offsets(sizes, [], "_bucket", "_n", "_before").drop("_n")
     earlier = Window.partitionBy("_bucket").orderBy("_key").rowsBetween(Window.unboundedPreceding, -1)

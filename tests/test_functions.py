@@ -119,6 +119,15 @@ def test_ordered_numbers_deal_a_hot_key_to_many_buckets(spark):
     assert len(bounds) == 255 and bounds == sorted(bounds) and 150 < sum(b._o0 == 7 for b in bounds) < 190
 
 
+def test_ordered_numbers_place_distinct_rows_only(spark):
+    """Buckets are looked up once for each distinct row, above the count of equal rows, not in a filter of its input."""
+    df = spark.range(30_000).select((F.col("id") % 83).alias("k"))
+    plan = N.ordered_numbers(df, ["k"], "n")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in text.splitlines() if "Filter " in line and "lambda" in line]
+    assert sorted(r.n for r in plan.where("k = 1").collect()) == list(range(363, 725))
+
+
 def test_ordered_numbers_of_nothing(spark):
     assert N.ordered_numbers(spark.range(0), ["id"]).count() == 0
 
