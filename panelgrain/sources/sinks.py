@@ -274,9 +274,9 @@ def _plain(name: str) -> Column:
     return F.url_decode(F.regexp_replace(F.col(name), r"\+", "%2B"))
 
 
-def _folder() -> Column:
+def _folder(file: str = "_metadata.file_path") -> Column:
     """The folder a row lies in."""
-    return F.regexp_replace(_plain("_metadata.file_path"), "/[^/]*$", "").alias("folder")
+    return F.regexp_replace(_plain(file), "/[^/]*$", "").alias("folder")
 
 
 def _remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
@@ -303,7 +303,17 @@ def drop_partitions(spark: SparkSession, path: str, condition: Column, partition
 
 def _drop(spark: SparkSession, doomed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Delete the folders of the given rows of a table; one scan, without data columns, counts them and names the folders."""
-    removed = staged(doomed.select(*partition_by, _folder()).groupBy(*partition_by, "folder").agg(F.count("*").alias("rows")), "dropped")
+    return _drop_counted(spark, _counted(doomed, partition_by), partition_by)
+
+
+def _counted(rows: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """One row per partition and folder with its number of rows. Files are counted first, in each task of the scan, and their folders named once a file."""
+    files = rows.select(*partition_by, F.col("_metadata.file_path").alias("_file")).groupBy(*partition_by, "_file").agg(F.count("*").alias("rows"))
+    return files.select(*partition_by, _folder("_file"), "rows").groupBy(*partition_by, "folder").agg(F.sum("rows").alias("rows"))
+
+
+def _drop_counted(spark: SparkSession, folders: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    removed = staged(folders, "dropped")
     _remove_folders(spark, _listed(removed))
     return removed.groupBy(*partition_by).agg(F.sum("rows").alias("rows"))
 
@@ -312,11 +322,12 @@ def drop_before(spark: SparkSession, path: str, limits: DataFrame, on: Sequence[
     """Remove the partitions whose `column` lies before the `limit` of their `on` columns; returns what was removed.
 
     `limits` has a row per `on` values, such as a contract; all of them are handled by one join on partition values.
+    Rows are counted by partition before the join, so a contract with many of them is not sorted in one task.
     """
     bounds = limits.select(*[F.col(c).alias(f"_{c}") for c in on], F.col(limit).alias("_limit"))
-    table = spark.read.parquet(path)
+    folders = _counted(spark.read.parquet(path), partition_by)
     same = [F.col(c) == F.col(f"_{c}") for c in on]
-    return _drop(spark, table.select(*partition_by, "_metadata").join(bounds, [*same, F.col(column) < F.col("_limit")], "left_semi"), partition_by)
+    return _drop_counted(spark, folders.join(bounds, [*same, F.col(column) < F.col("_limit")], "left_semi"), partition_by)
 
 
 def delete_rows(spark: SparkSession, path: str, listed: DataFrame, keys: Sequence[str], partition_by: Sequence[str]) -> None:

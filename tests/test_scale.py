@@ -105,3 +105,20 @@ def test_ordered_names_of_a_group_without_bound(spark):
     assert got["hot"].names == "0,1000,10000,100000,101000" and got["hot"].names_left_out == 299_995
     assert (got["few"].names, got["few"].names_left_out) == ("a,b", 0) and (got[None].names, got[None].names_left_out) == ("x", 0)
     assert "WindowGroupLimit" in plan(named)
+
+
+def test_retention_joins_partitions_not_rows(spark, tmp_path, no_broadcast, monkeypatch):
+    """Rows are counted by partition in the scan's tasks; what meets the limits is a row a partition, however many rows it has."""
+    from panelgrain.sources import sinks
+
+    path = str(tmp_path / "t")
+    rows = spark.range(20_000).select((F.col("id") % 2).alias("c"), F.expr("date_add(DATE '2024-01-01', CAST(id % 10 AS INT))").alias("day"), "id")
+    sinks.write_partitions(rows, path, ["c", "day"])
+    limits = spark.createDataFrame([(0, "2024-01-05")], "c int, keep string").select("c", F.col("keep").cast("date").alias("keep"))
+    plans, staged = [], sinks.staged
+    monkeypatch.setattr(sinks, "staged", lambda df, label: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or staged(df, label))
+    removed = sinks.drop_before(spark, path, limits, ["c"], "day", "keep", ["c", "day"])
+    assert sorted((r.c, str(r.day), r.rows) for r in removed.collect()) == [(0, "2024-01-01", 2000), (0, "2024-01-03", 2000)]
+    assert spark.read.parquet(path).count() == 16_000
+    names = [line.strip(" :+-").split(" ")[0] for line in plans[0].splitlines()]
+    assert names[0] == "Join" and "Aggregate" in names
