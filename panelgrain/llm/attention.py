@@ -28,6 +28,8 @@ WIDTH, HEAD = 24, 8
 SAMPLE, ROUNDS, STEPS, BATCH, RATE = 1, 6, 64, 128, 0.03
 # Windows and tokens of whole texts that are worked on at a time, and the parts in which weights are averaged.
 AT_ONCE, TOKENS, PARTS = 1024, 1 << 17, 16
+# Windows of one row of the staged table.
+PACK = 32
 
 STAGED = "kind string, block long, doc_id long, held boolean, code int, word string, n long, data binary"
 _STAGED = pa.schema([("kind", pa.string()), ("block", pa.int64()), ("doc_id", pa.int64()), ("held", pa.bool_()), ("code", pa.int32()), ("word", pa.string()), ("n", pa.int64()), ("data", pa.binary())])
@@ -98,6 +100,11 @@ def numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
 
 
+def _cell_type(size: int) -> str:
+    """The type that training windows are stored in: 16 bits if all ids, the end, start and none fit."""
+    return "<u2" if size + 2 < 1 << 16 else "<u4"
+
+
 def _gather(values: np.ndarray, at: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """values[at[r]:at[r + 1]] for each r of rows, in a row, and their lengths."""
     size = at[rows + 1] - at[rows]
@@ -166,16 +173,37 @@ def _stage(batches, v: Vocabulary):
             yield _rows("doc", number, 1, code=pa.array([1], pa.int32()), n=pa.array([len(counts)]), data=[planes(np.concatenate((np.diff(ids_at), ids)))])
             yield _rows("word", number, len(counts), code=pa.array(np.arange(len(counts)), pa.int32()), word=pa.concat_arrays([pa.array([""]), words]), n=pa.array(counts))
             keep, last = codes[learned], np.concatenate(([0], np.cumsum(n[~held])))
-            chosen, seen = [], 0
+            seen, placed = 0, 0
             for a, b in K.slices(last, TOKENS):
                 text_ids, size = _gather(ids, ids_at, keep[last[a] : last[b]])
                 made, count = windows(text_ids, np.add.reduceat(size, last[a:b] - last[a]), v.size + 1, -seen % SAMPLE, SAMPLE)
                 seen += int(count.sum())
-                chosen += [w.tobytes() for w in made.astype("<u4")]
-            yield _rows("window", number, len(chosen), n=pa.array(np.arange(len(chosen)) % ROUNDS), data=chosen)
+                # Window j of a block is of round j modulo ROUNDS. A slice's windows go at once, so no block's are held together.
+                turn = (placed + np.arange(len(made))) % ROUNDS
+                placed += len(made)
+                flat = np.ascontiguousarray(made.astype("<u4"))
+                ends = np.arange(len(made) + 1, dtype=np.int32) * (8 * STRIDE)
+                cells = pa.BinaryArray.from_buffers(pa.binary(), len(made), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+                yield _rows("window", number, len(made), n=pa.array(turn, pa.int64()), data=cells)
             number += 1
 
 
+def _packed(batches, v: Vocabulary):
+    """What `_stage` yields, with up to PACK windows of a round in a row, in the type of `_cell_type`; they are stored and dealt so."""
+    for batch in batches:
+        if not batch.num_rows or batch.column(0)[0].as_py() != "window":
+            yield batch
+            continue
+        cells = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype="<u4").reshape(-1, 2 * STRIDE).astype(_cell_type(v.size))
+        turn = batch.column(6).to_numpy()
+        rounds, rows = [], []
+        for k in range(ROUNDS):
+            own = cells[turn == k]
+            rows += [own[i : i + PACK].tobytes() for i in range(0, len(own), PACK)]
+            rounds += [k] * (len(rows) - len(rounds))
+        yield _rows("window", batch.column(1)[0].as_py(), len(rows), n=pa.array(rounds, pa.int64()), data=pa.array(rows, pa.binary()))
+
+
 def _id_counts(batches, v: Vocabulary):
     """(id, n) of the words of a task, each encoded once."""
     total = np.zeros(v.size + 1, dtype=np.int64)
@@ -409,7 +437,8 @@ def _train_task(batches, w: dict, classes: Classes, seed: int, rate: float):
     data = [b for batch in batches for b in batch.column(0).to_pylist()]
     if not data:
         return
-    cells = classes.cells(np.frombuffer(b"".join(data), dtype="<u4").reshape(-1, 2 * STRIDE))
+    cells = classes.cells(np.frombuffer(b"".join(data), dtype=_cell_type(len(classes.of) - 1)).reshape(-1, 2 * STRIDE))
+    del data
     flat = _flat(train(w, cells, seed, rate))
     for part, own in enumerate(np.array_split(flat, PARTS)):
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(cells)], pa.int64()), pa.array([own.astype("<f4").tobytes()], pa.binary())], names=["part", "n", "data"])
@@ -430,7 +459,8 @@ def fit(learned: DataFrame, classes: Classes) -> dict[str, np.ndarray]:
     A round has as many tasks as its windows fill with STEPS * BATCH each, so more text makes more tasks, not longer ones.
     """
     w = first_weights(classes)
-    sizes = {r["n"]: r["count"] for r in learned.groupBy("n").count().collect()}
+    window = 2 * STRIDE * np.dtype(_cell_type(len(classes.of) - 1)).itemsize
+    sizes = {r["n"]: r["bytes"] // window for r in learned.groupBy("n").agg(F.sum(F.octet_length("data")).alias("bytes")).collect()}
     for k in range(ROUNDS):
         if not sizes.get(k):
             continue
@@ -507,7 +537,7 @@ def text_likelihoods(docs: DataFrame, held_out: Column, vocabulary: Vocabulary)
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     path = scratch(spark, "blocks")
-    source.mapInArrow(lambda b: _stage(b, vocabulary), STAGED).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    source.mapInArrow(lambda b: _packed(_stage(b, vocabulary), vocabulary), STAGED).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     kind = lambda name: spark.read.schema(STAGED).parquet(path).where(F.col("kind") == name)
     words = kind("word")
     counted = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")

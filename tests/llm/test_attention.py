@@ -199,3 +199,14 @@ def test_every_training_window_is_learned_from(spark, vocabulary):
     assert len(staged) == sum(-(-n // A.STRIDE) for n in sizes)
     goals = np.concatenate([np.frombuffer(r["data"], dtype="<u4")[A.STRIDE :] for r in staged])
     assert int((goals <= vocabulary.size).sum()) == sum(sizes)
+
+
+def test_windows_are_stored_packed(spark, vocabulary):
+    """Rows of up to PACK windows of one round, two bytes a cell, hold the staged windows: each once and in its round."""
+    docs = spark.createDataFrame([(i, False, f"one two three four five six seven w{i} " * 40) for i in range(30)], "doc_id long, held boolean, text string").coalesce(1)
+    staged = docs.mapInArrow(lambda b: A._stage(b, vocabulary), A.STAGED).where("kind = 'window'").collect()
+    packed = docs.mapInArrow(lambda b: A._packed(A._stage(b, vocabulary), vocabulary), A.STAGED).where("kind = 'window'").collect()
+    want = sorted((r["n"], tuple(np.frombuffer(r["data"], dtype="<u4").tolist())) for r in staged)
+    got = sorted((r["n"], tuple(w.tolist())) for r in packed for w in np.frombuffer(r["data"], dtype=A._cell_type(vocabulary.size)).reshape(-1, 2 * A.STRIDE))
+    assert got == want
+    assert 4 * len(packed) < len(staged) and 2 * sum(len(r["data"]) for r in packed) == sum(len(r["data"]) for r in staged)
