@@ -285,13 +285,14 @@ def physical_lines(spark, d, measures: int = 45):
     """Line items as records of 45 measures on three physical lines of 20 slots; the second measure of
     every third order is missing and odd lines have a last line less."""
     item = P.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.col("l_quantity").cast("int").alias("q")).dropDuplicates(["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"])
-    lines = item.withColumn("line", F.explode(F.sequence(F.lit(1), F.lit(-(-measures // 20)))))
+    lines = item.withColumn("line", F.explode(F.sequence(F.lit(1), F.lit(-(-measures // 20))))).withColumn("before", F.col("q") * 100 + (F.col("line") - 1) * 20)
 
     def slot(i):
-        k = (F.col("line") - 1) * 20 + i
-        text = (F.col("q") * 100 + k).cast("string")
-        text = F.when((k == 2) & (F.col("l_orderkey") % 3 == 0), F.lit("N/A")).otherwise(text)
-        return F.when(k <= measures, text).otherwise(F.lit("")).alias(f"slot_{i}")
+        """Measure k = 20 * (line - 1) + i is q * 100 + k. Short, as 20 of these make one generated method."""
+        text = (F.col("before") + i).cast("string")
+        if i == 2:
+            text = F.when((F.col("line") == 1) & (F.col("l_orderkey") % 3 == 0), F.lit("N/A")).otherwise(text)
+        return F.when(F.col("line") <= (measures - i) // 20 + 1, text).otherwise(F.lit("")).alias(f"slot_{i}")
 
     return lines.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "line", *[slot(i) for i in range(1, 21)])
 

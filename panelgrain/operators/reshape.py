@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from panelgrain.functions.text import NOT_AVAILABLE, has_non_ascii, lead_zero, parse_measure
-from panelgrain.operators.filters import keep_any_value
 from panelgrain.spec import MAX_MEASURES
 
 
@@ -54,21 +55,35 @@ def stitch_lines(
     the rank is bounded and every task keeps at most five lines of a record before the shuffle. The
     first line then looks ahead to the others in the same sorted partition: one shuffle, one sort.
     Texts are shuffled and only the cells that hold a measure are parsed.
+
+    Whether a line has any measure is told before the sort, by the first of its texts that parses. So the slots
+    that only this question needs, those of measures the caller drops, are neither shuffled nor sorted.
     """
     width = len(slots)
     last_line = (max(measures) - 1) // width + 1
     in_record = Window.partitionBy(*keys).orderBy(*order)
-    packed = facts.select(*keys, *[o for o in order if o not in keys], *keep, F.struct(*slots).alias("_line_1"))
-    ranked = packed.withColumn("_rank", F.row_number().over(in_record)).where(F.col("_rank") <= last_line)
-    ahead = {f"_line_{i}": F.lead("_line_1", i - 1).over(in_record) for i in range(2, last_line + 1)}
-    records = ranked.withColumns(ahead).where("_rank = 1")
+    wanted = [[slots[(k - 1) % width] for k in sorted(measures) if (k - 1) // width + 1 == i] for i in range(1, last_line + 1)]
+    # Lines with the same wanted slots, all but the last one as a rule, share a column.
+    kinds = sorted({tuple(w) for w in wanted if w})
+    # A loop over the texts, not a test written out for each: the generated method would be too long for the JVM to compile.
+    given = [F.exists(F.array(*kind), lambda text: parse_measure(text).isNotNull()).alias(f"_given_{j}") for j, kind in enumerate(kinds)]
+    used = sorted({s for w in wanted for s in w}, key=list(slots).index)
+    lines = facts.select(*keys, *[o for o in order if o not in keys], *keep, *[F.col(s).alias(f"_slot_{s}") for s in used], *given)
+    ranked = lines.withColumn("_rank", F.row_number().over(in_record)).where(F.col("_rank") <= last_line)
+
+    def ahead(column: str, line: int) -> Column:
+        return (F.lead(column, line - 1).over(in_record) if line > 1 else F.col(column)).alias(f"{column}_line_{line}")
+
+    cells = [ahead(f"_slot_{s}", i) for i, w in enumerate(wanted, 1) for s in w]
+    marks = [ahead(f"_given_{kinds.index(tuple(w))}", i) for i, w in enumerate(wanted, 1) if w]
+    records = ranked.select(*keys, *keep, "_rank", *cells, *marks).where("_rank = 1")
+    has_any = reduce(or_, [F.coalesce(F.col(f"_given_{kinds.index(tuple(w))}_line_{i}"), F.lit(False)) for i, w in enumerate(wanted, 1) if w])
 
     def measure(k: int):
-        text = F.col(f"_line_{(k - 1) // width + 1}")[slots[(k - 1) % width]]
+        text = F.col(f"_slot_{slots[(k - 1) % width]}_line_{(k - 1) // width + 1}")
         return parse_measure(text).alias(f"measure_{k}")
 
-    stitched = records.select(*keys, *keep, *[measure(k) for k in measures])
-    return keep_any_value(stitched, [f"measure_{k}" for k in measures])
+    return records.where(has_any).select(*keys, *keep, *[measure(k) for k in measures])
 
 
 def surplus_lines(

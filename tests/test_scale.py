@@ -47,6 +47,19 @@ def test_stitching_prunes_before_the_shuffle(spark):
     assert out.count() == 2001
 
 
+def test_stitching_sorts_only_the_slots_that_are_asked_for(spark):
+    """Measures the caller drops still decide whether a record has any, but their texts are not sorted, nor tested in one long method."""
+    slots = [f"slot_{i}" for i in range(1, 21)]
+    cells = [F.when((F.col("id") % 3 == i % 3), F.col("id").cast("string")).otherwise("N/A").alias(s) for i, s in enumerate(slots)]
+    df = spark.range(30).selectExpr("id", "id DIV 2 AS k").select("k", "id", *cells)
+    whole = R.stitch_lines(df, ["k"], ["id"], slots, measures=range(1, 41))
+    some = whole.select("k", "measure_2", "measure_21")
+    assert "exists(" in next(line for line in plan(some).splitlines() if "slot_7" in line)
+    assert sorted(map(tuple, some.collect())) == sorted((r.k, r.measure_2, r.measure_21) for r in whole.collect())
+    none = R.stitch_lines(df.withColumns({s: F.lit("N/A") for s in slots[1:]}), ["k"], ["id"], slots, measures=range(1, 41))
+    assert {r.k for r in none.select("k", "measure_2").collect()} == {k for k in range(15) if any(i % 3 == 0 for i in (2 * k, 2 * k + 1))}
+
+
 def test_totals_are_combined_before_the_shuffle(spark):
     text = plan(C.share_of_total(hot(spark), ["k"], ["v"]))
     assert "partial_sum" in text and "Window" not in text
