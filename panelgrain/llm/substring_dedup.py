@@ -25,8 +25,9 @@ PACK = 64
 HOT = 4096
 U64 = K.U64
 SHIFT = U64(32)
-# Buckets are named by 48 bits of the hash: two of one name only cost work, as strings are told apart by their bytes.
-SPARE = U64(16)
+# Buckets are named by 39 bits of the hash, by 48 if there are over MANY pieces (about 100 GB of text). Two of one name only
+# cost work, as strings are told apart by their bytes; twice a name of 39 bits fits five bytes, and the rest packs to nothing.
+MANY, SPARE, WIDE_SPARE = 1 << 28, 25, 16
 
 
 def rolled(data: np.ndarray, width: int) -> np.ndarray:
@@ -124,13 +125,13 @@ def _slices(batch):
         yield i, j, part, own, *anchors(part, own, *_ranges(batch.column(3), i, j))
 
 
-def _anchor_buckets(batches):
+def _anchor_buckets(batches, spare: int):
     """(doc_id, tkey, h): the q-grams that strings of the document are filed under, each once."""
     for batch in batches:
         for i, j, _, own, _, prime, g in _slices(batch):
             prime = prime[np.concatenate(([True], prime[1:] != prime[:-1]))] if len(prime) else prime
             row = np.searchsorted(own, prime, "right") - 1
-            h = g[prime] >> SPARE
+            h = g[prime] >> U64(spare)
             order = np.lexsort((h, row))
             row, h = row[order], h[order]
             if len(row):
@@ -140,7 +141,7 @@ def _anchor_buckets(batches):
             yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(h.view(np.int64))], names=["doc_id", "tkey", "h"])
 
 
-def _runs(own: np.ndarray, active: np.ndarray, prime: np.ndarray, g: np.ndarray, wanted: pa.Array):
+def _runs(own: np.ndarray, active: np.ndarray, prime: np.ndarray, g: np.ndarray, wanted: pa.Array, spare: int):
     """Runs of strings filed under one q-gram that the row's list names: first string, count, row, h, and the listed entry's place."""
     none = np.zeros(0, dtype=np.int64)
     wanted = wanted.fill_null([])
@@ -149,7 +150,7 @@ def _runs(own: np.ndarray, active: np.ndarray, prime: np.ndarray, g: np.ndarray,
         return none, none, none, none, none
     head = np.flatnonzero(np.concatenate(([True], (prime[1:] != prime[:-1]) | (np.diff(active) != 1))))
     size = np.diff(np.concatenate((head, [len(active)])))
-    low, h = active[head], (g[prime[head]] >> SPARE).view(np.int64)
+    low, h = active[head], (g[prime[head]] >> U64(spare)).view(np.int64)
     row = np.searchsorted(own, low, "right") - 1
     mark = K.mixed((listed >> 1).view(np.uint64)) ^ rows.astype(np.uint64) * K.BASE
     mine = K.mixed(h.view(np.uint64)) ^ row.astype(np.uint64) * K.BASE
@@ -159,11 +160,11 @@ def _runs(own: np.ndarray, active: np.ndarray, prime: np.ndarray, g: np.ndarray,
     return low[found], size[found], row[found], h[found], listed[order][spot][found]
 
 
-def _digests(batches):
+def _digests(batches, spare: int):
     """(doc_id, tkey, h, b, place): runs filed under a shared q-gram; b is a hash of their bytes and count, place start * PACK + count."""
     for batch in batches:
         for i, j, part, own, active, prime, g in _slices(batch):
-            first, count, row, h, _ = _runs(own, active, prime, g, batch.column(4).slice(i, j - i))
+            first, count, row, h, _ = _runs(own, active, prime, g, batch.column(4).slice(i, j - i), spare)
             b = K.span_hash(K.prefix_hash(K.BYTE_VALUES[part]), first, first + count + WIDTH - 1) ^ K.mixed(count.astype(np.uint64))
             spot = pa.array(row + i)
             yield pa.RecordBatch.from_arrays(
@@ -178,7 +179,7 @@ def _taken(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.
     return data[place], offsets
 
 
-def _fragments(batches):
+def _fragments(batches, spare: int):
     """Runs of strings with their bytes, for the q-grams that the row's list names; strings of hot q-grams one by one.
 
     A hot string that a smaller doc_id of the same slice has as well is settled here (sure), so each slice
@@ -187,7 +188,7 @@ def _fragments(batches):
     for batch in batches:
         doc, keys = np.asarray(batch.column(0)), np.asarray(batch.column(1))
         for i, j, part, own, active, prime, g in _slices(batch):
-            runs = _runs(own, active, prime, g, batch.column(4).slice(i, j - i))
+            runs = _runs(own, active, prime, g, batch.column(4).slice(i, j - i), spare)
             is_hot = (runs[4] & 1) == 1
             for pick, single in ((~is_hot, False), (is_hot, True)):
                 if not pick.any():
@@ -381,19 +382,20 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     firsts = units.groupBy("u1", "u2").agg(F.min("doc_id").alias("first"))
     pieces = units.join(firsts, ["u1", "u2"]).where("doc_id > first").groupBy(*key).agg(F.collect_set(F.struct("start", "stop")).alias("pieces"))
     base = source.join(written(pieces, "pieces"), key, "left").select(*key, "text", "pieces")
+    spare = SPARE if units.count() <= MANY else WIDE_SPARE
 
     # What follows is one plan, in which the texts are dealt by document once for all joins.
     bucket, run = Window.partitionBy("h"), Window.partitionBy("h", "b")
-    filed = base.mapInArrow(_anchor_buckets, "doc_id long, tkey long, h long")
+    filed = base.mapInArrow(lambda b: _anchor_buckets(b, spare), "doc_id long, tkey long, h long")
     filed = filed.select(*key, "h", F.min("doc_id").over(bucket).alias("lo"), F.max("doc_id").over(bucket).alias("hi"))
     shared = filed.where("lo < hi").groupBy(*key).agg(F.collect_list(F.col("h") * 2).alias("shared"))
-    runs = base.join(shared, key).select(*key, "text", "pieces", "shared").mapInArrow(_digests, "doc_id long, tkey long, h long, b long, place long")
+    runs = base.join(shared, key).select(*key, "text", "pieces", "shared").mapInArrow(lambda b: _digests(b, spare), "doc_id long, tkey long, h long, b long, place long")
     runs = runs.withColumn("first", F.min("doc_id").over(run))
     runs = runs.withColumns({"several": F.min("b").over(bucket) != F.max("b").over(bucket), "c": F.count("*").over(bucket)})
     settled = runs.where("doc_id > first").select(*key, "place")
     asked = runs.where("several AND doc_id = first").groupBy(*key).agg(F.collect_set(F.col("h") * 2 + F.when(F.col("c") > HOT, 1).otherwise(0)).alias("asked"))
     parts = base.join(asked, key).select(*key, "text", "pieces", "asked")
-    parts = parts.mapInArrow(_fragments, "doc_id long, tkey long, h long, w long, sure boolean, start long, body binary")
+    parts = parts.mapInArrow(lambda b: _fragments(b, spare), "doc_id long, tkey long, h long, w long, sure boolean, start long, body binary")
     parts = parts.repartition("h", "w").sortWithinPartitions("h", "w", "doc_id")
     found = parts.mapInArrow(_refine, "doc_id long, tkey long, place long")
     rest = settled.union(found).groupBy(*key).agg(F.collect_list("place").alias("rest"))

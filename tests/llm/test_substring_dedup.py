@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from panelgrain.llm import substring_dedup as S
@@ -65,3 +66,22 @@ def test_refinement_separates_exactly():
     for s, n in zip(strings, number.tolist(), strict=True):
         assert groups.setdefault(s, n) == n
     assert len(set(groups.values())) == len(groups)
+
+
+def test_bucket_names_take_five_bytes():
+    """Twice a bucket's name, as it is listed, has at most 40 bits; the other bytes of a row's name are zeros and pack away."""
+    r = random.Random(5)
+    text = "".join(r.choice("abcdefgh ") for _ in range(5000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array([text]), pa.array([None], pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())])))], names=["doc_id", "tkey", "text", "pieces"])
+    names = np.concatenate([np.asarray(b.column(2)) for b in S._anchor_buckets([batch], S.SPARE)])
+    assert len(names) > 100 and names.min() >= 0 and int(names.max()) * 2 < 1 << 40
+
+
+@pytest.mark.parametrize(("many", "spare", "wide"), [(1 << 28, 56, 16), (0, 56, 25)])
+def test_names_that_clash_only_cost_work(spark, documents, monkeypatch, many, spare, wide):
+    """With names of 8 bits most q-grams share one with others; over MANY pieces the wide names are taken."""
+    monkeypatch.setattr(S, "MANY", many)
+    monkeypatch.setattr(S, "SPARE", spare)
+    monkeypatch.setattr(S, "WIDE_SPARE", wide)
+    rows = some_texts(7)
+    assert sorted((tuple(x) for x in S.without_repeats(documents(rows)).collect()), key=str) == brute(rows)
