@@ -289,21 +289,22 @@ def period_gaps(f: Frames, p: dict) -> DataFrame:
     """Expected periods between a key's first and last delivery against what came, with a status:
     missing, new (one delivery) or redelivered (more).
 
-    Calendar periods get an ordinal within their class; a key's span is generated from its first to
-    its last ordinal, so every join is an equality on a period. A delivered period that the calendar
+    Calendar periods get an ordinal within their class. Each delivered period stands for itself and for those
+    it leaves out up to the key's next one, so the deliveries are read and counted once. A delivered period that the calendar
     does not have is listed with the status unknown; a span starts and ends with its known periods.
     """
     keys = list(p["keys"])
     came = f["deliveries"].groupBy(*keys, "class", "period_end").agg(F.countDistinct("run_id").alias("deliveries"))
     in_order = F.row_number().over(Window.partitionBy("class").orderBy("period_end"))
     calendar = f["periods"].select("class", F.col("end_date").alias("period_end")).distinct().withColumn("_no", in_order)
-    placed = came.join(calendar, ["class", "period_end"], "left")
-    ranges = placed.where("_no IS NOT NULL").groupBy(*keys, "class").agg(F.min("_no").alias("_first"), F.max("_no").alias("_last"))
-    expected = ranges.select(*keys, "class", F.explode(F.sequence("_first", "_last")).alias("_no")).join(calendar, ["class", "_no"])
-    joined = expected.join(came, [*keys, "class", "period_end"], "left")
-    status = F.when(F.col("deliveries").isNull(), "missing").when(F.col("deliveries") == 1, "new").otherwise("redelivered")
-    unknown = placed.where("_no IS NULL").select(*keys, "class", "period_end", F.lit("unknown").alias("status"))
-    return joined.select(*keys, "class", "period_end", status.alias("status")).unionByName(unknown)
+    following = F.lead("_no").over(Window.partitionBy(*keys, "class").orderBy("_no"))
+    placed = came.join(calendar, ["class", "period_end"], "left").withColumn("_next", following)
+    until = F.when(F.col("_no").isNotNull(), F.coalesce(F.col("_next") - 1, F.col("_no")))
+    spans = placed.withColumn("_at", F.explode_outer(F.sequence("_no", until)))
+    own = spans.select(*keys, "class", F.when(F.col("_at").isNull() | (F.col("_at") == F.col("_no")), F.col("period_end")).alias("_own"), "deliveries", "_at")
+    dates = calendar.select("class", F.col("period_end").alias("_end"), F.col("_no").alias("_at"))
+    status = F.when(F.col("_at").isNull(), "unknown").when(F.col("_own").isNull(), "missing").when(F.col("deliveries") == 1, "new").otherwise("redelivered")
+    return own.join(dates, ["class", "_at"], "left").select(*keys, "class", F.coalesce("_own", "_end").alias("period_end"), status.alias("status"))
 
 
 @rule("DQ-38", "Duplicated period after mapping", (6,), ["mapped_periods"], per_key=RepeatedKey(("period_id",), known=True))

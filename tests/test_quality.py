@@ -90,6 +90,19 @@ def test_data_exists(spark):
     assert rows(find("DQ-14", facts=some, markets=none, periods=none)) == [("markets",), ("periods",)]
 
 
+def test_period_gaps_count_the_deliveries_once(spark):
+    """The deliveries, a join of large tables as a rule, are read by one branch of the plan; gaps, ends and unknown periods come from it."""
+    day = lambda n: F.expr(f"date_add(DATE '2024-01-01', CAST({n} AS INT))")
+    deliveries = spark.range(12, numPartitions=1).where("id NOT IN (3, 4, 7)").select((F.col("id") % 2).alias("contract_id"), F.lit("W").alias("class"), day("id * 7").alias("period_end"), F.col("id").alias("run_id"))
+    periods = spark.range(0, 77, 7, 1).select(F.lit("W").alias("class"), day("id").alias("end_date"))
+    found = find("DQ-37", deliveries=deliveries, periods=periods)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 12") == 1
+    got = [(r.contract_id, (r.period_end - datetime.date(2024, 1, 1)).days // 7, r.status) for r in found.collect()]
+    came = {0: [0, 2, 6, 8, 10], 1: [1, 5, 9]}
+    want = [(k, n, "new" if n in own else "missing") for k, own in came.items() for n in range(own[0], own[-1] + 1)]
+    assert sorted(got) == sorted([*want, (1, 11, "unknown")])
+
+
 def test_period_gaps(spark):
     day = datetime.date
     weeks = [day(2024, 1, 7) + datetime.timedelta(7 * i) for i in range(6)]
