@@ -432,16 +432,27 @@ def _shaped(flat: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
+def _parts(batches, kind: str) -> Iterator[np.ndarray]:
+    """The windows of a task in parts of STEPS * BATCH; what is left over makes even parts of about as many. Two parts and a batch are held."""
+    most, held = STEPS * BATCH, np.zeros((0, 2 * STRIDE), dtype=kind)
+    for batch in batches:
+        held = np.concatenate((held, np.frombuffer(b"".join(batch.column(0).to_pylist()), dtype=kind).reshape(-1, 2 * STRIDE)))
+        while len(held) >= 2 * most:
+            yield held[:most]
+            held = held[most:]
+    if len(held):
+        yield from np.array_split(held, max(1, round(len(held) / most)))
+
+
 def _train_task(batches, w: dict, classes: Classes, seed: int, rate: float):
-    """Weights after the task's steps, in PARTS parts, each with the number of windows learned from."""
-    data = [b for batch in batches for b in batch.column(0).to_pylist()]
-    if not data:
+    """The mean of the weights that the task's parts end with, all trained from the same weights, in PARTS parts, each with the number of windows."""
+    total, whole = 0.0, 0
+    for part in _parts(batches, _cell_type(len(classes.of) - 1)):
+        total, whole = total + len(part) * _flat(train(w, classes.cells(part), seed, rate)).astype(np.float64), whole + len(part)
+    if not whole:
         return
-    cells = classes.cells(np.frombuffer(b"".join(data), dtype=_cell_type(len(classes.of) - 1)).reshape(-1, 2 * STRIDE))
-    del data
-    flat = _flat(train(w, cells, seed, rate))
-    for part, own in enumerate(np.array_split(flat, PARTS)):
-        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([len(cells)], pa.int64()), pa.array([own.astype("<f4").tobytes()], pa.binary())], names=["part", "n", "data"])
+    for part, own in enumerate(np.array_split(total / whole, PARTS)):
+        yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([whole], pa.int64()), pa.array([own.astype("<f4").tobytes()], pa.binary())], names=["part", "n", "data"])
 
 
 def _mean(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -454,9 +465,10 @@ def _mean(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iter
 
 
 def fit(learned: DataFrame, classes: Classes) -> dict[str, np.ndarray]:
-    """Weights learned from all sampled windows: in each round every task starts from the same weights, and their mean is kept.
+    """Weights learned from all sampled windows: in each round every part starts from the same weights, and their mean is kept.
 
-    A round has as many tasks as its windows fill with STEPS * BATCH each, so more text makes more tasks, not longer ones.
+    A part is about STEPS * BATCH windows of one task, so more text makes more parts, not longer ones. Tasks read the stored
+    windows where they lie: no window is shuffled, and a task sends one set of weights, whatever its number of parts.
     """
     w = first_weights(classes)
     window = 2 * STRIDE * np.dtype(_cell_type(len(classes.of) - 1)).itemsize
@@ -467,7 +479,7 @@ def fit(learned: DataFrame, classes: Classes) -> dict[str, np.ndarray]:
         tasks = max(1, round(sizes[k] / (STEPS * BATCH)))
         rate = RATE * (1 - k / ROUNDS)
         sent = learned.sparkSession.sparkContext.broadcast((w, classes))
-        dealt = learned.where(F.col("n") == k).select("data").repartition(tasks)
+        dealt = learned.where(F.col("n") == k).select("data").coalesce(tasks)
         ends = dealt.mapInArrow(lambda b, sent=sent, k=k, rate=rate: _train_task(b, *sent.value, k, rate), "part int, n long, data binary")
         parts = {r["part"]: r["data"] for r in ends.groupBy("part").applyInArrow(_mean, "part int, data binary").collect()}
         w = _shaped(np.concatenate([np.frombuffer(parts[p], dtype="<f4") for p in range(PARTS)]))

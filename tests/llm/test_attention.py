@@ -210,3 +210,21 @@ def test_windows_are_stored_packed(spark, vocabulary):
     got = sorted((r["n"], tuple(w.tolist())) for r in packed for w in np.frombuffer(r["data"], dtype=A._cell_type(vocabulary.size)).reshape(-1, 2 * A.STRIDE))
     assert got == want
     assert 4 * len(packed) < len(staged) and 2 * sum(len(r["data"]) for r in packed) == sum(len(r["data"]) for r in staged)
+
+
+def test_a_task_sends_one_mean_of_its_parts(small, monkeypatch):
+    """Windows are learned from in even parts from the same weights; a task of several parts sends their mean once."""
+    monkeypatch.setattr(A, "STEPS", 2)
+    monkeypatch.setattr(A, "BATCH", 4)
+    classes = A.Classes.fit(np.arange(40)[::-1].copy())
+    rng = np.random.default_rng(4)
+    kind = A._cell_type(39)
+    cells = rng.integers(0, 39, (29, 2 * A.STRIDE)).astype(kind)
+    batches = [pa.RecordBatch.from_arrays([pa.array([c.tobytes() for c in np.array_split(half, 5)], pa.binary())], names=["data"]) for half in (cells[:20], cells[20:])]
+    parts = list(A._parts(batches, kind))
+    assert [len(p) for p in parts] == [8, 8, 7, 6] and (np.concatenate(parts) == cells).all()
+    w = A.first_weights(classes)
+    want = sum(len(p) * A._flat(A.train(w, classes.cells(p), 1, 0.03)).astype(np.float64) for p in parts) / 29
+    sent = list(A._train_task(batches, w, classes, 1, 0.03))
+    assert len(sent) == A.PARTS and {b["n"][0].as_py() for b in sent} == {29}
+    assert np.allclose(np.concatenate([np.frombuffer(b["data"][0].as_py(), "<f4") for b in sent]), want, atol=1e-6)
