@@ -18,7 +18,7 @@ GRAM = 26
 CHOICE = WIDTH - GRAM + 1  # q-grams of one string
 UNIT, LEAST_UNIT, ROLL = 512, 64, 16
 # Fragments that one turn of refinement takes at least, and bytes of text that are worked on at once.
-TURN, SLICE = 20000, 1 << 20
+TURN, SLICE = 8000, 1 << 20
 # A range of at most CHOICE starts as one number: start * PACK + count.
 PACK = 64
 # A bucket of more documents than this goes string by string, combined before the shuffle.
@@ -132,8 +132,13 @@ def _anchor_buckets(batches, spare: int):
             prime = prime[np.concatenate(([True], prime[1:] != prime[:-1]))] if len(prime) else prime
             row = np.searchsorted(own, prime, "right") - 1
             h = g[prime] >> U64(spare)
-            order = np.lexsort((h, row))
-            row, h = row[order], h[order]
+            if j - i <= 1 << spare:
+                # Row and name fit one number.
+                both = np.sort((row.astype(np.uint64) << U64(64 - spare)) | h)
+                row, h = (both >> U64(64 - spare)).astype(np.int64), both & U64((1 << 64 - spare) - 1)
+            else:
+                order = np.lexsort((h, row))
+                row, h = row[order], h[order]
             if len(row):
                 new = np.concatenate(([True], (h[1:] != h[:-1]) | (row[1:] != row[:-1])))
                 row, h = row[new], h[new]
@@ -218,27 +223,37 @@ def _fragments(batches, spare: int):
                 )
 
 
-def buckets(codes: np.ndarray) -> np.ndarray:
-    """Bucket numbers in sorted order of the codes."""
-    return np.unique(codes, return_inverse=True)[1].astype(np.uint64)
+def buckets(codes: np.ndarray, bits: int) -> np.ndarray:
+    """Bucket numbers in sorted order of the codes, which have so many bits; code and place are sorted as one number where they fit."""
+    low = max(1, len(codes) - 1).bit_length()
+    if bits + low > 64:
+        return np.unique(codes, return_inverse=True)[1].astype(np.uint64)
+    code = np.sort((codes << U64(low)) | np.arange(len(codes), dtype=np.uint64))
+    place = (code & U64((1 << low) - 1)).astype(np.int64)
+    code >>= U64(low)
+    number = np.empty(len(codes), dtype=np.uint64)
+    number[place] = np.concatenate(([0], np.cumsum(code[1:] != code[:-1], dtype=np.int64)))
+    return number
 
 
 def refined(data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """The bucket of the WIDTH bytes from each place: equal buckets, equal bytes.
 
-    The first buckets are 8-grams. A bucket is refined by sorting on the pair of its number and the
+    The first buckets are 4-grams. A bucket is refined by sorting on the pair of its number and the
     bucket number at the offset where it ends; the new numbers are what the next turn points to, so the
-    depth goes 8, 16, 32 and, with the last two overlapping, 50.
+    depth goes 4, 8, 16, 32 and, with the last two overlapping, 50.
     """
-    n = len(data) - 7
+    n = len(data) - 3
     code = np.zeros(n, dtype=np.uint64)
-    for k in range(8):
+    for k in range(4):
         code = (code << U64(8)) | data[k : k + n].astype(np.uint64)
-    number, depth = buckets(code), 8
+    number, depth = buckets(code, 32), 4
     while depth * 2 <= WIDTH:
-        number = buckets((number[:-depth] << SHIFT) | number[depth:])
+        bits = int(number.max()).bit_length()
+        number = buckets((number[:-depth] << U64(bits)) | number[depth:], 2 * bits)
         depth *= 2
-    return buckets((number[places] << SHIFT) | number[places + WIDTH - depth])
+    bits = int(number.max()).bit_length()
+    return buckets((number[places] << U64(bits)) | number[places + WIDTH - depth], 2 * bits)
 
 
 def _later(tables: pa.Table) -> pa.RecordBatch:
@@ -320,9 +335,9 @@ def _cut(batches):
         raw = memoryview(np.ascontiguousarray(data))
         n_bytes, n_removed, n_spans, sums = [], [], [], []
         rows, starts, stops = _ranges(batch.column(3), 0, batch.num_rows)
-        listed = batch.column(4).fill_null([])
-        place = np.asarray(listed.flatten()).astype(np.int64)
-        rows = np.concatenate((rows, np.asarray(pa.compute.list_parent_indices(listed))))
+        lists = [batch.column(c).fill_null([]) for c in (4, 5)]
+        place = np.concatenate([np.asarray(x.flatten()) for x in lists]).astype(np.int64)
+        rows = np.concatenate((rows, *(np.asarray(pa.compute.list_parent_indices(x)) for x in lists)))
         starts = np.concatenate((starts, place // PACK)).astype(np.int64)
         stops = np.concatenate((stops, place // PACK + place % PACK)).astype(np.int64)
         size = np.diff(at)
@@ -390,18 +405,20 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     filed = filed.select(*key, "h", F.min("doc_id").over(bucket).alias("lo"), F.max("doc_id").over(bucket).alias("hi"))
     shared = filed.where("lo < hi").groupBy(*key).agg(F.collect_list(F.col("h") * 2).alias("shared"))
     runs = base.join(shared, key).select(*key, "text", "pieces", "shared").mapInArrow(lambda b: _digests(b, spare), "doc_id long, tkey long, h long, b long, place long")
-    runs = runs.withColumn("first", F.min("doc_id").over(run))
+    runs = runs.repartition("h").withColumn("first", F.min("doc_id").over(run))
     runs = runs.withColumns({"several": F.min("b").over(bucket) != F.max("b").over(bucket), "c": F.count("*").over(bucket)})
-    settled = runs.where("doc_id > first").select(*key, "place")
-    asked = runs.where("several AND doc_id = first").groupBy(*key).agg(F.collect_set(F.col("h") * 2 + F.when(F.col("c") > HOT, 1).otherwise(0)).alias("asked"))
-    parts = base.join(asked, key).select(*key, "text", "pieces", "asked")
+    later, name = F.expr("doc_id > first"), F.col("h") * 2 + F.when(F.col("c") > HOT, 1).otherwise(0)
+    judged = runs.where(later | F.col("several")).groupBy(*key).agg(
+        F.collect_list(F.when(later, F.col("place"))).alias("settled"), F.collect_set(F.when(~later & F.col("several"), name)).alias("asked")
+    )
+    # Both readers of `judged` take all its columns: with fewer in one of them Spark would make and sort the runs once for each.
+    parts = base.join(judged.where("size(asked) > 0"), key).select(*key, "text", "pieces", "asked", "settled")
     parts = parts.mapInArrow(lambda b: _fragments(b, spare), "doc_id long, tkey long, h long, w long, sure boolean, start long, body binary")
     parts = parts.repartition("h", "w").sortWithinPartitions("h", "w", "doc_id")
-    found = parts.mapInArrow(_refine, "doc_id long, tkey long, place long")
-    rest = settled.union(found).groupBy(*key).agg(F.collect_list("place").alias("rest"))
-    joined = base.join(rest, key, "left").select(*key, "text", "pieces", "rest")
+    found = parts.mapInArrow(_refine, "doc_id long, tkey long, place long").groupBy(*key).agg(F.collect_list("place").alias("found"))
+    joined = base.join(judged, key, "left").join(found, key, "left").select(*key, "text", "pieces", "settled", "found", "asked")
     nameless = every.where("doc_id IS NULL").select(
-        *key, "text", F.lit(None).cast("array<struct<start: bigint, stop: bigint>>").alias("pieces"), F.lit(None).cast("array<bigint>").alias("rest")
+        *key, "text", F.lit(None).cast("array<struct<start: bigint, stop: bigint>>").alias("pieces"), *(F.lit(None).cast("array<bigint>").alias(c) for c in ("settled", "found"))
     )
     shape = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return joined.mapInArrow(_cut, shape).union(nameless.mapInArrow(_cut, shape))

@@ -85,3 +85,24 @@ def test_names_that_clash_only_cost_work(spark, documents, monkeypatch, many, sp
     monkeypatch.setattr(S, "WIDE_SPARE", wide)
     rows = some_texts(7)
     assert sorted((tuple(x) for x in S.without_repeats(documents(rows)).collect()), key=str) == brute(rows)
+
+
+def test_runs_are_made_once(spark, documents):
+    """What judges the runs and what asks for their bytes read one shuffle: one step of the plan takes the shared q-grams."""
+    adaptive, wide = "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold"
+    before = {k: spark.conf.get(k) for k in (adaptive, wide)}
+    try:
+        spark.conf.set(adaptive, "false")
+        spark.conf.set(wide, "-1")
+        plan = S.without_repeats(documents(some_texts(3)))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum("MapInArrow" in line and "shared#" in line for line in plan.splitlines()) == 1
+
+
+def test_buckets_number_codes_in_order():
+    """Codes that leave no room for a place are numbered like those that do."""
+    codes = np.random.default_rng(8).integers(0, 1 << 20, 5000).astype(np.uint64)
+    want = np.unique(codes, return_inverse=True)[1]
+    assert S.buckets(codes, 20).tolist() == want.tolist() == S.buckets(codes, 64).tolist()
