@@ -25,10 +25,10 @@ GROUPS, MEMBERS, SHARED = 32, 32, 31
 CLASSES = GROUPS * MEMBERS
 WIDTH, HEAD = 24, 8
 # One training window in SAMPLE is learned from, once, in ROUNDS parts; a task makes about STEPS steps of BATCH windows a round.
-SAMPLE, ROUNDS, STEPS, BATCH, RATE = 1, 6, 64, 128, 0.03
+SAMPLE, ROUNDS, STEPS, BATCH, LEAST_BATCH, RATE = 1, 6, 64, 256, 128, 0.03
 # Windows and tokens of whole texts that are worked on at a time, and the parts in which weights are averaged.
 AT_ONCE, TOKENS, PARTS = 1024, 1 << 17, 16
-# Windows of one row of the staged table.
+# Windows of one row.
 PACK = 32
 
 STAGED = "kind string, block long, doc_id long, held boolean, code int, word string, n long, data binary"
@@ -100,8 +100,19 @@ def numbers(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
 
 
+def squeezed(values: np.ndarray) -> bytes:
+    """`planes` of many numbers, compressed here, as a shuffle would do it less well; led by their length."""
+    data = planes(values)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def loosened(data: bytes) -> np.ndarray:
+    """What `squeezed` made bytes of."""
+    return numbers(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True))
+
+
 def _cell_type(size: int) -> str:
-    """The type that training windows are stored in: 16 bits if all ids, the end, start and none fit."""
+    """The type that training windows are packed in: 16 bits if all ids, the end, start and none fit."""
     return "<u2" if size + 2 < 1 << 16 else "<u4"
 
 
@@ -136,8 +147,8 @@ def _rows(kind: str, block: int, rows: int, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c := known.get(f.name), pa.Array) else pa.array(c if c is not None else [None] * rows, f.type) for f in _STAGED], schema=_STAGED)
 
 
-def _stage(batches, v: Vocabulary):
-    """Blocks of documents: each document as codes of its words, each distinct word with its ids, some training windows."""
+def _stage(batches, v: Vocabulary, kinds: tuple[str, ...] = ("doc", "word", "window")):
+    """Blocks of documents: each document as codes of its words, each distinct word with its ids, the training windows; the kinds that are asked for."""
     number = TaskContext.get().partitionId() << 32
     for batch in batches:
         _, whole = K.text_bytes(batch.column(2))
@@ -168,17 +179,19 @@ def _stage(batches, v: Vocabulary):
             counts = np.bincount(codes[learned], minlength=len(words) + 1)
             del data, lower, flat, starts, ends, ends_at, coded, code, inner
             ends_of = stop.tolist()
-            yield _rows("doc", number, len(n), doc_id=part.column(0), held=pa.array(held), code=pa.array(np.zeros(len(n)), pa.int32()), n=pa.array(n), data=[planes(codes[b - a : b]) for a, b in zip(n.tolist(), ends_of, strict=True)])
-            # The block's dictionary is one row beside its documents: how many ids each code has, and the ids.
-            yield _rows("doc", number, 1, code=pa.array([1], pa.int32()), n=pa.array([len(counts)]), data=[planes(np.concatenate((np.diff(ids_at), ids)))])
-            yield _rows("word", number, len(counts), code=pa.array(np.arange(len(counts)), pa.int32()), word=pa.concat_arrays([pa.array([""]), words]), n=pa.array(counts))
+            if "doc" in kinds:
+                yield _rows("doc", number, len(n), doc_id=part.column(0), held=pa.array(held), code=pa.array(np.zeros(len(n)), pa.int32()), n=pa.array(n), data=[planes(codes[b - a : b]) for a, b in zip(n.tolist(), ends_of, strict=True)])
+                # The block's dictionary is one row beside its documents: how many ids each code has, and the ids.
+                yield _rows("doc", number, 1, code=pa.array([1], pa.int32()), n=pa.array([len(counts)]), data=[squeezed(np.concatenate((np.diff(ids_at), ids)))])
+            if "word" in kinds:
+                yield _rows("word", number, len(counts), code=pa.array(np.arange(len(counts)), pa.int32()), word=pa.concat_arrays([pa.array([""]), words]), n=pa.array(counts))
             keep, last = codes[learned], np.concatenate(([0], np.cumsum(n[~held])))
             seen, placed = 0, 0
-            for a, b in K.slices(last, TOKENS):
+            for a, b in K.slices(last, TOKENS) if "window" in kinds else ():
                 text_ids, size = _gather(ids, ids_at, keep[last[a] : last[b]])
                 made, count = windows(text_ids, np.add.reduceat(size, last[a:b] - last[a]), v.size + 1, -seen % SAMPLE, SAMPLE)
                 seen += int(count.sum())
-                # Window j of a block is of round j modulo ROUNDS. A slice's windows go at once, so no block's are held together.
+                # Window j of a block is of turn j modulo ROUNDS: those of one row are not neighbours. A slice's windows go at once, so no block's are held together.
                 turn = (placed + np.arange(len(made))) % ROUNDS
                 placed += len(made)
                 flat = np.ascontiguousarray(made.astype("<u4"))
@@ -189,7 +202,7 @@ def _stage(batches, v: Vocabulary):
 
 
 def _packed(batches, v: Vocabulary):
-    """What `_stage` yields, with up to PACK windows of a round in a row, in the type of `_cell_type`; they are stored and dealt so."""
+    """What `_stage` yields, with up to PACK windows in a row, in the type of `_cell_type`; they go to training so."""
     for batch in batches:
         if not batch.num_rows or batch.column(0)[0].as_py() != "window":
             yield batch
@@ -407,12 +420,13 @@ def gradient(w: dict, cells: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
 
 
 def train(w: dict, cells: np.ndarray, seed: int, rate: float) -> dict[str, np.ndarray]:
-    """One pass of Adam over batches of windows, in a fixed random order."""
+    """One pass of Adam over batches of windows, in a fixed random order; a short pass takes smaller batches."""
     w = {k: x.copy() for k, x in w.items()}
     mean, square = ({k: np.zeros_like(x) for k, x in w.items()} for _ in range(2))
     order = np.random.Generator(np.random.PCG64(seed)).permutation(len(cells))
-    for step in range(1, -(-len(order) // BATCH) + 1):
-        _, g = gradient(w, cells[order[(step - 1) * BATCH : step * BATCH]])
+    size = min(BATCH, max(LEAST_BATCH, -(-len(order) // STEPS)))
+    for step in range(1, -(-len(order) // size) + 1):
+        _, g = gradient(w, cells[order[(step - 1) * size : step * size]])
         for k in w:
             mean[k] += np.float32(0.1) * (g[k] - mean[k])
             square[k] += np.float32(0.01) * (g[k] * g[k] - square[k])
@@ -464,25 +478,29 @@ def _mean(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iter
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([(total / whole).astype("<f4").tobytes()], pa.binary())], names=["part", "data"])
 
 
-def fit(learned: DataFrame, classes: Classes) -> dict[str, np.ndarray]:
-    """Weights learned from all sampled windows: in each round every part starts from the same weights, and their mean is kept.
+def _train_texts(batches, v: Vocabulary, w: dict, classes: Classes, seed: int, rate: float):
+    """`_train_task` on the windows of a task's texts, made as they are learned from."""
+    made = _packed(_stage(batches, v, ("window",)), v)
+    return _train_task((b.select(["data"]) for b in made), w, classes, seed, rate)
 
-    A part is about STEPS * BATCH windows of one task, so more text makes more parts, not longer ones. Tasks read the stored
-    windows where they lie: no window is shuffled, and a task sends one set of weights, whatever its number of parts.
+
+def fit(learned: DataFrame, classes: Classes, n_ids: int, v: Vocabulary) -> dict[str, np.ndarray]:
+    """Weights learned from all windows of some (doc_id, held, text): in each round every part starts from the same weights, and their mean is kept.
+
+    A hash deals every document to one round, so each window is learned from once. A part is about STEPS * BATCH windows of one
+    task, so more text makes more parts, not longer ones. Tasks read the texts where they lie and make the windows anew: no window
+    is stored or shuffled, and a task sends one set of weights, whatever its number of parts. `n_ids` is about how many ids there are.
     """
     w = first_weights(classes)
-    window = 2 * STRIDE * np.dtype(_cell_type(len(classes.of) - 1)).itemsize
-    sizes = {r["n"]: r["bytes"] // window for r in learned.groupBy("n").agg(F.sum(F.octet_length("data")).alias("bytes")).collect()}
+    tasks = max(1, round(n_ids / (STRIDE * ROUNDS * STEPS * BATCH)))
     for k in range(ROUNDS):
-        if not sizes.get(k):
-            continue
-        tasks = max(1, round(sizes[k] / (STEPS * BATCH)))
         rate = RATE * (1 - k / ROUNDS)
         sent = learned.sparkSession.sparkContext.broadcast((w, classes))
-        dealt = learned.where(F.col("n") == k).select("data").coalesce(tasks)
-        ends = dealt.mapInArrow(lambda b, sent=sent, k=k, rate=rate: _train_task(b, *sent.value, k, rate), "part int, n long, data binary")
+        dealt = learned.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == k).select("doc_id", "held", "text").coalesce(tasks)
+        ends = dealt.mapInArrow(lambda b, sent=sent, k=k, rate=rate: _train_texts(b, v, *sent.value, k, rate), "part int, n long, data binary")
         parts = {r["part"]: r["data"] for r in ends.groupBy("part").applyInArrow(_mean, "part int, data binary").collect()}
-        w = _shaped(np.concatenate([np.frombuffer(parts[p], dtype="<f4") for p in range(PARTS)]))
+        if parts:
+            w = _shaped(np.concatenate([np.frombuffer(parts[p], dtype="<f4") for p in range(PARTS)]))
         sent.unpersist()
     return w
 
@@ -505,7 +523,7 @@ def _score_block(docs: pa.Table, words: pa.Table, w: dict, classes: Classes, who
     """Both scores of the documents of one block."""
     kinds = docs["code"].to_numpy()
     cell = docs["data"]
-    dictionary = numbers(cell[int(np.flatnonzero(kinds == 1)[0])].as_py())
+    dictionary = loosened(cell[int(np.flatnonzero(kinds == 1)[0])].as_py())
     docs = docs.filter(pa.array(kinds == 0))
     size = dictionary[: len(words)]
     ids, at = dictionary[len(words) :], np.concatenate(([0], np.cumsum(size)))
@@ -543,13 +561,13 @@ def text_likelihoods(docs: DataFrame, held_out: Column, vocabulary: Vocabulary)
     All counts are over all training rows. Texts are cut in blocks of about 12 MB; words are counted with a
     shuffle of each block's distinct words, and the counts come back to the block by a join, so no
     vocabulary is sent to a task whole. The model learns from all training windows (one in SAMPLE, which is 1), so what it
-    learns from grows with the text: tasks train in parallel and their weights are averaged a round. Only
+    learns from grows with the text: tasks read the texts once more, a sixth a round, and train in parallel; their weights are averaged. Only
     the counts of ids (no more than the tokenizer has) and the weights come to the driver.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(held_out, F.lit(False)).alias("held"), F.coalesce("text", F.lit("")).alias("text"))
     path = scratch(spark, "blocks")
-    source.mapInArrow(lambda b: _packed(_stage(b, vocabulary), vocabulary), STAGED).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    source.mapInArrow(lambda b: _stage(b, vocabulary, ("doc", "word")), STAGED).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     kind = lambda name: spark.read.schema(STAGED).parquet(path).where(F.col("kind") == name)
     words = kind("word")
     counted = words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0")
@@ -560,7 +578,7 @@ def text_likelihoods(docs: DataFrame, held_out: Column, vocabulary: Vocabulary)
     for r in ids.collect():
         counts[r["id"]] = r["n"]
     classes = Classes.fit(counts)
-    weights = fit(kind("window").select("n", "data"), classes)
+    weights = fit(source.where("NOT held"), classes, int(counts.sum()), vocabulary)
     sent = spark.sparkContext.broadcast((weights, classes))
     known = words.join(counted.select("word", "c"), "word", "left").select("block", "code", "c")
     texts = kind("doc").select("block", "code", "doc_id", "held", "n", "data")

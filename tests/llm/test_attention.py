@@ -228,3 +228,32 @@ def test_a_task_sends_one_mean_of_its_parts(small, monkeypatch):
     sent = list(A._train_task(batches, w, classes, 1, 0.03))
     assert len(sent) == A.PARTS and {b["n"][0].as_py() for b in sent} == {29}
     assert np.allclose(np.concatenate([np.frombuffer(b["data"][0].as_py(), "<f4") for b in sent]), want, atol=1e-6)
+
+
+def test_windows_are_made_where_they_are_learned_from(spark, vocabulary, monkeypatch, tmp_path):
+    """Nothing stored holds a window, and the rounds together learn from each window of the training rows once."""
+    from panelgrain.llm import shared
+
+    rows = [(i, f"one two three four five w{i} " * (i + 1), i % 5 == 0) for i in range(40)]
+    docs = spark.createDataFrame([(*r, 0, 0, "w", 0, "d", 0.0) for r in rows], SCHEMA).repartition(3)
+    sizes = [len(A.word_ids(pa.array(t.split(), pa.string()), vocabulary)[0]) + 1 for _, t, held in rows if not held]
+    log = tmp_path / "learned"
+    train_task = A._train_task
+
+    def logged(batches, w, classes, seed, rate):
+        with open(f"{log}-{seed}", "a") as file:
+            for b in batches:
+                file.write("".join(f"{len(x) // 64}\n" for x in b.column(0).to_pylist()))
+                yield from train_task(iter([b]), w, classes, seed, rate)
+
+    monkeypatch.setattr(A, "_train_texts", lambda b, v, w, classes, seed, rate: logged((x.select(["data"]) for x in A._packed(A._stage(b, v, ("window",)), v)), w, classes, seed, rate))
+    kinds = []
+    monkeypatch.setattr(A, "scratch", lambda s, label: kinds.append(shared.scratch(s, label)) or kinds[-1])
+    assert A.text_likelihoods(docs, F.col("held"), vocabulary).count() == 40
+    assert {r["kind"] for r in spark.read.parquet(kinds[0]).select("kind").distinct().collect()} == {"doc", "word"}
+    assert sum(int(x) for f in tmp_path.iterdir() for x in f.read_text().split()) == sum(-(-n // A.STRIDE) for n in sizes)
+
+
+def test_numbers_come_back():
+    values = np.random.default_rng(1).integers(0, 1 << 20, 1000)
+    assert A.loosened(A.squeezed(values)).tolist() == values.tolist() and A.loosened(A.squeezed(values[:0])).tolist() == []
