@@ -175,6 +175,33 @@ def token_hashes(tokens: list[str]) -> np.ndarray:
     return K.span_hash(K.prefix_hash(K.BYTE_VALUES[data]), np.concatenate(([0], blanks + 1)), np.concatenate((blanks, [len(data)])))
 
 
+def _indexed(streams: list[list[str | None]], least_words: int):
+    """The words' numbers, the tokens of all streams in a row (no two ends are equal), the page of each, their suffixes in order, and
+    which of these begin with the same `least_words` tokens: a number for each, and the first of each number."""
+    number: dict[str, int] = {}
+    flat = []
+    for stream in streams:
+        for t in (*stream, None):
+            flat.append(-1 - len(flat) if t is None else number.setdefault(t, len(number)))
+    tokens, page = np.array(flat, dtype=np.int64), np.repeat(np.arange(len(streams)), [len(s) + 1 for s in streams])
+    order, shared = suffix_array(tokens)
+    new = shared < least_words
+    new[:1] = True
+    return number, tokens, page, order, np.cumsum(new) - 1, order[new]
+
+
+def _names(number: dict[str, int], tokens: np.ndarray, first: np.ndarray, least_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the places in `first` have `least_words` tokens before the block's end, and a hash of these tokens."""
+    ends = np.concatenate(([0], np.cumsum(tokens < 0)))
+    whole = first + least_words <= len(tokens)
+    whole[whole] = ends[first[whole] + least_words] == ends[first[whole]]
+    hashes = np.zeros(len(tokens), dtype=np.uint64)
+    hashes[tokens >= 0] = token_hashes(list(number))[tokens[tokens >= 0]]
+    names = np.zeros(len(first), dtype=np.int64)
+    names[whole] = K.gram_hash(hashes, least_words)[first[whole]].view(np.int64)
+    return whole, names
+
+
 def repeated(
     streams: list[list[str | None]], least_words: int = LEAST_WORDS, least_pages: int = LEAST_PAGES, texts: list[int] | None = None, known: np.ndarray | None = None
 ) -> list[np.ndarray]:
@@ -183,39 +210,34 @@ def repeated(
     Pages of equal `texts` count as one. With `known` (hashes of substrings of `least_words` tokens) these are the
     repeats, whatever the streams at hand hold.
     """
-    number: dict[str, int] = {}
-    flat, page = [], []
-    for k, stream in enumerate(streams):
-        for t in (*stream, None):  # no two ends are equal
-            flat.append(-1 - len(flat) if t is None else number.setdefault(t, len(number)))
-        page += [k if texts is None else texts[k]] * (len(stream) + 1)
-    owner = np.unique(np.array(page, dtype=np.int64), return_inverse=True)[1]
-    tokens = np.array(flat, dtype=np.int64)
-    order, shared = suffix_array(tokens)
-    covered = np.zeros(len(flat) + 1, dtype=np.int64)
+    number, tokens, page, order, run, first = _indexed(streams, least_words)
+    covered = np.zeros(len(tokens) + 1, dtype=np.int64)
     if len(order):
-        run = np.cumsum(np.concatenate(([True], shared[1:] < least_words))) - 1
         if known is None:
+            owner = np.unique(page if texts is None else np.array(texts, dtype=np.int64)[page], return_inverse=True)[1]
             pairs = np.unique(run * len(streams) + owner[order])
-            pages = np.bincount(pairs // len(streams), minlength=run[-1] + 1)
-            found = pages >= least_pages
+            found = np.bincount(pairs // len(streams), minlength=run[-1] + 1) >= least_pages
         else:
-            first = order[np.flatnonzero(np.concatenate(([True], run[1:] != run[:-1])))]
-            ends = np.concatenate(([0], np.cumsum(tokens < 0)))
-            whole = first + least_words <= len(tokens)
-            whole[whole] = ends[first[whole] + least_words] == ends[first[whole]]
-            hashes = np.zeros(len(tokens), dtype=np.uint64)
-            hashes[tokens >= 0] = token_hashes(list(number))[tokens[tokens >= 0]]
-            found = np.zeros(len(first), dtype=bool)
-            found[whole] = np.isin(K.gram_hash(hashes, least_words)[first[whole]].view(np.int64), known)
+            whole, names = _names(number, tokens, first, least_words)
+            found = whole & np.isin(names, known)
         start = order[found[run]]
         np.add.at(covered, start, 1)
-        np.add.at(covered, np.minimum(start + least_words, len(flat)), -1)
+        np.add.at(covered, np.minimum(start + least_words, len(tokens)), -1)
     inside = np.cumsum(covered[:-1]) > 0
     ends = np.cumsum([len(s) + 1 for s in streams])
     return [inside[e - len(s) - 1 : e - 1] for e, s in zip(ends.tolist(), streams, strict=True)]
 
 
+def entries(streams: list[list[str | None]], least_words: int = LEAST_WORDS) -> list[np.ndarray]:
+    """For each page's token stream, the hashes of the distinct substrings of `least_words` that one suffix array of all streams finds in it."""
+    number, tokens, page, order, run, first = _indexed(streams, least_words)
+    whole, names = _names(number, tokens, first, least_words)
+    kept = whole[run]
+    pairs = np.unique(page[order][kept] * (len(first) + 1) + run[kept])
+    at = np.searchsorted(pairs, np.arange(len(streams) + 1) * (len(first) + 1))
+    return np.split(names[pairs % (len(first) + 1)], at[1:-1]) if len(streams) else []
+
+
 def _text_key(main: list[str], rest: list[str], chrome: list[str]) -> int:
     """A hash of a page's text: without chrome, unless chrome is all it has."""
     text = "\n".join((*main, "", *rest)) if main or rest else "\n".join(("", "", *chrome))
@@ -229,33 +251,26 @@ def _keys(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64())], names=["host", "key"])
 
 
+def _streams(rest: list[str], chrome: list[str]) -> list[str | None]:
+    """The words of a page's blocks outside articles, None after each block."""
+    return [w for b in (*rest, *chrome) for w in (*b.split(" "), None)]
+
+
 def _windows(batches):
-    """(host, key, windows) of every page: the distinct hashes of LEAST_WORDS tokens in a row within a block outside articles."""
+    """(host, key, windows) of every page: its entries of LEAST_WORDS tokens in the suffix array of its host's pages at hand, outside articles."""
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             part = batch.slice(i, 256)
-            keys, words, block, page, number = [], [], [], [], 0
-            for k, text in enumerate(part.column(1).to_pylist()):
+            keys, pages, windows = [], {}, [None] * part.num_rows
+            for k, (host, text) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)):
                 main, rest, chrome = blocks(text)
                 keys.append(_text_key(main, rest, chrome))
-                for b in (*rest, *chrome):
-                    own = b.split(" ")
-                    words += own
-                    block += [number] * len(own)
-                    page += [k] * len(own)
-                    number += 1
-            grams = K.gram_hash(token_hashes(words), LEAST_WORDS).view(np.int64)
-            block, page = np.array(block, dtype=np.int64), np.array(page, dtype=np.int64)[: len(grams)]
-            whole = block[: len(grams)] == block[LEAST_WORDS - 1 :][: len(grams)]
-            grams, page = grams[whole], page[whole]
-            order = np.lexsort((grams, page))
-            grams, page = grams[order], page[order]
-            new = np.ones(len(grams), dtype=bool)
-            new[1:] = (grams[1:] != grams[:-1]) | (page[1:] != page[:-1])
-            grams, page = grams[new], page[new]
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(keys, pa.int64()), K.lists(grams, np.searchsorted(page, np.arange(part.num_rows + 1)))], names=["host", "key", "windows"]
-            )
+                pages.setdefault(host, []).append((k, _streams(rest, chrome)))
+            for own in pages.values():
+                for (k, _), found in zip(own, entries([s for _, s in own]), strict=True):
+                    windows[k] = found
+            offsets = np.concatenate(([0], np.cumsum([len(w) for w in windows])))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(keys, pa.int64()), K.lists(K.gathered(windows, np.int64), offsets)], names=["host", "key", "windows"])
 
 
 def _parse(batches):
@@ -280,7 +295,7 @@ def _main_texts(rows: list[dict], known: np.ndarray | None = None) -> pa.RecordB
 
     A host of one group counts its repeats here; for larger ones `known` has those of the whole host.
     """
-    streams = [[w for b in (*r["rest"], *r["chrome"]) for w in (*b.split(" "), None)] for r in rows]
+    streams = [_streams(r["rest"], r["chrome"]) for r in rows]
     keys = [r["key"] for r in rows]
     marks = repeated(streams, LEAST_WORDS, max(LEAST_PAGES, -(-len(set(keys)) // ONE_IN)), keys, known)
     out, seen = [], []
@@ -333,8 +348,9 @@ def _vote(batches):
 def host_repeats(pages: DataFrame, groups: DataFrame) -> DataFrame:
     """(host, part, known): the repeats of each host of `groups`, for each of its groups.
 
-    Every page sends the distinct hashes of its five-word windows outside articles; a page whose text has
-    n equal ones counts as 1 / n, so a sum is the number of distinct pages.
+    A suffix array of each 256 pages at hand finds the distinct five-word substrings outside articles; their hashes name
+    them, by which the arrays of a host are merged. A page whose text has n equal ones counts as 1 / n, so a sum is the number
+    of distinct pages.
     """
     many = pages.join(groups.select("host"), "host").select("host", "html")
     keys = written(many.mapInArrow(_keys, "host string, key long").groupBy("host", "key").agg(F.count("*").alias("same")), "texts")
@@ -359,8 +375,8 @@ def main_texts(pages: DataFrame) -> DataFrame:
     n_repeated counts a page's words that such substrings cover, chrome included.
 
     A host with over 512 pages is split by a hash into groups of about 512, so a host with a third of all pages
-    takes as many tasks as it needs. Its repeats are counted over the whole host before, by the hashes of five-word
-    windows, and sent to every group: groups bound memory and decide nothing. Null html counts as empty, a null url
+    takes as many tasks as it needs. Its repeats are counted over the whole host before, by suffix arrays of its pages as they lie, whose
+    entries are added up, and sent to every group: groups bound memory and decide nothing. Null html counts as empty, a null url
     as one host; rows that share a page_id each get a result. Extra columns are not read. An empty table
     gives no rows.
     """

@@ -137,3 +137,19 @@ def test_a_share_of_the_host_is_asked(spark, monkeypatch):
     frame = spark.createDataFrame(rows, "page_id long, url string, html string")
     want = {i: f"a{i} b{i}" + ("\non three pages it stands" if i < 3 else "") for i in range(40)}
     assert {r.page_id: r.text for r in P.main_texts(frame).collect()} == want
+
+
+def test_a_large_hosts_repeats_come_from_suffix_arrays(monkeypatch):
+    """The counting step of large hosts lists each page's five-word substrings from suffix arrays of one host's pages."""
+    r = random.Random(9)
+    pages = [[" ".join(r.choices("abc", k=r.randint(0, 12))) for _ in range(r.randint(0, 4))] for _ in range(40)]
+    hosts = [r.choice("xyz") for _ in pages]
+    sizes, whole = [], P.suffix_array
+    monkeypatch.setattr(P, "suffix_array", lambda tokens: sizes.append(len(tokens)) or whole(tokens))
+    batch = P.pa.RecordBatch.from_arrays([P.pa.array(hosts), P.pa.array(["".join(f"<p>{b}</p>" for b in p) for p in pages])], names=["host", "html"])
+    (out,) = P._windows([batch])
+    assert len(sizes) == 3
+    for page, found in zip(pages, out.column(2).to_pylist(), strict=True):
+        grams = {tuple(w[i : i + 5]) for b in page if (w := b.split()) for i in range(len(w) - 4)}
+        want = {int(P.K.gram_hash(P.token_hashes(list(g)), 5).view(P.np.int64)[0]) for g in grams}
+        assert set(found) == want and len(found) == len(want)
