@@ -59,8 +59,8 @@ NAMES = ["rows", "ids", "labels", "goals", "item", "vectors"]
 
 
 def _blocks(batches):
-    """Blocks of rows in the order they come; a row's number is its task's and its place there."""
-    number = TaskContext.get().partitionId() << 40
+    """Blocks of rows in the order they come; the number of a row, and of a block, is its task's and its place there."""
+    number = block = TaskContext.get().partitionId() << 40
     for batch in batches:
         vectors = batch.column(2)
         width = max(1, int(vectors.value_lengths().to_numpy().max(initial=0)))
@@ -70,7 +70,8 @@ def _blocks(batches):
             rows = np.arange(number, number + part.num_rows)
             number += part.num_rows
             arrays = _packed(rows, part.column(0), part.column(1).to_pylist(), _quantised(part.column(2)))
-            yield pa.RecordBatch.from_arrays([pa.array([int(rows[0])], pa.int64()), *arrays], names=["block", *NAMES])
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *arrays], names=["block", *NAMES])
+            block += 1
 
 
 class Block:
@@ -97,8 +98,8 @@ def _anchor_rows(batches, every: int):
                 )
 
 
-def _anchor_block(anchors: pa.Table, goals: int) -> pa.Table:
-    """Anchors of one group as one block; the goals of each are the scores of its positives."""
+def _anchor_block(anchors: pa.Table, goals: int, part: int) -> pa.Table:
+    """Anchors of one group as one block, with its part; the goals of each are the scores of its positives."""
     vectors = [_matrix(v, i, 1)[0] for v, i in zip(anchors["vector"].to_pylist(), anchors["item"].to_pylist(), strict=True)]
     matrix = np.zeros((len(vectors), max(map(len, vectors), default=0)), dtype=np.int64)
     for own, v in zip(matrix, vectors, strict=True):
@@ -107,7 +108,7 @@ def _anchor_block(anchors: pa.Table, goals: int) -> pa.Table:
     if goals:
         wanted = [x for own in anchors["goals"].to_pylist() for x in [*own, *[None] * (goals - len(own))]]
     arrays = _packed(anchors["row"].to_pylist(), anchors["id"].combine_chunks(), anchors["label"].to_pylist(), matrix, wanted)
-    return pa.Table.from_arrays(arrays, names=NAMES)
+    return pa.Table.from_arrays([*arrays, pa.array([part], pa.int32())], names=[*NAMES, "part"])
 
 
 def exact_scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -143,10 +144,14 @@ def exact_scores(anchors: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return sums.astype(whole) + (a @ low)[:, None] - bias[:, None] * u.sum(axis=1).astype(whole)
 
 
+def _never(scores: np.ndarray) -> int:
+    """Less than any key of such scores."""
+    return -(1 << 63) if scores.dtype != object else -(1 << 200)
+
+
 def first_places(scores: np.ndarray, allowed: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(line, column) of the k largest allowed scores of each line, equal ones by column; best first."""
-    n = scores.shape[1]
-    never = -(1 << 63) if scores.dtype != object else -(1 << 200)
+    n, never = scores.shape[1], _never(scores)
     key = np.where(allowed, scores * n + (n - 1 - np.arange(n)), never)
     best = np.argpartition(key, n - k, axis=1)[:, n - k :] if n > k else np.broadcast_to(np.arange(n), key.shape)
     own = np.take_along_axis(key, best, axis=1)
@@ -190,36 +195,74 @@ def _positives(batches, k: int):
             yield _out(anchors, line[i], np.zeros(len(i)), rows, column[j], scores[i, j])
 
 
+def _ranges(goals: pa.Array, places: int, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and most score of a negative, one line an anchor, one column a positive; where there is none, nothing fits."""
+    wanted = goals.to_pylist()
+    low = np.array([1 if x is None else -(-least * x // 100) for x in wanted], dtype=object)
+    high = np.array([0 if x is None else most * x // 100 for x in wanted], dtype=object)
+    return low.reshape(-1, places), high.reshape(-1, places)
+
+
 def _negatives(batches, k: int, goals: int, least: int, most: int):
-    """For each positive of an anchor, the first k rows of other labels in a block with a score in its range."""
+    """For each positive of an anchor, the first k rows of other labels in a block with a score in its range.
+
+    A block's scores are sorted once for all positives. Blocks of a lane follow each other with the same anchors; rows
+    below the k-th best score that the blocks before have given are not among the first k and are not given.
+    """
+    before, unknown = None, np.iinfo(np.int64).min
     for anchors, rows in _meetings(batches):
+        if before is None or not np.array_equal(before, anchors.rows):
+            before, (low, high) = anchors.rows, _ranges(anchors.goals, goals, least, most)
+            best = np.full((*low.shape, k), unknown)
         order = _ordered(rows)
         scores = exact_scores(anchors.matrix, rows.matrix[order])
-        other = anchors.labels[:, None] != rows.labels[order]
-        wanted = np.array([[x if x is None else int(x) for x in own] for own in np.array(anchors.goals.to_pylist(), dtype=object).reshape(-1, goals)], dtype=object)
-        for place in range(goals):
-            line = np.flatnonzero(np.array([x is not None for x in wanted[:, place]], dtype=bool))
-            if not len(line):
-                continue
-            low = np.array([-(-least * x // 100) for x in wanted[line, place]], dtype=scores.dtype)
-            high = np.array([most * x // 100 for x in wanted[line, place]], dtype=scores.dtype)
-            own = scores[line]
-            i, j = first_places(own, other[line] & (own >= low[:, None]) & (own <= high[:, None]), k)
-            yield _out(anchors, line[i], np.full(len(i), place + 1), rows, order[j], own[i, j])
-
-
-def _met(anchors: DataFrame, blocks: DataFrame, goals: int, work) -> DataFrame:
-    """`work` over every pair of an anchor block and a candidate block.
-
-    Candidate blocks are dealt to as many lanes as there are blocks; anchors, a small part of the rows, are
-    grouped and sent to every lane. Groups have about ANCHOR_ROWS anchors.
+        n, never = scores.shape[1], _never(scores)
+        key = np.where(anchors.labels[:, None] != rows.labels[order], scores * n + (n - 1 - np.arange(n)), never)
+        key.sort(axis=1)
+        floor = np.where(best[:, :, 0] > unknown, np.maximum(low, best[:, :, 0].astype(object)), low)
+        first, last = ((x if scores.dtype == object else np.clip(x, -WORD_BOUND, WORD_BOUND).astype(np.int64)) * n for x in (floor, high))
+        start = np.array([np.searchsorted(own, x) for own, x in zip(key, first, strict=True)])
+        end = np.array([np.searchsorted(own, x, side="right") for own, x in zip(key, last + n - 1, strict=True)])
+        place = end[:, :, None] - 1 - np.arange(k)
+        line, goal, rank = np.nonzero(place >= start[:, :, None])
+        own = key[line, place[line, goal, rank]]
+        out = _out(anchors, line, goal + 1, rows, order[(n - 1 - own % n).astype(np.int64)], own // n)
+        given = np.full(best.shape, unknown)
+        given[line, goal, rank] = out["score"].to_numpy()
+        best = np.sort(np.concatenate([best, given], axis=2), axis=2)[:, :, k:]
+        yield out
+
+
+def _lanes(tasks: int, rows: int, blocks: int, anchors: int, groups: int, found: int) -> tuple[int, int]:
+    """In how many parts the rows and the anchors are dealt, so that about `tasks` tasks meet a part of each.
+
+    An anchor is sent to every part of the rows, and there up to `found` rows are found for it, eight of which take about
+    as much as a vector; a row is sent to every part of the anchors. The parts make both take the same.
+    """
+    across = max(1, min(blocks, tasks, round((tasks * rows / max(1, anchors) / (1 + found / 8)) ** 0.5)))
+    down = max(1, min(groups, round(tasks / across)))
+    return max(1, min(blocks, round(tasks / down))), down
+
+
+def _met(anchors: DataFrame, blocks: DataFrame, goals: int, k: int, work) -> DataFrame:
+    """`work`, which finds k rows an anchor (k a goal), over every pair of an anchor block and a candidate block.
+
+    A lane, one task, has a part of the candidate blocks, those of one writing task in turn, and a part of the
+    anchors, which are grouped to blocks of about ANCHOR_ROWS. Spark would tell the sizes by the files, which do not
+    show how often an anchor is sent, so the join is told to merge: it could broadcast all copies by way of the driver.
     """
-    lanes = max(1, blocks.count())
-    groups = max(1, -(-anchors.count() // ANCHOR_ROWS))
-    shared = anchors.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups)).alias("of")).applyInArrow(lambda t: _anchor_block(t, goals), ROWS)
-    sent = shared.select(F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"), F.struct(*NAMES).alias("a"))
-    dealt = blocks.select(F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int").alias("lane"), F.struct(*NAMES).alias("c"))
-    return sent.join(dealt, "lane").select("a.*", *[F.col(f"c.{n}").alias(f"c_{n}") for n in NAMES]).mapInArrow(work, FOUND)
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n, rows = blocks.agg(F.count("*"), F.coalesce(F.sum(F.size("rows")), F.lit(0))).first()
+    of = anchors.count()
+    groups = max(1, -(-of // ANCHOR_ROWS))
+    across, down = _lanes(tasks, rows, n, of, groups, k * max(1, goals))
+    shared = anchors.groupBy(F.pmod(F.xxhash64("row"), F.lit(groups)).alias("of")).applyInArrow(lambda key, t: _anchor_block(t, goals, key[0].as_py() % down), f"{ROWS}, part int")
+    sent = shared.select(F.explode(F.sequence("part", F.col("part") + (across - 1) * down, F.lit(down))).alias("lane"), F.struct(*NAMES).alias("a"))
+    turn = F.pmod(F.xxhash64(F.shiftright("block", 40)), F.lit(across)) + F.pmod(F.col("block"), F.lit(across))
+    first = F.pmod(turn, F.lit(across)).cast("int") * down
+    dealt = blocks.select(F.explode(F.sequence(first, first + (down - 1))).alias("lane"), F.struct(*NAMES).alias("c"))
+    met = sent.repartitionById(across * down, F.col("lane")).join(dealt.repartitionById(across * down, F.col("lane")).hint("merge"), "lane")
+    return met.select("a.*", *[F.col(f"c.{n}").alias(f"c_{n}") for n in NAMES]).mapInArrow(work, FOUND)
 
 
 def _ranked(found: DataFrame, keys: list[str], k: int) -> DataFrame:
@@ -243,21 +286,21 @@ def hard_negatives(vectors: DataFrame, positives: int = POSITIVES, negatives: in
     unlike lengths are met as if the shorter ended in zeros; an empty vector scores 0. Components beyond 2^62 after
     scaling count as 2^62, scores beyond 64 bits as the nearest long. Extra columns are not read.
 
-    Every anchor meets every row, block by block: a lane holds about one block of rows, and anchors, grouped
-    by 512, are sent to each lane. No task holds more than a block of either.
+    Every anchor meets every row, block by block, the anchors in groups of 512: a lane, one task, meets a part of either,
+    about as many lanes as there are shuffle partitions. Nothing is broadcast, so the driver holds no rows.
     """
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     sound = vectors.where(F.col("label").isNotNull() & F.col("embedding").isNotNull()).where(~bad)
     rows = sound.select(F.col("vec_id").cast("long").alias("id"), F.col("label").cast("long").alias("label"), "embedding")
     blocks = written(rows.mapInArrow(_blocks, f"block long, {ROWS}"), "blocks")
     anchors = written(blocks.mapInArrow(lambda b: _anchor_rows(b, every), ROW), "anchors")
-    near = _met(anchors, blocks, 0, lambda b: _positives(b, positives))
+    near = _met(anchors, blocks, 0, positives, lambda b: _positives(b, positives))
     near = written(_ranked(near, ["row"], positives), "positives")
     goals = near.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("g")).select("row", F.col("g.score").alias("goals"))
-    far = _met(written(anchors.join(goals, "row"), "goals"), blocks, positives, lambda b: _negatives(b, negatives, positives, least, most))
+    far = _met(written(anchors.join(goals.hint("merge"), "row"), "goals"), blocks, positives, negatives, lambda b: _negatives(b, negatives, positives, least, most))
     far = _ranked(far, ["row", "place"], negatives).select("row", "place", "rank", F.col("other_id").alias("negative_id"), F.col("score").alias("negative_score"))
     known = near.select("row", "anchor_id", F.col("rank").alias("place"), F.col("other_id").alias("positive_id"), F.col("score").alias("positive_score"))
-    return far.join(known, ["row", "place"]).select("anchor_id", "positive_id", F.col("place").alias("positive_rank"), "rank", "negative_id", "positive_score", "negative_score")
+    return far.join(known.hint("merge"), ["row", "place"]).select("anchor_id", "positive_id", F.col("place").alias("positive_rank"), "rank", "negative_id", "positive_score", "negative_score")
 
 
 SQL = """

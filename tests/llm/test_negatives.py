@@ -80,3 +80,38 @@ def test_several_rows_share_a_word():
     u = r - r.min(axis=0)
     assert 64 // int(((a - a.min()) @ u.max(axis=0)).max()).bit_length() >= 3
     assert (N.exact_scores(a, r) == a @ r.T).all()
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_nothing_is_broadcast(spark, monkeypatch):
+    """Equal vectors make small files, by which Spark would broadcast every copy of the anchors."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", 20)
+    plans, written = [], N.written
+    monkeypatch.setattr(N, "written", lambda df, label: plans.append(_plan(df)) or written(df, label))
+    rows = [(i, i % 3, [0.5, 0.25]) for i in range(300)]
+    plans.append(_plan(N.hard_negatives(spark.createDataFrame(rows, SCHEMA).repartition(2), every=10)))
+    assert sum("SortMergeJoin" in p for p in plans) == 3 and not any("Broadcast" in p for p in plans)
+
+
+def test_parts_of_rows_and_anchors(spark, monkeypatch):
+    """Several blocks and several anchor groups in a lane, in several lanes of either; ties, and positives below 0."""
+    monkeypatch.setattr(N, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(N, "ANCHOR_ROWS", 5)
+    rng = np.random.default_rng(8)
+    rows = [(i % 310, int(rng.integers(0, 4)), [float(x) for x in rng.normal(0.05, 0.3, 3).round(1)]) for i in range(330)]
+    rows += [(None, 1, rows[0][2]), (None, 2, rows[2][2]), (1000, 9, [-5.0, -5.0, -5.0]), (1002, 9, [5.0, 5.0, 5.0])]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = brute(rows, 3, 4, 2)
+    assert len(want) > 500 and found(df, positives=3, negatives=4, every=2) == want
+
+
+def test_lanes_follow_the_tasks():
+    """Rows and anchors grow; the shuffled copies of either stay in proportion to the rows."""
+    for n in (700_000, 7_000_000, 700_000_000):
+        across, down = N._lanes(200, n, n // 4096, n // 100, n // 51200, 50)
+        assert 180 <= across * down <= 220 and across <= 60 and down <= 5
+    assert N._lanes(200, 0, 0, 0, 1, 5) == (1, 1) and N._lanes(200, 9000, 3, 90, 1, 5) == (3, 1)
+    assert N._lanes(200, 9000, 3, 9000, 18, 50) == (3, 18)
